@@ -6,7 +6,7 @@ from importlib import import_module
 
 from brindle.plans.base import Catalog, Plan
 
-_MODULES = ["grouped_plans", "ranking_plans"]
+_MODULES = ["grouped_plans", "ranking_plans", "payload_plans", "text_plans", "source_plans"]
 
 
 def registered() -> Catalog:
