@@ -20,7 +20,26 @@ def _(spark, sf_dir):
     return gen.generate_batch(turns, "text", gen.echo_generator("re")).select("conv_id", "turn", "completion")
 
 
-@catalog.add("synth_corpus")
+def _clean(text: str) -> str:
+    return f"regexp_replace({text}, '[^a-zA-Z\\s]', '', 'g')"
+
+
+_CATEGORY_PROMPT = "'Name category number ' || i || ' of texts about ' || domain || ', in three words or less.'"
+_SYMPTOM_PROMPT = "'Name issue number ' || j || ' of the category ' || category || ' in ' || domain || ', in ten words or less.'"
+_DOCUMENT = _echo("text:", "'Report the issue ' || symptom || ' in detail without naming ' || category || '.'")
+
+
+@catalog.add(
+    "synth_corpus",
+    f"""WITH domains AS (SELECT DISTINCT p_name AS domain FROM part),
+             categories AS (SELECT DISTINCT domain, {_clean(_echo('text:', _CATEGORY_PROMPT))} AS category
+                            FROM domains, (SELECT unnest(range(1, 26)) AS i)),
+             counted AS (SELECT *, 7 + ('0x' || substr(md5(domain || ':' || category), 1, 6))::BIGINT % 6 AS n FROM categories),
+             symptoms AS (SELECT DISTINCT domain, category, {_clean(_echo('text:', _SYMPTOM_PROMPT))} AS symptom
+                          FROM counted, (SELECT unnest(range(1, 13)) AS j) WHERE j <= n)
+        SELECT domain, category, replace(replace(lower(replace({_DOCUMENT}, category, '')), lower(category), ''), ':', '') AS issue_description,
+               substr(md5(domain || ':' || category || ':' || symptom), 1, 7) AS ticket_number FROM symptoms""",
+)
 def _(spark, sf_dir):
     names = table(spark, sf_dir, "part").select(F.col("p_name").alias("domain")).distinct()
     return gen.synth_corpus(names, gen.echo_generator("text:"))
