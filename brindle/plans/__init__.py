@@ -6,7 +6,7 @@ from importlib import import_module
 
 from brindle.plans.base import Catalog, Plan
 
-_MODULES = ["grouped_plans", "ranking_plans", "payload_plans", "text_plans", "source_plans", "retrieval_plans", "generation_plans", "rubric_plans", "lineage_plans"]
+_MODULES = ["grouped_plans", "ranking_plans", "payload_plans", "text_plans", "source_plans", "retrieval_plans", "generation_plans", "rubric_plans", "lineage_plans", "modelling_plans", "streaming_plans"]
 
 
 def registered() -> Catalog:
