@@ -40,35 +40,59 @@ def unit_rows(vectors: np.ndarray) -> np.ndarray:
     return np.divide(vectors, norms, out=np.zeros_like(vectors, dtype=float), where=norms > 0)
 
 
-def best_hits(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, slice_rows: int = 512
-) -> pd.DataFrame:
-    """The k best ``ids`` per query by rounded cosine, ties to the smaller id.
+def distinct_enough(ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sort by id and keep the k smallest ids of every group of equal vectors.
 
-    Score and id rank are packed into one integer, so a partial sort finds exactly the k best even
-    among many equal vectors.
+    Equal vectors have equal scores, so no other copy can be among the k best of any query.
     """
-    n, scale = len(ids), 10**SCORE_DIGITS
     order = np.argsort(ids, kind="stable")
-    ids, corpus = ids[order], unit_rows(vectors[order])
-    take = min(k, n)
-    found = []
-    for at in range(0, len(query_ids), slice_rows):
-        scores = np.rint(unit_rows(queries[at : at + slice_rows]) @ corpus.T * scale).astype(np.int64)
-        packed = scores * n + (n - 1 - np.arange(n))
-        top = np.argpartition(-packed, take - 1, axis=1)[:, :take] if take < n else np.tile(np.arange(n), (len(packed), 1))
-        found.append(
-            pd.DataFrame(
-                {
-                    "query_id": np.repeat(query_ids[at : at + slice_rows], take),
-                    "corpus_id": ids[top.ravel()],
-                    "score": np.take_along_axis(scores, top, axis=1).ravel() / scale,
-                }
-            )
-        )
-    return pd.concat(found, ignore_index=True)
+    ids, vectors = ids[order], np.ascontiguousarray(vectors[order])
+    copies = pd.Series(vectors.view(np.dtype((np.void, vectors.dtype.itemsize * vectors.shape[1]))).ravel())
+    kept = (copies.map(bytes).groupby(copies.map(bytes)).cumcount() < k).to_numpy()
+    return ids[kept], vectors[kept]
+
 
+class TopHits:
+    """The k best corpus rows per query so far, by rounded cosine, ties to the smaller id.
 
-def keep_best(hits: pd.DataFrame, k: int) -> pd.DataFrame:
-    ranked = hits.sort_values(["query_id", "score", "corpus_id"], ascending=[True, False, True], kind="stable")
-    return ranked.groupby("query_id", sort=False).head(k)
+    A block is compared in single precision with each query's current k-th score; only what comes
+    close is scored again in double precision and ranked.
+    """
+
+    MARGIN = 1e-5
+    CELLS = 4_000_000
+
+    def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
+        self.query_ids, self.k = query_ids, k
+        self.exact = unit_rows(queries)
+        self.rough = self.exact.astype(np.float32)
+        self.floor = np.full(len(query_ids), -np.inf, dtype=np.float32)
+        self.best = pd.DataFrame({"q": pd.Series(dtype=np.int64), "corpus_id": [], "score": pd.Series(dtype=float)})
+
+    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        ids, vectors = distinct_enough(ids, vectors, self.k)
+        corpus = unit_rows(vectors)
+        rough = corpus.astype(np.float32).T
+        step = max(1, self.CELLS // len(ids))
+        found = [self._near(at, min(at + step, len(self.query_ids)), ids, corpus, rough) for at in range(0, len(self.query_ids), step)]
+        merged = pd.concat([self.best, *found], ignore_index=True) if len(self.best) else pd.concat(found, ignore_index=True)
+        ranked = merged.sort_values(["q", "score", "corpus_id"], ascending=[True, False, True], kind="stable")
+        self.best = ranked[ranked.groupby("q").cumcount() < self.k]
+        full = self.best.groupby("q")["score"].agg(["min", "size"])
+        full = full[full["size"] == self.k]
+        self.floor[full.index.to_numpy()] = full["min"].to_numpy()
+
+    def _near(self, start: int, stop: int, ids: np.ndarray, corpus: np.ndarray, rough: np.ndarray) -> pd.DataFrame:
+        scores = self.rough[start:stop] @ rough
+        floor = self.floor[start:stop]
+        if self.k < len(ids) and np.isneginf(floor).any():
+            floor = np.maximum(floor, -np.partition(-scores, self.k - 1, axis=1)[:, self.k - 1])
+        q, c = np.nonzero(scores >= (floor - self.MARGIN)[:, None])
+        q += start
+        score = np.einsum("ij,ij->i", self.exact[q], corpus[c])
+        return pd.DataFrame({"q": q, "corpus_id": ids[c], "score": np.round(score, SCORE_DIGITS)})
+
+    def result(self) -> pd.DataFrame:
+        return pd.DataFrame(
+            {"query_id": self.query_ids[self.best["q"].to_numpy()], "corpus_id": self.best["corpus_id"], "score": self.best["score"]}
+        )

@@ -30,7 +30,8 @@ def chunk_documents(
     def split(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: split_document(t, size, overlap, separator, count_tokens), na_action="ignore")
 
-    chunks = df.select("*", F.explode(split(text)).alias(out))
+    # Marked as not deterministic, so that no optimizer rule runs the function twice.
+    chunks = df.select("*", F.explode(split.asNondeterministic()(text)).alias(out))
     return chunks.withColumn("chunk_id", content_id(F.col(out)))
 
 
@@ -41,7 +42,7 @@ def chunk_code(df: DataFrame, path: str = "path", content: str = "content", size
     def split(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: split_code(t, size, overlap), na_action="ignore")
 
-    files = df.select(F.col(path).alias("file_path"), split(content).alias("chunks"))
+    files = df.select(F.col(path).alias("file_path"), split.asNondeterministic()(content).alias("chunks"))
     rows = files.select("file_path", F.size("chunks").alias("total_chunks"), F.posexplode("chunks").alias("chunk_index", "content"))
     return rows.select(
         content_id(F.col("file_path"), F.col("chunk_index"), F.col("content")).alias("id"),

@@ -32,7 +32,7 @@ def extract_functions(files: DataFrame, path: str = "path", content: str = "cont
     def functions(texts: pd.Series) -> pd.Series:
         return texts.map(find_functions, na_action="ignore")
 
-    found = files.select(F.col(path).alias("file"), F.explode(functions(strip_c_comments(F.col(content)))).alias("f"))
+    found = files.select(F.col(path).alias("file"), F.explode(functions.asNondeterministic()(strip_c_comments(F.col(content)))).alias("f"))
     return found.select("file", F.col("f.name").alias("function"), "f.params", "f.body", "f.pos")
 
 

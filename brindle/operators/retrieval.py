@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from brindle.functions.vectors import Encoder, best_hits, hashing_encoder, keep_best
+from brindle.functions.vectors import Encoder, TopHits, hashing_encoder
 from brindle.session import settle
 
 # Query vectors that every task holds at once (floats), and corpus rows of one block.
@@ -25,7 +25,9 @@ def embed(df: DataFrame, text: str, encoder: Encoder | None = None, out: str = "
         for texts in batches:
             yield pd.Series(list(np.asarray(encode(texts.tolist()), dtype=np.float32)), index=texts.index)
 
-    return df.withColumn(out, vectors(text))
+    # Marked as not deterministic, so that a filter inferred from a later explode does not encode
+    # every text a second time.
+    return df.withColumn(out, vectors.asNondeterministic()(text))
 
 
 def _stack(column: pd.Series) -> np.ndarray:
@@ -82,18 +84,11 @@ def _against_broadcast(asked: DataFrame, stored: DataFrame, k: int, schema: str)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, vectors = shared.value
-        kept: list[pd.DataFrame] = []
-        held = 0
+        top = TopHits(ids, vectors, k)
         for pdf in batches:
-            if pdf.empty:
-                continue
-            kept.append(best_hits(ids, vectors, pdf["corpus_id"].to_numpy(), _stack(pdf["vector"]), k))
-            held += len(kept[-1])
-            if held > 8 * k * len(ids):
-                kept = [keep_best(pd.concat(kept), k)]
-                held = len(kept[0])
-        if kept:
-            yield keep_best(pd.concat(kept), k)
+            if len(pdf):
+                top.add(pdf["corpus_id"].to_numpy(), _stack(pdf["vector"]))
+        yield top.result()
 
     return stored.mapInPandas(scan, schema)
 
@@ -120,7 +115,9 @@ def _block_by_block(
     def score(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
             return pd.DataFrame({"query_id": q["query_id"][:0], "corpus_id": c["corpus_id"][:0], "score": pd.Series(dtype=float)})
-        return best_hits(q["query_id"].to_numpy(), _stack(q["vector"]), c["corpus_id"].to_numpy(), _stack(c["vector"]), k)
+        top = TopHits(q["query_id"].to_numpy(), _stack(q["vector"]), k)
+        top.add(c["corpus_id"].to_numpy(), _stack(c["vector"]))
+        return top.result()
 
     pair = ["q_block", "c_block"]
     return left.groupBy(*pair).cogroup(right.groupBy(*pair)).applyInPandas(score, schema)

@@ -27,5 +27,11 @@ class Catalog:
         return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A test table. ``spread`` is for work that is heavy per row: a table of fewer splits than
+    cores is redistributed first. Tables of many files are left as they are."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if spread and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

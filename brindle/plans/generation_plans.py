@@ -16,7 +16,7 @@ def _echo(tag: str, prompt: str) -> str:
 
 @catalog.add("generate_batch", f"SELECT conv_id, turn, {_echo('re', 'text')} AS completion FROM conversations")
 def _(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations")
+    turns = table(spark, sf_dir, "conversations", spread=True)
     return gen.generate_batch(turns, "text", gen.echo_generator("re")).select("conv_id", "turn", "completion")
 
 
@@ -31,7 +31,7 @@ _DOCUMENT = _echo("text:", "'Report the issue ' || symptom || ' in detail withou
 
 @catalog.add(
     "synth_corpus",
-    f"""WITH domains AS (SELECT DISTINCT p_name AS domain FROM part),
+    f"""WITH domains AS (SELECT s_name AS domain FROM supplier),
              categories AS (SELECT DISTINCT domain, {_clean(_echo('text:', _CATEGORY_PROMPT))} AS category
                             FROM domains, (SELECT unnest(range(1, 26)) AS i)),
              counted AS (SELECT *, 7 + ('0x' || substr(md5(domain || ':' || category), 1, 6))::BIGINT % 6 AS n FROM categories),
@@ -41,7 +41,7 @@ _DOCUMENT = _echo("text:", "'Report the issue ' || symptom || ' in detail withou
                substr(md5(domain || ':' || category || ':' || symptom), 1, 7) AS ticket_number FROM symptoms""",
 )
 def _(spark, sf_dir):
-    names = table(spark, sf_dir, "part").select(F.col("p_name").alias("domain")).distinct()
+    names = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("domain"))
     return gen.synth_corpus(names, gen.echo_generator("text:"))
 
 
@@ -81,7 +81,7 @@ def _(spark, sf_dir):
     f"""SELECT doc_id, {_echo('R', "'Write a paragraph on ' || source || ' for: ' || lang || ' Context: ' || text")} AS paragraph FROM documents""",
 )
 def _(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select(
+    rows = table(spark, sf_dir, "documents", spread=True).select(
         "doc_id", F.col("source").alias("section"), F.col("lang").alias("abstract"), F.col("text").alias("context")
     )
     return gen.refine(rows, gen.echo_generator("R")).select("doc_id", "paragraph")
@@ -101,7 +101,7 @@ def _align_prompt(section: str) -> str:
         SELECT doc_id, 1, 'a. ' || lang, ' ' || substr(md5({_align_prompt('lang')}), 1, 8) FROM documents""",
 )
 def _(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select(
+    rows = table(spark, sf_dir, "documents", spread=True).select(
         "doc_id", F.concat(F.lit("1. "), "source", F.lit(" 2. "), "lang").alias("outline"), F.col("text").alias("blog")
     )
     return gen.align_sections(rows, gen.echo_generator(gen.LEAD_IN), "doc_id")
@@ -109,5 +109,5 @@ def _(spark, sf_dir):
 
 @catalog.add("article_topics", f"""SELECT doc_id, {_echo('topic', "'Describe the topic in one sentence: ' || text")} AS topic FROM documents""")
 def _(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("blog"))
+    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", F.col("text").alias("blog"))
     return gen.article_topics(docs, gen.echo_generator("topic"), "doc_id")

@@ -92,7 +92,7 @@ def _(spark, sf_dir):
     return top.select(*[F.round(c, 6).alias(c) if "probability" in c else c for c in top.columns])
 
 
-@catalog.add("expand_struct", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@catalog.add("expand_struct", "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders")
 def _(spark, sf_dir):
-    packed = table(spark, sf_dir, "nation").select("n_nationkey", F.struct("n_name", "n_regionkey").alias("p"))
+    packed = table(spark, sf_dir, "orders").select("o_orderkey", F.struct("o_custkey", "o_orderpriority").alias("p"))
     return r.expand_struct(packed, "p")

@@ -44,7 +44,7 @@ SELECT doc_id, text_chunk, md5(text_chunk) AS chunk_id FROM texts WHERE text_chu
 
 @catalog.add("chunk_documents", _PACKED)
 def _(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     return chunking.chunk_documents(docs, "text", separator="\n").select("doc_id", "text_chunk", "chunk_id")
 
 
@@ -77,7 +77,7 @@ def _(spark, sf_dir):
     code = F.replace(
         F.replace(F.col("text"), F.lit(". "), F.lit(";\nint step(")), F.lit(".\n"), F.lit(";\n\n")
     )
-    files = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), code.alias("content"))
+    files = table(spark, sf_dir, "documents", spread=True).select(F.col("doc_id").cast("string").alias("path"), code.alias("content"))
     return chunking.chunk_code(files)
 
 
@@ -89,7 +89,7 @@ def _(spark, sf_dir):
                round((n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)))::FLOAT::DOUBLE, 6) AS weight FROM counts""",
 )
 def _(spark, sf_dir):
-    vectors = retrieval.embed(table(spark, sf_dir, "documents").select("doc_id", "text"), "text").drop("text")
+    vectors = retrieval.embed(table(spark, sf_dir, "documents", spread=True).select("doc_id", "text"), "text").drop("text")
     weights = vectors.select("doc_id", F.posexplode("embedding").alias("bucket", "w")).filter("w <> 0")
     return weights.select("doc_id", "bucket", F.round(F.col("w").cast("double"), 6).alias("weight"))
 
@@ -105,7 +105,7 @@ _HITS_META = f"SELECT h.*, round(1 - score, 6) AS distance, label FROM ({_HITS})
 
 
 def _vectors(spark, sf_dir):
-    return table(spark, sf_dir, "embeddings")
+    return table(spark, sf_dir, "embeddings", spread=True)
 
 
 @catalog.add("retrieve_topk", _HITS_META)
@@ -193,7 +193,7 @@ def _(spark, sf_dir):
               'A ' || substr(md5(request), 1, 8) AS response FROM asked""",
 )
 def _(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     rows, _ = trainset.build_eval_set(docs, echo_generator("Q"), echo_generator("A"), "text", "doc_id")
     return rows.select(
         F.col("expected_retrieved_context")[0]["doc_uri"].alias("doc_uri"), "request", "request_id", "expected_response", "response"

@@ -20,7 +20,7 @@ _YES = "sum(CASE WHEN assessment_answer = 'Yes' THEN 1 ELSE 0 END)"
 
 
 def _judged(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", "source", "lang", "text")
     return r.judge(docs, _QUESTIONS, "text")
 
 

@@ -46,9 +46,9 @@ def _(spark, sf_dir):
     return files.select(F.explode(F.split("content", "\n")).alias("line")).filter("line <> ''")
 
 
-@catalog.add("rows_as_json", "SELECT to_json({n_nationkey: n_nationkey, n_name: n_name, n_regionkey: n_regionkey})::VARCHAR AS json FROM nation")
+@catalog.add("rows_as_json", "SELECT to_json({o_orderkey: o_orderkey, o_custkey: o_custkey, o_orderpriority: o_orderpriority})::VARCHAR AS json FROM orders")
 def _(spark, sf_dir):
-    return src.rows_as_json(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
+    return src.rows_as_json(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"))
 
 
 @catalog.add(
