@@ -65,7 +65,7 @@ def _index_lags(keys: Sequence[str], index: str):
     return lags
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _solve(gram: pd.Series, moments: pd.Series) -> pd.Series:
     """Least-norm solution of the normal equations of one series."""
 

@@ -33,7 +33,7 @@ def sqrt_reading(df: DataFrame, col: str, out: str = "sqrt_reading") -> DataFram
     return df.withColumn(out, F.sqrt(col))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sqrt_series(values: pd.Series) -> pd.Series:
     return np.sqrt(values)
 
