@@ -56,11 +56,13 @@ def _index_lags(keys: Sequence[str], index: str):
     """Lags by position: every value is sent to the n rows after it. No task holds a series."""
 
     def lags(df: DataFrame, extra: Sequence[str], col: str, n: int, prefix: str) -> DataFrame:
+        if n == 0:
+            return df
         place = [*keys, *extra, index]
         sent = df.select(*keys, *extra, F.col(index), F.col(col).alias("__v"), F.explode(F.sequence(F.lit(1), F.lit(n))).alias("__i"))
         sent = sent.withColumn(index, F.col(index) + F.col("__i"))
         values = sent.groupBy(*place).agg(*[F.max(F.when(F.col("__i") == i, F.col("__v"))).alias(f"{prefix}{i}") for i in range(1, n + 1)])
-        return attach(df, values, place) if n else df
+        return attach(df, values, place)
 
     return lags
 
