@@ -19,18 +19,26 @@ from brindle.session import settle
 COMPACT_EVERY = 8
 
 
+def _links(edges: DataFrame, graph: Sequence[str], unique: bool) -> DataFrame:
+    """The edges without duplicates; ``unique`` says that there are none."""
+    links = edges.select(*graph, "src", "dst")
+    return links if unique else links.distinct()
+
+
 def edge_nodes(edges: DataFrame, graph: Sequence[str]) -> DataFrame:
     """The distinct ends of all edges as ``graph..., node``."""
     return edges.select(*graph, F.explode(F.array("src", "dst")).alias("node")).distinct()
 
 
-def ancestors(edges: DataFrame, seeds: DataFrame, graph: Sequence[str] = (), nodes: DataFrame | None = None) -> DataFrame:
+def ancestors(
+    edges: DataFrame, seeds: DataFrame, graph: Sequence[str] = (), nodes: DataFrame | None = None, unique: bool = False
+) -> DataFrame:
     """``graph..., seed, node``: every node from which the seed can be reached, and the seed itself.
 
     ``seeds`` holds ``graph..., seed``; unknown seeds give no rows. Safe on cycles: a pair enters
-    the frontier once.
+    the frontier once. ``unique`` edges are read once per round: they should be settled.
     """
-    links = settle(edges.select(*graph, "src", "dst").distinct(), "edges")
+    links = edges if unique else settle(_links(edges, graph, False), "edges")
     known = (nodes if nodes is not None else edge_nodes(links, graph)).select(*graph, F.col("node").alias("seed"))
     start = seeds.select(*graph, "seed").distinct().join(known.distinct(), [*graph, "seed"], "left_semi")
     frontier = settle(start.withColumn("node", F.col("seed")), "frontier")
@@ -49,18 +57,20 @@ def ancestors(edges: DataFrame, seeds: DataFrame, graph: Sequence[str] = (), nod
             visited = [settle(reduce(DataFrame.unionByName, visited), "visited")]
 
 
-def ancestor_subgraph(edges: DataFrame, reached: DataFrame, graph: Sequence[str] = ()) -> DataFrame:
+def ancestor_subgraph(edges: DataFrame, reached: DataFrame, graph: Sequence[str] = (), unique: bool = False) -> DataFrame:
     """``graph..., seed, src, dst``: the edges among a seed's ancestors.
 
     A predecessor of an ancestor is an ancestor, so only the head of the edge is looked up.
     """
     heads = reached.select(*graph, "seed", F.col("node").alias("dst"))
-    return edges.select(*graph, "src", "dst").distinct().join(heads, [*graph, "dst"]).select(*graph, "seed", "src", "dst")
+    return _links(edges, graph, unique).join(heads, [*graph, "dst"]).select(*graph, "seed", "src", "dst")
 
 
-def degree_centrality(edges: DataFrame, graph: Sequence[str] = (), nodes: DataFrame | None = None) -> DataFrame:
+def degree_centrality(
+    edges: DataFrame, graph: Sequence[str] = (), nodes: DataFrame | None = None, unique: bool = False
+) -> DataFrame:
     """``graph..., node, centrality``: (in + out edges) / (nodes - 1), and 1 for a lonely node."""
-    links = edges.select(*graph, "src", "dst").distinct()
+    links = _links(edges, graph, unique)
     ends = links.select(*graph, F.explode(F.array("src", "dst")).alias("node")).withColumn("one", F.lit(1))
     if nodes is not None:
         ends = ends.unionByName(nodes.select(*graph, "node").withColumn("one", F.lit(0)))
@@ -121,10 +131,15 @@ def eigenvector_centrality(
 
 
 def node_centrality(
-    edges: DataFrame, graph: Sequence[str] = (), nodes: DataFrame | None = None, method: str = "eigenvector", max_iter: int = 100
+    edges: DataFrame,
+    graph: Sequence[str] = (),
+    nodes: DataFrame | None = None,
+    method: str = "eigenvector",
+    max_iter: int = 100,
+    unique: bool = False,
 ) -> DataFrame:
     """Eigenvector centrality, replaced by degree centrality for graphs that do not converge."""
-    degree = degree_centrality(edges, graph, nodes)
+    degree = degree_centrality(edges, graph, nodes, unique)
     if method == "degree":
         return degree
     if method != "eigenvector":
@@ -157,13 +172,14 @@ def focused_view(
     Nodes carry ``style``: constant, variable or target. ``truncated`` tells that the whole graph
     has more than n nodes.
     """
-    reached = settle(ancestors(edges, seeds, graph, nodes), "reached")
+    links = settle(_links(edges, graph, False), "edges")
+    reached = ancestors(links, seeds, graph, nodes, unique=True)  # already written, pair by pair
     view = [*graph, "seed"]
-    among = settle(ancestor_subgraph(edges, reached, graph), "subgraph")
+    among = settle(ancestor_subgraph(links, reached, graph, unique=True), "subgraph")
     sizes = settle(reached.groupBy(*view).agg((F.count(F.lit(1)) > n).alias("truncated")), "view-sizes")
     shown = reached
     if not show_all:
-        scored = node_centrality(among, view, reached, method, max_iter)
+        scored = node_centrality(among, view, reached, method, max_iter, unique=True)
         shown = settle(top_central(scored, view, n).select(*view, "node"), "shown")
         among = among.join(shown.withColumnRenamed("node", "src"), [*view, "src"], "left_semi").join(
             shown.withColumnRenamed("node", "dst"), [*view, "dst"], "left_semi"

@@ -205,20 +205,17 @@ def denormalize(
     A key with more than ``max_list`` rows gets several rows, numbered by ``part``, that share the
     means and split the list between them; together they hold every entry.
     """
-    stats = settle(
-        df.groupBy(key).agg(
-            *[F.avg(m).alias(m) for m in means],
-            F.ceil(F.count(F.lit(1)) / max_list).cast("int").alias("parts"),
-        ),
-        "key-means",
-    )
-    # Only keys that need splitting are joined; all other rows go straight to part 0.
-    split = settle(stats.filter("parts > 1").select(key, "parts"), "split-keys")
-    entries = attach(df.select(key, list_col), split, [key]).withColumn(
+    sizes = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / max_list).cast("int").alias("parts"))
+    split = settle(sizes.filter("parts > 1"), "split-keys")
+    entries = F.array_sort(F.collect_list(list_col)).alias(list_col)
+    averages = [F.avg(m).alias(m) for m in means]
+    if split.isEmpty():
+        return df.groupBy(key).agg(F.lit(0).alias("part"), entries, *averages)
+    parted = attach(df.select(key, list_col), split, [key]).withColumn(
         "part", F.when(F.col("parts") > 1, F.floor(F.rand(0) * F.col("parts")).cast("int")).otherwise(0)
     )
-    lists = entries.groupBy(key, "part").agg(F.array_sort(F.collect_list(list_col)).alias(list_col))
-    return attach(lists, stats.drop("parts"), [key])
+    lists = parted.groupBy(key, "part").agg(entries)
+    return attach(lists, settle(df.groupBy(key).agg(*averages), "key-means"), [key])
 
 
 def denormalize_pandas(

@@ -29,20 +29,25 @@ def judge(
     """One row per example and question: ``question_id, assessment_question, assessment_answer``.
 
     A question may be a column, when it quotes a gold text of the row. The rubric is a literal
-    array that every row explodes: no join.
+    array of the row: no join, and a text crosses to Python once for all its questions.
     """
     asked = F.array(*[F.lit(q) if isinstance(q, str) else q for q in questions])
-    pairs = df.select("*", F.posexplode(asked).alias("question_id", "assessment_question"))
 
-    @F.pandas_udf("string")
+    @F.pandas_udf("array<string>")
     def answer(texts: pd.Series, asked: pd.Series) -> pd.Series:
-        known = texts.notna() & asked.notna()
-        answers = pd.Series(None, index=texts.index, dtype=object)
-        if known.any():
-            answers[known] = list(judge(texts[known].tolist(), asked[known].tolist()))
-        return answers
-
-    return pairs.withColumn("assessment_answer", answer.asNondeterministic()(text, "assessment_question"))
+        pairs = [(i, j, t, q) for i, (t, qs) in enumerate(zip(texts, asked)) for j, q in enumerate(qs) if t is not None and q is not None]
+        answers: list[list[str | None]] = [[None] * len(qs) for qs in asked]
+        replies = judge([t for *_, t, _ in pairs], [q for *_, q in pairs]) if pairs else []
+        for (i, j, *_), reply in zip(pairs, replies):
+            answers[i][j] = reply
+        return pd.Series(answers, index=texts.index)
+
+    answered = df.select("*", asked.alias("__asked")).withColumn("__answers", answer.asNondeterministic()(text, "__asked"))
+    both = F.arrays_zip(F.col("__asked").alias("q"), F.col("__answers").alias("a"))
+    rows = answered.select(*df.columns, F.posexplode(both).alias("question_id", "__pair"))
+    return rows.select(
+        *df.columns, "question_id", F.col("__pair.q").alias("assessment_question"), F.col("__pair.a").alias("assessment_answer")
+    )
 
 
 def rubric_score(
