@@ -181,6 +181,7 @@ def refine(df: DataFrame, generator: Generator, iterations: int = 3, template: s
 
 ALIGN_PROMPT = "Pick the whole paragraph of the article that belongs to the section. Article: {blog} Section: {section}"
 TOPIC_PROMPT = "Describe the topic in one sentence: {blog}"
+# Fixed value: the lead-in that is removed from answers.
 LEAD_IN = "Here is the relevant paragraph:"
 
 

@@ -214,7 +214,8 @@ def denormalize(
     parted = attach(df.select(key, list_col), split, [key]).withColumn(
         "part", F.when(F.col("parts") > 1, F.floor(F.rand(0) * F.col("parts")).cast("int")).otherwise(0)
     )
-    lists = parted.groupBy(key, "part").agg(entries)
+    # The random part of an entry is written down: a repeated task must not choose another one.
+    lists = settle(parted.select(key, "part", list_col), "parted").groupBy(key, "part").agg(entries)
     return attach(lists, settle(df.groupBy(key).agg(*averages), "key-means"), [key])
 
 

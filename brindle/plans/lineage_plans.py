@@ -167,22 +167,43 @@ def _lines(direction: str) -> str:
     )
 
 
-@catalog.add(
-    "symbol_context",
-    f"""{_NEIGHBOURS}
+_CONTEXTS = f"""{_NEIGHBOURS},
+contexts AS (
         SELECT file, name, 'Context about the code being discussed:' || chr(10) || '- File: ' || file || chr(10) || '- Variable: ' || name
                || chr(10) || '- Type: ' || type || chr(10) || '- Scope: ' || function || chr(10) || '- Is Pointer: '
                || CASE WHEN is_pointer THEN 'True' ELSE 'False' END || chr(10) || chr(10) || 'Upstream Dependencies:' || chr(10)
                || {_lines('upstream')} || chr(10) || chr(10) || 'Downstream Dependencies:' || chr(10) || {_lines('downstream')}
                || chr(10) || chr(10) || '---' || chr(10) || 'User Question:' || chr(10) AS context
-        FROM nodes v WHERE kind = 'variable'""",
-)
+        FROM nodes v WHERE kind = 'variable')
+"""
+
+
+@catalog.add("symbol_context", f"{_CONTEXTS} SELECT file, name, context FROM contexts")
 def _(spark, sf_dir):
     nodes, links = _merged(spark, sf_dir)
     return ln.symbol_context(nodes, links, _central(nodes, links))
 
 
-@catalog.add("symbol_context_with_code")
+@catalog.add(
+    "symbol_context_with_code",
+    f"""{_CONTEXTS},
+    chunks AS (SELECT {_FILE} AS file_path, {_sql(_SOURCE)} AS content FROM part),
+    texts AS (SELECT 'q' AS side, file || '::' || name AS id, context AS text FROM contexts
+              UNION ALL SELECT 'c', md5(file_path || ':0:' || content), content FROM chunks),
+    tokens AS (SELECT side, id, unnest(regexp_extract_all(lower(text), '[^ \\t\\n\\r]+')) AS t FROM texts),
+    counted AS (SELECT side, id, ('0x' || substr(md5(t), 1, 8))::BIGINT % 64 AS bucket, count(*) AS n FROM tokens GROUP BY ALL),
+    scaled AS (SELECT *, (n / sqrt(sum(n * n) OVER (PARTITION BY side, id)))::FLOAT::DOUBLE AS w FROM counted),
+    filled AS (SELECT t.side, t.id, b.bucket, coalesce(w, 0) AS w FROM texts t CROSS JOIN (SELECT unnest(range(64)) AS bucket) b
+               LEFT JOIN scaled s ON s.side = t.side AND s.id = t.id AND s.bucket = b.bucket),
+    vectors AS (SELECT side, id, list(w ORDER BY bucket) AS v FROM filled GROUP BY side, id),
+    hits AS (SELECT q.id AS query_id, c.id AS corpus_id, round(list_cosine_similarity(q.v, c.v), 6) AS score
+             FROM vectors q, vectors c WHERE q.side = 'q' AND c.side = 'c'),
+    best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, corpus_id) AS rank FROM hits QUALIFY rank <= 5),
+    segments AS (SELECT query_id, 'Relevant code segments:' || chr(10) || chr(10) || string_agg('From ' || file_path || ':' || chr(10) || '```c'
+                        || chr(10) || content || chr(10) || '```' || chr(10) || chr(10), '' ORDER BY rank) AS segments
+                 FROM best b JOIN chunks c ON md5(c.file_path || ':0:' || c.content) = b.corpus_id GROUP BY query_id)
+    SELECT file, name, md5(context || segments) AS context_md5 FROM contexts JOIN segments ON query_id = file || '::' || name""",
+)
 def _(spark, sf_dir):
     nodes, links = _merged(spark, sf_dir)
     contexts = ln.symbol_context(nodes, links, _central(nodes, links))

@@ -43,7 +43,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/brindle-{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder. All paths of an application are below one folder, which may
+    be deleted when the application has ended."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/brindle-{application}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

@@ -46,8 +46,8 @@ def stream_dedup_hourly(
     """
     timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
     rest = [c for c in stream.columns if c not in keys]
-    newest = F.struct(F.col(time), *([-F.col(tie_break)] if tie_break else []))
-    best = timed.groupBy(F.window(time, "1 hour").alias("hour"), *keys).agg(F.max_by(F.struct(*rest), newest).alias("row"))
+    newest_first = F.struct((-F.unix_micros(time)).alias("age"), *([tie_break] if tie_break else []))
+    best = timed.groupBy(F.window(time, "1 hour").alias("hour"), *keys).agg(F.min_by(F.struct(*rest), newest_first).alias("row"))
     return best.select("hour.start", *keys, "row.*").withColumnRenamed("start", "hour")
 
 

@@ -18,7 +18,7 @@ def spark(tmp_path_factory):
         **{
             "spark.checkpoint.dir": str(root / "checkpoints"),
             "spark.sql.warehouse.dir": str(root / "warehouse"),
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
         },
     )
     yield session
