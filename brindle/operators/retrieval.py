@@ -101,8 +101,12 @@ def _block_by_block(
     Blocks are cut by a hash of the unique ids, so they are even. Each side is copied once per
     block of the other side: the cost of an exact answer for a query set that is itself large.
     """
-    query_blocks = max(1, -(-query_rows // block_rows))
-    corpus_blocks = max(1, -(-stored.count() // block_rows))
+    corpus_rows = stored.count()
+    # Smaller blocks where full ones would leave cores idle.
+    pairs = 2 * asked.sparkSession.sparkContext.defaultParallelism
+    rows = min(block_rows, max(1000, int((query_rows * corpus_rows / pairs) ** 0.5)))
+    query_blocks = max(1, -(-query_rows // rows))
+    corpus_blocks = max(1, -(-corpus_rows // rows))
 
     def blocks(df: DataFrame, key: str, own: int, other: int, names: tuple[str, str]) -> DataFrame:
         return df.withColumn(names[0], F.pmod(F.xxhash64(key), F.lit(own)).cast("int")).withColumn(
