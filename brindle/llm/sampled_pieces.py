@@ -46,8 +46,8 @@ class PieceModel:
         self.weights = scores
         self.ids = {known.id_to_piece(k): k for k in plain}
         self.longest = max(map(len, self.ids))
-        if any(MARK in piece[1:] for piece in self.ids):
-            raise ValueError("pieces with a space mark inside are not supported")
+        if any(MARK in piece.lstrip(MARK) for piece in self.ids):
+            raise ValueError("pieces with a space mark behind another character are not supported")
         self.byte_ids = np.array([known.piece_to_id(f"<0x{b:02X}>") for b in range(256)], dtype=np.int64)
         if not all(known.is_byte(int(k)) for k in self.byte_ids):
             raise ValueError("a model without byte pieces cannot encode every text")
