@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Row, functions as F
 from brindle.llm.arrowtext import batch, narrow, total_bytes
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_LOWER = {b: b + 32 for b in range(65, 91)}
 # Bytes of UTF-8: A-Z to a-z; everything in ASCII but digits and letters to a space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 # Benchmark bytes of one automaton; its states are about 13 per word, some 100 bytes each.
@@ -89,7 +90,7 @@ def find_contamination(
 ) -> DataFrame:
     """``(id, n_words, n_hit, item_ids, spans, contaminated)`` of every row, without a shuffle.
 
-    Words are ``WORD`` of the text with A-Z lower-cased. A window is ``window`` consecutive words of
+    Words are matches of ``WORD`` in the text with A-Z lower-cased. A window is ``window`` consecutive words of
     an item, or a whole item that is shorter; a word inside any occurrence of a window is hit.
     ``item_ids`` are the items with occurring windows, as strings, sorted; ``spans`` are character
     ranges of the original text, one for each maximal run of hit words. ``contaminated``:
@@ -137,7 +138,7 @@ def _scanner(items: list[Row], window: int, last: bool):
                 n_words.append(len(words))
                 n_hit.append(sum(end - start for start, end in ranges))
                 if last and ranges:
-                    at = [m.span() for m in WORD.finditer(text.decode())]
+                    at = [m.span() for m in WORD.finditer(text.decode().translate(_LOWER))]
                     ranges = [(at[start][0], at[end - 1][1]) for start, end in ranges]
                 hits.append([{"start": start, "end": end} for start, end in ranges])
             kept = {"doc": part.column("doc")} | ({"n_words": pa.array(n_words, pa.int64()), "n_hit": pa.array(n_hit, pa.int64())} if last else {"text": part.column("text")})

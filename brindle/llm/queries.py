@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from brindle.llm import decontaminate, language, sampled_pieces, token_counts, token_files
+from brindle.llm import decontaminate, language, sampled_pieces, substring, token_counts, token_files
 from brindle.plans.base import Catalog, table
 
 catalog = Catalog()
@@ -77,3 +77,9 @@ def _(spark, sf_dir):
     model = language.fit_languages(docs.where(~held_out))
     found = language.identify_languages(docs, model)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@catalog.add("op7_substring_dedup")
+def _(spark, sf_dir):
+    found = substring.dedup_substrings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

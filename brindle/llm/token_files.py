@@ -9,9 +9,9 @@ and any store that Spark reaches will do.
 from __future__ import annotations
 
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ MAGIC = b"WMX1"
 BLOCK = 1 << 13  # bytes of a bit-plane that are compressed together
 SHARD_TOKENS = 1 << 20
 PARTITION_BYTES = 32 << 20
-MEMO_PIECES = 600_000
+MEMO_PIECES = 400_000
 
 
 class WaveletMatrix:
@@ -159,11 +159,38 @@ class WaveletMatrix:
         return self.alphabet[codes]
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str):
-    from tokenizers import Tokenizer
+class PieceMemo:
+    """Ids of pieces that a worker met before, as bytes. Two generations bound it: when the young one
+    is full it becomes the old one, and what is still used moves over again."""
 
-    return Tokenizer.from_file(path), {}
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def ids(self, distinct: list[str]) -> list[bytes]:
+        if len(self.young) > MEMO_PIECES:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        missing = []
+        for piece in distinct:
+            if piece not in young:
+                known = old.get(piece)
+                if known is None:
+                    missing.append(piece)
+                else:
+                    young[piece] = known
+        for start in range(0, len(missing), 10_000):
+            some = missing[start : start + 10_000]
+            young.update(zip(some, (array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)), strict=True))
+        return [young[piece] for piece in distinct]
+
+
+@lru_cache(maxsize=1)
+def piece_memo(path: str) -> PieceMemo:
+    return PieceMemo(path)
 
 
 def gather(flat: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,18 +204,12 @@ def gather(flat: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np
 def encode_texts(path: str, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a batch, the end id after each text, and the number of ids of each text.
 
-    The tokenizer encodes each distinct piece once; a worker remembers at most ``MEMO_PIECES``.
+    The tokenizer encodes each distinct piece once; a worker remembers about twice ``MEMO_PIECES``.
     """
-    tokenizer, memo = _encoder(path)
     cut = pieces(texts)
-    new = [p for p in cut.distinct if p not in memo]
-    if len(memo) + len(new) > MEMO_PIECES:
-        memo.clear()
-        new = cut.distinct
-    memo.update(zip(new, (e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-    found = [memo[p] for p in cut.distinct]
-    lengths = np.fromiter(map(len, found), np.int64, len(found))
-    flat = np.fromiter(chain.from_iterable(found), np.uint32, lengths.sum())
+    found = piece_memo(path).ids(cut.distinct)
+    lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    flat = np.frombuffer(b"".join(found), np.uint32)
     codes = np.insert(cut.codes, cut.offsets[1:], len(lengths))
     ids, ends = gather(np.append(flat, np.uint32(end_id)), np.append(lengths, 1), codes)
     per_text = np.diff(ends[cut.offsets[1:] + np.arange(len(texts))], prepend=0)
@@ -266,7 +287,8 @@ def read_token_files(spark: SparkSession, folder: str, id_col: str = "doc_id") -
     totals = shards.groupBy("part").agg(F.sum("n").alias("n"))
     # One row per partition of the writer, not per shard or document.
     offsets = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("offset"))
-    placed = shards.join(offsets, "part").select(F.col("before").__add__(F.col("offset")).alias("start"), "docs", "lengths", "image")
+    # The offsets are one row of two numbers for each partition that wrote: small beside one shard.
+    placed = shards.join(F.broadcast(offsets), "part").select(F.col("before").__add__(F.col("offset")).alias("start"), "docs", "lengths", "image")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
