@@ -9,17 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from hashlib import md5
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from brindle.llm.arrowtext import batch, filled, narrow, pieces, sums
 
-BUCKETS = 1 << 15
+BUCKETS = 1 << 14  # the upper 14 bits of a 32-bit hash
 GRAMS = (2, 3, 4)
 UNKNOWN = "und"
 _BLANK, _EMPTY = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
@@ -61,7 +59,7 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         inside = blank[n - 2 : len(data) - 1] == blank[: len(data) - n + 1]
         inside &= (owner[n - 1 :] == owner[: len(data) - n + 1]) & ((data[: len(data) - n + 1] != 32) | (data[n - 1 :] != 32) | (n > 2))
         code = code[inside] * np.uint32(2654435769)
-        found.append((code >> np.uint32(17)).astype(np.int64) % BUCKETS)
+        found.append((code >> np.uint32(18)).astype(np.int64))
         owners.append(owner[: len(inside)][inside])
     if not found:
         return np.zeros(0, np.int64), np.zeros(len(words) + 1, np.int64)
@@ -101,19 +99,24 @@ def labelled_sample(docs: DataFrame, label_col: str, per_label: int, max_rows: i
     return texts.where("label is not null").join(F.broadcast(ids), "doc", "left_semi")  # at most max_rows ids
 
 
-def train(bags: pd.DataFrame, dim: int = 16, epochs: int = 6, rate: float = 0.5, precision: float = 0.99, seed: int = 7) -> LanguageModel:
+def train(bags: pa.Table, dim: int = 16, epochs: int = 6, rate: float = 0.5, precision: float = 0.99, seed: int = 7) -> LanguageModel:
     """Fit on bags of (label, ids, counts).
 
     Four fifths are trained on. The rest gives the temperature (least log loss) and the threshold:
     the lowest score, one half at least, from which on the share ``precision`` of predictions is right.
     """
-    bags = bags[bags["ids"].map(len) > 0]
-    if bags.empty:
+    bags = bags.filter(pc.greater(pc.list_value_length(bags["ids"]), 0)).combine_chunks()
+    if not bags.num_rows:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
-    labels = sorted(bags["label"].unique())
-    target = bags["label"].map({x: k for k, x in enumerate(labels)}).to_numpy()
-    ids = [np.asarray(x, np.int64) for x in bags["ids"]]
-    weights = [np.asarray(c, np.float64) / np.sum(c) for c in bags["counts"]]
+    labels = sorted(set(bags["label"].to_pylist()))
+    target = np.array([labels.index(x) for x in bags["label"].to_pylist()])
+    ids, weights = ([x.values.to_numpy() for x in bags[c]] for c in ("ids", "counts"))
+    weights = [w / w.sum() for w in weights]
+    # Collecting gives no order; the fit must not depend on it.
+    key = [(labels[k], i.tobytes(), w.tobytes()) for k, i, w in zip(target, ids, weights, strict=True)]
+    order = sorted(range(len(key)), key=key.__getitem__)
+    target, ids, weights = target[order], [ids[k] for k in order], [weights[k] for k in order]
+    del key
     random = np.random.default_rng(seed)
     order = random.permutation(len(ids))
     held = order[: len(order) // 5]
@@ -157,17 +160,14 @@ def train(bags: pd.DataFrame, dim: int = 16, epochs: int = 6, rate: float = 0.5,
 
 
 def fit_languages(
-    docs: DataFrame, label_col: str = "lang", per_label: int = 1000, max_rows: int = 20_000, id_col: str = "doc_id", text_col: str = "text", **options
+    docs: DataFrame, label_col: str = "lang", per_label: int = 400, max_rows: int = 4000, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> LanguageModel:
     """Train on a sample of the rows with a label, at most ``per_label`` of each and ``max_rows`` in
     all; whole texts are turned into bags in the tasks, so the driver holds at most ``max_rows``
     sparse bags. Rows of null label or id are not learned from. Without labelled rows the model
     knows no language."""
     sample = labelled_sample(docs, label_col, per_label, max_rows, id_col, text_col)
-    bags = _bags(sample.repartition(docs.sparkSession.sparkContext.defaultParallelism)).toPandas()
-    # Collecting gives no order; the fit must not depend on it.
-    bags = bags.assign(key=[md5(np.asarray(x).tobytes() + np.asarray(y).tobytes()).hexdigest() for x, y in zip(bags["ids"], bags["counts"], strict=True)])
-    return train(bags.sort_values(["label", "key"], ignore_index=True), **options)
+    return train(_bags(sample).toArrow(), **options)
 
 
 def identify_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

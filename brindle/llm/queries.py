@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from brindle.llm import byte_repeats, decontaminate, language, sampled_pieces, substring, token_counts, token_files
+from brindle.llm import byte_repeats, decontaminate, jaccard, language, sampled_pieces, substring, token_counts, token_files
 from brindle.plans.base import Catalog, table
 
 catalog = Catalog()
@@ -89,3 +89,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     found = byte_repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@catalog.add("op9_jaccard_join")
+def _(spark, sf_dir):
+    found = jaccard.jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")

@@ -9,6 +9,7 @@ that place, so a segmentation does not depend on batches or partitions.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brindle.llm.arrowtext import batch, filled, pieces
+from brindle.llm.arrowtext import batch, bounded, filled, pieces
 from brindle.llm.token_files import gather
 
 MARK = "▁"
@@ -46,6 +47,7 @@ class PieceModel:
         self.weights = scores
         self.ids = {known.id_to_piece(k): k for k in plain}
         self.longest = max(map(len, self.ids))
+        self.prefixes = {piece[:k] for piece in self.ids for k in range(1, len(piece))}
         if any(MARK in piece.lstrip(MARK) for piece in self.ids):
             raise ValueError("pieces with a space mark behind another character are not supported")
         self.byte_ids = np.array([known.piece_to_id(f"<0x{b:02X}>") for b in range(256)], dtype=np.int64)
@@ -53,20 +55,46 @@ class PieceModel:
             raise ValueError("a model without byte pieces cannot encode every text")
         self.byte_weight = float(scores[plain].min())
 
-    def edges(self, text: str) -> tuple[list[int], list[int], list[float], list[tuple[int, ...]]]:
-        """Edges of a lattice as starts, ends, weights and ids. A character that is no piece itself
-        gets its byte pieces."""
-        starts, ends, weights, ids = [], [], [], []
-        get, longest, weight = self.ids.get, self.longest, self.weights
-        for end in range(1, len(text) + 1):
-            for start in range(max(0, end - longest), end):
-                k = get(text[start:end])
-                if k is not None:
-                    starts.append(start), ends.append(end), weights.append(weight[k]), ids.append((k,))
-            if text[end - 1] not in self.ids:
-                raw = (MARK if text[end - 1] == _LITERAL else text[end - 1]).encode()
-                starts.append(end - 1), ends.append(end), weights.append(self.byte_weight * len(raw)), ids.append(tuple(self.byte_ids[list(raw)].tolist()))
-        return starts, ends, weights, ids
+    def lattices(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Edges of the lattices of all texts, as starts, ends and piece ids; nodes are numbered
+        across the texts. A character that is no piece itself gets an edge for its byte pieces, with
+        minus one minus its code point as id."""
+        starts, ends, ids = array("q"), array("q"), array("q")
+        get, prefixes, longest, base = self.ids.get, self.prefixes, self.longest, 0
+        for text in texts:
+            size = len(text)
+            for start in range(size):
+                for end in range(start + 1, min(size, start + longest) + 1):
+                    part = text[start:end]
+                    k = get(part)
+                    if k is not None:
+                        starts.append(base + start)
+                        ends.append(base + end)
+                        ids.append(k)
+                    else:
+                        if end == start + 1:
+                            starts.append(base + start)
+                            ends.append(base + end)
+                            ids.append(-1 - ord(part))
+                        if part not in prefixes:
+                            break
+            base += size + 1
+        at, to, piece = (np.frombuffer(x, np.int64) for x in (starts, ends, ids))
+        order = np.argsort(to, kind="stable")
+        return at[order], to[order], piece[order]
+
+    def spelled(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Weights of edges, and their pieces as a ragged array."""
+        raw = {k: (MARK if -1 - k == ord(_LITERAL) else chr(-1 - k)).encode() for k in np.unique(ids[ids < 0]).tolist()}
+        lengths = np.ones(len(ids), np.int64)
+        weights = self.weights[np.maximum(ids, 0)]
+        foreign = np.flatnonzero(ids < 0)
+        lengths[foreign] = [len(raw[k]) for k in ids[foreign].tolist()]
+        weights[foreign] = self.byte_weight * lengths[foreign]
+        flat = np.repeat(ids, lengths).astype(np.int32)
+        if len(foreign):
+            flat[flat < 0] = self.byte_ids[np.frombuffer(b"".join(raw[k] for k in ids[foreign].tolist()), np.uint8)]
+        return weights, lengths, flat
 
 
 @lru_cache(maxsize=2)
@@ -83,18 +111,11 @@ class Lattices:
     """Lattices of many short texts in flat arrays, nodes numbered across all of them."""
 
     def __init__(self, model: PieceModel, texts: list[str], alpha: float):
-        starts, ends, weights, ids, firsts = [], [], [], [], [0]
-        for text in texts:
-            base = firsts[-1]
-            s, e, w, i = model.edges(text)
-            starts.extend(x + base for x in s), ends.extend(x + base for x in e), weights.extend(w), ids.extend(i)
-            firsts.append(base + len(text) + 1)
-        self.first = np.array(firsts[:-1], np.int64)
-        self.last = np.array(firsts[1:], np.int64) - 1
-        self.starts, ends = np.array(starts, np.int64), np.array(ends, np.int64)
-        weights = alpha * np.array(weights)
-        self.lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.flat = np.fromiter((k for i in ids for k in i), np.int32, self.lengths.sum())
+        firsts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)])
+        self.first, self.last = firsts[:-1], firsts[1:] - 1
+        self.starts, ends, ids = model.lattices(texts)
+        weights, self.lengths, self.flat = model.spelled(ids)
+        weights = alpha * weights
         # Forward filtering: log sums of all ways to each node, level by level from the starts.
         alphas = np.zeros(firsts[-1])
         level = ends - np.repeat(self.first, np.diff(firsts))[ends] if len(ends) else ends
@@ -189,7 +210,7 @@ def encode_sampled(docs: DataFrame, path: str, seed: int = 0, alpha: float = 1.0
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
         for part in batches:
-            for some in bounded(part):
+            for some in bounded(part, 4 << 20):
                 keys = np.asarray(some.column("key")).view(np.uint64)
                 ids, lengths = sample_texts(model, filled(some.column("text")), keys, alpha)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
@@ -198,15 +219,6 @@ def encode_sampled(docs: DataFrame, path: str, seed: int = 0, alpha: float = 1.0
     return rows.mapInArrow(encode, f"doc {kind}, ids array<int>").withColumnRenamed("doc", id_col)
 
 
-def bounded(part: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch of about ``most`` bytes of text (one row at least)."""
-    size = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(part.column("text")), 0)))
-    cuts = np.flatnonzero(np.diff(size // most, prepend=0)) if len(size) else []
-    edges = sorted({0, *map(int, cuts), part.num_rows})
-    for a, b in zip(edges, edges[1:], strict=False):
-        yield part.slice(a, b - a)
-
-
 def decode_sampled(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids", keep: tuple[str, ...] = ()) -> DataFrame:
     """``(id, *keep, text)`` of encoded rows. Null ids give a null text."""
     rows = encoded.select(F.col(id_col).alias("doc"), *keep, F.col(ids_col).alias("piece_ids"))

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from brindle.llm.arrowtext import batch, total_bytes
+from brindle.llm.arrowtext import batch, bounded, total_bytes
 from brindle.llm.repeats import RUN_KINDS, answers, from_blobs, from_raw, joined_blobs, keyed, mix, reduced, repeated_runs, rolled, scattered, unkeyed
 from brindle.session import settle
 
@@ -41,7 +41,10 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _units(texts: pa.Array):
-    yield 0, *word_hashes(texts)
+    first = 0
+    for part in bounded(batch({"text": texts})):
+        yield first, *word_hashes(part.column("text"))
+        first += part.num_rows
 
 
 def letters(values: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,7 +130,7 @@ def dedup_substrings(docs: DataFrame, window: int = 20, id_col: str = "doc_id",
     where = joined_blobs(found.where("runs is not null"), "runs")
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        for part in (some for whole in batches for some in bounded(whole, 16 << 20)):
             ids, hashes = np.asarray(part.column("id")), np.asarray(part.column("hash"))
             # In document order, and a document that is there twice only once.
             order = np.lexsort((hashes, ids))
