@@ -221,9 +221,9 @@ def _least_of_null(sets: DataFrame, known: DataFrame) -> DataFrame:
 _SCHEMA = "bucket int, id long, hash long, sig long, leader binary, member binary, n long, sketch array<int>, data binary"
 
 
-def _rows(n: int, **columns) -> pa.RecordBatch:
+def _rows(rows: int, /, **columns) -> pa.RecordBatch:
     kinds = {"bucket": pa.int32(), "id": pa.int64(), "hash": pa.int64(), "sig": pa.int64(), "leader": pa.binary(), "member": pa.binary(), "n": pa.int64(), "sketch": pa.list_(pa.int32()), "data": pa.binary()}
-    return batch({c: columns[c] if c in columns else pa.nulls(n, kind) for c, kind in kinds.items()})
+    return batch({c: columns[c] if c in columns else pa.nulls(rows, kind) for c, kind in kinds.items()})
 
 
 def _signed(rows: DataFrame, scheme: PartEnum, words: int, buckets: int) -> DataFrame:
