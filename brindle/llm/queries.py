@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from brindle.llm import byte_repeats, decontaminate, jaccard, language, sampled_pieces, substring, token_counts, token_files
+from brindle.llm import ball_trees, byte_repeats, decontaminate, jaccard, language, sampled_pieces, substring, token_counts, token_files
 from brindle.plans.base import Catalog, table
 
 catalog = Catalog()
@@ -95,3 +95,22 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     found = jaccard.jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90)
     return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+_TOP20 = """
+WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum([q.e[i] * c.e[i] FOR i IN range(1, len(q.e) + 1)])::BIGINT AS score
+           FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+     r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@catalog.add("op5_exact_topk", _TOP20)
+def _(spark, sf_dir):
+    x = table(spark, sf_dir, "embeddings")
+    finite = F.coalesce(~F.exists("embedding", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))), F.lit(False))
+    whole = F.transform("embedding", lambda v: F.floor(F.lit(64.0) * v.cast("double")))
+    rows = x.where(finite).select("vec_id", whole.alias("vector"))
+    return ball_trees.exact_topk(rows, F.pmod("vec_id", F.lit(20)) == 0)
