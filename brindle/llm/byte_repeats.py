@@ -18,8 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from brindle.llm.arrowtext import batch, filled, total_bytes
-from brindle.llm.repeats import RUN_KINDS, answers, from_blobs, from_raw, joined_blobs, keyed, mix, reduced, repeated_runs, scattered, unkeyed
+from brindle.llm.arrowtext import filled, total_bytes
+from brindle.llm.repeats import SENT, answers, as_table, from_blobs, grouped, keyed, mix, reduced, repeated_runs, scattered, unkeyed, with_answers
 from brindle.session import settle
 
 BUCKET_BYTES = 24 << 20  # text bytes behind one bucket of either shuffle
@@ -169,89 +169,96 @@ def remove_repeats(docs: DataFrame, window: int = 400, gram: int = 128, id_col:
     id and different texts are different documents. A null text is empty. An empty table gives an
     empty result. Other columns are dropped.
     """
-    rows = keyed(docs, id_col, text_col)
-    buckets = max(1, -(-total_bytes(docs, text_col) // BUCKET_BYTES))
+    text_bytes = total_bytes(docs, text_col)
+    rows = grouped(keyed(docs, id_col, text_col), text_bytes)
+    buckets = max(1, -(-text_bytes // BUCKET_BYTES))
     found = settle(repeated_runs(rows, byte_units, gram, window, buckets), "runs")
-    where = joined_blobs(found, "runs")
 
-    def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            # A document that is there twice in the batch counts once.
-            seen: dict[tuple[int, int], int] = {}
-            ids, hashes = part.column("id").to_pylist(), part.column("hash").to_pylist()
+    def segments(g: int, docs: pa.Table, runs: dict[str, np.ndarray], owner: np.ndarray) -> pa.Table:
+        out: list[pa.RecordBatch] = []
+        if len(owner):
+            ids, hashes, texts = docs["id"].to_numpy(), docs["hash"].to_numpy(), docs["text"].cast(pa.binary())
+            # Equal rows in several tasks have sent equal runs.
+            records = sorted(set(zip(owner.tolist(), runs["start"].tolist(), runs["n"].tolist(), runs["value"].tolist(), strict=True)))
             own: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
-            for k, (text, blobs) in enumerate(zip(part.column("text").cast(pa.binary()).to_pylist(), part.column("runs").to_pylist(), strict=True)):
-                if seen.setdefault((ids[k], hashes[k]), k) != k:
-                    continue
-                # Equal rows in several tasks have sent equal runs.
-                for start, n, value in {run for blob in blobs for run in zip(*(x.tolist() for x in from_raw(blob, RUN_KINDS)), strict=True)}:
-                    own.setdefault((value, text[start : start + n - 1 + window]), []).append((k, start, n))
-            yield from answers(np.array(ids), np.array(hashes), *_sorted([(k, start, start + n - 1 + window) for places in own.values() if len(places) > 1 for k, start, n in places]))
+            doc, text = -1, b""
+            for k, start, n, value in records:
+                if k != doc:
+                    doc, text = k, texts[k].as_py()
+                own.setdefault((value, text[start : start + n - 1 + window]), []).append((k, start, start + n - 1 + window))
+            whole = [place for places in own.values() if len(places) > 1 for place in places]
+            out += answers(_marks([(int(ids[k]), int(hashes[k]), g, a, b) for k, a, b in whole]))
             firsts = [(value, segment, places[0], len(places) > 1) for (value, segment), places in own.items()]
-            if firsts:
-                doc = np.array([p[0] for _, _, p, _ in firsts])
-                columns = {
-                    "value": np.array([v for v, _, _, _ in firsts], np.uint64),
-                    "id": np.array(ids)[doc],
-                    "hash": np.array(hashes)[doc],
-                    "start": np.array([p[1] for _, _, p, _ in firsts], np.int32),
-                    "several": np.array([m for _, _, _, m in firsts]),
-                    "segment": np.array([s for _, s, _, _ in firsts], dtype=object),
-                }
-                yield from scattered(columns, (columns["value"] % np.uint64(buckets)).astype(np.int64), buckets)
+            at = np.array([p[0] for _, _, p, _ in firsts])
+            columns = {
+                "value": np.array([v for v, _, _, _ in firsts], np.uint64),
+                "id": ids[at],
+                "hash": hashes[at],
+                "g": np.full(len(at), g),
+                "start": np.array([p[1] for _, _, p, _ in firsts], np.int32),
+                "several": np.array([m for _, _, _, m in firsts]),
+                "segment": np.array([s for _, s, _, _ in firsts], dtype=object),
+            }
+            out += scattered(columns, (columns["value"] % np.uint64(buckets)).astype(np.int64), buckets)
+        return as_table(out)
 
     def index(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
         table = from_blobs(blobs).to_pydict()
         own: dict[int, dict[bytes, list[int]]] = {}
         for k, (value, segment) in enumerate(zip(table["value"], table["segment"], strict=True)):
             own.setdefault(value, {}).setdefault(segment, []).append(k)
-        marked: list[tuple[int, int, int, int]] = []
+        marked: list[tuple[int, ...]] = []
         asked: list[tuple[bytes, int | None]] = []
+
+        def mark(k: int, a: int, b: int) -> None:
+            marked.append((table["id"][k], table["hash"][k], table["g"][k], a, b))
+
         for different in own.values():
             for segment, places in different.items():
-                # Records of one place come from rows that are equal; they are no repeat.
-                spots = {(table["id"][k], table["hash"][k], table["start"][k]) for k in places}
-                whole = len(spots) > 1 or any(table["several"][k] for k in places)
+                whole = len(places) > 1 or table["several"][places[0]]
                 if whole:
-                    marked += [(*spot, spot[2] + len(segment)) for spot in spots]
+                    for k in places:
+                        mark(k, table["start"][k], table["start"][k] + len(segment))
                 if len(different) > 1 or (not whole and len(segment) > window):
                     asked.append((segment, None if whole else places[0]))
         for (_, k), flags in zip(asked, long_matches([s for s, _ in asked], window) if asked else [], strict=True):
             if k is not None:
-                marked += [(table["id"][k], table["hash"][k], a, b) for a, b in zip(*(x.tolist() for x in spans(flags, table["start"][k], window)), strict=True)]
-        marked.sort()
-        keys = sorted({m[:2] for m in marked})
-        number = {key: n for n, key in enumerate(keys)}
-        yield from answers(np.array([k[0] for k in keys]), np.array([k[1] for k in keys]), *_sorted([(number[m[:2]], m[2], m[3]) for m in marked]))
-
-    sent = rows.join(where, ["id", "hash"]).select("id", "hash", "text", "runs").mapInArrow(segments, "bucket int, id long, hash long, data binary, counts array<long>")
-    marks = joined_blobs(reduced(sent, index), "data")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            total, ranges, kept = [], [], []
-            for text, blobs in zip(part.column("text").cast(pa.binary()).to_pylist(), part.column("data").to_pylist(), strict=True):
-                gone = _joined([from_raw(blob, (np.int32, np.int32)) for blob in blobs or ()])
-                ends = [0, *(b for _, b in gone)]
-                total.append(len(text))
-                ranges.append([{"start": a, "end": b} for a, b in gone])
-                kept.append(b"".join(text[a:b] for a, b in zip(ends, [*(a for a, _ in gone), len(text)], strict=True)) if gone else text)
-            kinds = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield batch({"id": part.column("id"), "n_bytes": pa.array(total, pa.int64()), "spans": pa.array(ranges, kinds), "kept": pa.array(kept, pa.binary())})
-
-    out = rows.join(marks, ["id", "hash"], "left").select("id", "hash", "text", "data").mapInArrow(cut, "id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+                for a, b in zip(*(x.tolist() for x in spans(flags, table["start"][k], window)), strict=True):
+                    mark(k, a, b)
+        yield from answers(_marks(marked))
+
+    # Both times the texts are dealt out by group, so Spark shuffles them once.
+    marks = reduced(with_answers(rows, found, segments, SENT), index)
+
+    def cut(g: int, docs: pa.Table, covered: dict[str, np.ndarray], owner: np.ndarray) -> pa.Table:
+        ids, hashes = docs["id"].to_numpy(), docs["hash"].to_numpy()
+        bounds = np.searchsorted(owner, np.arange(len(ids) + 1))
+        total, ranges, kept, first = [], [], [], 0
+        for k, text in enumerate(docs["text"].cast(pa.binary()).to_pylist()):
+            # Equal rows share the records of the first of them.
+            first = first if k and ids[k] == ids[first] and hashes[k] == hashes[first] else k
+            a, b = bounds[first], bounds[first + 1]
+            gone = _joined(covered["start"][a:b].tolist(), covered["end"][a:b].tolist()) if b > a else []
+            ends = [0, *(b for _, b in gone)]
+            total.append(len(text))
+            ranges.append([{"start": a, "end": b} for a, b in gone])
+            kept.append(b"".join(text[a:b] for a, b in zip(ends, [*(a for a, _ in gone), len(text)], strict=True)) if gone else text)
+        kinds = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        return pa.table({"id": docs["id"], "n_bytes": pa.array(total, pa.int64()), "spans": pa.array(ranges, kinds), "kept": pa.array(kept, pa.binary())})
+
+    out = with_answers(rows, marks, cut, "id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
     return out.select(unkeyed(id_col), "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), "spans", "kept")
 
 
-def _sorted(marks: list[tuple[int, int, int]]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    doc, start, end = np.array(sorted(marks), np.int64).reshape(-1, 3).T
-    return doc, {"start": start.astype(np.int32), "end": end.astype(np.int32)}
+def _marks(marks: list[tuple[int, ...]]) -> dict[str, np.ndarray]:
+    columns = np.array(marks, np.int64).reshape(-1, 5).T
+    return dict(zip(("id", "hash", "g"), columns, strict=False)) | {"start": columns[3].astype(np.int32), "end": columns[4].astype(np.int32)}
 
 
-def _joined(parts: list[list[np.ndarray]]) -> list[tuple[int, int]]:
+def _joined(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
     """Union of ranges."""
     out: list[tuple[int, int]] = []
-    for start, end in sorted(pair for starts, ends in parts for pair in zip(starts.tolist(), ends.tolist(), strict=True)):
+    for start, end in sorted(zip(starts, ends, strict=True)):
         if out and start <= out[-1][1]:
             out[-1] = (out[-1][0], max(end, out[-1][1]))
         else:

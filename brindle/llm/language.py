@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from brindle.llm.arrowtext import batch, filled, narrow, pieces, sums
+from brindle.llm.arrowtext import batch, bounded, filled, narrow, pieces, sums
 
 BUCKETS = 1 << 14  # the upper 14 bits of a 32-bit hash
 GRAMS = (2, 3, 4)
@@ -185,7 +185,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for part in batches:
+        for part in (some for whole in batches for some in bounded(whole)):
             cut = pieces(filled(part.column("text")))
             buckets, offsets = subwords(cut.distinct)
             size = np.diff(offsets).astype(np.float64)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from brindle.llm import ball_trees, byte_repeats, decontaminate, jaccard, language, sampled_pieces, substring, token_counts, token_files
+from brindle.llm import ball_trees, byte_repeats, decontaminate, jaccard, language, lines, sampled_pieces, substring, token_counts, token_files
 from brindle.plans.base import Catalog, table
 
 catalog = Catalog()
@@ -114,3 +114,9 @@ def _(spark, sf_dir):
     whole = F.transform("embedding", lambda v: F.floor(F.lit(64.0) * v.cast("double")))
     rows = x.where(finite).select("vec_id", whole.alias("vector"))
     return ball_trees.exact_topk(rows, F.pmod("vec_id", F.lit(20)) == 0)
+
+
+@catalog.add("op8_line_dedup")
+def _(spark, sf_dir):
+    found = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

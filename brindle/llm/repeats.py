@@ -19,6 +19,7 @@ from brindle.llm.arrowtext import batch
 _TOP = np.uint64(2**64 - 1)
 # The id that stands for a null id; it sorts first. It cannot be an id itself.
 NULL_ID = -(2**63)
+GROUP_BYTES = 8 << 20
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -27,6 +28,13 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
 
 
+def grouped(rows: DataFrame, text_bytes: int) -> DataFrame:
+    """Keyed rows with the number ``g`` of a group of some megabytes of documents, in which answers
+    reach them."""
+    groups = max(1, -(-text_bytes // GROUP_BYTES))
+    return rows.select("id", "hash", F.pmod(F.xxhash64("id", "hash"), F.lit(groups)).alias("g"), "text")
+
+
 def unkeyed(id_col: str):
     """The id column again, null where it was."""
     return F.when(F.col("id") != NULL_ID, F.col("id")).alias(id_col)
@@ -111,20 +119,19 @@ def runs(grams: np.ndarray, offsets: np.ndarray, gram: int, window: int) -> tupl
 def repeated_runs(
     docs: DataFrame, units: Callable[[pa.Array], Iterator[tuple[int, np.ndarray, np.ndarray]]], gram: int, window: int, buckets: int, extra: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
 ) -> DataFrame:
-    """``(id, hash, runs)`` with one or more rows for every document that holds a run whose value
-    stands at two places of the corpus; ``runs`` is a blob of (start, n, value).
+    """``(g, data, counts)``: answers to groups of documents with their runs whose value stands at
+    two places of the corpus, as blobs of (id, hash, start, n, value).
 
     ``units`` yields, for a column of texts, pieces of it: the first row, hashes of the units and
     offsets of the rows. A batch answers for values that it holds twice itself and sends one record
     for such a value, so a value that every document holds is one record per batch. ``extra`` may
-    add a fixed-size vector per batch, which goes into a row of ``hash`` 0 and ``id`` -1 with null
-    runs and the vector in ``counts``.
+    add a vector of fixed size per piece; its sum over a task is a row with null data.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for part in batches:
-            ids, hashes = (np.asarray(part.column(c)) for c in ("id", "hash"))
+            keys = {c: np.asarray(part.column(c)) for c in ("id", "hash", "g")}
             for first, values, offsets in units(part.column("text")):
                 grams = rolled(values, gram)
                 doc, start, n, value, twice = runs(grams, offsets, gram, window)
@@ -133,38 +140,37 @@ def repeated_runs(
                     total = more if total is None else total + more
                 if not len(doc):
                     continue
-                doc = doc + first
+                own = {c: v[doc + first] for c, v in keys.items()} | {"start": start.astype(np.int32), "n": n.astype(np.int32), "value": value}
                 known = twice[np.minimum(np.searchsorted(twice, value), max(len(twice) - 1, 0))] == value if len(twice) else np.zeros(len(value), bool)
-                yield from _by_document(ids, hashes, doc[known], start[known], n[known], value[known])
-                # Single values carry their document; repeated ones only themselves.
-                alone = ~known
-                sent = np.concatenate([value[alone], twice])
-                column = {"id": np.append(ids[doc[alone]], np.zeros(len(twice), np.int64)), "hash": np.append(hashes[doc[alone]], np.zeros(len(twice), np.int64))}
-                column |= {"start": np.append(start[alone], np.zeros(len(twice), np.int64)).astype(np.int32), "n": np.append(n[alone], np.zeros(len(twice), np.int64)).astype(np.int32), "value": sent}
-                yield from scattered(column, (sent % np.uint64(buckets)).astype(np.int64), buckets)
+                yield from answers({c: v[known] for c, v in own.items()})
+                # Single values carry their document; repeated ones only themselves, with n = 0.
+                sent = {c: np.append(v[~known], twice if c == "value" else np.zeros(len(twice), v.dtype)) for c, v in own.items()}
+                yield from scattered(sent, (sent["value"] % np.uint64(buckets)).astype(np.int64), buckets)
         if total is not None:
-            yield batch({"bucket": pa.array([0], pa.int32()), "id": pa.array([-1]), "hash": pa.array([0]), "data": pa.array([None], pa.binary()), "counts": pa.array([total.tolist()], pa.list_(pa.int64()))})
+            yield _rows([-1], [-1], [None], [total.tolist()])
 
     def settle_bucket(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
         table = from_blobs(blobs)
         value = table["value"].to_numpy()
         order = np.argsort(value, kind="stable")
-        ids, hashes, start, n, value = (table[c].to_numpy()[order] for c in ("id", "hash", "start", "n", "value"))
+        value, n = value[order], table["n"].to_numpy()[order]
         same = value[1:] == value[:-1]
-        # A record of a value that was met twice in a batch has no windows of its own.
         again = np.append(same, False) | np.append(False, same)
         begin = np.append(True, ~same)
         noted = np.maximum.reduceat(n == 0, np.flatnonzero(begin))[np.cumsum(begin) - 1]
-        keep = (again | noted) & (n > 0)
-        at = np.flatnonzero(keep)
-        at = at[np.lexsort((start[at], hashes[at], ids[at]))]
-        change = (np.diff(ids[at], prepend=0) != 0) | (np.diff(hashes[at], prepend=0) != 0)
-        change[:1] = True
-        yield from _by_document(ids[at][change], hashes[at][change], np.cumsum(change) - 1, start[at], n[at], value[at])
+        keep = order[(again | noted) & (n > 0)]
+        yield from answers({c: table[c].to_numpy()[keep] for c in table.column_names})
+
+    return reduced(docs.select("id", "hash", "g", "text").mapInArrow(find, SENT), settle_bucket)
+
+
+# What the first stage of a job sends: a blob to a bucket, or (bucket -1) an answer to a group.
+SENT = "bucket int, g long, data binary, counts array<long>"
+_KINDS = {"bucket": pa.int32(), "g": pa.int64(), "data": pa.binary(), "counts": pa.list_(pa.int64())}
 
-    schema = "bucket int, id long, hash long, data binary, counts array<long>"
-    sent = docs.select("id", "hash", "text").mapInArrow(find, schema)
-    return reduced(sent, settle_bucket).withColumnRenamed("data", "runs")
+
+def as_table(rows: list[pa.RecordBatch]) -> pa.Table:
+    return pa.Table.from_batches(rows, pa.schema(_KINDS))
 
 
 def scattered(columns: dict[str, np.ndarray], bucket: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -172,76 +178,67 @@ def scattered(columns: dict[str, np.ndarray], bucket: np.ndarray, buckets: int)
     order = np.argsort(bucket, kind="stable")
     bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
     rows = [(k, to_blob({c: v[order[a:b]] for c, v in columns.items()})) for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)) if b > a]
-    yield _rows([k for k, _ in rows], [0] * len(rows), [0] * len(rows), [b for _, b in rows])
-
-
-def _rows(bucket: list[int], ids: list[int], hashes: list[int], data: list[bytes]) -> pa.RecordBatch:
-    n = len(bucket)
-    return batch({"bucket": pa.array(bucket, pa.int32()), "id": pa.array(ids, pa.int64()), "hash": pa.array(hashes, pa.int64()), "data": pa.array(data, pa.binary()), "counts": pa.array([None] * n, pa.list_(pa.int64()))})
-
+    if rows:
+        yield _rows([k for k, _ in rows], [-1] * len(rows), [b for _, b in rows], [None] * len(rows))
 
-def _by_document(ids: np.ndarray, hashes: np.ndarray, doc: np.ndarray, start: np.ndarray, n: np.ndarray, value: np.ndarray) -> Iterator[pa.RecordBatch]:
-    yield from answers(ids, hashes, doc, {"start": start.astype(np.int32), "n": n.astype(np.int32), "value": value})
 
+def answers(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """One blob row per group of documents, from records with the group in ``g``."""
+    order = np.argsort(columns["g"], kind="stable")
+    g = columns["g"][order]
+    if len(g):
+        cuts = np.flatnonzero(np.diff(g, prepend=-1))
+        data = [to_blob({c: v[order[a:b]] for c, v in columns.items() if c != "g"}) for a, b in zip(cuts, [*cuts[1:], len(g)], strict=True)]
+        yield _rows([-1] * len(cuts), g[cuts].tolist(), data, [None] * len(cuts))
 
-def answers(ids: np.ndarray, hashes: np.ndarray, doc: np.ndarray, columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """One row per document with a blob of its records; ``doc`` is ascending. Bucket -1: an answer."""
-    if len(doc):
-        cuts = np.flatnonzero(np.diff(doc, prepend=-1))
-        bounds = [*cuts.tolist(), len(doc)]
-        at = doc[cuts]
-        data = [to_raw(*(v[a:b] for v in columns.values())) for a, b in zip(bounds, bounds[1:], strict=False)]
-        yield _rows([-1] * len(at), ids[at].tolist(), hashes[at].tolist(), data)
 
-
-def to_raw(*columns: np.ndarray) -> bytes:
-    """Few numbers of a document: the bare arrays, one behind another."""
-    return b"".join(c.tobytes() for c in columns)
-
-
-def from_raw(data: bytes, kinds: tuple[type, ...]) -> list[np.ndarray]:
-    n = len(data) // sum(np.dtype(k).itemsize for k in kinds)
-    out, at = [], 0
-    for k in kinds:
-        out.append(np.frombuffer(data, k, n, at))
-        at += out[-1].nbytes
-    return out
-
-
-RUN_KINDS = (np.int32, np.int32, np.uint64)
+def _rows(bucket: list[int], g: list[int], data: list[bytes | None], counts: list) -> pa.RecordBatch:
+    return batch({c: pa.array(v, kind) for (c, kind), v in zip(_KINDS.items(), (bucket, g, data, counts), strict=True)})
 
 
 def reduced(sent: DataFrame, settle_bucket: Callable[[list[bytes]], Iterator[pa.RecordBatch]]) -> DataFrame:
-    """Answers of all buckets, and the answers that are ready already, as ``(id, hash, data, counts)``.
+    """Answers of all buckets, and the answers that are ready already, as ``(g, data, counts)``.
 
     Buckets are dealt out by key and met in order, so a task holds one bucket at a time; ready
-    answers pass through. They travel by document, not to one task.
+    answers pass through.
     """
-    by = F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(F.pmod(F.xxhash64("id", "hash"), F.lit(2**30)).cast("int"))
+    by = F.when(F.col("bucket") >= 0, F.col("bucket").cast("long")).otherwise(F.xxhash64("g"))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = -1, []
         for part in batches:
             bucket = np.asarray(part.column("bucket"))
-            data = part.column("data")
-            ready = np.flatnonzero((bucket < 0) | data.is_null().to_numpy(zero_copy_only=False))
+            ready = np.flatnonzero(bucket < 0)
             if len(ready):
-                yield part.take(pa.array(ready)).select(["id", "hash", "data", "counts"])
-            for k in np.flatnonzero((bucket >= 0) & data.is_valid().to_numpy(zero_copy_only=False)):
+                yield part.take(pa.array(ready)).select(["g", "data", "counts"])
+            for k in np.flatnonzero(bucket >= 0):
                 if bucket[k] != current:
-                    yield from (_answered(x) for x in (settle_bucket(held) if held else ()))
+                    yield from (x.select(["g", "data", "counts"]) for x in (settle_bucket(held) if held else ()))
                     current, held = bucket[k], []
-                held.append(data[k].as_py())
-        yield from (_answered(x) for x in (settle_bucket(held) if held else ()))
+                held.append(part.column("data")[k].as_py())
+        yield from (x.select(["g", "data", "counts"]) for x in (settle_bucket(held) if held else ()))
 
     dealt = sent.withColumn("by", by).repartition("by").sortWithinPartitions("bucket").drop("by")
-    return dealt.mapInArrow(settle, "id long, hash long, data binary, counts array<long>")
+    return dealt.mapInArrow(settle, "g long, data binary, counts array<long>")
 
 
-def _answered(rows: pa.RecordBatch) -> pa.RecordBatch:
-    return rows.select(["id", "hash", "data", "counts"])
+def with_answers(docs: DataFrame, sent: DataFrame, work: Callable[[int, pa.Table, dict[str, np.ndarray], np.ndarray], pa.Table], schema: str) -> DataFrame:
+    """``work(g, documents, records, owner)`` of every group: its documents in the order of their keys,
+    the columns of all records sent to it, sorted by document, and the number of each record's
+    document. Groups are of bounded size. Equal rows are adjacent; records belong to the first."""
 
-
-def joined_blobs(rows: DataFrame, column: str) -> DataFrame:
-    """One row per document with the list of its blobs, at most one of each bucket and batch."""
-    return rows.groupBy("id", "hash").agg(F.collect_list(column).alias(column))
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        g = left["g"][0].as_py() if left.num_rows else -1
+        left = left.select(["id", "hash", "text"]).sort_by([("id", "ascending"), ("hash", "ascending")]).combine_chunks()
+        blobs = right["data"].to_pylist()
+        if not blobs or not left.num_rows:
+            return work(g, left, {}, np.zeros(0, np.int64))
+        table = from_blobs(blobs)
+        keys = [np.unique(np.concatenate([left[c].to_numpy(), table[c].to_numpy()]), return_inverse=True)[1] for c in ("id", "hash")]
+        key = keys[0] * (keys[1].max() + 1) + keys[1]
+        own, asked = key[: left.num_rows], key[left.num_rows :]
+        owner = np.searchsorted(own, asked)
+        order = np.lexsort((table["start"].to_numpy(), owner))
+        return work(g, left, {c: table[c].to_numpy()[order] for c in table.column_names if c not in ("id", "hash")}, owner[order])
+
+    return docs.groupBy("g").cogroup(sent.select("g", "data").groupBy("g")).applyInArrow(meet, schema)

@@ -9,7 +9,6 @@ that place, so a segmentation does not depend on batches or partitions.
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,6 +23,7 @@ from brindle.llm.token_files import gather
 MARK = "▁"
 # Stands for a literal MARK of a text, which must not decode to a space; no valid text holds it.
 _LITERAL = "\ud800"
+_END = (1 << 21) - 1
 
 
 class PieceModel:
@@ -45,43 +45,52 @@ class PieceModel:
         if np.all(scores[plain] == np.round(scores[plain])):
             scores = -np.log(2 - np.minimum(scores, 0))
         self.weights = scores
-        self.ids = {known.id_to_piece(k): k for k in plain}
-        self.longest = max(map(len, self.ids))
-        self.prefixes = {piece[:k] for piece in self.ids for k in range(1, len(piece))}
-        if any(MARK in piece.lstrip(MARK) for piece in self.ids):
+        ids = {known.id_to_piece(k): k for k in plain}
+        if any(MARK in piece.lstrip(MARK) for piece in ids):
             raise ValueError("pieces with a space mark behind another character are not supported")
         self.byte_ids = np.array([known.piece_to_id(f"<0x{b:02X}>") for b in range(256)], dtype=np.int64)
         if not all(known.is_byte(int(k)) for k in self.byte_ids):
             raise ValueError("a model without byte pieces cannot encode every text")
         self.byte_weight = float(scores[plain].min())
+        # The pieces as a trie: sorted keys (node, code point) with the node that each leads to.
+        nodes = {prefix: n for n, prefix in enumerate(sorted({piece[:k] for piece in ids for k in range(len(piece) + 1)}))}
+        self.piece_of = np.full(len(nodes), -1, np.int32)
+        self.piece_of[[nodes[piece] for piece in ids]] = list(ids.values())
+        steps = sorted((nodes[prefix[:-1]] << 21 | ord(prefix[-1]), n) for prefix, n in nodes.items() if prefix)
+        self.keys, self.next = np.array([k for k, _ in steps], np.int64), np.array([n for _, n in steps], np.int64)
 
     def lattices(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Edges of the lattices of all texts, as starts, ends and piece ids; nodes are numbered
-        across the texts. A character that is no piece itself gets an edge for its byte pieces, with
-        minus one minus its code point as id."""
-        starts, ends, ids = array("q"), array("q"), array("q")
-        get, prefixes, longest, base = self.ids.get, self.prefixes, self.longest, 0
-        for text in texts:
-            size = len(text)
-            for start in range(size):
-                for end in range(start + 1, min(size, start + longest) + 1):
-                    part = text[start:end]
-                    k = get(part)
-                    if k is not None:
-                        starts.append(base + start)
-                        ends.append(base + end)
-                        ids.append(k)
-                    else:
-                        if end == start + 1:
-                            starts.append(base + start)
-                            ends.append(base + end)
-                            ids.append(-1 - ord(part))
-                        if part not in prefixes:
-                            break
-            base += size + 1
-        at, to, piece = (np.frombuffer(x, np.int64) for x in (starts, ends, ids))
-        order = np.argsort(to, kind="stable")
-        return at[order], to[order], piece[order]
+        """Edges of the lattices of all texts, sorted by end, as starts, ends and piece ids; nodes
+        are numbered across the texts. A character that is no piece itself gets an edge for its
+        byte pieces, with minus one minus its code point as id. All places walk the trie at once."""
+        ends_of = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        # What is no code point stands at the end of each text, so no walk leaves it.
+        points = np.insert(points, ends_of, _END)
+        at = np.flatnonzero(points != _END)
+        here, node, width = at, np.zeros(len(at), np.int64), 0
+        starts, ends, ids = [], [], []
+        while len(here):
+            key = node << 21 | points[here + width]
+            found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            known = self.keys[found] == key
+            here, node, width = here[known], self.next[found[known]], width + 1
+            piece = self.piece_of[node]
+            whole = piece >= 0
+            starts.append(here[whole])
+            ends.append(here[whole] + width)
+            ids.append(piece[whole].astype(np.int64))
+            if width == 1:
+                foreign = np.setdiff1d(at, here[whole], assume_unique=True)
+                starts.append(foreign)
+                ends.append(foreign + 1)
+                ids.append(-1 - points[foreign])
+        if not starts:
+            return (np.zeros(0, np.int64),) * 3
+        # Of the edges into a node the longest, which are mostly the likeliest, come first.
+        start, end, piece = (np.concatenate(x[::-1]) for x in (starts, ends, ids))
+        order = np.argsort(end, kind="stable")
+        return start[order], end[order], piece[order]
 
     def spelled(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Weights of edges, and their pieces as a ragged array."""
@@ -102,6 +111,16 @@ def piece_model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
+@lru_cache(maxsize=2)
+def surfaces(path: str) -> pa.Array:
+    """The bytes that each piece stands for, marks as spaces."""
+    import sentencepiece
+
+    known = sentencepiece.SentencePieceProcessor(model_file=path)
+    every = ((known.is_byte(k), known.id_to_piece(k)) for k in range(known.get_piece_size()))
+    return pa.array([bytes([int(piece[1:-1], 16)]) if byte else piece.replace(MARK, " ").encode() for byte, piece in every], pa.large_binary())
+
+
 def marked(text: str, first: bool) -> str:
     """A text in the model's alphabet; the first piece of a text gets the mark that decoding drops."""
     return (MARK if first else "") + text.replace(MARK, _LITERAL).replace(" ", MARK)
@@ -132,13 +151,23 @@ class Lattices:
             mass = np.add.reduceat(part, begin)
             alphas[ends[some[begin]]] = top + np.log(mass)
             total[some] = part / np.repeat(mass, size)
-        # Edges lie sorted by end node; keys are the node plus the probability of all edges up to it.
+        # Edges lie sorted by end node; each knows the probability of all edges of its node up to it.
         running = np.cumsum(total)
         begin = np.flatnonzero(np.diff(ends, prepend=-1)) if len(ends) else np.zeros(0, np.int64)
         size = np.diff(np.append(begin, len(ends)))
-        self.keys = ends + np.minimum(running - np.repeat(running[begin] - total[begin], size), 1.0)
-        if len(ends):
-            self.keys[begin + size - 1] = ends[begin] + 1.0
+        self.upto = running - np.repeat(running[begin] - total[begin], size)
+        self.upto[begin + size - 1] = np.inf
+        self.begin = np.zeros(int(firsts[-1]), np.int64)
+        self.begin[ends[begin]] = begin
+
+    def draw(self, nodes: np.ndarray, chance: np.ndarray) -> np.ndarray:
+        """The edge into each node that a random number in [0, 1) picks."""
+        edge = self.begin[nodes]
+        open_ = np.flatnonzero(self.upto[edge] <= chance)
+        while len(open_):
+            edge[open_] += 1
+            open_ = open_[self.upto[edge[open_]] <= chance[open_]]
+        return edge
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -168,9 +197,7 @@ def sample_texts(model: PieceModel, texts: pa.Array, keys: np.ndarray, alpha: fl
     at = np.flatnonzero(node > first)
     owners, edges = [], []
     while len(at):
-        draw = uniform(keys[row[at]], before[at] + node[at] - first[at])
-        # The random number must not reach the next node's keys by rounding.
-        edge = np.searchsorted(lattices.keys, np.minimum(node[at] + draw, np.nextafter(node[at] + 1.0, 0)), side="right")
+        edge = lattices.draw(node[at], uniform(keys[row[at]], before[at] + node[at] - first[at]))
         owners.append(at)
         edges.append(edge)
         node[at] = lattices.starts[edge]
@@ -185,16 +212,6 @@ def sample_texts(model: PieceModel, texts: pa.Array, keys: np.ndarray, alpha: fl
     return ids, np.bincount(owner, weights=lattices.lengths[edge[order]], minlength=len(texts)).astype(np.int64)
 
 
-def decode_ids(model: PieceModel, ids: list[int]) -> str:
-    """The text of a sequence of ids: pieces joined, byte pieces as the bytes they name, marks as
-    spaces, without the first mark."""
-    out = bytearray()
-    for k in ids:
-        piece = model.processor.id_to_piece(k)
-        out += bytes([int(piece[1:-1], 16)]) if model.processor.is_byte(k) else piece.replace(MARK, " ").encode()
-    return out.decode()[1:]
-
-
 def encode_sampled(docs: DataFrame, path: str, seed: int = 0, alpha: float = 1.0, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:
     """``(id, ids)`` of every row: one sampled segmentation of the whole text.
 
@@ -225,13 +242,8 @@ def decode_sampled(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_co
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        processor = piece_model(path).processor
-        surfaces = np.array([None] * processor.get_piece_size(), dtype=object)
-        for k in range(len(surfaces)):
-            piece = processor.id_to_piece(k)
-            surfaces[k] = bytes([int(piece[1:-1], 16)]) if processor.is_byte(k) else piece.replace(MARK, " ").encode()
-        table = pa.array(surfaces, pa.large_binary())
-        for part in batches:
+        table = surfaces(path)
+        for part in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             lists = part.column("piece_ids")
             spelled = table.take(lists.flatten())
             # The bytes of the pieces lie one behind another already: without the first byte of each

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from brindle.llm.arrowtext import batch, bounded, total_bytes
-from brindle.llm.repeats import RUN_KINDS, answers, from_blobs, from_raw, joined_blobs, keyed, mix, reduced, repeated_runs, rolled, scattered, unkeyed
+from brindle.llm.repeats import SENT, answers, as_table, from_blobs, grouped, keyed, mix, reduced, repeated_runs, rolled, scattered, unkeyed, with_answers
 from brindle.session import settle
 
 PREFIX_BITS = 12
@@ -89,15 +89,6 @@ def deep_nodes(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return order, begins
 
 
-def _intervals(doc: np.ndarray, start: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words covered by windows (sorted by document and place), as ranges ``[start, end)``."""
-    if not len(doc):
-        return doc, start, start
-    first = np.append(True, (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + window))
-    last = np.append(first[1:], True)
-    return doc[first], start[first], start[last] + window
-
-
 def dedup_substrings(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_words, n_removed, kept)`` of every row: the text without repeated word sequences.
 
@@ -113,8 +104,9 @@ def dedup_substrings(docs: DataFrame, window: int = 20, id_col: str = "doc_id",
     """
     if window % 4 or window <= 0:
         raise ValueError("window must be a multiple of 4")
-    rows = keyed(docs, id_col, text_col)
-    buckets = max(1, -(-total_bytes(docs, text_col) // BUCKET_BYTES))
+    text_bytes = total_bytes(docs, text_col)
+    rows = grouped(keyed(docs, id_col, text_col), text_bytes)
+    buckets = max(1, -(-text_bytes // BUCKET_BYTES))
 
     def counted(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         high, _ = letters(values, window)
@@ -127,73 +119,68 @@ def dedup_substrings(docs: DataFrame, window: int = 20, id_col: str = "doc_id",
     for k, n in sized.collect():
         counts[k] = n
     prefixes = Prefixes(counts)
-    where = joined_blobs(found.where("runs is not null"), "runs")
-
-    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (some for whole in batches for some in bounded(whole, 16 << 20)):
-            ids, hashes = np.asarray(part.column("id")), np.asarray(part.column("hash"))
-            # In document order, and a document that is there twice only once.
-            order = np.lexsort((hashes, ids))
-            order = order[np.append(True, (np.diff(ids[order]) != 0) | (np.diff(hashes[order]) != 0))] if len(order) else order
-            part = part.take(pa.array(order))
-            ids, hashes = ids[order], hashes[order]
-            values, offsets = word_hashes(part.column("text"))
+    where = found.where("data is not null")
+
+    def suffixes(g: int, docs: pa.Table, runs: dict[str, np.ndarray], owner: np.ndarray) -> pa.Table:
+        out: list[pa.RecordBatch] = []
+        if len(owner):
+            ids, hashes = docs["id"].to_numpy(), docs["hash"].to_numpy()
+            values, offsets = word_hashes(docs["text"].combine_chunks())
             high, low = letters(values, window)
             chosen = np.zeros(len(values) + 1, np.int32)
-            for k, blobs in enumerate(part.column("runs").to_pylist()):
-                for blob in blobs:
-                    start, n, _ = from_raw(blob, RUN_KINDS)
-                    np.add.at(chosen, offsets[k] + start, 1)
-                    np.add.at(chosen, offsets[k] + start + n, -1)
+            np.add.at(chosen, offsets[owner] + runs["start"], 1)
+            np.add.at(chosen, offsets[owner] + runs["start"] + runs["n"], -1)
             at = np.flatnonzero(np.cumsum(chosen)[:-1] > 0)
             doc = np.searchsorted(offsets, at, side="right") - 1
             leaves, begins = deep_nodes(high[at], low[at])
-            # Leaves that repeat within this batch are known; the first of each node travels.
-            later = np.sort(leaves[~begins])
-            yield from answers(ids, hashes, *_marks(doc[later], at[later] - offsets[doc[later]], window))
-            sent = np.sort(leaves[begins])
+            # Leaves that repeat within this group are known; the first of each node travels.
+            later, sent = np.sort(leaves[~begins]), np.sort(leaves[begins])
+            out += answers(_covered({"id": ids[doc[later]], "hash": hashes[doc[later]], "g": np.full(len(later), g)}, at[later] - offsets[doc[later]], window))
             spot, doc = at[sent], doc[sent]
-            columns = {"high": high[spot], "low": low[spot], "id": ids[doc], "hash": hashes[doc], "start": (spot - offsets[doc]).astype(np.int32)}
-            yield from scattered(columns, prefixes.of(high[spot]), prefixes.groups)
+            columns = {"high": high[spot], "low": low[spot], "id": ids[doc], "hash": hashes[doc], "g": np.full(len(doc), g), "start": (spot - offsets[doc]).astype(np.int32)}
+            out += scattered(columns, prefixes.of(high[spot]), prefixes.groups)
+        return as_table(out)
 
     def tree(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
         table = from_blobs(blobs)
-        ids, hashes, start, high, low = (table[c].to_numpy() for c in ("id", "hash", "start", "high", "low"))
-        order = np.lexsort((start, hashes, ids))
-        ids, hashes, start, high, low = (x[order] for x in (ids, hashes, start, high, low))
-        leaves, begins = deep_nodes(high, low)
-        # The same place of one document may come twice, from rows that are equal.
-        first = leaves[begins][np.cumsum(begins) - 1]
-        own = (ids[leaves] == ids[first]) & (hashes[leaves] == hashes[first]) & (start[leaves] == start[first])
-        later = np.sort(leaves[~begins & ~own])
-        change = np.append(True, (np.diff(ids[later]) != 0) | (np.diff(hashes[later]) != 0)) if len(later) else np.zeros(0, bool)
-        yield from answers(ids[later][change], hashes[later][change], *_marks(np.cumsum(change) - 1, start[later], window))
-
-    # Both joins deal the texts out by the same key, so Spark shuffles the texts once.
-    sent = rows.join(where, ["id", "hash"]).select("id", "hash", "text", "runs").mapInArrow(suffixes, "bucket int, id long, hash long, data binary, counts array<long>")
-    marks = joined_blobs(reduced(sent, tree), "data")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            total, gone, kept = [], [], []
-            for text, blobs in zip(part.column("text").cast(pa.binary()).to_pylist(), part.column("data").to_pylist(), strict=True):
-                words = text.split()
-                total.append(len(words))
-                if blobs:
-                    stays = np.zeros(len(words) + 1, np.int32)
-                    for blob in blobs:
-                        start, end = from_raw(blob, (np.int32, np.int32))
-                        np.add.at(stays, start, 1)
-                        np.add.at(stays, end, -1)
-                    words = [words[k] for k in np.flatnonzero(np.cumsum(stays[:-1]) == 0).tolist()]
-                gone.append(total[-1] - len(words))
-                kept.append(b" ".join(words))
-            yield batch({"id": part.column("id"), "n_words": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "kept": pa.array(kept, pa.binary()).cast(pa.string())})
-
-    out = rows.join(marks, ["id", "hash"], "left").select("id", "hash", "text", "data").mapInArrow(cut, "id long, n_words long, n_removed long, kept string")
+        columns = {c: table[c].to_numpy() for c in table.column_names}
+        order = np.lexsort((columns["start"], columns["hash"], columns["id"]))
+        columns = {c: v[order] for c, v in columns.items()}
+        leaves, begins = deep_nodes(columns["high"], columns["low"])
+        later = np.sort(leaves[~begins])
+        yield from answers(_covered({c: columns[c][later] for c in ("id", "hash", "g")}, columns["start"][later], window))
+
+    # Both times the texts are dealt out by group, so Spark shuffles them once.
+    marks = reduced(with_answers(rows, where, suffixes, SENT), tree)
+
+    def cut(g: int, docs: pa.Table, covered: dict[str, np.ndarray], owner: np.ndarray) -> pa.Table:
+        ids, hashes = docs["id"].to_numpy(), docs["hash"].to_numpy()
+        total, gone, kept = [], [], []
+        bounds = np.searchsorted(owner, np.arange(len(ids) + 1))
+        first = 0
+        for k, text in enumerate(docs["text"].cast(pa.binary()).to_pylist()):
+            # Equal rows share the records of the first of them.
+            first = first if k and ids[k] == ids[first] and hashes[k] == hashes[first] else k
+            words = text.split()
+            total.append(len(words))
+            a, b = bounds[first], bounds[first + 1]
+            if b > a:
+                stays = np.zeros(len(words) + 1, np.int32)
+                np.add.at(stays, covered["start"][a:b], 1)
+                np.add.at(stays, covered["end"][a:b], -1)
+                words = [words[x] for x in np.flatnonzero(np.cumsum(stays[:-1]) == 0).tolist()]
+            gone.append(total[-1] - len(words))
+            kept.append(b" ".join(words))
+        return pa.table({"id": docs["id"], "n_words": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "kept": pa.array(kept, pa.binary()).cast(pa.string())})
+
+    out = with_answers(rows, marks, cut, "id long, n_words long, n_removed long, kept string")
     return out.select(unkeyed(id_col), "n_words", "n_removed", "kept")
 
 
-def _marks(doc: np.ndarray, start: np.ndarray, window: int) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    doc, first, end = _intervals(doc, start, window)
-    return doc, {"start": first.astype(np.int32), "end": end.astype(np.int32)}
+def _covered(keys: dict[str, np.ndarray], start: np.ndarray, window: int) -> dict[str, np.ndarray]:
+    """Words covered by windows (sorted by document and place), as ranges ``[start, end)``."""
+    if not len(start):
+        return keys | {"start": start.astype(np.int32), "end": start.astype(np.int32)}
+    change = (np.diff(keys["id"]) != 0) | (np.diff(keys["hash"]) != 0) | (np.diff(start) > window)
+    first, last = np.append(True, change), np.append(change, True)
+    return {c: v[first] for c, v in keys.items()} | {"start": start[first].astype(np.int32), "end": (start[last] + window).astype(np.int32)}

@@ -8,6 +8,7 @@ and any store that Spark reaches will do.
 
 from __future__ import annotations
 
+import os
 import struct
 from array import array
 from collections.abc import Iterator
@@ -19,14 +20,14 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from brindle.llm.arrowtext import batch, filled, narrow, pieces, total_bytes
+from brindle.llm.arrowtext import batch, bounded, filled, narrow, pieces, total_bytes
 from brindle.session import shared_path
 
 MAGIC = b"WMX1"
 BLOCK = 1 << 13  # bytes of a bit-plane that are compressed together
 SHARD_TOKENS = 1 << 20
 PARTITION_BYTES = 32 << 20
-MEMO_PIECES = 400_000
+MEMO_PIECES = 350_000
 
 
 class WaveletMatrix:
@@ -164,6 +165,8 @@ class PieceMemo:
     is full it becomes the old one, and what is still used moves over again."""
 
     def __init__(self, path: str):
+        # Spark runs a worker per core already.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -201,19 +204,21 @@ def gather(flat: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[np
     return flat[np.repeat(starts[codes] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)], ends
 
 
-def encode_texts(path: str, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of a batch, the end id after each text, and the number of ids of each text.
+def encode_texts(path: str, texts: pa.Array, end_id: int, rows: int = 1024) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The ids of a batch, the end id after each text, some rows at a time: first row, ids, and the
+    number of ids of each row.
 
     The tokenizer encodes each distinct piece once; a worker remembers about twice ``MEMO_PIECES``.
     """
     cut = pieces(texts)
     found = piece_memo(path).ids(cut.distinct)
-    lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
-    flat = np.frombuffer(b"".join(found), np.uint32)
-    codes = np.insert(cut.codes, cut.offsets[1:], len(lengths))
-    ids, ends = gather(np.append(flat, np.uint32(end_id)), np.append(lengths, 1), codes)
-    per_text = np.diff(ends[cut.offsets[1:] + np.arange(len(texts))], prepend=0)
-    return ids, per_text
+    lengths = np.append(np.fromiter(map(len, found), np.int64, len(found)) // 4, 1)
+    flat = np.append(np.frombuffer(b"".join(found), np.uint32), np.uint32(end_id))
+    for first in range(0, len(texts), rows):
+        bounds = cut.offsets[first : first + rows + 1]
+        codes = np.insert(cut.codes[bounds[0] : bounds[-1]], bounds[1:] - bounds[0], len(lengths) - 1)
+        ids, ends = gather(flat, lengths, codes)
+        yield first, ids, np.diff(ends[bounds[1:] - bounds[0] + np.arange(len(bounds) - 1)], prepend=0)
 
 
 def write_token_files(
@@ -256,10 +261,8 @@ def write_token_files(
             seq, before, held, size = seq + 1, before + size, [], 0
             return made
 
-        for rows in batches:
-            for start in range(0, rows.num_rows, 2048):
-                some = rows.slice(start, 2048)
-                ids, lengths = encode_texts(path, filled(some.column("text")), end_id)
+        for some in (part for rows in batches for part in bounded(rows, 16 << 20)):
+            for start, ids, lengths in encode_texts(path, filled(some.column("text")), end_id):
                 first = at = 0
                 # Cut behind the document with which a shard is full.
                 for k, n in enumerate(lengths):
@@ -267,7 +270,7 @@ def write_token_files(
                     at += int(n)
                     if size >= shard_tokens or k == len(lengths) - 1:
                         begin = at - int(lengths[first : k + 1].sum())
-                        held.append((some.column("doc").slice(first, k + 1 - first), ids[begin:at], lengths[first : k + 1]))
+                        held.append((some.column("doc").slice(start + first, k + 1 - first), ids[begin:at], lengths[first : k + 1]))
                         first = k + 1
                         if size >= shard_tokens:
                             yield shard()
