@@ -95,7 +95,7 @@ def dedup_lines(docs: DataFrame, percent: int = 90, id_col: str = "doc_id", text
     spread = marked.where("is_first").select("id", "hash", "pos", "n", F.posexplode("prefix").alias("i", "t"))
     spread = spread.withColumn("part", F.pmod("hash", parts).cast("int"))
     held = spread.select("t", "part", F.struct("id", "hash", "pos", "n", "i").alias("x")).repartition("t", "part")
-    leads = held.groupBy("t", "part").agg(F.min("x").alias("y"), F.count("*").alias("c")).where(F.col("c") > 1)
+    leads = held.groupBy("t", "part").agg(F.min("x").alias("y"), F.count("*").alias("c")).where((F.col("c") > 1) | (parts > 1))
     met = settle(held.join(leads, ["t", "part"]).select("t", "part", "x", "y"), "met")
     close = met.where(_may_match(F.col("x"), F.col("y"), percent) & (F.col("x") != F.col("y"))).select(_at("x"), _at("y")).distinct()
     # Earliest lines of the parts of one token meet in a second star.
