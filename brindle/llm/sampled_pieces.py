@@ -17,13 +17,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brindle.llm.arrowtext import batch, bounded, filled, pieces
+from brindle.llm.arrowtext import batch, bounded, filled, pieces, sums
 from brindle.llm.token_files import gather
 
 MARK = "▁"
 # Stands for a literal MARK of a text, which must not decode to a space; no valid text holds it.
 _LITERAL = "\ud800"
 _END = (1 << 21) - 1
+LATTICES = 50_000  # distinct pieces of text whose lattices stand at a time
 
 
 class PieceModel:
@@ -123,7 +124,9 @@ def surfaces(path: str) -> pa.Array:
 
 def marked(text: str, first: bool) -> str:
     """A text in the model's alphabet; the first piece of a text gets the mark that decoding drops."""
-    return (MARK if first else "") + text.replace(MARK, _LITERAL).replace(" ", MARK)
+    if MARK in text:
+        text = text.replace(MARK, _LITERAL)
+    return (MARK if first else "") + text.replace(" ", MARK)
 
 
 class Lattices:
@@ -183,33 +186,47 @@ def uniform(key: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 
 def sample_texts(model: PieceModel, texts: pa.Array, keys: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:
-    """Sampled ids of all texts, and the number of ids of each."""
+    """Sampled ids of all texts, and the number of ids of each.
+
+    Lattices stand for some of the distinct pieces of text at a time; all their occurrences are
+    sampled before the next ones are built.
+    """
     cut = pieces(texts)
-    nth_first = np.zeros(len(cut.distinct), bool)
-    nth_first[cut.codes[cut.offsets[:-1]]] = True
-    spelled = [marked(p, first) for p, first in zip(cut.distinct, nth_first.tolist(), strict=True)]
-    lattices = Lattices(model, spelled, alpha)
+    starts_text = np.zeros(len(cut.distinct), bool)
+    starts_text[cut.codes[cut.offsets[:-1]]] = True
+    spelled = [marked(p, first) for p, first in zip(cut.distinct, starts_text.tolist(), strict=True)]
     size = np.fromiter(map(len, spelled), np.int64, len(spelled))[cut.codes]
-    row = np.repeat(np.arange(len(texts)), np.diff(cut.offsets))
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(cut.offsets))
     before = np.cumsum(size) - size
     before -= before[cut.offsets[:-1]][row]  # characters of the row before each piece
-    node, first = lattices.last[cut.codes], lattices.first[cut.codes]
-    at = np.flatnonzero(node > first)
-    owners, edges = [], []
-    while len(at):
-        edge = lattices.draw(node[at], uniform(keys[row[at]], before[at] + node[at] - first[at]))
-        owners.append(at)
-        edges.append(edge)
-        node[at] = lattices.starts[edge]
-        at = at[node[at] > first[at]]
-    if not owners:
-        return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-    # Backward sampling met the edges of a piece from its end: the last round comes first.
-    owner, edge = np.concatenate(owners[::-1]), np.concatenate(edges[::-1])
-    order = np.argsort(owner, kind="stable")
-    ids, ends = gather(lattices.flat, lattices.lengths, edge[order])
-    owner = row[owner[order]]
-    return ids, np.bincount(owner, weights=lattices.lengths[edge[order]], minlength=len(texts)).astype(np.int64)
+    lengths = np.zeros(len(cut.codes), np.int64)
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    for low in range(0, len(spelled), LATTICES):
+        lattices = Lattices(model, spelled[low : low + LATTICES], alpha)
+        places = np.flatnonzero((cut.codes >= low) & (cut.codes < low + LATTICES))
+        code = cut.codes[places] - low
+        node, first = lattices.last[code], lattices.first[code]
+        at = np.flatnonzero(node > first)
+        owners, edges = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        while len(at):
+            where = places[at]
+            edge = lattices.draw(node[at], uniform(keys[row[where]], before[where] + node[at] - first[at]))
+            owners.append(at.astype(np.int32))
+            edges.append(edge.astype(np.int32))
+            node[at] = lattices.starts[edge]
+            at = at[node[at] > first[at]]
+        # Backward sampling met the edges of a piece from its end: the last round comes first.
+        owner, edge = np.concatenate(owners[::-1]), np.concatenate(edges[::-1])
+        order = np.argsort(owner, kind="stable")
+        ids, _ = gather(lattices.flat, lattices.lengths, edge[order])
+        lengths[places] = np.bincount(owner, weights=lattices.lengths[edge], minlength=len(places)).astype(np.int64)
+        parts.append((places, ids))
+    starts = np.cumsum(lengths) - lengths
+    out = np.empty(int(lengths.sum()), np.int32)
+    for places, ids in parts:
+        own = lengths[places]
+        out[np.repeat(starts[places] - (np.cumsum(own) - own), own) + np.arange(len(ids))] = ids
+    return out, sums(lengths, cut.offsets)
 
 
 def encode_sampled(docs: DataFrame, path: str, seed: int = 0, alpha: float = 1.0, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:
@@ -227,7 +244,7 @@ def encode_sampled(docs: DataFrame, path: str, seed: int = 0, alpha: float = 1.0
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
         for part in batches:
-            for some in bounded(part, 4 << 20):
+            for some in bounded(part, 5 << 20):
                 keys = np.asarray(some.column("key")).view(np.uint64)
                 ids, lengths = sample_texts(model, filled(some.column("text")), keys, alpha)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
