@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 # White space that is followed by a space: there the run must not be cut (RE2 has no look-around).
 _RUN = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
+_SPACE, _EMPTY = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
 _CUT = regex.compile(r"(?<=\S)(?= )")
 
 
@@ -73,7 +74,7 @@ def pieces(texts: pa.Array) -> Pieces:
     flat = lists.flatten()
     encoded = flat.dictionary_encode()
     codes = np.asarray(encoded.indices).astype(np.int64)
-    distinct = [" " + piece for piece in encoded.dictionary.to_pylist()]
+    distinct = pc.binary_join_element_wise(_SPACE, encoded.dictionary, _EMPTY).to_pylist()
     # The first piece of a text has no space in front of it.
     first = flat.take(pa.array(offsets[:-1])).dictionary_encode()
     codes[offsets[:-1]] = np.asarray(first.indices).astype(np.int64) + len(distinct)

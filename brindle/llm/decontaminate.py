@@ -14,7 +14,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F
 
-from brindle.llm.arrowtext import batch, narrow, total_bytes
+from brindle.llm.arrowtext import batch, total_bytes
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = {b: b + 32 for b in range(65, 91)}
@@ -87,8 +87,9 @@ def find_contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
     shard_bytes: int = SHARD_BYTES,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(id, n_words, n_hit, item_ids, spans, contaminated)`` of every row, without a shuffle.
+    """``(id, *keep, n_words, n_hit, item_ids, spans, contaminated)`` of every row, without a shuffle.
 
     Words are matches of ``WORD`` in the text with A-Z lower-cased. A window is ``window`` consecutive words of
     an item, or a whole item that is shorter; a word inside any occurrence of a window is hit.
@@ -100,20 +101,21 @@ def find_contamination(
     benchmark becomes a chain of scans over the same rows. A null text has no words; null texts and
     wordless texts of items have no windows; an item whose id is null goes by the name "null";
     items of one id are one. Null or repeated document ids give one row each; empty tables give an
-    empty result or no hits. Other columns are dropped.
+    empty result or no hits. Columns that are not in ``keep`` are dropped.
     """
-    rows = narrow(docs, id_col, text_col)
+    own = [F.col(c).alias(f"keep{n}") for n, c in enumerate((id_col, *keep))]
+    rows = docs.select(*own, F.col(text_col).cast("string").alias("text"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     tests = items.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(item_text_col).cast("string").alias("text"))
     shards = max(1, -(-total_bytes(tests, "text") // shard_bytes))
-    kind = rows.schema["doc"].dataType.simpleString()
     ranges = "array<struct<start:long,end:long>>"
     for shard in range(shards):
         part = tests.where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == shard))
         last = shard == shards - 1
-        schema = f"doc {kind}, n_words long, n_hit long, item_ids array<string>, spans {ranges}" if last else f"doc {kind}, text string, item_ids array<string>, hits {ranges}"
+        schema = f"{kinds}, n_words long, n_hit long, item_ids array<string>, spans {ranges}" if last else f"{kinds}, text string, item_ids array<string>, hits {ranges}"
         rows = rows.mapInArrow(_scanner(part.collect(), window, last), schema)
     found = (F.col("n_hit") > 0) & (F.lit(share) * F.col("n_hit") >= F.col("n_words"))
-    return rows.select(F.col("doc").alias(id_col), "n_words", "n_hit", "item_ids", "spans", found.alias("contaminated"))
+    return rows.select(*[F.col(f"keep{n}").alias(c) for n, c in enumerate((id_col, *keep))], "n_words", "n_hit", "item_ids", "spans", found.alias("contaminated"))
 
 
 _RANGES = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -141,7 +143,7 @@ def _scanner(items: list[Row], window: int, last: bool):
                     at = [m.span() for m in WORD.finditer(text.decode().translate(_LOWER))]
                     ranges = [(at[start][0], at[end - 1][1]) for start, end in ranges]
                 hits.append([{"start": start, "end": end} for start, end in ranges])
-            kept = {"doc": part.column("doc")} | ({"n_words": pa.array(n_words, pa.int64()), "n_hit": pa.array(n_hit, pa.int64())} if last else {"text": part.column("text")})
+            kept = {c: part.column(c) for c in part.schema.names if c.startswith("keep")} | ({"n_words": pa.array(n_words, pa.int64()), "n_hit": pa.array(n_hit, pa.int64())} if last else {"text": part.column("text")})
             yield batch(kept | {"item_ids": pa.array(names, pa.list_(pa.string())), "spans" if last else "hits": pa.array(hits, _RANGES)})
 
     return scan

@@ -62,8 +62,8 @@ def _needed(n: Column, m: Column, percent: int) -> Column:
     return F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent))
 
 
-def dedup_lines(docs: DataFrame, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n_lines, n_removed, kept)`` of every row: the text without lines that match an earlier
+def dedup_lines(docs: DataFrame, percent: int = 90, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(id, *keep, n_lines, n_removed, kept, was_text)`` of every row: the text without lines that match an earlier
     line of the corpus.
 
     Lines end at ``\\n``. Two lines match when the Jaccard similarity of their sets of lower-cased
@@ -74,7 +74,8 @@ def dedup_lines(docs: DataFrame, percent: int = 90, id_col: str = "doc_id", text
     Ids are integers; a null id is smaller than all others. Rows equal in id and text are one
     document: each gets the document's result. Rows of one id and different texts are ordered by
     the hash of their text. A null text is one empty line and gives an empty ``kept``. An empty
-    table gives an empty result. Other columns are dropped. Words are compared by 55-bit hashes.
+    table gives an empty result. ``was_text`` is false where the text is null. Columns that are not
+    in ``keep`` are dropped. Words are compared by 55-bit hashes.
     """
     rows = keyed(docs, id_col, text_col)
     rarity = settle(word_counts(rows), "rarity").scalar()
@@ -112,10 +113,12 @@ def dedup_lines(docs: DataFrame, percent: int = 90, id_col: str = "doc_id", text
     rest = rest.join(close, ["x", "y"], "left_anti")
     removed = near.select("x.*").unionByName(_verified(rest, rows, rarity, percent).select("x.*")).unionByName(copies)
     gone = removed.groupBy("id", "hash").agg(F.collect_set("pos").alias("gone"))
-    out = rows.join(gone, ["id", "hash"], "left")
+    carried = docs.select(F.struct(F.col(text_col).isNotNull().alias("was_text"), *[F.col(c).alias(f"k{n}") for n, c in enumerate(keep)]).alias("carried"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    out = keyed(carried, "id", "text", "carried").join(gone, ["id", "hash"], "left")
     split = F.split("text", "\n")
     kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(split, lambda _, k: ~F.array_contains("gone", k)), "\n"))
-    return out.select(unkeyed(id_col), F.size(split).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), kept.alias("kept"))
+    others = [F.col(f"carried.k{n}").alias(c) for n, c in enumerate(keep)]
+    return out.select(unkeyed(id_col), *others, F.size(split).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), kept.alias("kept"), "carried.was_text")
 
 
 def _address_of(side: str) -> Column:

@@ -22,10 +22,10 @@ NULL_ID = -(2**63)
 GROUP_BYTES = 8 << 20
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, hash, text)``: rows equal in id and text are one document."""
+def keyed(docs: DataFrame, id_col: str, text_col: str, *carried: str) -> DataFrame:
+    """``(id, hash, text, *carried)``: rows equal in id and text are one document."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"), *carried)
 
 
 def grouped(rows: DataFrame, text_bytes: int) -> DataFrame:

@@ -27,7 +27,7 @@ MAGIC = b"WMX1"
 BLOCK = 1 << 13  # bytes of a bit-plane that are compressed together
 SHARD_TOKENS = 1 << 20
 PARTITION_BYTES = 32 << 20
-MEMO_PIECES = 350_000
+MEMO_PIECES = 700_000
 
 
 class WaveletMatrix:
@@ -69,7 +69,7 @@ class WaveletMatrix:
         pack = zstandard.ZstdCompressor(level=1)
         zeros, ranks, sizes, body = [], [], [], []
         for level in range(levels - 1, -1, -1):
-            bit = (order >> level & 1).astype(bool)
+            bit = (order & order.dtype.type(1 << level)).astype(bool)
             low = order[~bit]
             order = np.concatenate([low, order[bit]])
             zeros.append(len(low))
@@ -261,7 +261,7 @@ def write_token_files(
             seq, before, held, size = seq + 1, before + size, [], 0
             return made
 
-        for some in (part for rows in batches for part in bounded(rows, 16 << 20)):
+        for some in (part for rows in batches for part in bounded(rows, 12 << 20)):
             for start, ids, lengths in encode_texts(path, filled(some.column("text")), end_id):
                 first = at = 0
                 # Cut behind the document with which a shard is full.
