@@ -99,7 +99,7 @@ def labelled_sample(docs: DataFrame, label_col: str, per_label: int, max_rows: i
     return texts.where("label is not null").join(F.broadcast(ids), "doc", "left_semi")  # at most max_rows ids
 
 
-def train(bags: pa.Table, dim: int = 16, epochs: int = 6, rate: float = 0.5, precision: float = 0.99, seed: int = 7) -> LanguageModel:
+def train(bags: pa.Table, dim: int = 16, least_steps: int = 1500, epochs: int = 6, rate: float = 0.5, precision: float = 0.99, seed: int = 7) -> LanguageModel:
     """Fit on bags of (label, ids, counts).
 
     Four fifths are trained on. The rest gives the temperature (least log loss) and the threshold:
@@ -124,6 +124,8 @@ def train(bags: pa.Table, dim: int = 16, epochs: int = 6, rate: float = 0.5, pre
     embed = random.normal(0, 0.1, (BUCKETS, dim))
     out = random.normal(0, 0.1, (dim, len(labels)))
     bias = np.zeros(len(labels))
+    # Few rows are passed over more often.
+    epochs = max(epochs, -(-least_steps // -(-len(fit) // 16)))
     steps, step = epochs * -(-len(fit) // 16), 0
     for _ in range(epochs):
         random.shuffle(fit)
