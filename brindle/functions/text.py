@@ -96,12 +96,14 @@ def strip_tool_calls(col: Column) -> Column:
     rounds = F.when(passes > 0, F.sequence(F.lit(1), F.greatest(passes, F.lit(1)).cast("int"))).otherwise(
         F.array().cast("array<int>")
     )
-    cleaned = F.aggregate(
-        rounds,
-        col,
-        lambda text, _: F.when(F.contains(text, F.lit("</tool_call")), F.regexp_replace(text, TOOL_CALL, "")).otherwise(text),
-    )
-    return strip(cleaned)
+    # A pass that changes nothing ends the work: the later ones only look at the flag.
+    start = F.struct(col.alias("text"), F.lit(True).alias("changed"))
+
+    def clean(state: Column, _: Column) -> Column:
+        after = F.regexp_replace(state["text"], TOOL_CALL, "")
+        return F.when(state["changed"], F.transform(F.array(after), lambda t: F.struct(t.alias("text"), (t != state["text"]).alias("changed")))[0]).otherwise(state)
+
+    return strip(F.aggregate(rounds, start, clean, lambda state: state["text"]))
 
 
 def strip_boilerplate(col: Column, phrases: Sequence[str]) -> Column:

@@ -16,11 +16,11 @@ from brindle.operators.ranking import top_ranked
 CONSTANT_PREFIX = "Constant: "
 
 # `type name`, possibly with pointer stars, in front of what may follow a declared name. A
-# declaration starts a statement, or a `for` header. The words in front of the type are bounded,
-# since each repetition costs the pattern engine a stack frame.
+# declaration starts a statement, or a `for` header. The words in front of the type are one run of
+# characters, since each repetition of a group would cost the pattern engine a stack frame.
 _NAME = r"[A-Za-z_]\w*"
 _TYPED = rf"({_NAME})(\s*\*[\s*]*|\s+)({_NAME})"
-DECLARATION = rf"(?:^|[;{{}}]|\((?=[^,();]*=))\s*(?:{_NAME}\s+){{0,8}}?{_TYPED}\s*(?=[;,\[{{]|=(?!=))"
+DECLARATION = rf"(?:^|[;{{}}]|\((?=[^,();]*=))\s*(?:[A-Za-z_][\w\s]*?\s)??{_TYPED}\s*(?=[;,\[{{]|=(?!=))"
 PARAMETER = rf"{_TYPED}\s*(?:\[[^\]]*\]\s*)*$"
 # `name = right side;` with the right side only looked at, so that `a = b = c;` gives two matches.
 ASSIGNMENT = rf"\b({_NAME})\s*=(?!=)(?=\s*([^;]+);)"

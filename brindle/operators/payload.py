@@ -5,6 +5,8 @@ Everything is stateless and stays in the JVM, so the same functions serve batch
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brindle.functions.text import is_listed, last_content
@@ -18,12 +20,23 @@ TRACE_PATH = "$.{prefix}output.trace"
 LOGGED_REQUEST_PATH = "$.{prefix}output.trace.data.request.messages[0]"
 
 
-def payload_prefix(payloads: DataFrame) -> str:
-    """What stands before ``request_id`` in the name of the payload's id column."""
+def payload_id(payloads: DataFrame, id_col: str | None = None) -> str:
+    """The id column: the given one, else the only column whose name ends in ``request_id``."""
+    if id_col is not None:
+        return id_col
     names = [c for c in payloads.columns if c.endswith(REQUEST_ID)]
     if len(names) != 1:
-        raise ValueError(f"expected one column ending in {REQUEST_ID}, found {names}")
-    return names[0].removesuffix(REQUEST_ID)
+        raise ValueError(f"name the id column: {len(names)} columns end in {REQUEST_ID} ({names})")
+    return names[0]
+
+
+def payload_prefix(payloads: DataFrame, id_col: str | None = None, prefix: str | None = None) -> str:
+    """The vendor prefix of the option and output keys: the given one, else what stands before
+    ``request_id`` in the name of the id column (nothing if the name ends otherwise)."""
+    if prefix is not None:
+        return prefix
+    name = payload_id(payloads, id_col)
+    return name.removesuffix(REQUEST_ID) if name.endswith(REQUEST_ID) else ""
 
 
 def successful_payloads(payloads: DataFrame) -> DataFrame:
@@ -46,13 +59,13 @@ def parse_trace(response: Column, prefix: str = "") -> Column:
     return F.from_json(F.get_json_object(response, TRACE_PATH.format(prefix=prefix)), S.TRACE)
 
 
-def unpack_requests(requests: DataFrame) -> DataFrame:
+def unpack_requests(requests: DataFrame, id_col: str | None = None, prefix: str | None = None) -> DataFrame:
     """``request``, ``trace`` and ``output`` structs of the request log."""
-    prefix = payload_prefix(requests)
+    prefix = payload_prefix(requests, id_col, prefix)
     # The message list is parsed once and used twice.
     parsed = requests.withColumn("messages", F.from_json(F.get_json_object("request", "$.messages"), S.MESSAGES))
     request = F.struct(
-        F.col(prefix + REQUEST_ID).alias("request_id"),
+        F.col(payload_id(requests, id_col)).alias("request_id"),
         F.get_json_object("request", CONVERSATION_PATH.format(prefix=prefix)).alias("conversation_id"),
         "timestamp",
         "messages",
@@ -112,17 +125,19 @@ def unpack_assessments(assessments: DataFrame) -> DataFrame:
     )
 
 
-def unpack_and_split_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(request log, assessment log)`` of a payload table."""
+def unpack_and_split_payloads(payloads: DataFrame, id_col: str | None = None, prefix: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(request log, assessment log)`` of a payload table. Serving logs may hold several ids:
+    ``id_col`` names the one to use, ``prefix`` the vendor prefix if that name does not show it."""
     requests, assessments = split_payloads(successful_payloads(payloads))
-    return unpack_requests(requests), unpack_assessments(assessments)
+    return unpack_requests(requests, id_col, prefix), unpack_assessments(assessments)
 
 
-def message_pairs(payloads: DataFrame) -> DataFrame:
-    """``[request message, response message]`` of every payload that has both."""
-    asked = F.get_json_object("response", LOGGED_REQUEST_PATH.format(prefix=payload_prefix(payloads)))
+def message_pairs(payloads: DataFrame, keep: Sequence[str] = (), id_col: str | None = None, prefix: str | None = None) -> DataFrame:
+    """``[request message, response message]`` of every payload that has both, with the columns
+    ``keep``."""
+    asked = F.get_json_object("response", LOGGED_REQUEST_PATH.format(prefix=payload_prefix(payloads, id_col, prefix)))
     answered = F.get_json_object("response", "$.choices[0].message")
-    return payloads.filter(asked.isNotNull() & answered.isNotNull()).select(F.array(asked, answered).alias("messages"))
+    return payloads.filter(asked.isNotNull() & answered.isNotNull()).select(*keep, F.array(asked, answered).alias("messages"))
 
 
 def first_context_uri(df: DataFrame, evaluation_round: str, col: str = "expected_retrieved_context") -> DataFrame:

@@ -130,10 +130,12 @@ def first_rows(df: DataFrame, order: Sequence[str | Column], k: int, total: int
 
 
 def shortest(df: DataFrame, col: str, n: int, key: str) -> DataFrame:
-    """The n rows with the shortest text; ties by ``key``."""
+    """The n rows with the shortest text, in order; ties by ``key``. A limit larger than
+    ``SMALL_LIMIT`` is not kept in one task; the rows are the same."""
+    order = [F.length(col), F.col(key)]
     if n <= SMALL_LIMIT:
-        return df.orderBy(F.length(col), key).limit(n)
-    return first_rows(df, [F.length(col), key], n)[0]
+        return df.orderBy(*order).limit(n)
+    return first_rows(df, order, n)[0].orderBy(*order)
 
 
 def all_but_longest(df: DataFrame, col: str, n: int, key: str, drop: str = "longest") -> DataFrame:

@@ -63,7 +63,8 @@ def retrieve_topk(
     size = asked.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("vector")).alias("floats")).first()
     kind = asked.schema["query_id"].dataType.simpleString(), stored.schema["corpus_id"].dataType.simpleString()
     schema = f"query_id {kind[0]}, corpus_id {kind[1]}, score double"
-    if (size.floats or 0) <= broadcast_floats:
+    # Rows count too: vectors may be empty.
+    if (size.floats or 0) + size.rows <= broadcast_floats:
         hits = _against_broadcast(asked, stored, k, schema)
     else:
         hits = _block_by_block(asked, stored, k, schema, size.rows, block_rows)

@@ -8,7 +8,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brindle.functions.text import says_yes
-from brindle.operators.ranking import SMALL_LIMIT
 from brindle.session import settle
 
 Judge = Callable[[Sequence[str], Sequence[str]], Sequence[str]]
@@ -124,8 +123,6 @@ def select_demos(
 
     ``order`` identifies the rows and decides which come first.
     """
-    if n_labeled > SMALL_LIMIT:
-        raise ValueError(f"more than {SMALL_LIMIT} examples do not fit into a prompt")
     scored = settle(scored, "scored")  # read twice; a model's scores must not change in between
     passing = scored.filter(F.col(score) > threshold).orderBy(order).limit(n_boot).withColumn("kind", F.lit("bootstrapped"))
     labeled = scored.join(passing.select(order), order, "left_anti").orderBy(order).limit(n_labeled)

@@ -20,14 +20,19 @@ def train_classifier(
     test: float = 0.3,
     seed: int = 42,
     kind: str = "forest",
+    key: str | None = None,
     **settings,
 ) -> tuple[PipelineModel, DataFrame]:
-    """``(model, test rows)`` of a multi-class fit on a seeded split.
+    """``(model, test rows)`` of a multi-class fit on a split by a hash of ``key`` (default: of the
+    features), so that it depends on the rows alone and not on their partitions.
 
     ``kind`` is ``forest`` (tree ensemble) or ``logistic`` (multinomial); both give a probability
     per class, which boosted trees in Spark do not for more than two classes.
     """
-    train, held_out = df.select(*features, label).randomSplit([1 - test, test], seed=seed)
+    own = [F.col(key).cast("string")] if key else [F.col(c).cast("string") for c in features]
+    part = F.pmod(F.crc32(F.concat_ws(",", F.lit(str(seed)), *own).cast("binary")), F.lit(1000))
+    columns = [*([key] if key else []), *features, label]
+    train, held_out = (df.where(side).select(*columns) for side in (part >= round(1000 * test), part < round(1000 * test)))
     if kind == "forest":
         fit = RandomForestClassifier(seed=seed, labelCol="__label", featuresCol="__features", **settings)
     elif kind == "logistic":

@@ -94,7 +94,9 @@ def _(spark, sf_dir):
 
 @catalog.add("global_average", "SELECT round(avg(l_quantity), 6) AS average FROM lineitem")
 def _(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").agg(F.round(F.avg("l_quantity"), 6).alias("average"))
+    lines = _lineitem(spark, sf_dir, "l_quantity")
+    average = g.global_average(lines, "l_quantity")
+    return lines.limit(1).select(F.round(average, 6).alias("average"))
 
 
 _SQRT_SQL = f"SELECT {_ROW_SQL}, round(sqrt(l_extendedprice), 6) AS sqrt_reading FROM lineitem"

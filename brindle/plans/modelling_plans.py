@@ -69,23 +69,24 @@ def _(spark, sf_dir):
     return fc.grid_search(_series(spark, sf_dir), ["user_id"], ["ts", "event_id"], "value")[0]
 
 
+_SENSORS = [f"sensor{i + 1}" for i in range(64)]
+
+
 def _features(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
-    sensors = [F.col("embedding")[i].alias(f"sensor{i + 1}") for i in range(3)]
+    sensors = [F.col("embedding")[i].alias(name) for i, name in enumerate(_SENSORS)]
     return vectors.select("vec_id", *sensors, F.concat(F.lit("class"), "label").alias("result"))
 
 
 @catalog.add("train_classifier")
 def _(spark, sf_dir):
-    sensors = ["sensor1", "sensor2", "sensor3"]
-    model, held_out = scoring.train_classifier(_features(spark, sf_dir), sensors, "result", numTrees=10, maxDepth=4)
+    model, held_out = scoring.train_classifier(_features(spark, sf_dir), _SENSORS, "result", key="vec_id", numTrees=10, maxDepth=4)
     top = scoring.score_topn(held_out, model, 1)
     return top.agg(F.count(F.lit(1)).alias("rows"), F.avg((F.col("result") == F.col("predicted_class_1")).cast("int")).alias("accuracy"))
 
 
 @catalog.add("score_topn")
 def _(spark, sf_dir):
-    sensors = ["sensor1", "sensor2", "sensor3"]
     features = _features(spark, sf_dir)
-    model, _ = scoring.train_classifier(features, sensors, "result", kind="logistic", maxIter=10)
+    model, _ = scoring.train_classifier(features, _SENSORS, "result", key="vec_id", kind="logistic", maxIter=10)
     return scoring.score_topn(features, model, 3)

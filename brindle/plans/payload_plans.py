@@ -233,37 +233,39 @@ def _(spark, sf_dir):
 
 @catalog.add(
     "message_pairs",
-    """SELECT conv_id, turn, role AS asked_role, text AS asked, 'assistant' AS answered_role, upper(role) AS answered
+    f"""SELECT {_ID} AS request_id, role AS asked_role, text AS asked, 'assistant' AS answered_role, upper(role) AS answered
        FROM conversations WHERE role <> 'system'""",
 )
 def _(spark, sf_dir):
-    payloads = chat_payloads(spark, sf_dir)
-    pairs = p.message_pairs(payloads.select("request_id", "response"))
-    # The pair holds no id; the logged ids are joined back only through the text for the check.
-    parsed = pairs.select(F.transform("messages", lambda m: F.from_json(m, "role string, content string")).alias("m"))
-    asked = parsed.select(
+    pairs = p.message_pairs(chat_payloads(spark, sf_dir), keep=["request_id"])
+    parsed = pairs.select("request_id", F.transform("messages", lambda m: F.from_json(m, "role string, content string")).alias("m"))
+    return parsed.select(
+        "request_id",
         F.col("m")[0]["role"].alias("asked_role"),
         F.col("m")[0]["content"].alias("asked"),
         F.col("m")[1]["role"].alias("answered_role"),
         F.col("m")[1]["content"].alias("answered"),
     )
-    turns = table(spark, sf_dir, "conversations")
-    same = (asked.asked_role == turns.role) & (asked.asked == turns.text)
-    return asked.distinct().join(turns, same).select("conv_id", "turn", *asked.columns)
-
-
-def _eval_rows(spark, sf_dir):
-    """Judged answers: one per labelled document, with a numbered list in two of three."""
-    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
-    yes = lambda c: F.when(c, "yes").otherwise("no")
-    return docs.select(
-        "doc_id",
-        F.array(F.struct(F.col("source").alias("doc_uri"))).alias("expected_retrieved_context"),
-        F.substring("text", 1, 40).alias("request"),
-        F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit("1. a 2. b "), "text")).otherwise(F.col("text")).alias("response"),
-        yes(F.col("quality") == 1).alias("response/judged/correctness/rating"),
-        yes(F.col("toxic") == 0).alias("response/judged/safety/rating"),
+
+
+@catalog.add(
+    "unpack_requests_two_ids",
+    f"""SELECT {_ID} AS request_id, 'c' || conv_id AS conversation_id, text AS last_input, 'v1' AS app_version_id
+        FROM conversations WHERE {_OK} AND role <> 'system'""",
+)
+def _(spark, sf_dir):
+    """A table with a vendor's id, keys with its prefix, and a client's id beside it."""
+    own = chat_payloads(spark, sf_dir)
+    served = own.select(
+        F.col("request_id").alias("vendor_request_id"),
+        F.md5("request_id").alias("client_request_id"),
+        "status_code",
+        "timestamp_ms",
+        F.replace("request", F.lit('"options":'), F.lit('"vendor_options":')).alias("request"),
+        F.replace("response", F.lit('"output":'), F.lit('"vendor_output":')).alias("response"),
     )
+    log, _ = p.unpack_and_split_payloads(served, id_col="vendor_request_id")
+    return log.select("request.request_id", "request.conversation_id", "request.last_input", "trace.app_version_id")
 
 
 @catalog.add(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from brindle.plans.base import Catalog, table
@@ -22,8 +24,7 @@ def _(spark, sf_dir):
 @catalog.add("table_round_trip", "SELECT o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS o_orderstatus, o_custkey FROM orders")
 def _(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    name = "brindle_orders"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    name = f"brindle_orders_{uuid.uuid4().hex}"  # runs on one metastore do not meet
     src.write_table(orders.select("o_orderkey", "o_totalprice", "o_orderstatus"), name, path=shared_path(spark, "orders"))
     # The second write adds a column and lacks one; the merged schema has both.
     merged = orders.select("o_orderkey", "o_totalprice", "o_custkey")
