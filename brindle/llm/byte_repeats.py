@@ -22,7 +22,8 @@ from brindle.llm.arrowtext import filled, total_bytes
 from brindle.llm.repeats import SENT, answers, as_table, from_blobs, grouped, keyed, mix, reduced, repeated_runs, scattered, unkeyed, with_answers
 from brindle.session import settle
 
-BUCKET_BYTES = 24 << 20  # text bytes behind one bucket of either shuffle
+BUCKET_BYTES = 24 << 20  # text bytes behind one bucket of runs
+INDEX_BYTES = 2 << 20  # and behind one index, which takes some 120 bytes of memory for each of its own
 SLICE_BYTES = 1 << 19
 _BYTE_HASHES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -50,7 +51,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     for k in range(width):
         key = key << 9
         key[: n - k] |= symbols[k:]
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     sorted_key = key[order]
     begins = np.append(True, sorted_key[1:] != sorted_key[:-1])
     place = np.flatnonzero(begins)
@@ -65,7 +66,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
         members = order[tied]
         follow = rank[np.minimum(members + width, n)]
         group = rank[members]
-        again = np.lexsort((follow, group))
+        again = np.argsort(group * (n + 1) + follow + 1)
         members, group, follow = members[again], group[again], follow[again]
         order[tied] = members
         fresh = np.append(True, (group[1:] != group[:-1]) | (follow[1:] != follow[:-1]))
@@ -171,8 +172,8 @@ def remove_repeats(docs: DataFrame, window: int = 400, gram: int = 128, id_col:
     """
     text_bytes = total_bytes(docs, text_col)
     rows = grouped(keyed(docs, id_col, text_col), text_bytes)
-    buckets = max(1, -(-text_bytes // BUCKET_BYTES))
-    found = settle(repeated_runs(rows, byte_units, gram, window, buckets), "runs")
+    indexes = max(1, -(-text_bytes // INDEX_BYTES))
+    found = settle(repeated_runs(rows, byte_units, gram, window, max(1, -(-text_bytes // BUCKET_BYTES))), "runs")
 
     def segments(g: int, docs: pa.Table, runs: dict[str, np.ndarray], owner: np.ndarray) -> pa.Table:
         out: list[pa.RecordBatch] = []
@@ -199,7 +200,7 @@ def remove_repeats(docs: DataFrame, window: int = 400, gram: int = 128, id_col:
                 "several": np.array([m for _, _, _, m in firsts]),
                 "segment": np.array([s for _, s, _, _ in firsts], dtype=object),
             }
-            out += scattered(columns, (columns["value"] % np.uint64(buckets)).astype(np.int64), buckets)
+            out += scattered(columns, (columns["value"] % np.uint64(indexes)).astype(np.int64), indexes)
         return as_table(out)
 
     def index(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
