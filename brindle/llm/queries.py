@@ -116,7 +116,26 @@ def _(spark, sf_dir):
     return ball_trees.exact_topk(rows, F.pmod("vec_id", F.lit(20)) == 0)
 
 
-@catalog.add("op8_line_dedup")
+_LINES = r"""
+WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+     l AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS pos, unnest(ls) AS line FROM docs),
+     t AS (SELECT doc_id, pos, line, list_sort(list_distinct([x FOR x IN regexp_split_to_array(lower(line), '[ \t\r\f\x0B]+') IF x <> ''])) AS s FROM l),
+     sets AS (SELECT s, len(s) AS n, min((doc_id, pos)) AS first, row_number() OVER () AS k FROM t WHERE len(s) > 0 GROUP BY s),
+     tok AS (SELECT k, n, unnest(s) AS w FROM sets),
+     freq AS (SELECT w, count(*) AS f FROM tok GROUP BY w),
+     pre AS (SELECT k, n, w FROM (SELECT k, n, w, row_number() OVER (PARTITION BY k ORDER BY f, w) AS r FROM tok JOIN freq USING (w))
+             WHERE r <= n - ceil(90 * n / 100.0) + 1),
+     cand AS (SELECT DISTINCT a.k AS x, b.k AS y FROM pre a JOIN pre b ON a.w = b.w AND a.k <> b.k AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)),
+     near AS (SELECT DISTINCT x FROM cand JOIN sets a ON a.k = x JOIN sets b ON b.k = y
+              WHERE b.first < a.first AND 100 * len(list_intersect(a.s, b.s)) >= 90 * (a.n + b.n - len(list_intersect(a.s, b.s)))),
+     judged AS (SELECT doc_id, pos, line, sets.k IS NOT NULL AND ((doc_id, pos) <> sets.first OR near.x IS NOT NULL) AS gone
+                FROM t LEFT JOIN sets USING (s) LEFT JOIN near ON near.x = sets.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+@catalog.add("op8_line_dedup", _LINES)
 def _(spark, sf_dir):
     found = lines.dedup_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
