@@ -4,9 +4,10 @@ Two sets with a Jaccard similarity of the threshold differ in at most ``k`` elem
 following from their sizes. The feature domain is partitioned into groups of cells, as many as are
 needed for some group to hold few differences, and signatures are enumerated over the subsets of a
 group's cells that leave out that many: sufficiently similar sets of one size band share one. Equal
-sets are one class and are never paired. Classes that share a signature are first paired with the
-least of them only; pairs between what is then still different components are checked in a second
-round, so that no link is lost and no pairs inside a component are made.
+sets are one class and are never paired. Classes that share a signature are first paired with one of
+them only, the one nearest to most. What is then still different components is checked in a second
+round, block against block, by sizes and sketches first: no link is lost and no pair inside a
+component is made.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from brindle.llm.substring import word_hashes
 from brindle.session import settle
 
 BUCKET_BYTES = 32 << 20  # text bytes behind one bucket of signatures
-SKETCH = 64
+SKETCH = 128
+BLOCK = 512
 PAIRS_OF_A_TASK = 256
 _SALT = np.uint64(0xA24BAED4963EE407)
 
@@ -147,7 +149,7 @@ def sketches(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Elements of each set by coarse cell: the counts of two sets differ in sum by no more than the
     sets differ."""
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    cell = (mix(hashes + np.uint64(1)) >> np.uint64(58)).astype(np.int64)
+    cell = (mix(hashes + np.uint64(1)) >> np.uint64(57)).astype(np.int64)
     return np.bincount(owner * SKETCH + cell, minlength=(len(offsets) - 1) * SKETCH).reshape(-1, SKETCH)
 
 
@@ -181,16 +183,20 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     classes = signed.where("sig is null and n > 0").groupBy(F.col("member").alias("class")).agg(F.min(F.struct("id", "hash")).alias("row"), F.min("n").alias("n"), F.min_by("sketch", F.struct("id", "hash")).alias("sketch"))
     classes = settle(classes, "classes")
     shared = signed.where("sig is not null").select("sig", "leader", "member")
-    first = settle(shared.select(F.col("leader").alias("a"), F.col("member").alias("b")).where("a != b").distinct(), "pairs")
-    links = settle(_verified(first, classes, rows, words, percent), "links")
-    labels = components(links)
-    # Signatures whose classes are not yet one component: pairs between the components.
     ends = shared.select("sig", F.col("leader").alias("class")).unionByName(shared.select("sig", F.col("member").alias("class"))).distinct()
-    placed = ends.join(labels.withColumnRenamed("node", "class"), "class", "left").select("sig", "class", F.coalesce("component", "class").alias("component"))
+    # The class of most shared signatures is nearest to the others: it leads where it occurs.
+    weight = ends.groupBy("class").agg(F.count("*").alias("weight"))
+    ends = settle(ends.join(weight, "class"), "ends")
+    leads = ends.groupBy("sig").agg(F.max(F.struct("weight", "class")).alias("lead")).select("sig", F.col("lead.class").alias("lead"))
+    led = settle(ends.join(leads, "sig").select("sig", "class", "lead"), "led")
+    first = settle(led.where("class != lead").select(F.col("lead").alias("a"), F.col("class").alias("b")).distinct(), "pairs")
+    links = settle(_verified(first, classes, rows, words, percent), "links")
+    labels = settle(components(links), "labels")
+    # Signatures whose classes are not yet one component hold the pairs still to be checked.
+    placed = led.join(labels.withColumnRenamed("node", "class"), "class", "left").select("sig", "class", "lead", F.coalesce("component", "class").alias("component"))
     mixed = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("sig")
-    parts = settle(placed.join(mixed, "sig"), "mixed")
-    other = parts.select("sig", F.col("class").alias("b"), F.col("component").alias("to"))
-    across = parts.withColumnRenamed("class", "a").join(other, "sig").where("component != to and a < b").select("a", "b").distinct()
+    open_ = placed.join(mixed, "sig").where("class != lead").select(F.col("lead").alias("a"), F.col("class").alias("b"))
+    across = _across(components(open_), labels, classes, percent)
     across = across.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     more = settle(_verified(across, classes, rows, words, percent), "links")
     links = links.unionByName(more)
@@ -212,6 +218,42 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     )
 
 
+def _across(regions: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a < b`` of classes of one region (connected by open signatures) but different
+    components whose sizes and sketches allow a link.
+
+    Regions are cut into blocks of ``BLOCK`` classes, and every two blocks meet in a task of their
+    own: what is tested grows with the square of a region, what is sent with its number of blocks,
+    and only pairs that pass are ever made.
+    """
+    blocks = regions.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    members = regions.join(blocks, "component").select(F.col("node").alias("class"), F.col("component").alias("region"), "blocks")
+    known = members.join(classes.select("class", "n", "sketch"), "class").join(labels.withColumnRenamed("node", "class"), "class", "left")
+    block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+    known = known.select("region", "class", F.coalesce("component", "class").alias("component"), "n", "sketch", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = known.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+
+    def test(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        names_ = np.array(table["class"].to_pylist(), dtype=object)
+        component = np.unique(np.array(table["component"].to_pylist(), dtype=object), return_inverse=True)[1]
+        n, block = table["n"].to_numpy(), table["block"].to_numpy()
+        sketch = np.asarray(table["sketch"].combine_chunks().flatten()).reshape(len(n), SKETCH)
+        sketch = np.minimum(sketch, np.iinfo(np.int16).max // 2).astype(np.int16)  # never further apart than the counts
+        one = table["low"][0].as_py() == table["high"][0].as_py()
+        left, right = [], []
+        for k in range(len(n)):
+            others = np.flatnonzero((component != component[k]) & (100 * np.minimum(n, n[k]) >= percent * np.maximum(n, n[k])) & ((block > block[k]) | one))
+            others = others[others > k] if one else others
+            apart = np.abs(sketch[others] - sketch[k]).sum(axis=1, dtype=np.int64)
+            others = others[(100 + percent) * apart <= (100 - percent) * (n[others] + n[k])]
+            left += [min(names_[k], names_[x]) for x in others]
+            right += [max(names_[k], names_[x]) for x in others]
+        return pa.table({"a": pa.array(left, pa.binary()), "b": pa.array(right, pa.binary())})
+
+    return dealt.groupBy("region", "low", "high").applyInArrow(test, "a binary, b binary")
+
+
 def _least_of_null(sets: DataFrame, known: DataFrame) -> DataFrame:
     """Least true ids of the classes whose representative row has a null id."""
     lost = known.where(F.col("row.id") == F.lit(-(2**63))).select("class", "component")
