@@ -52,10 +52,8 @@ def _(spark, sf_dir):
 @catalog.add("op3_sampled_pieces")
 def _(spark, sf_dir):
     path = public_tokenizers.path("piece_bpe_32k.model")
-    docs = table(spark, sf_dir, "documents")
-    encoded = sampled_pieces.encode_sampled(docs.select("doc_id", "text"), path)
-    decoded = sampled_pieces.decode_sampled(encoded, path, keep=("ids",))
-    return decoded.select(
+    both = sampled_pieces.encode_sampled(table(spark, sf_dir, "documents"), path, decode=True)
+    return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_pieces"),
         F.crc32(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")).alias("ids_crc32"),

@@ -24,6 +24,7 @@ MARK = "▁"
 # Stands for a literal MARK of a text, which must not decode to a space; no valid text holds it.
 _LITERAL = "\ud800"
 _END = (1 << 21) - 1
+SLICE_BYTES = 3 << 20  # of text that are sampled at a time
 LATTICES = 50_000  # distinct pieces of text whose lattices stand at a time
 
 
@@ -229,8 +230,25 @@ def sample_texts(model: PieceModel, texts: pa.Array, keys: np.ndarray, alpha: fl
     return out, sums(lengths, cut.offsets)
 
 
-def encode_sampled(docs: DataFrame, path: str, seed: int = 0, alpha: float = 1.0, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:
-    """``(id, ids)`` of every row: one sampled segmentation of the whole text.
+def texts_of(lists: pa.ListArray, table: pa.Array) -> pa.Array:
+    """The texts of sequences of ids: the bytes that the pieces stand for, without the first one,
+    which is the space of the first mark. Null stays null."""
+    spelled = table.take(lists.flatten())
+    # The bytes of all pieces lie one behind another already.
+    ends = np.concatenate([[0], np.cumsum(np.asarray(pc.binary_length(spelled)).astype(np.int64))])
+    bounds = ends[np.asarray(lists.offsets) - np.asarray(lists.offsets)[0]]
+    filled_rows = bounds[1:] > bounds[:-1]
+    data = np.delete(np.frombuffer(spelled.buffers()[2] or b"", np.uint8)[: ends[-1]], bounds[:-1][filled_rows])
+    bounds = bounds - np.concatenate([[0], np.cumsum(filled_rows)])
+    text = pa.Array.from_buffers(pa.large_string(), len(lists), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+    return pc.if_else(pc.is_valid(lists), text, pa.scalar(None, pa.large_string())).cast(pa.string())
+
+
+def encode_sampled(
+    docs: DataFrame, path: str, seed: int = 0, alpha: float = 1.0, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None, decode: bool = False
+) -> DataFrame:
+    """``(id, ids)`` of every row: one sampled segmentation of the whole text; with ``decode`` also
+    ``text``, decoded from the ids in the same task.
 
     ``key`` (default: the id) seeds a row together with ``seed``; rows of one key and text get one
     segmentation, also where ids repeat or are null. A null or empty text gives one space mark or, if
@@ -243,14 +261,13 @@ def encode_sampled(docs: DataFrame, path: str, seed: int = 0, alpha: float = 1.0
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
-        for part in batches:
-            for some in bounded(part, 5 << 20):
-                keys = np.asarray(some.column("key")).view(np.uint64)
-                ids, lengths = sample_texts(model, filled(some.column("text")), keys, alpha)
-                offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
-                yield batch({"doc": some.column("doc"), "ids": pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))})
+        for some in (part for whole in batches for part in bounded(whole, SLICE_BYTES)):
+            keys = np.asarray(some.column("key")).view(np.uint64)
+            ids, lengths = sample_texts(model, filled(some.column("text")), keys, alpha)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(ids, pa.int32()))
+            yield batch({"doc": some.column("doc"), "ids": lists} | ({"text": texts_of(lists, surfaces(path))} if decode else {}))
 
-    return rows.mapInArrow(encode, f"doc {kind}, ids array<int>").withColumnRenamed("doc", id_col)
+    return rows.mapInArrow(encode, f"doc {kind}, ids array<int>" + ", text string" * decode).withColumnRenamed("doc", id_col)
 
 
 def decode_sampled(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -259,19 +276,8 @@ def decode_sampled(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_co
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = surfaces(path)
         for part in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
-            lists = part.column("piece_ids")
-            spelled = table.take(lists.flatten())
-            # The bytes of the pieces lie one behind another already: without the first byte of each
-            # row, which is the space of the first mark, they are the texts.
-            ends = np.concatenate([[0], np.cumsum(np.asarray(pc.binary_length(spelled)).astype(np.int64))])
-            bounds = ends[np.asarray(lists.offsets) - np.asarray(lists.offsets)[0]]
-            filled_rows = bounds[1:] > bounds[:-1]
-            data = np.delete(np.frombuffer(spelled.buffers()[2] or b"", np.uint8)[: ends[-1]], bounds[:-1][filled_rows])
-            bounds = bounds - np.concatenate([[0], np.cumsum(filled_rows)])
-            text = pa.Array.from_buffers(pa.large_string(), len(lists), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
-            text = pc.if_else(pc.is_valid(lists), text, pa.scalar(None, pa.large_string()))
-            yield batch({name: part.column(name) for name in part.schema.names[:-1]} | {"text": text.cast(pa.string())})
+            own = {name: part.column(name) for name in part.schema.names[:-1]}
+            yield batch(own | {"text": texts_of(part.column("piece_ids"), surfaces(path))})
 
     return rows.mapInArrow(decode, f"{kinds}, text string").withColumnRenamed("doc", id_col)
