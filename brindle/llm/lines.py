@@ -10,7 +10,7 @@ lines is left to the lines for which that finds nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brindle.llm.repeats import keyed, unkeyed
 from brindle.session import settle
@@ -19,6 +19,7 @@ BUCKETS = 1 << 16  # of the word counts that tokens are ordered by; fixed, whate
 HASH_BITS = 55
 # A token with 2**PART_SHIFT occurrences or more has its lines dealt out to several parts.
 PART_SHIFT = 16
+LAGS = 3
 _ADDRESS = ("id", "hash", "pos")
 
 
@@ -63,7 +64,7 @@ def _needed(n: Column, m: Column, percent: int) -> Column:
 
 
 def dedup_lines(docs: DataFrame, percent: int = 90, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(id, *keep, n_lines, n_removed, kept, was_text)`` of every row: the text without lines that match an earlier
+    """``(id, *keep, n_lines, n_removed, kept)`` of every row: the text without lines that match an earlier
     line of the corpus.
 
     Lines end at ``\\n``. Two lines match when the Jaccard similarity of their sets of lower-cased
@@ -74,8 +75,8 @@ def dedup_lines(docs: DataFrame, percent: int = 90, id_col: str = "doc_id", text
     Ids are integers; a null id is smaller than all others. Rows equal in id and text are one
     document: each gets the document's result. Rows of one id and different texts are ordered by
     the hash of their text. A null text is one empty line and gives an empty ``kept``. An empty
-    table gives an empty result. ``was_text`` is false where the text is null. Columns that are not
-    in ``keep`` are dropped. Words are compared by 55-bit hashes.
+    table gives an empty result. Columns that are not in ``keep`` are dropped; with ``keep`` there is also
+    ``was_text``, false where the text is null. Words are compared by 55-bit hashes.
     """
     rows = keyed(docs, id_col, text_col)
     rarity = settle(word_counts(rows), "rarity").scalar()
@@ -83,42 +84,51 @@ def dedup_lines(docs: DataFrame, percent: int = 90, id_col: str = "doc_id", text
     lines = _exploded(rows).withColumn("rarity", rarity).select(*_ADDRESS, tokens.alias("tokens")).where(F.size("tokens") > 0)
     n = F.size("tokens")
     prefix = n - F.ceil(F.lit(percent) * n / 100).cast("int") + 1
-    lines = lines.select(*_ADDRESS, F.xxhash64("tokens").alias("key"), n.alias("n"), F.slice("tokens", 1, prefix).alias("prefix"))
+    lines = lines.select(*_ADDRESS, F.xxhash64("tokens").alias("key"), n.alias("n"), _parity("tokens").alias("p"), F.slice("tokens", 1, prefix).alias("prefix"))
     lines = settle(lines, "lines")
     address = F.struct(*_ADDRESS)
     # Equal sets: the first line stays for now, the others go. Most sets occur once and need no row.
     equal = lines.groupBy("key", "n", F.get("prefix", F.lit(0)).alias("t0")).agg(F.min(address).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
     marked = lines.withColumn("t0", F.get("prefix", F.lit(0))).join(equal, ["key", "n", "t0"], "left").withColumn("is_first", F.col("first").isNull() | (F.col("first") == address))
-    marked = settle(marked.select(*_ADDRESS, "n", "is_first", "prefix"), "lines")
+    marked = settle(marked.select(*_ADDRESS, "n", "p", "is_first", "prefix"), "lines")
     copies = marked.where("not is_first").select(*_ADDRESS)
     # One row per line and prefix token; lines of a frequent token lie in several parts.
     parts = F.greatest(F.lit(1), F.shiftright(F.expr(f"shiftleft(1L, cast(shiftright(t, {HASH_BITS}) / 2 as int))"), PART_SHIFT)).cast("long")
-    spread = marked.where("is_first").select("id", "hash", "pos", "n", F.posexplode("prefix").alias("i", "t"))
+    spread = marked.where("is_first").select("id", "hash", "pos", "n", "p", F.posexplode("prefix").alias("i", "t"))
     spread = spread.withColumn("part", F.pmod("hash", parts).cast("int"))
-    held = spread.select("t", "part", F.struct("id", "hash", "pos", "n", "i").alias("x")).repartition("t", "part")
+    held = spread.select("t", "part", F.struct("id", "hash", "pos", "n", "p", "i").alias("x")).repartition("t", "part")
     leads = held.groupBy("t", "part").agg(F.min("x").alias("y"), F.count("*").alias("c")).where((F.col("c") > 1) | (parts > 1))
     met = settle(held.join(leads, ["t", "part"]).select("t", "part", "x", "y"), "met")
-    close = met.where(_may_match(F.col("x"), F.col("y"), percent) & (F.col("x") != F.col("y"))).select(_at("x"), _at("y")).distinct()
     # Earliest lines of the parts of one token meet in a second star.
     heads = met.select("t", "part", F.col("y").alias("x")).distinct()
     tops = heads.groupBy("t").agg(F.min("x").alias("y"), F.count("*").alias("c")).where("c > 1")
-    close = close.unionByName(heads.join(tops, "t").where(_may_match(F.col("x"), F.col("y"), percent) & (F.col("x") != F.col("y"))).select(_at("x"), _at("y"))).distinct()
+    # Where the earliest line is none of the common ones, one of the lines just before may be.
+    by_line = Window.partitionBy("t", "part").orderBy("x")
+    before = met.select("x", F.array(*[F.lag("x", k).over(by_line) for k in range(1, LAGS + 1)]).alias("ys")).select("x", F.explode("ys").alias("y"))
+    star = met.select("x", "y").unionByName(heads.join(tops, "t").select("x", "y")).unionByName(before)
+    close = settle(star.where(_may_match(F.col("x"), F.col("y"), percent) & (_address_of("y") < _address_of("x"))).select(_at("x"), _at("y")).distinct(), "close")
     near = settle(_verified(close, rows, rarity, percent), "near")
     # What is left meets all earlier lines of its tokens, part by part.
-    left = met.where(F.col("x") != F.col("y")).unionByName(heads.select("t", "part", "x", F.lit(None).cast(met.schema["y"].dataType).alias("y")))
+    left = met.select("t", "part", "x").distinct()
     open_ = left.select("t", "part", "x", _at("x").alias("at")).join(near.select(F.col("x").alias("at")), "at", "left_anti").select("t", "part", "x")
     everywhere = open_.withColumn("part", F.explode(F.sequence(F.lit(0), parts.cast("int") - 1)))
     earlier = met.select("t", "part", F.col("x").alias("y"))
     rest = everywhere.join(earlier, ["t", "part"]).where((_address_of("y") < _address_of("x")) & _may_match(F.col("x"), F.col("y"), percent)).select(_at("x"), _at("y")).distinct()
-    rest = rest.join(close, ["x", "y"], "left_anti")
+    rest = settle(rest.join(close, ["x", "y"], "left_anti"), "rest")
     removed = near.select("x.*").unionByName(_verified(rest, rows, rarity, percent).select("x.*")).unionByName(copies)
     gone = removed.groupBy("id", "hash").agg(F.collect_set("pos").alias("gone"))
-    carried = docs.select(F.struct(F.col(text_col).isNotNull().alias("was_text"), *[F.col(c).alias(f"k{n}") for n, c in enumerate(keep)]).alias("carried"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    out = keyed(carried, "id", "text", "carried").join(gone, ["id", "hash"], "left")
+    # The texts are dealt out by document for the verification and here: without carried columns
+    # that is one shuffle.
+    whole = rows
+    if keep:
+        carried = F.struct(F.col(text_col).isNotNull().alias("was_text"), *[F.col(c).alias(f"k{n}") for n, c in enumerate(keep)])
+        whole = keyed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), carried.alias("carried")), "id", "text", "carried")
+    out = whole.join(gone, ["id", "hash"], "left")
     split = F.split("text", "\n")
     kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.filter(split, lambda _, k: ~F.array_contains("gone", k)), "\n"))
     others = [F.col(f"carried.k{n}").alias(c) for n, c in enumerate(keep)]
-    return out.select(unkeyed(id_col), *others, F.size(split).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), kept.alias("kept"), "carried.was_text")
+    was_text = ["carried.was_text"] if keep else []
+    return out.select(unkeyed(id_col), *others, F.size(split).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), kept.alias("kept"), *was_text)
 
 
 def _address_of(side: str) -> Column:
@@ -130,10 +140,18 @@ def _at(side: str) -> Column:
 
 
 def _may_match(x: Column, y: Column, percent: int) -> Column:
-    """Length and positional filter for a common prefix token at the places ``i``."""
+    """Length and positional filter for a common prefix token at the places ``i``, and the parities:
+    sets differ in no fewer tokens than their parities differ in bits."""
     n, m = x["n"], y["n"]
     longest = F.least(x["i"], y["i"]) + F.least(n - x["i"], m - y["i"])
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (longest >= _needed(n, m, percent))
+    needed = _needed(n, m, percent)
+    apart = F.bit_count(x["p"].bitwiseXOR(y["p"]))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (longest >= needed) & (apart <= n + m - 2 * needed)
+
+
+def _parity(tokens: str) -> Column:
+    """64 bits: of each bucket of tokens, whether the set holds an odd number."""
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda bits, t: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, rarity: Column, percent: int) -> DataFrame:

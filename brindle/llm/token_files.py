@@ -27,7 +27,7 @@ MAGIC = b"WMX1"
 BLOCK = 1 << 13  # bytes of a bit-plane that are compressed together
 SHARD_TOKENS = 1 << 20
 PARTITION_BYTES = 32 << 20
-MEMO_PIECES = 700_000
+MEMO_PIECES = 500_000
 
 
 class WaveletMatrix:
@@ -70,8 +70,8 @@ class WaveletMatrix:
         zeros, ranks, sizes, body = [], [], [], []
         for level in range(levels - 1, -1, -1):
             bit = (order & order.dtype.type(1 << level)).astype(bool)
-            low = order[~bit]
-            order = np.concatenate([low, order[bit]])
+            low = np.compress(~bit, order)  # several times as fast as a boolean index
+            order = np.concatenate([low, np.compress(bit, order)])
             zeros.append(len(low))
             packed = np.packbits(bit)
             steps = range(0, len(packed), BLOCK)
@@ -154,8 +154,8 @@ class WaveletMatrix:
             blocks = [self._open(level, b) for b in range(self.blocks)]
             bit = np.concatenate(blocks)[: self.n].view(bool) if blocks else np.zeros(0, bool)
             above = np.empty_like(codes)
-            above[~bit] = codes[: self.zeros[level]]
-            above[bit] = codes[self.zeros[level] :] | codes.dtype.type(1 << (self.levels - 1 - level))
+            above[np.flatnonzero(~bit)] = codes[: self.zeros[level]]
+            above[np.flatnonzero(bit)] = codes[self.zeros[level] :] | codes.dtype.type(1 << (self.levels - 1 - level))
             codes = above
         return self.alphabet[codes]
 
