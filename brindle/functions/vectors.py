@@ -13,8 +13,9 @@ from brindle.functions.splitting import _TOKEN
 
 Encoder = Callable[[Sequence[str]], np.ndarray]
 
-# Scores are compared after rounding to this many digits, so that ties are the same everywhere.
-SCORE_DIGITS = 6
+# Scores are compared to this many digits: what lies beyond is noise of the order of summation, and
+# equal vectors must tie everywhere. Displays may round further.
+SCORE_DIGITS = 12
 
 
 @lru_cache(maxsize=200_000)
@@ -53,7 +54,7 @@ def distinct_enough(ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.nd
 
 
 class TopHits:
-    """The k best corpus rows per query so far, by rounded cosine, ties to the smaller id.
+    """The k best corpus rows per query so far, by cosine, ties to the smaller id.
 
     A block is compared in single precision with each query's current k-th score; only what comes
     close is scored again in double precision and ranked.

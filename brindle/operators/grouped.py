@@ -120,7 +120,8 @@ def grouped_map(
     """``groupBy(keys).applyInPandas(fn)`` behind a check of the largest group.
 
     Rows of groups above ``max_group_rows`` go to ``beyond``, a DataFrame function with the same
-    result; without one, such data is refused rather than loaded into a single worker.
+    result; without one, such data is refused rather than loaded into a single worker. A function
+    that can be computed in pieces has no such limit in :func:`grouped_reduce`.
     """
     sizes = group_sizes(df, keys)
     hot = settle(sizes.filter(F.col("group_rows") > max_group_rows).drop("group_rows"), "hot-groups")
@@ -132,6 +133,30 @@ def grouped_map(
     return small.unionByName(beyond(attach(df, hot, keys, "left_semi")))
 
 
+def grouped_reduce(
+    df: DataFrame,
+    keys: Sequence[str],
+    partial: PandasFn,
+    merge: PandasFn,
+    partial_schema: T.StructType | str,
+    schema: T.StructType | str,
+) -> DataFrame:
+    """A grouped pandas function for groups of any size, computed in pieces.
+
+    ``partial`` sees the rows of one key in one batch and returns few rows of ``partial_schema``,
+    the keys among them; ``merge`` sees the partial rows of a key, of all batches, and returns its
+    result. No worker holds a whole group, none is refused, and only partial rows are shuffled.
+    """
+
+    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [partial(own) for _, own in pdf.groupby(list(keys), sort=False, dropna=False)]
+            if found:
+                yield pd.concat(found, ignore_index=True)
+
+    return df.mapInPandas(pieces, partial_schema).groupBy(*keys).applyInPandas(merge, schema)
+
+
 def coarse_grouped_map(
     df: DataFrame,
     outer: Sequence[str],

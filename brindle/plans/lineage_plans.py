@@ -196,7 +196,7 @@ def _(spark, sf_dir):
     filled AS (SELECT t.side, t.id, b.bucket, coalesce(w, 0) AS w FROM texts t CROSS JOIN (SELECT unnest(range(64)) AS bucket) b
                LEFT JOIN scaled s ON s.side = t.side AND s.id = t.id AND s.bucket = b.bucket),
     vectors AS (SELECT side, id, list(w ORDER BY bucket) AS v FROM filled GROUP BY side, id),
-    hits AS (SELECT q.id AS query_id, c.id AS corpus_id, round(list_cosine_similarity(q.v, c.v), 6) AS score
+    hits AS (SELECT q.id AS query_id, c.id AS corpus_id, round(list_cosine_similarity(q.v, c.v), 12) AS score
              FROM vectors q, vectors c WHERE q.side = 'q' AND c.side = 'c'),
     best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, corpus_id) AS rank FROM hits QUALIFY rank <= 5),
     segments AS (SELECT query_id, 'Relevant code segments:' || chr(10) || chr(10) || string_agg('From ' || file_path || ':' || chr(10) || '```c'

@@ -98,10 +98,10 @@ _HITS = """
 SELECT query_id, corpus_id, score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, corpus_id)::INTEGER AS rank FROM (
     SELECT q.vec_id AS query_id, c.vec_id AS corpus_id,
-           round(list_cosine_similarity(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 6) AS score
+           round(list_cosine_similarity(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 12) AS score
     FROM embeddings q, embeddings c)) WHERE rank <= 4
 """
-_HITS_META = f"SELECT h.*, round(1 - score, 6) AS distance, label FROM ({_HITS}) h JOIN embeddings e ON e.vec_id = h.corpus_id"
+_HITS_META = f"SELECT h.* REPLACE (round(score, 6) AS score), round(1 - score, 6) AS distance, label FROM ({_HITS}) h JOIN embeddings e ON e.vec_id = h.corpus_id"
 
 
 def _vectors(spark, sf_dir):
@@ -111,15 +111,15 @@ def _vectors(spark, sf_dir):
 @catalog.add("retrieve_topk", _HITS_META)
 def _(spark, sf_dir):
     vectors = _vectors(spark, sf_dir)
-    return retrieval.retrieve_topk(vectors, vectors, 4, "vec_id", "vec_id", metadata=["label"])
+    hits = retrieval.retrieve_topk(vectors, vectors, 4, "vec_id", "vec_id", metadata=["label"])
+    return hits.withColumn("score", F.round("score", 6))
 
 
 @catalog.add("retrieve_topk_blocks", _HITS_META)
 def _(spark, sf_dir):
     vectors = _vectors(spark, sf_dir)
-    return retrieval.retrieve_topk(
-        vectors, vectors, 4, "vec_id", "vec_id", metadata=["label"], broadcast_floats=0, block_rows=1000
-    )
+    hits = retrieval.retrieve_topk(vectors, vectors, 4, "vec_id", "vec_id", metadata=["label"], broadcast_floats=0, block_rows=1000)
+    return hits.withColumn("score", F.round("score", 6))
 
 
 _CHUNKS = "SELECT vec_id AS chunk_id, 'passage ' || vec_id || ' of ' || label AS chunk_text FROM embeddings"

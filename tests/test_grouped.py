@@ -116,3 +116,19 @@ def test_sqrt_forms_agree(six):
 def test_rmse(six):
     got = g.rmse(six.withColumn("guess", F.col("sensor_reading") + 2), "guess", "sensor_reading").first()[0]
     assert got == pytest.approx(2)
+
+
+def test_grouped_reduce_never_holds_a_group(spark):
+    import pandas as pd
+
+    df = spark.range(5000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 7)) AS k", "id AS v").repartition(6)
+
+    def partial(pdf):
+        return pd.DataFrame({"k": [pdf["k"].iloc[0]], "n": [len(pdf)], "total": [pdf["v"].sum()]})
+
+    def merge(pdf):
+        return pd.DataFrame({"k": [pdf["k"].iloc[0]], "mean": [pdf["total"].sum() / pdf["n"].sum()]})
+
+    got = g.grouped_reduce(df, ["k"], partial, merge, "k string, n long, total long", "k string, mean double")
+    want = df.groupBy("k").avg("v")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

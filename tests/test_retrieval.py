@@ -8,10 +8,10 @@ from brindle.operators.generation import echo_generator
 
 
 def brute_force(queries, corpus, k):
-    """{query id: [corpus ids]} by rounded cosine, ties to the smaller id."""
+    """{query id: [corpus ids]} by cosine, ties to the smaller id."""
     out = {}
     for qid, q in queries:
-        scored = sorted((-round(float(np.dot(q, v) / (np.linalg.norm(q) * np.linalg.norm(v))), 6), cid) for cid, v in corpus)
+        scored = sorted((-round(float(np.dot(q, v) / (np.linalg.norm(q) * np.linalg.norm(v))), 12), cid) for cid, v in corpus)
         out[qid] = [cid for _, cid in scored[:k]]
     return out
 
