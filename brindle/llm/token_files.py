@@ -20,13 +20,12 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from brindle.llm.arrowtext import batch, bounded, filled, narrow, pieces, total_bytes
+from brindle.llm.arrowtext import batch, bounded, filled, narrow, pieces
 from brindle.session import shared_path
 
 MAGIC = b"WMX1"
 BLOCK = 1 << 13  # bytes of a bit-plane that are compressed together
 SHARD_TOKENS = 1 << 20
-PARTITION_BYTES = 32 << 20
 MEMO_PIECES = 500_000
 
 
@@ -170,6 +169,8 @@ class PieceMemo:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        plain = [(k, t.content) for k, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.normalized or t.lstrip or t.rstrip or t.single_word)]
+        self.mark_id, self.mark = plain[0] if plain and self.tokenizer.normalizer is None else (-1, None)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -187,9 +188,21 @@ class PieceMemo:
                     young[piece] = known
         for start in range(0, len(missing), 10_000):
             some = missing[start : start + 10_000]
-            young.update(zip(some, (array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)), strict=True))
+            young.update(zip(some, self._encoded(some), strict=True))
         return [young[piece] for piece in distinct]
 
+    def _encoded(self, some: list[str]) -> list[bytes]:
+        """The ids of each piece, from one call. A special token splits a text before anything else
+        is done to it, so some pieces at a time go to the tokenizer as one text with that between."""
+        if self.mark is not None:
+            texts = [self.mark.join(some[k : k + 20]) + self.mark for k in range(0, len(some), 20)]
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+            ends = (np.flatnonzero(ids == self.mark_id) * 4).tolist()
+            if len(ends) == len(some):  # else a piece holds the mark itself
+                raw = ids.tobytes()
+                return [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends, strict=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+
 
 @lru_cache(maxsize=1)
 def piece_memo(path: str) -> PieceMemo:
@@ -222,12 +235,12 @@ def encode_texts(path: str, texts: pa.Array, end_id: int, rows: int = 1024) -> I
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", partition_bytes: int = PARTITION_BYTES, shard_tokens: int = SHARD_TOKENS
+    docs: DataFrame, folder: str, path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None, shard_tokens: int = SHARD_TOKENS
 ) -> None:
     """Encode all texts in ascending id order and write them to ``folder`` as shard files.
 
-    The table is dealt out by ranges of ids, so one shuffle of the texts orders the corpus; each
-    partition is then encoded as a stream and cut into shards of about ``shard_tokens`` ids, never
+    The table is dealt out by ranges of ids to ``partitions`` (default: as many as other shuffles),
+    so one shuffle of the texts orders the corpus; each partition is then encoded as a stream and cut into shards of about ``shard_tokens`` ids, never
     inside a document. Rows of a shard: partition, number in it, ids before it in the partition, ids
     and lengths of its documents, file image. A null text is an empty one and gives the end id
     alone; null ids come first; rows of one id follow each other in the order of their texts' hash.
@@ -235,7 +248,8 @@ def write_token_files(
     """
     rows = narrow(docs, id_col, text_col).withColumn("hash", F.xxhash64("text"))
     kind = rows.schema["doc"].dataType.simpleString()
-    parts = max(docs.sparkSession.sparkContext.defaultParallelism, -(-total_bytes(rows, "text") // partition_bytes))
+    spark = docs.sparkSession
+    parts = partitions or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = rows.repartitionByRange(parts, "doc", "hash").sortWithinPartitions("doc", "hash", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -105,7 +105,7 @@ def test_token_files_round_trip(spark, tmp_path, library, monkeypatch):
     monkeypatch.setattr(token_files, "MEMO_PIECES", 3)
     rows = [(k * 3 % 101, t) for k, t in enumerate(ODD * 5)] + [(200, None), (None, "first"), (300, ODD[3]), (300, ODD[3])]
     df = spark.createDataFrame([(k, t, 1) for k, t in rows], "doc_id long, text string, start int").repartition(4)
-    write_token_files(df, str(tmp_path / "files"), BPE, partition_bytes=2000, shard_tokens=50)
+    write_token_files(df, str(tmp_path / "files"), BPE, partitions=7, shard_tokens=50)
     got = read_token_files(spark, str(tmp_path / "files")).collect()
     ids = {}
     for k, t in rows:
