@@ -10,6 +10,9 @@ lines is left to the lines for which that finds nothing.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brindle.llm.repeats import keyed, unkeyed
@@ -20,42 +23,42 @@ HASH_BITS = 55
 # A token with 2**PART_SHIFT occurrences or more has its lines dealt out to several parts.
 PART_SHIFT = 16
 LAGS = 3
+SLOTS = 1 << 22  # bits of the array of wanted documents; fixed, whatever the corpus
 _ADDRESS = ("id", "hash", "pos")
 
 
+_OTHER_BLANKS = ("\t", "\r", "\x0b", "\x0c")
+
+
 def line_words(line: Column) -> Column:
     """Lower-cased words of a line, ``[^\\x20\\x09-\\x0D]+``; may hold empty strings."""
-    other = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\x0b")) | F.contains(line, F.lit("\x0c"))
+    other = reduce(or_, (F.contains(line, F.lit(c)) for c in _OTHER_BLANKS))
     return F.when(other, F.split(F.lower(line), "[ \\t\\r\\f\\x0B]+")).otherwise(F.split(F.lower(line), " "))
 
 
-def _hashes(line: Column) -> Column:
-    """Distinct 64-bit hashes of the words, without that of the empty string."""
-    return F.array_remove(F.array_distinct(F.transform(line_words(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
-
-
 def _exploded(rows: DataFrame) -> DataFrame:
     return rows.select("id", "hash", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
     """One row with an array: how often the words of each hash bucket occur."""
-    words = rows.select(F.explode(F.split(F.translate(F.lower("text"), "\n", " "), " ")).alias("w"))
+    words = rows.select(F.explode(F.split(F.replace(F.lower("text"), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
     counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("bucket")).agg(F.count("*").alias("n"))
     every = rows.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     whole = every.join(counts, "bucket", "left").select("bucket", F.coalesce("n", F.lit(1).cast("long")).alias("n"))
     # A fixed number of numbers, whatever the corpus.
-    return whole.agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("c")).select(F.transform("c", lambda x: (2 * F.log2(x["n"])).cast("int")).alias("rarity"))
+    return whole.agg(F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("c")).select(F.transform("c", lambda x: (2 * F.log2(x["n"])).cast("long")).alias("rarity"))
 
 
 def ordered_tokens(line: Column, rarity: Column) -> Column:
     """The tokens as numbers, rare ones first: two steps per doubling of the count, then the hash."""
 
-    def place(h: Column) -> Column:
-        seldom = F.get(rarity, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long")
-        return F.shiftleft(seldom, HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
+    def place(word: Column) -> Column:
+        seldom = F.get(rarity, F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int"))
+        return F.shiftleft(seldom, HASH_BITS).bitwiseOR(F.xxhash64(word).bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
-    return F.sort_array(F.transform(_hashes(line), place))
+    # The empty string stands between two blanks; it is no word.
+    return F.sort_array(F.array_remove(F.array_distinct(F.transform(line_words(line), place)), place(F.lit(""))))
 
 
 def _needed(n: Column, m: Column, percent: int) -> Column:
@@ -157,9 +160,25 @@ def _parity(tokens: str) -> Column:
 def _verified(pairs: DataFrame, rows: DataFrame, rarity: Column, percent: int) -> DataFrame:
     """The pairs of lines whose token sets reach the threshold."""
     wanted = pairs.select("x.*").unionByName(pairs.select("y.*")).groupBy("id", "hash").agg(F.collect_set("pos").alias("wanted"))
-    lines = rows.join(wanted, ["id", "hash"]).select("id", "hash", F.explode("wanted").alias("pos"), F.split("text", "\n").alias("all"))
+    lines = _likely(rows, wanted).join(wanted, ["id", "hash"]).select("id", "hash", F.explode("wanted").alias("pos"), F.split("text", "\n").alias("all"))
     sets = lines.select(F.struct(*_ADDRESS).alias("at"), F.get("all", F.col("pos")).alias("line")).withColumn("rarity", rarity)
     sets = sets.select("at", ordered_tokens(F.col("line"), F.col("rarity")).alias("set")).distinct()
     both = pairs.join(sets.select(F.col("at").alias("x"), F.col("set").alias("a")), "x").join(sets.select(F.col("at").alias("y"), F.col("set").alias("b")), "y")
     shared = F.size(F.array_intersect("a", "b"))
     return both.where(100 * shared >= percent * (F.size("a") + F.size("b") - shared)).select("x", "y").distinct()
+
+
+def _likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """All rows of wanted documents and few others, so that the join with them shuffles few texts.
+
+    A bit array of fixed size has the bits of the wanted documents' hashes; with very many of them
+    it is full and keeps every row.
+    """
+    slot = F.pmod(F.xxhash64("id", "hash"), F.lit(SLOTS))
+    word, bit = F.shiftright(slot, 6).cast("int"), slot.bitwiseAND(F.lit(63)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    filled = wanted.groupBy(word.alias("word")).agg(F.bit_or(one).alias("bits"))
+    every = rows.sparkSession.range(SLOTS // 64).select(F.col("id").cast("int").alias("word")).join(filled, "word", "left")
+    every = every.agg(F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))).alias("a"))
+    bits = settle(every.select(F.transform("a", lambda x: x["bits"]).alias("bits")), "bits").scalar()
+    return rows.where(F.get(bits, word).bitwiseAND(one) != 0)
