@@ -195,12 +195,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     # Signatures whose classes are not yet one component hold the pairs still to be checked.
     placed = led.join(labels.withColumnRenamed("node", "class"), "class", "left").select("sig", "class", "lead", F.coalesce("component", "class").alias("component"))
     mixed = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("sig")
-    open_ = placed.join(mixed, "sig").where("class != lead").select(F.col("lead").alias("a"), F.col("class").alias("b"))
-    across = _across(components(open_), labels, classes, percent)
+    open_ = placed.join(mixed, "sig").select("lead", "class").distinct()
+    across = _across(open_, labels, classes, percent)
     across = across.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     more = settle(_verified(across, classes, rows, words, percent), "links")
-    links = links.unionByName(more)
-    labels = components(links)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        labels = settle(components(links), "labels")
     degree = links.select(F.col("a").alias("class")).unionByName(links.select(F.col("b").alias("class"))).groupBy("class").agg(F.count("*").alias("n_links"))
     known = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").select("class", F.coalesce("component", "class").alias("component"), "row")
     least = known.where(F.col("row.id") != F.lit(-(2**63))).groupBy("component").agg(F.min("row.id").alias("component_id"))
@@ -219,15 +220,15 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
 
 
 def _across(regions: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a < b`` of classes of one region (connected by open signatures) but different
-    components whose sizes and sketches allow a link.
+    """Pairs ``a < b`` of classes of one region (those that share an open signature with one leading
+    class) but different components whose sizes and sketches allow a link.
 
     Regions are cut into blocks of ``BLOCK`` classes, and every two blocks meet in a task of their
     own: what is tested grows with the square of a region, what is sent with its number of blocks,
     and only pairs that pass are ever made.
     """
-    blocks = regions.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    members = regions.join(blocks, "component").select(F.col("node").alias("class"), F.col("component").alias("region"), "blocks")
+    blocks = regions.groupBy("lead").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    members = regions.join(blocks, "lead").select("class", F.col("lead").alias("region"), "blocks")
     known = members.join(classes.select("class", "n", "sketch"), "class").join(labels.withColumnRenamed("node", "class"), "class", "left")
     block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     known = known.select("region", "class", F.coalesce("component", "class").alias("component"), "n", "sketch", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
@@ -251,7 +252,7 @@ def _across(regions: DataFrame, labels: DataFrame, classes: DataFrame, percent:
             right += [max(names_[k], names_[x]) for x in others]
         return pa.table({"a": pa.array(left, pa.binary()), "b": pa.array(right, pa.binary())})
 
-    return dealt.groupBy("region", "low", "high").applyInArrow(test, "a binary, b binary")
+    return dealt.groupBy("region", "low", "high").applyInArrow(test, "a binary, b binary").distinct()
 
 
 def _least_of_null(sets: DataFrame, known: DataFrame) -> DataFrame:
