@@ -27,7 +27,7 @@ from brindle.llm.repeats import from_blobs, keyed, mix, rolled, to_blob, unkeyed
 from brindle.llm.substring import word_hashes
 from brindle.session import settle
 
-BUCKET_BYTES = 32 << 20  # text bytes behind one bucket of signatures
+BUCKET_BYTES = 8 << 20  # text bytes behind one bucket of signatures
 SKETCH = 128
 BLOCK = 512
 PAIRS_OF_A_TASK = 256
@@ -275,7 +275,7 @@ def _signed(rows: DataFrame, scheme: PartEnum, words: int, buckets: int) -> Data
     that many documents share is one record per batch."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (some for whole in batches for some in bounded(whole)):
+        for part in (some for whole in batches for some in bounded(whole, 4 << 20)):
             hashes, offsets = shingle_sets(part.column("text"), words)
             first, second = set_names(hashes, offsets)
             ids = part.column("id")
