@@ -78,12 +78,12 @@ class PartEnum:
         return (100 - self.percent) * sizes // self.percent
 
     def layout(self, band: int) -> tuple[int, int, int]:
-        """Groups, cells of a group, and cells that a subset leaves out. Groups outnumber what the
-        pigeonhole needs, so that sets with too few filled cells are rare."""
+        """Groups, cells of a group, and cells that a subset leaves out. One group more than the
+        pigeonhole needs, and some cells more in small sets, make sets with too few filled ones rare."""
         most = int(self.differences(self.starts[band + 1] - 1))
         if most < 8:
             return 2 * most + 18, 1, 0
-        return int(1.15 * (most // 2 + 1)) + 5, 3, 1
+        return most // 2 + 2, 3, 1
 
     def signatures(self, hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Signatures of all sets and the number of the set of each.
