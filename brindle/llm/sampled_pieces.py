@@ -24,8 +24,8 @@ MARK = "▁"
 # Stands for a literal MARK of a text, which must not decode to a space; no valid text holds it.
 _LITERAL = "\ud800"
 _END = (1 << 21) - 1
-SLICE_BYTES = 3 << 20  # of text that are sampled at a time
-LATTICES = 50_000  # distinct pieces of text whose lattices stand at a time
+SLICE_BYTES = 1 << 20  # of text that are sampled at a time
+LATTICES = 20_000  # distinct pieces of text whose lattices stand at a time
 
 
 class PieceModel:
