@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from brindle.operators.joins import attach
 from brindle.session import settle
@@ -20,8 +20,6 @@ PandasFn = Callable[[pd.DataFrame], pd.DataFrame]
 
 # Rows of one group that a Python worker may hold at once.
 MAX_GROUP_ROWS = 2_000_000
-# Entries of one list column value.
-MAX_LIST_ENTRIES = 1_000_000
 
 
 def with_params(factory: Callable[..., Callable], **params) -> Callable:
@@ -223,31 +221,57 @@ def denormalize(
     key: str,
     list_col: str,
     means: Sequence[str],
-    max_list: int = MAX_LIST_ENTRIES,
+    max_list: int | None = None,
 ) -> DataFrame:
     """One row per key: sorted list of ``list_col`` and the mean of every column in ``means``.
 
-    A key with more than ``max_list`` rows gets several rows, numbered by ``part``, that share the
-    means and split the list between them; together they hold every entry.
+    With ``max_list`` the sorted list of every key is cut into ranges of that many entries, the last
+    one shorter: one row for each, numbered by ``part`` and with the same means. Without, ``part`` is
+    0 and the list is whole, however long. The number of rows never decides between the two.
     """
-    sizes = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / max_list).cast("int").alias("parts"))
-    split = settle(sizes.filter("parts > 1"), "split-keys")
-    entries = F.array_sort(F.collect_list(list_col)).alias(list_col)
     averages = [F.avg(m).alias(m) for m in means]
-    if split.isEmpty():
-        return df.groupBy(key).agg(F.lit(0).alias("part"), entries, *averages)
-    parted = attach(df.select(key, list_col), split, [key]).withColumn(
-        "part", F.when(F.col("parts") > 1, F.floor(F.rand(0) * F.col("parts")).cast("int")).otherwise(0)
-    )
-    # The random part of an entry is written down: a repeated task must not choose another one.
-    lists = settle(parted.select(key, "part", list_col), "parted").groupBy(key, "part").agg(entries)
-    return attach(lists, settle(df.groupBy(key).agg(*averages), "key-means"), [key])
+    if max_list is None:
+        return df.groupBy(key).agg(F.lit(0).alias("part"), F.sort_array(F.collect_list(list_col)).alias(list_col), *averages)
+    pieces = F.transform(F.array_sort(F.collect_list(F.struct(F.col(list_col).alias("v"), "n"))), lambda x: F.array_repeat(x["v"], x["n"]))
+    lists = _part_counts(df, key, list_col, max_list).groupBy(key, "part").agg(F.flatten(pieces).alias(list_col))
+    # Keys without entries have one part with an empty list.
+    result = attach(settle(df.groupBy(key).agg(*averages), "key-means"), settle(lists, "lists"), [key])
+    none = F.array().cast(T.ArrayType(df.schema[list_col].dataType))
+    return result.select(key, F.coalesce("part", F.lit(0)).alias("part"), F.coalesce(list_col, none).alias(list_col), *means)
+
+
+def _part_counts(df: DataFrame, key: str, list_col: str, max_list: int) -> DataFrame:
+    """``(key, value, part, n)``: how often a value stands in a part of its key's sorted list.
+
+    Positions are running sums of the values' counts over range partitions: neither a key nor a value
+    with many rows gathers in a task.
+    """
+    counts = df.where(F.col(list_col).isNotNull()).groupBy(key, list_col).agg(F.count(F.lit(1)).alias("__n"))
+    ranged = settle(counts.repartitionByRange(key, list_col).withColumn("__range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    sums = ranged.groupBy("__range").agg(F.sum("__n").alias("n"))
+    offsets = settle(sums.select("__range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset")), "offsets")
+    inside = Window.partitionBy("__range").orderBy(key, list_col).rowsBetween(Window.unboundedPreceding, 0)
+    placed = settle(ranged.join(offsets, "__range").withColumn("__at", F.col("__offset") + F.sum("__n").over(inside) - F.col("__n")), "placed")
+    first = settle(placed.groupBy(key).agg(F.min("__at").alias("__first")), "first")
+    own = attach(placed, first, [key]).withColumn("__at", F.col("__at") - F.col("__first"))
+    part = lambda at: F.floor(at / max_list).cast("int")
+    parts = own.withColumn("part", F.explode(F.sequence(part(F.col("__at")), part(F.col("__at") + F.col("__n") - 1))))
+    begin = F.col("part").cast("long") * max_list
+    inside_part = F.least(F.col("__at") + F.col("__n"), begin + max_list) - F.greatest(F.col("__at"), begin)
+    return parts.select(key, list_col, "part", inside_part.cast("int").alias("n"))
 
 
 def denormalize_pandas(
-    df: DataFrame, key: str, list_col: str, means: Sequence[str], max_list: int = MAX_LIST_ENTRIES
+    df: DataFrame,
+    key: str,
+    list_col: str,
+    means: Sequence[str],
+    max_list: int | None = None,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """The grouped-map pandas form of :func:`denormalize`."""
+    """The grouped-map pandas form of :func:`denormalize`; groups above ``max_group_rows`` take the
+    native form, with the same rows."""
     fields = {f.name: f.dataType for f in df.schema.fields}
     schema = (
         T.StructType()
@@ -259,13 +283,16 @@ def denormalize_pandas(
         schema = schema.add(m, T.DoubleType())
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
-        row = {key: pdf[key].iloc[0], "part": 0, list_col: sorted(pdf[list_col].dropna())}
-        return pd.DataFrame([row | {m: pdf[m].mean() for m in means}])
+        entries = sorted(pdf[list_col].dropna())
+        size = max_list or max(len(entries), 1)
+        parts = [entries[at : at + size] for at in range(0, max(len(entries), 1), size)]
+        averages = {m: pdf[m].mean() for m in means}
+        return pd.DataFrame([{key: pdf[key].iloc[0], "part": k, list_col: own} | averages for k, own in enumerate(parts)])
 
     def native(hot: DataFrame) -> DataFrame:
         return denormalize(hot, key, list_col, means, max_list)
 
-    return grouped_map(df.select(key, list_col, *means), [key], gather, schema, max_list, native)
+    return grouped_map(df.select(key, list_col, *means), [key], gather, schema, max_group_rows, native)
 
 
 def relist(df: DataFrame, list_col: str) -> DataFrame:

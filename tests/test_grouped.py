@@ -84,6 +84,30 @@ def test_denormalize_splits_long_lists_without_loss(spark, skewed):
     assert entries(pandas) == entries(whole)
 
 
+def test_denormalize_parts_are_sorted_ranges_at_every_size(spark, skewed):
+    extra = spark.createDataFrame([(500, None, 1.0), (500, None, 3.0), (501, 7, 2.0)], "device_id long, trip_id long, sensor_reading double")
+    df = skewed.select("device_id", "trip_id", "sensor_reading").unionByName(extra)
+    lists = {500: [], 501: [7]}
+    for r in skewed.collect():
+        lists.setdefault(r.device_id, []).append(r.trip_id)
+    for size in (None, 7, 300):
+        want = {}
+        for k, own in lists.items():
+            own, step = sorted(own), size or len(own) or 1
+            want |= {(k, p): own[at : at + step] for p, at in enumerate(range(0, len(own) or 1, step))}
+        for form in (g.denormalize, g.denormalize_pandas, lambda *a, **kw: g.denormalize_pandas(*a, **kw, max_group_rows=500)):
+            out = form(df, "device_id", "trip_id", ["sensor_reading"], max_list=size).collect()
+            assert len(out) == len(want) and {(r.device_id, r.part): r.trip_id for r in out} == want
+            assert {r.sensor_reading for r in out if r.device_id == 500} == {2.0}
+
+
+def test_denormalize_keeps_a_very_long_list_whole(spark):
+    n = 1_000_001
+    df = spark.range(n, numPartitions=4).selectExpr("0 AS key", f"cast({n} - id AS int) AS entry")
+    lists = g.denormalize(df, "key", "entry", [])
+    assert lists.select("part", F.size("entry"), F.col("entry") == F.sequence(F.lit(1), F.lit(n))).collect() == [(0, n, True)]
+
+
 def test_relist_keeps_empty_lists(spark):
     df = spark.createDataFrame([(1, [4, 5]), (2, [])], "device_id int, trip_id array<int>")
     want = [(1, 4), (1, 5), (2, None)]
