@@ -6,8 +6,9 @@ needed for some group to hold few differences, and signatures are enumerated ove
 group's cells that leave out that many: sufficiently similar sets of one size band share one. Equal
 sets are one class and are never paired. Classes that share a signature are first paired with one of
 them only, the one nearest to most. What is then still different components is checked in a second
-round, block against block, by sizes and sketches first: no link is lost and no pair inside a
-component is made.
+round, block against block, by sizes and sketches first: no component is lost and no pair inside a
+component is made. Links lie inside components; there they are counted, block against block, by
+products of 0/1 matrices: every two sets are compared exactly, and only counts are made.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ BUCKET_BYTES = 8 << 20  # text bytes behind one bucket of signatures
 SKETCH = 128
 BLOCK = 512
 PAIRS_OF_A_TASK = 256
+BLOCK_SHINGLES = 1 << 20  # in one of two blocks of sets between which links are counted
+TILE = 512
 _SALT = np.uint64(0xA24BAED4963EE407)
 
 
@@ -165,8 +168,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     Words are ``[^\\x20\\x09-\\x0D]+`` of the whole text with A-Z lower-cased. The set of a document
     holds its distinct ``words``-word shingles, or its whole word sequence where it is shorter. Two
     documents link when ``100 * intersection >= percent * union``. ``component_id`` is the smallest
-    id that links reach, the own one included. ``n_links`` counts the verified links of the row's
-    class that the components were made of, not every pair.
+    id that links reach, the own one included. ``n_links`` is the number of other rows that the row
+    links with, those of an equal set among them.
 
     Documents without words, or with a null text, have an empty set, link with nothing and are their
     own component. Rows of one id are linked as others are. A null id is never a component's id
@@ -202,7 +205,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     if not more.isEmpty():
         links = links.unionByName(more)
         labels = settle(components(links), "labels")
-    degree = links.select(F.col("a").alias("class")).unionByName(links.select(F.col("b").alias("class"))).groupBy("class").agg(F.count("*").alias("n_links"))
+    sizes = settle(sets.where("n > 0").groupBy("class").agg(F.count("*").alias("rows")), "sizes")
+    degree = settle(_degrees(labels, classes, sizes, rows, words, percent), "degrees")
+    degree = sizes.join(degree, "class", "left").select("class", (F.coalesce("linked", "rows") - 1).alias("n_links"))
     known = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").select("class", F.coalesce("component", "class").alias("component"), "row")
     least = known.where(F.col("row.id") != F.lit(-(2**63))).groupBy("component").agg(F.min("row.id").alias("component_id"))
     # The least id of a class may be that of another row than its representative where ids are null.
@@ -255,6 +260,101 @@ def _across(regions: DataFrame, labels: DataFrame, classes: DataFrame, percent:
     return dealt.groupBy("region", "low", "high").applyInArrow(test, "a binary, b binary").distinct()
 
 
+def linked_rows(sets: list[np.ndarray], weight: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """For each set the sum of the weights of the sets that it reaches the threshold with: pairs of a
+    set of ``left`` and one of ``right``, which are the same numbers or have none in common."""
+    out = np.zeros(len(sets), np.int64)
+    sizes = np.array([len(x) for x in sets], np.int64)
+    one = left is right
+
+    def tiles(side: np.ndarray) -> list[tuple]:
+        side = side[np.argsort(sizes[side], kind="stable")]
+        cut = [side[at : at + TILE] for at in range(0, len(side), TILE)]
+        return [(own, np.concatenate([sets[k] for k in own]), np.repeat(np.arange(len(own)), sizes[own])) for own in cut]
+
+    first = tiles(left)
+    second = first if one else tiles(right)
+    values = {id(t): np.unique(t[1]) for t in [*first, *second]}
+    for i, a in enumerate(first):
+        for b in second[i if one else 0 :]:
+            least, most = sorted([(sizes[a[0][0]], sizes[a[0][-1]]), (sizes[b[0][0]], sizes[b[0][-1]])])
+            if 100 * least[1] < percent * most[0]:
+                continue
+            shared = _shared(a, b, np.intersect1d(values[id(a)], values[id(b)], assume_unique=True))
+            near = 100 * shared >= percent * (sizes[a[0]][:, None] + sizes[b[0]][None, :] - shared)
+            out[a[0]] += near @ weight[b[0]]
+            if a is not b:
+                out[b[0]] += near.T @ weight[a[0]]
+    return out
+
+
+def _shared(a: tuple, b: tuple, values: np.ndarray, width: int = 4096) -> np.ndarray:
+    """How many of the ``values`` each set of one tile has in common with each set of the other."""
+    total = np.zeros((len(a[0]), len(b[0])), np.int64)
+    if not len(values):
+        return total
+    places = []
+    for _, hashes, owner in (a, b):
+        at = np.minimum(np.searchsorted(values, hashes), len(values) - 1)
+        held = np.flatnonzero(values[at] == hashes)
+        held = held[np.argsort(at[held], kind="stable")]
+        places.append((at[held], owner[held]))
+    for low in range(0, len(values), width):
+        sides = []
+        for (at, owner), tile in zip(places, (a, b), strict=True):
+            x, y = np.searchsorted(at, [low, low + width])
+            side = np.zeros((len(tile[0]), min(width, len(values) - low)), np.float32)
+            side[owner[x:y], at[x:y] - low] = 1
+            sides.append(side)
+        total += (sides[0] @ sides[1].T).astype(np.int64)  # at most ``width``: exact
+    return total
+
+
+def _degrees(labels: DataFrame, classes: DataFrame, sizes: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """``(class, linked)`` of the classes of components with several: rows that a class's rows link
+    with, its own included.
+
+    A component is cut into blocks of some ``BLOCK_SHINGLES`` and every two of them meet in a task;
+    components of one block share tasks. What is compared grows with the square of a component, what
+    is sent with its number of blocks, and no pair is ever made.
+    """
+    own = labels.withColumnRenamed("node", "class").join(classes.select("class", "row", "n"), "class")
+    blocks = own.groupBy("component").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    tasks = own.agg(F.ceil(F.coalesce(F.sum("n"), F.lit(0)) / BLOCK_SHINGLES)).first()[0] or 1
+    wanted = settle(own.join(blocks, "component").join(sizes, "class").select("class", "component", "blocks", "rows", F.col("row.id").alias("id"), F.col("row.hash").alias("hash")), "members")
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (some for whole in batches for some in bounded(whole, 4 << 20)):
+            hashes, offsets = shingle_sets(part.column("text"), words)
+            data = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer((offsets * 8).astype(np.int32)), pa.py_buffer(hashes.tobytes())])
+            yield batch({c: part.column(c) for c in ("class", "component", "blocks", "rows")} | {"data": data})
+
+    texts = rows.join(wanted, ["id", "hash"]).select("class", "component", "blocks", "rows", "text")
+    # Rows equal in id and text come several times.
+    sets = settle(texts.mapInArrow(shingled, "class binary, component binary, blocks int, rows long, data binary").dropDuplicates(["class"]), "sets")
+    task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(tasks)).cast("string")).otherwise(F.hex("component"))
+    block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+    met = sets.select(task.alias("task"), "class", "component", "rows", "data", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = met.select("task", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "class", "component", "rows", "block", "data")
+
+    def count(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        low, high = table["low"][0].as_py(), table["high"][0].as_py()
+        held = [np.frombuffer(x, np.uint64) for x in table["data"].to_pylist()]
+        block, weight = table["block"].to_numpy(), table["rows"].to_numpy()
+        component = np.unique(np.array(table["component"].to_pylist(), dtype=object), return_inverse=True)[1]
+        order = np.argsort(component, kind="stable")
+        out = np.zeros(len(held), np.int64)
+        for members in np.split(order, np.flatnonzero(np.diff(component[order])) + 1):
+            left = np.flatnonzero(block[members] == low)
+            right = left if low == high else np.flatnonzero(block[members] == high)
+            out[members] = linked_rows([held[k] for k in members], weight[members], left, right, percent)
+        return pa.table({"class": table["class"], "linked": pa.array(out)})
+
+    counted = dealt.groupBy("task", "low", "high").applyInArrow(count, "class binary, linked long")
+    return counted.groupBy("class").agg(F.sum("linked").alias("linked"))
+
+
 def _least_of_null(sets: DataFrame, known: DataFrame) -> DataFrame:
     """Least true ids of the classes whose representative row has a null id."""
     lost = known.where(F.col("row.id") == F.lit(-(2**63))).select("class", "component")

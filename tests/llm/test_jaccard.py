@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 
+from brindle.llm import jaccard
 from brindle.llm.components import components
 from brindle.llm.jaccard import PartEnum, jaccard_components
 
@@ -60,6 +61,39 @@ def test_matches_brute_force(spark, words, percent, seed):
     assert got == brute(docs, words, percent)
 
 
+def brute_links(rows, words, percent):
+    sets = [shingles(t, words) for _, t in rows]
+    near = lambda x, y: bool(x and y) and 100 * len(x & y) >= percent * len(x | y)
+    return sorted(((k, sum(near(x, y) for y in sets) - bool(x)) for (k, _), x in zip(rows, sets, strict=True)), key=str)
+
+
+@pytest.mark.parametrize("block,tile", [(1 << 20, 512), (60, 2)])
+def test_links_are_counted_exactly(spark, monkeypatch, block, tile):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    base = [f"w{k}" for k in range(60)]
+    # Texts that all link with each other, a chain in which only near ones do, and copies.
+    docs = [(k, " ".join([*base[:-1], f"x{k}"])) for k in range(12)]
+    docs += [(100 + k, " ".join(f"v{j}" for j in range(3 * k, 3 * k + 60))) for k in range(12)]
+    docs += [(200 + k, "all three are the same") for k in range(3)] + [(5, docs[5][1]), (5, docs[5][1]), (None, docs[7][1])]
+    docs += [(1000 + k, t) for k, t in near_copies(6)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_links) for r in jaccard_components(df.repartition(3), 3, 80).collect()), key=str)
+    assert got == brute_links(docs, 3, 80)
+
+
+def test_tiles_of_a_large_component(monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE", 3)
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2**63, 50, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.integers(0, 12) :], rng.integers(0, 2**63, int(rng.integers(0, 5)), dtype=np.uint64)])) for _ in range(40)]
+    weight = rng.integers(1, 4, 40)
+    near = np.array([[jaccard.similar(x, y, 80) for y in sets] for x in sets])
+    every, even, odd = np.arange(40), np.arange(0, 40, 2), np.arange(1, 40, 2)
+    parts = [jaccard.linked_rows(sets, weight, *sides, 80) for sides in ((even, even), (odd, odd), (even, odd))]
+    assert sum(parts).tolist() == jaccard.linked_rows(sets, weight, every, every, 80).tolist() == (near @ weight).tolist()
+
+
 @pytest.mark.parametrize("percent", [75, 80, 90])
 def test_similar_sets_share_a_signature(percent):
     scheme, rng = PartEnum(percent), np.random.default_rng(percent)
