@@ -42,7 +42,8 @@ def _exploded(rows: DataFrame) -> DataFrame:
 
 def word_counts(rows: DataFrame) -> DataFrame:
     """One row with an array: how often the words of each hash bucket occur."""
-    words = rows.select(F.explode(F.split(F.replace(F.lower("text"), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
+    blanks = "".join(("\n", *_OTHER_BLANKS))
+    words = rows.select(F.explode(F.split(F.translate(F.lower("text"), blanks, " " * len(blanks)), " ")).alias("w"))
     counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).cast("int").alias("bucket")).agg(F.count("*").alias("n"))
     every = rows.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     whole = every.join(counts, "bucket", "left").select("bucket", F.coalesce("n", F.lit(1).cast("long")).alias("n"))

@@ -5,6 +5,7 @@ import re
 from hashlib import sha256
 
 import pytest
+from pyspark.sql import functions as F
 
 from brindle.llm import lines
 from brindle.llm.lines import dedup_lines
@@ -74,3 +75,10 @@ def test_small_table_digests_without_python(spark):
     out = catalog.plans["op8_line_dedup"](spark, path)
     assert {r.doc_id: tuple(r)[1:] for r in out.collect()} == want
     assert "Python" not in out._jdf.queryExecution().toString() and "Arrow" not in out._jdf.queryExecution().toString()
+
+
+def test_all_blanks_end_counted_words(spark):
+    text = "\t".join(["Hot"] * 20) + "\r" + "\x0b".join(["hot"] * 20) + "\n" + "\x0c".join(["hot"] * 24)
+    rows = lines.keyed(spark.createDataFrame([(1, text)], "doc_id long, text string"), "doc_id", "text")
+    bucket = F.pmod(F.xxhash64(F.lit("hot")), F.lit(lines.BUCKETS)).cast("int")
+    assert lines.word_counts(rows).select(F.get("rarity", bucket)).first()[0] == 12  # 2 * log2(64)
