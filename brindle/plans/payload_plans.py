@@ -268,6 +268,20 @@ def _(spark, sf_dir):
     return log.select("request.request_id", "request.conversation_id", "request.last_input", "trace.app_version_id")
 
 
+def _eval_rows(spark, sf_dir):
+    """Judged answers: one per labelled document, with a numbered list in two of three."""
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    yes = lambda c: F.when(c, "yes").otherwise("no")
+    return docs.select(
+        "doc_id",
+        F.array(F.struct(F.col("source").alias("doc_uri"))).alias("expected_retrieved_context"),
+        F.col("text").alias("request"),
+        F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit("1. a 2. b "), "text")).otherwise(F.col("text")).alias("response"),
+        yes(F.col("quality") == 1).alias("response/judged/correctness/rating"),
+        yes(F.col("toxic") == 0).alias("response/judged/safety/rating"),
+    )
+
+
 @catalog.add(
     "first_context_uri",
     "SELECT doc_id, source AS expected_retrieved_context, 'baseline' AS evaluation_round FROM documents JOIN labels USING (doc_id)",
