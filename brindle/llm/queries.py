@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from brindle.llm import ball_trees, byte_repeats, decontaminate, jaccard, language, lines, sampled_pieces, substring, token_counts, token_files
+from brindle.llm import ball_trees, byte_repeats, decontaminate, jaccard, language, lines, metric_join, sampled_pieces, substring, token_counts, token_files
 from brindle.plans.base import Catalog, table
 
 catalog = Catalog()
@@ -137,3 +137,20 @@ FROM judged GROUP BY doc_id
 def _(spark, sf_dir):
     found = lines.dedup_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_NEAR = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+     ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN e IF x <> 0]) > 0),
+     link AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93),
+     reach AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
+     least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+     degree AS (SELECT x, count(*) AS n FROM link GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN least ON least.x = vec_id LEFT JOIN degree ON degree.x = vec_id
+"""
+
+
+@catalog.add("op13_near_vectors", _NEAR)
+def _(spark, sf_dir):
+    return metric_join.metric_links(table(spark, sf_dir, "embeddings"))
