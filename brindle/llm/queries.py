@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from brindle.llm import ball_trees, byte_repeats, decontaminate, jaccard, language, lines, metric_join, sampled_pieces, substring, token_counts, token_files
+from brindle.llm import ball_trees, byte_repeats, decontaminate, jaccard, language, lexical, lines, metric_join, prefix_trie, sampled_pieces, substring, token_counts, token_files
 from brindle.plans.base import Catalog, table
 
 catalog = Catalog()
@@ -139,6 +139,51 @@ def _(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+_TRIE = r"""
+WITH o AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+     crc AS (SELECT conv_id AS c, list_reduce(list_prepend(4294967295::UBIGINT, [ord(x)::UBIGINT FOR x IN string_split(conv_id::VARCHAR, '')]),
+               lambda r, b: list_reduce(list_prepend(xor(r, b), range(8)::UBIGINT[]), lambda x, k: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END))) AS r
+             FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+     m AS (SELECT c, c - c % 20 AS base, xor(r, 4294967295::UBIGINT) % 4 AS h FROM crc),
+     t AS (SELECT m.c, 0 AS part, pos, role, text FROM m JOIN o ON o.c = m.base AND o.pos <= m.h UNION ALL SELECT m.c, 1, pos, role, text FROM m JOIN o ON o.c = m.c AND o.pos > m.h),
+     d AS (SELECT c, row_number() OVER w AS depth, list({'r': role, 't': text}) OVER w AS path, text FROM t WINDOW w AS (PARTITION BY c ORDER BY part, pos)),
+     every AS (SELECT c, depth, path, text FROM d UNION ALL SELECT c, 0, [], NULL FROM m),
+     node AS (SELECT path, min(depth) AS depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(len(regexp_extract_all(min(text), '[^\x20\x09-\x0D]+')), 0) AS saved FROM every GROUP BY path),
+     pre AS (SELECT path, unnest(range(0, depth + 1)) AS k FROM node),
+     up AS (SELECT pre.path, path[:k] AS top, k FROM pre),
+     kids AS (SELECT path[:depth - 1] AS path, count(*) AS n FROM node WHERE depth > 0 GROUP BY 1),
+     sub AS (SELECT top AS path, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (kids.n IS NULL) AS n_leaves FROM up JOIN node USING (path) LEFT JOIN kids USING (path) GROUP BY top),
+     last AS (SELECT c, max(depth) AS depth FROM every GROUP BY c),
+     ends AS (SELECT path, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM every JOIN last USING (c, depth) GROUP BY path)
+SELECT node.conv_id, node.depth, parent.conv_id AS parent_conv_id, node.n_convs, coalesce(kids.n, 0)::BIGINT AS n_children, n_leaves, saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM node JOIN sub USING (path) LEFT JOIN kids USING (path) LEFT JOIN ends USING (path) LEFT JOIN node AS parent ON node.depth > 0 AND parent.path = node.path[:node.depth - 1]
+"""
+
+
+@catalog.add("op11_prefix_trie", _TRIE)
+def _(spark, sf_dir):
+    trie = prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), rebuild=prefix_trie.branched())
+    return trie.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+_RANKED = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+     b AS (SELECT item_id, unnest(list_distinct(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS t FROM benchmark),
+     c AS (SELECT count(*) AS n, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+     tf AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS t FROM d) GROUP BY 1, 2),
+     wt AS (SELECT t, floor(1000 * ln((2 * c.n + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, c GROUP BY t, c.n),
+     m AS (SELECT doc_id, 100 - 90 + ((90 * len(w) * c.n) // c.l) AS m FROM d, c WHERE len(w) > 0),
+     s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score FROM b JOIN tf USING (t) JOIN wt USING (t) JOIN m USING (doc_id) GROUP BY 1, 2),
+     r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
+@catalog.add("op12_lexical_search", _RANKED)
+def _(spark, sf_dir):
+    return lexical.lexical_topk(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 _NEAR = """
 WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
      ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN e IF x <> 0]) > 0),
