@@ -1,4 +1,4 @@
-"""Finding functions in the text of one C file."""
+"""Finding functions and declarations in the text of one C file."""
 
 from __future__ import annotations
 
@@ -43,3 +43,38 @@ def find_functions(code: str) -> list[dict]:
         body = code[header.end() : partner.get(header.end() - 1, len(code))]
         found[name] = {"name": name, "params": params, "body": body, "pos": header.start()}
     return list(found.values())
+
+
+_NAME = r"[A-Za-z_]\w*"
+# `type name`, possibly with pointer stars, in front of what may follow a declared name. A
+# declaration starts a statement, or a `for` header.
+_DECLARATION = re.compile(rf"(?:^|[;{{}}]|\((?=[^,();]*=))\s*(?:[A-Za-z_][\w\s]*?\s)??({_NAME})(\s*\*[\s*]*|\s+)({_NAME})\s*(?=[;,\[{{]|=(?!=))", re.ASCII)
+_FURTHER = re.compile(rf"\s*([\s*]*)({_NAME})", re.ASCII)
+_NESTING = re.compile(r"[(){}\[\];,]")
+
+
+def find_declarations(body: str) -> list[dict]:
+    """``type, is_pointer, name`` of every declarator of every declaration, in their order.
+
+    All declarators of a list share the type; each has its own stars. Commas inside brackets of any
+    kind do not divide a list.
+    """
+    found = []
+    for head in _DECLARATION.finditer(body):
+        kind = head[1]
+        if kind in CONTROL_WORDS:
+            continue
+        names, depth = [(head[2], head[3])], 0
+        for sign in _NESTING.finditer(body, head.end()):
+            if sign[0] in "({[":
+                depth += 1
+            elif sign[0] in ")}]":
+                depth -= 1
+            elif depth == 0 and sign[0] == ",":
+                further = _FURTHER.match(body, sign.end())
+                if further:
+                    names.append(further.groups())
+            if depth < 0 or depth == 0 and sign[0] == ";":
+                break
+        found += [{"type": kind, "is_pointer": "*" in stars, "name": name} for stars, name in names if name not in CONTROL_WORDS and name not in TYPE_WORDS]
+    return found

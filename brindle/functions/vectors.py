@@ -1,4 +1,4 @@
-"""Text encoders and blockwise cosine scores, on numpy arrays inside tasks."""
+"""Text encoders and blockwise similarity scores, on numpy arrays inside tasks."""
 
 from __future__ import annotations
 
@@ -41,6 +41,14 @@ def unit_rows(vectors: np.ndarray) -> np.ndarray:
     return np.divide(vectors, norms, out=np.zeros_like(vectors, dtype=float), where=norms > 0)
 
 
+METRICS = ("cosine", "ip", "l2")
+
+
+def comparable(vectors: np.ndarray, metric: str) -> np.ndarray:
+    """Vectors whose inner products (or, for ``l2``, distances) the metric is about."""
+    return unit_rows(vectors) if metric == "cosine" else vectors
+
+
 def distinct_enough(ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Sort by id and keep the k smallest ids of every group of equal vectors.
 
@@ -54,26 +62,35 @@ def distinct_enough(ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.nd
 
 
 class TopHits:
-    """The k best corpus rows per query so far, by cosine, ties to the smaller id.
+    """The k best corpus rows per query so far, ties to the smaller id.
 
-    A block is compared in single precision with each query's current k-th score; only what comes
-    close is scored again in double precision and ranked.
+    ``metric`` is ``cosine``, ``ip`` (inner product) or ``l2``, where the score is the negative squared
+    distance. A block is compared in single precision with each query's current k-th score; only
+    what comes close is scored again in double precision and ranked.
     """
 
     MARGIN = 1e-5
     CELLS = 4_000_000
 
-    def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
-        self.query_ids, self.k = query_ids, k
-        self.exact = unit_rows(queries)
-        self.rough = self.exact.astype(np.float32)
-        self.floor = np.full(len(query_ids), -np.inf, dtype=np.float32)
+    def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int, metric: str = "cosine"):
+        self.query_ids, self.k, self.metric = query_ids, k, metric
+        self.exact = comparable(queries, metric)
+        self.rough = self._lifted(self.exact, True)
+        self.length = np.linalg.norm(self.rough.astype(float), axis=1)
+        self.floor = np.full(len(query_ids), -np.inf)
         self.best = pd.DataFrame({"q": pd.Series(dtype=np.int64), "corpus_id": [], "score": pd.Series(dtype=float)})
 
+    def _lifted(self, points: np.ndarray, asks: bool) -> np.ndarray:
+        """Single-precision vectors whose inner products are the scores."""
+        if self.metric == "l2":
+            square, one = (points**2).sum(axis=1, keepdims=True), np.ones((len(points), 1))
+            points = np.hstack([2 * points, -one, -square] if asks else [points, square, one])
+        return points.astype(np.float32)
+
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         ids, vectors = distinct_enough(ids, vectors, self.k)
-        corpus = unit_rows(vectors)
-        rough = corpus.astype(np.float32).T
+        corpus = comparable(vectors, self.metric)
+        rough = self._lifted(corpus, False).T
         step = max(1, self.CELLS // len(ids))
         found = [self._near(at, min(at + step, len(self.query_ids)), ids, corpus, rough) for at in range(0, len(self.query_ids), step)]
         merged = pd.concat([self.best, *found], ignore_index=True) if len(self.best) else pd.concat(found, ignore_index=True)
@@ -81,16 +98,22 @@ class TopHits:
         self.best = ranked[ranked.groupby("q").cumcount() < self.k]
         full = self.best.groupby("q")["score"].agg(["min", "size"])
         full = full[full["size"] == self.k]
-        self.floor[full.index.to_numpy()] = full["min"].to_numpy()
+        at = full.index.to_numpy()
+        self.floor[at] = np.maximum(self.floor[at], full["min"].to_numpy())
 
     def _near(self, start: int, stop: int, ids: np.ndarray, corpus: np.ndarray, rough: np.ndarray) -> pd.DataFrame:
         scores = self.rough[start:stop] @ rough
         floor = self.floor[start:stop]
         if self.k < len(ids) and np.isneginf(floor).any():
             floor = np.maximum(floor, -np.partition(-scores, self.k - 1, axis=1)[:, self.k - 1])
-        q, c = np.nonzero(scores >= (floor - self.MARGIN)[:, None])
+        reach = float(np.linalg.norm(rough.astype(float), axis=0).max(initial=0))
+        margin = self.MARGIN * np.maximum(self.length[start:stop] * reach, 1)
+        q, c = np.nonzero(scores >= (floor - margin)[:, None])
         q += start
-        score = np.einsum("ij,ij->i", self.exact[q], corpus[c])
+        if self.metric == "l2":
+            score = -((self.exact[q] - corpus[c]) ** 2).sum(axis=1)
+        else:
+            score = np.einsum("ij,ij->i", self.exact[q], corpus[c])
         return pd.DataFrame({"q": q, "corpus_id": ids[c], "score": np.round(score, SCORE_DIGITS)})
 
     def result(self) -> pd.DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from brindle.operators.joins import attach
@@ -17,6 +19,9 @@ from brindle.session import settle
 
 # Rounds of the ancestor search after which the visited pairs are rewritten into one table.
 COMPACT_EVERY = 8
+# Nodes and edges of a graph that is iterated in one task, and of the graphs that share a task.
+SMALL_GRAPH = 1 << 17
+GRAPHS_OF_A_TASK = 1 << 20
 
 
 def _links(edges: DataFrame, graph: Sequence[str], unique: bool) -> DataFrame:
@@ -83,6 +88,55 @@ def degree_centrality(
     return sized.select(*graph, "node", value.alias("centrality"))
 
 
+def power_iteration(graph_of: np.ndarray, src: np.ndarray, dst: np.ndarray, max_iter: int, tol: float) -> tuple[np.ndarray, np.ndarray]:
+    """Values and convergence of all nodes of many graphs at once.
+
+    ``graph_of`` is the number of each node's graph, ``src`` and ``dst`` are numbers of nodes. Graphs
+    that have converged keep their values and leave the iteration.
+    """
+    size = np.bincount(graph_of) if len(graph_of) else np.zeros(0, np.int64)
+    x = 1.0 / size[graph_of]
+    converged = np.zeros(len(size), bool)
+    open_nodes = np.arange(len(x))
+    for _ in range(max_iter):
+        if not len(open_nodes):
+            break
+        y = x + np.bincount(dst, weights=x[src], minlength=len(x))
+        own = graph_of[open_nodes]
+        length = np.sqrt(np.bincount(own, weights=y[open_nodes] ** 2, minlength=len(size)))
+        fresh = y[open_nodes] / np.where(length > 0, length, 1.0)[own]
+        moved = np.bincount(own, weights=np.abs(fresh - x[open_nodes]), minlength=len(size))
+        x[open_nodes] = fresh
+        done = np.zeros(len(size), bool)
+        done[own] = moved[own] < size[own] * tol
+        if done.any():
+            converged |= done
+            open_nodes = open_nodes[~done[own]]
+            edges = ~converged[graph_of[src]]
+            src, dst = src[edges], dst[edges]
+    return x, converged[graph_of]
+
+
+def _small_graphs(links: DataFrame, members: DataFrame, key: Sequence[str], max_iter: int, tol: float) -> DataFrame:
+    """Eigenvector centrality of graphs of bounded size, many of them in a task."""
+    rows = members.count() + links.count()
+    bucket = F.pmod(F.xxhash64(*key), F.lit(max(1, -(-rows // GRAPHS_OF_A_TASK)))).alias("__bucket")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in members.schema.fields if f.name in (*key, "node"))
+
+    def iterate(nodes: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+        nodes = nodes.sort_values([*key, "node"], kind="stable").reset_index(drop=True)
+        ends = [edges[[*key, c]].rename(columns={c: "node"}) for c in ("src", "dst")]
+        # Numbers of nodes in order of appearance: those of ``nodes`` come first.
+        number = pd.concat([nodes[[*key, "node"]], *ends], ignore_index=True).groupby([*key, "node"], sort=False, dropna=False).ngroup().to_numpy()
+        n, m = len(nodes), len(edges)
+        own = nodes.groupby([*key], sort=False, dropna=False).ngroup().to_numpy()
+        x, converged = power_iteration(own, number[n : n + m], number[n + m :], max_iter, tol)
+        return nodes[[c for c in nodes.columns if c in (*key, "node")]].assign(x=x, converged=converged)
+
+    dealt = members.select(*key, "node", bucket).groupBy("__bucket").cogroup(links.select(*key, "src", "dst", bucket).groupBy("__bucket"))
+    return dealt.applyInPandas(iterate, f"{kinds}, x double, converged boolean")
+
+
 def eigenvector_centrality(
     edges: DataFrame,
     graph: Sequence[str] = (),
@@ -95,6 +149,9 @@ def eigenvector_centrality(
     A round adds to every node the values of its predecessors and scales the graph to length one,
     starting from equal values. A graph is finished when the values moved less than ``tol`` per
     node; graphs that are not after ``max_iter`` rounds have ``converged = false``.
+
+    Graphs of up to ``SMALL_GRAPH`` nodes and edges are iterated in the tasks, many at once, in one
+    job; larger ones in rounds of joins. Both compute the same sums.
     """
     key = [*graph] or ["__all"]
     whole = (lambda df: df) if graph else (lambda df: df.withColumn("__all", F.lit(0)))
@@ -102,7 +159,20 @@ def eigenvector_centrality(
     members = edge_nodes(links, key)
     if nodes is not None:
         members = members.unionByName(whole(nodes).select(*key, "node")).distinct()
-    counts = settle(members.groupBy(*key).agg(F.count(F.lit(1)).alias("n")), "node-counts")
+    members = settle(members, "graph-nodes")
+    held = members.select(*key, F.lit(1).alias("n"), F.lit(0).alias("m")).unionByName(links.select(*key, F.lit(0).alias("n"), F.lit(1).alias("m")))
+    counts = settle(held.groupBy(*key).agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "node-counts")
+    large = counts.where(F.col("n") + F.col("m") > SMALL_GRAPH)
+    result = _small_graphs(attach(links, large, key, "left_anti"), attach(members, large, key, "left_anti"), key, max_iter, tol)
+    result = settle(result, "centrality")
+    if not large.isEmpty():
+        result = result.unionByName(_large_graphs(attach(links, large, key, "left_semi"), attach(members, large, key, "left_semi"), large.drop("m"), key, max_iter, tol))
+    # Ten digits: what the order of a sum changes does not come out, and equal nodes have equal values.
+    return result.select(*graph, "node", F.format_string("%.9e", "x").cast("double").alias("centrality"), "converged")
+
+
+def _large_graphs(links: DataFrame, members: DataFrame, counts: DataFrame, key: Sequence[str], max_iter: int, tol: float) -> DataFrame:
+    """Eigenvector centrality in rounds of joins: no graph lies in one task."""
     state = settle(attach(members, counts, key).select(*key, "node", (1 / F.col("n")).alias("x")), "centrality")
     finished: list[DataFrame] = []
     for _ in range(max_iter):
@@ -126,8 +196,7 @@ def eigenvector_centrality(
                 break
     else:
         finished.append(state.withColumn("converged", F.lit(False)))
-    result = reduce(DataFrame.unionByName, finished)
-    return result.select(*graph, "node", F.col("x").alias("centrality"), "converged")
+    return reduce(DataFrame.unionByName, finished)
 
 
 def node_centrality(
@@ -150,6 +219,69 @@ def node_centrality(
     return both.select(*graph, "node", value.alias("centrality"))
 
 
+def neighbour_edges(edges: DataFrame, graph: Sequence[str] = (), unique: bool = False) -> DataFrame:
+    """``graph..., center, direction, src, dst``: the edges that a node's predecessors (``upstream``) or
+    successors (``downstream``) have among themselves.
+
+    Such an edge closes a triangle. Triangles are found by joining edges that lead from the end of
+    fewer neighbours to that of more: there a node has at most about the square root of twice the
+    number of edges, so a hub makes no pairs of its neighbours.
+    """
+    key = [*graph]
+    links = edges if unique else settle(_links(edges, graph, False), "edges")
+    plain = links.where("src <> dst")
+    pairs = plain.groupBy(*key, F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).agg(
+        F.bool_or(F.col("src") < F.col("dst")).alias("ab"), F.bool_or(F.col("src") > F.col("dst")).alias("ba")
+    )
+    pairs = settle(pairs, "pairs")
+    degrees = settle(pairs.select(*key, F.explode(F.array("a", "b")).alias("node")).groupBy(*key, "node").agg(F.count(F.lit(1)).alias("degree")), "degrees")
+    end = lambda c: degrees.select(*key, F.col("node").alias(c), F.struct("degree", "node").alias(f"rank_{c}"))
+    ranked = pairs.join(end("a"), [*key, "a"]).join(end("b"), [*key, "b"])
+    up = F.col("rank_a") < F.col("rank_b")
+    turned = lambda x, y: F.when(up, F.col(x)).otherwise(F.col(y))
+    oriented = settle(ranked.select(*key, turned("a", "b").alias("p"), turned("b", "a").alias("q"), turned("ab", "ba").alias("pq"), turned("ba", "ab").alias("qp")), "oriented")
+    other = oriented.select(*key, "p", F.col("q").alias("r"), F.col("pq").alias("pr"), F.col("qp").alias("rp"))
+    wedges = oriented.join(other, [*key, "p"]).where("q < r")
+    closed = wedges.join(pairs.select(*key, F.col("a").alias("q"), F.col("b").alias("r"), F.col("ab").alias("qr"), F.col("ba").alias("rq")), [*key, "q", "r"])
+    # Of a triangle every way a -> b, b -> c, a -> c counts: a -> b among those before c, b -> c among
+    # those after a.
+    ways = F.array(*[F.struct((F.col(x + y) & F.col(y + z) & F.col(x + z)).alias("is"), F.col(x).alias("a"), F.col(y).alias("b"), F.col(z).alias("c")) for x, y, z in ("pqr", "prq", "qpr", "qrp", "rpq", "rqp")])
+    found = closed.select(*key, F.explode(F.filter(ways, lambda w: w["is"])).alias("w"))
+    said = lambda center, direction, src, dst: F.struct(F.col(center).alias("center"), F.lit(direction).alias("direction"), F.col(src).alias("src"), F.col(dst).alias("dst"))
+    induced = found.select(*key, F.explode(F.array(said("w.c", "upstream", "w.a", "w.b"), said("w.a", "downstream", "w.b", "w.c"))).alias("e")).select(*key, "e.*")
+    # A node with a loop is its own neighbour: its loop is among its neighbours' edges, and so are its
+    # edges to and from these.
+    loops = links.where("src = dst").select(*key, F.col("src").alias("loop"))
+    leaving, coming = (plain.withColumnRenamed(c, "loop").join(loops, [*key, "loop"]).select(*key, "loop", F.col(d).alias("far")) for c, d in (("src", "dst"), ("dst", "src")))
+    mutual = leaving.join(coming, [*key, "loop", "far"], "left_semi")
+    one = lambda df, center, direction, src, dst: df.select(*key, F.col(center).alias("center"), F.lit(direction).alias("direction"), F.col(src).alias("src"), F.col(dst).alias("dst"))
+    parts = [
+        one(leaving, "far", "upstream", "loop", "loop"), one(coming, "far", "downstream", "loop", "loop"),
+        one(loops, "loop", "upstream", "loop", "loop"), one(loops, "loop", "downstream", "loop", "loop"),
+        one(coming, "loop", "upstream", "far", "loop"), one(mutual, "loop", "upstream", "loop", "far"),
+        one(leaving, "loop", "downstream", "loop", "far"), one(mutual, "loop", "downstream", "far", "loop"),
+    ]
+    return reduce(DataFrame.unionByName, parts, induced)
+
+
+def neighbour_centrality(edges: DataFrame, graph: Sequence[str] = (), max_iter: int = 100) -> DataFrame:
+    """``graph..., node, direction, neighbour, centrality``: how central each neighbour of a node is among
+    the node's predecessors (``upstream``) or successors (``downstream``).
+
+    The measure is that of :func:`node_centrality` on the graph that these neighbours induce:
+    eigenvector centrality, degree centrality where it does not converge, 1 for a single one.
+    """
+    links = settle(_links(edges, graph, False), "edges")
+    view = [*graph, "center", "direction"]
+    members = links.select(*graph, F.col("dst").alias("center"), F.lit("upstream").alias("direction"), F.col("src").alias("node")).unionByName(
+        links.select(*graph, F.col("src").alias("center"), F.lit("downstream").alias("direction"), F.col("dst").alias("node"))
+    )
+    members = settle(members, "neighbours")
+    among = settle(neighbour_edges(links, graph, unique=True), "neighbour-edges")
+    scored = node_centrality(among, view, members, "eigenvector", max_iter, unique=True)
+    return scored.withColumnRenamed("node", "neighbour").withColumnRenamed("center", "node")
+
+
 def top_central(centrality: DataFrame, groups: Sequence[str] = (), n: int = 25) -> DataFrame:
     """The n most central nodes per group, ties by name."""
     if not groups:

@@ -9,18 +9,16 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brindle.functions.ccode import CONTROL_WORDS, TYPE_WORDS, find_functions
+from brindle.functions.ccode import CONTROL_WORDS, TYPE_WORDS, find_declarations, find_functions
 from brindle.functions.text import code_context, render_prompt, strip_c_comments
+from brindle.operators import graph as gr
 from brindle.operators.ranking import top_ranked
 
 CONSTANT_PREFIX = "Constant: "
 
-# `type name`, possibly with pointer stars, in front of what may follow a declared name. A
-# declaration starts a statement, or a `for` header. The words in front of the type are one run of
-# characters, since each repetition of a group would cost the pattern engine a stack frame.
+# `type name`, possibly with pointer stars.
 _NAME = r"[A-Za-z_]\w*"
 _TYPED = rf"({_NAME})(\s*\*[\s*]*|\s+)({_NAME})"
-DECLARATION = rf"(?:^|[;{{}}]|\((?=[^,();]*=))\s*(?:[A-Za-z_][\w\s]*?\s)??{_TYPED}\s*(?=[;,\[{{]|=(?!=))"
 PARAMETER = rf"{_TYPED}\s*(?:\[[^\]]*\]\s*)*$"
 # `name = right side;` with the right side only looked at, so that `a = b = c;` gives two matches.
 ASSIGNMENT = rf"\b({_NAME})\s*=(?!=)(?=\s*([^;]+);)"
@@ -43,27 +41,33 @@ def _groups(text: Column | str, pattern: str, **names: int) -> Column:
 
 
 def extract_variables(functions: DataFrame) -> DataFrame:
-    """``file, function, name, type, is_pointer, pos``: parameters and local declarations.
+    """``file, function, name, type, is_pointer, pos``: parameters and local declarations, all of a
+    list included.
 
     A parameter wins over a local of the same name, a later local over an earlier one.
     """
-    typed = dict(type=1, stars=2, name=3)
+
+    @F.pandas_udf("array<struct<type: string, is_pointer: boolean, name: string>>")
+    def declared(bodies: pd.Series) -> pd.Series:
+        return bodies.map(find_declarations, na_action="ignore")
+
+    one = lambda p, i: F.regexp_extract(p, PARAMETER, i)
     arguments = F.transform(
-        F.split("params", ","),
-        lambda p: F.struct(*[F.regexp_extract(p, PARAMETER, i).alias(n) for n, i in typed.items()]),
+        F.split("params", ","), lambda p: F.struct(one(p, 1).alias("type"), F.contains(one(p, 2), F.lit("*")).alias("is_pointer"), one(p, 3).alias("name"))
     )
     kinds = F.array(
-        F.struct(F.lit(0).alias("priority"), _groups("body", DECLARATION, **typed).alias("found")),
+        F.struct(F.lit(0).alias("priority"), F.col("locals").alias("found")),
         F.struct(F.lit(1).alias("priority"), arguments.alias("found")),
     )
     rows = (
-        functions.select("file", "function", "pos", F.explode(kinds).alias("k"))
+        functions.withColumn("locals", declared.asNondeterministic()("body"))
+        .select("file", "function", "pos", F.explode(kinds).alias("k"))
         .select("file", "function", "pos", "k.priority", F.posexplode("k.found").alias("at", "v"))
         .select("file", "function", "pos", "priority", "at", "v.*")
         .filter(F.col("name") != "")
         .filter(~F.col("type").isin(*CONTROL_WORDS) & ~F.col("name").isin(*CONTROL_WORDS, *TYPE_WORDS))
     )
-    winner = F.max(F.struct("priority", "at", "type", F.contains("stars", F.lit("*")).alias("is_pointer"), "pos"))
+    winner = F.max(F.struct("priority", "at", "type", "is_pointer", "pos"))
     return rows.groupBy("file", "function", "name").agg(winner.alias("w")).select(
         "file", "function", "name", "w.type", "w.is_pointer", "w.pos"
     )
@@ -125,13 +129,14 @@ def neighbours(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def top_neighbours(neighbour_rows: DataFrame, centrality: DataFrame, n: int = 10) -> DataFrame:
-    """The n most central neighbours per node and direction, numbered by ``rank``.
+def top_neighbours(nodes: DataFrame, edges: DataFrame, n: int = 10, max_iter: int = 100) -> DataFrame:
+    """The n most central neighbours per node and direction, with their attributes and ``rank``.
 
-    ``centrality`` holds ``file, node, centrality``; ties go by name.
+    A neighbour's centrality is the one it has in the graph that the node's predecessors (upstream)
+    or successors (downstream) induce among themselves; ties go by name.
     """
-    scores = centrality.select("file", F.col("node").alias("neighbour"), "centrality")
-    scored = neighbour_rows.join(scores, ["file", "neighbour"], "left")
+    central = gr.neighbour_centrality(edges, ["file"], max_iter).withColumnRenamed("node", "name")
+    scored = neighbours(nodes, edges).join(central, ["file", "name", "direction", "neighbour"], "left")
     order = [F.desc(F.coalesce("centrality", F.lit(0.0))), F.col("neighbour")]
     return top_ranked(scored, ["file", "name", "direction"], order, n)
 
@@ -146,9 +151,10 @@ _NONE_LINE = "  - none"
 _SEGMENTS = "Relevant code segments:\n\n"
 
 
-def symbol_context(nodes: DataFrame, edges: DataFrame, centrality: DataFrame, n: int = 10) -> DataFrame:
-    """``file, name, context``: one text block per variable with its most central neighbours."""
-    top = top_neighbours(neighbours(nodes, edges), centrality, n)
+def symbol_context(nodes: DataFrame, edges: DataFrame, n: int = 10, question: Column | str | None = None) -> DataFrame:
+    """``file, name, context``: one text block per variable with its most central neighbours, followed
+    by the user's ``question``, a text or a column of ``nodes``."""
+    top = top_neighbours(nodes, edges, n)
     line = F.concat(
         F.lit("  - "), "neighbour", F.lit(" ("), "type", F.lit(") in "), F.coalesce("function", F.lit("global"))
     )
@@ -167,7 +173,8 @@ def symbol_context(nodes: DataFrame, edges: DataFrame, centrality: DataFrame, n:
             **text,
         },
     )
-    return described.select("file", "name", context.alias("context"))
+    asked = F.lit("") if question is None else F.coalesce(question if isinstance(question, Column) else F.lit(question), F.lit(""))
+    return described.select("file", "name", F.concat(context, asked).alias("context"))
 
 
 def with_code_segments(contexts: DataFrame, hits: DataFrame, context_id: str) -> DataFrame:

@@ -1,14 +1,15 @@
-"""Embedding and exact top-k vector retrieval."""
+"""Embedding and top-k vector retrieval."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from brindle.functions.vectors import Encoder, TopHits, hashing_encoder
+from brindle.functions.vectors import METRICS, Encoder, TopHits, hashing_encoder
+from brindle.operators.nearest import approximate_topk, best_k, pruned_topk, stack
 from brindle.session import settle
 
 # Query vectors that every task holds at once (floats), and corpus rows of one block.
@@ -30,10 +31,6 @@ def embed(df: DataFrame, text: str, encoder: Encoder | None = None, out: str = "
     return df.withColumn(out, vectors.asNondeterministic()(text))
 
 
-def _stack(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(float)
-
-
 def retrieve_topk(
     queries: DataFrame,
     corpus: DataFrame,
@@ -45,14 +42,24 @@ def retrieve_topk(
     metadata: Sequence[str] = (),
     broadcast_floats: int = BROADCAST_FLOATS,
     block_rows: int = BLOCK_ROWS,
+    metric: str = "cosine",
+    approximate: Mapping | None = None,
 ) -> DataFrame:
-    """The k nearest corpus rows per query by cosine: ``query_id, corpus_id, score, distance, rank``
-    and the corpus columns in ``metadata``. Exact; ids are unique; ties go to the smaller id.
-
-    A measured, bounded set of queries is sent to all tasks and the corpus is streamed past it
-    without a shuffle. More queries than that are cut into blocks that meet blocks of the corpus
-    by key. Either way a task emits k rows per query, never all pairs.
+    """The k nearest corpus rows per query: ``query_id, corpus_id, score, distance, rank`` and the
+    corpus columns in ``metadata``. Ids are unique; ties go to the smaller id.
+
+    ``metric`` is ``cosine`` or ``ip`` (the score is the inner product and the distance one minus it) or
+    ``l2`` (the distance is the squared one, the score its negative).
+
+    Exact by default. A measured, bounded set of queries is sent to all tasks and the corpus is
+    streamed past it without a shuffle. More queries than that are laid into blocks of similar rows,
+    and so is the corpus; pairs of blocks that cannot hold a hit are never joined. With
+    ``approximate``, the settings of :func:`brindle.operators.nearest.approximate_topk` (empty for its
+    defaults), only rows that share a bucket of an index with the query are scored. Either way a
+    task emits k rows per query, never all pairs.
     """
+    if metric not in METRICS:
+        raise ValueError(f"metric must be one of {METRICS}, not {metric!r}")
     asked = queries.filter(F.col(query_vector).isNotNull()).select(
         F.col(query_id).alias("query_id"), F.col(query_vector).cast("array<float>").alias("vector")
     )
@@ -61,73 +68,40 @@ def retrieve_topk(
     )
     asked = settle(asked, "queries")
     size = asked.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("vector")).alias("floats")).first()
-    kind = asked.schema["query_id"].dataType.simpleString(), stored.schema["corpus_id"].dataType.simpleString()
-    schema = f"query_id {kind[0]}, corpus_id {kind[1]}, score double"
     # Rows count too: vectors may be empty.
-    if (size.floats or 0) + size.rows <= broadcast_floats:
-        hits = _against_broadcast(asked, stored, k, schema)
+    if approximate is not None:
+        hits = approximate_topk(asked, stored, k, metric, block_rows=block_rows, **approximate)
+    elif (size.floats or 0) + size.rows <= broadcast_floats:
+        hits = _against_broadcast(asked, stored, k, metric)
     else:
-        hits = _block_by_block(asked, stored, k, schema, size.rows, block_rows)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "corpus_id")
-    ranked = hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    ranked = ranked.withColumn("distance", F.round(1 - F.col("score"), 6))
+        hits, _ = pruned_topk(asked, stored, k, metric, block_rows)
+    distance = -F.col("score") if metric == "l2" else 1 - F.col("score")
+    ranked = best_k(hits, k).withColumn("distance", F.round(distance, 6))
     if metadata:
         extra = corpus.select(F.col(corpus_id).alias("corpus_id"), *metadata)
         ranked = ranked.join(extra, "corpus_id")
     return ranked
 
 
-def _against_broadcast(asked: DataFrame, stored: DataFrame, k: int, schema: str) -> DataFrame:
+def _against_broadcast(asked: DataFrame, stored: DataFrame, k: int, metric: str) -> DataFrame:
+    kind = asked.schema["query_id"].dataType.simpleString(), stored.schema["corpus_id"].dataType.simpleString()
+    schema = f"query_id {kind[0]}, corpus_id {kind[1]}, score double"
     block = asked.toPandas()  # bounded by the caller
     if block.empty:
         return asked.sparkSession.createDataFrame([], schema)
-    shared = asked.sparkSession.sparkContext.broadcast((block["query_id"].to_numpy(), _stack(block["vector"])))
+    shared = asked.sparkSession.sparkContext.broadcast((block["query_id"].to_numpy(), stack(block["vector"])))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, vectors = shared.value
-        top = TopHits(ids, vectors, k)
+        top = TopHits(ids, vectors, k, metric)
         for pdf in batches:
             if len(pdf):
-                top.add(pdf["corpus_id"].to_numpy(), _stack(pdf["vector"]))
+                top.add(pdf["corpus_id"].to_numpy(), stack(pdf["vector"]))
         yield top.result()
 
     return stored.mapInPandas(scan, schema)
 
 
-def _block_by_block(
-    asked: DataFrame, stored: DataFrame, k: int, schema: str, query_rows: int, block_rows: int
-) -> DataFrame:
-    """Every block of queries meets every block of the corpus in a task of its own.
-
-    Blocks are cut by a hash of the unique ids, so they are even. Each side is copied once per
-    block of the other side: the cost of an exact answer for a query set that is itself large.
-    """
-    corpus_rows = stored.count()
-    # Smaller blocks where full ones would leave cores idle.
-    pairs = 2 * asked.sparkSession.sparkContext.defaultParallelism
-    rows = min(block_rows, max(1000, int((query_rows * corpus_rows / pairs) ** 0.5)))
-    query_blocks = max(1, -(-query_rows // rows))
-    corpus_blocks = max(1, -(-corpus_rows // rows))
-
-    def blocks(df: DataFrame, key: str, own: int, other: int, names: tuple[str, str]) -> DataFrame:
-        return df.withColumn(names[0], F.pmod(F.xxhash64(key), F.lit(own)).cast("int")).withColumn(
-            names[1], F.explode(F.sequence(F.lit(0), F.lit(other - 1)))
-        )
-
-    left = blocks(asked, "query_id", query_blocks, corpus_blocks, ("q_block", "c_block"))
-    right = blocks(stored, "corpus_id", corpus_blocks, query_blocks, ("c_block", "q_block"))
-
-    def score(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or c.empty:
-            return pd.DataFrame({"query_id": q["query_id"][:0], "corpus_id": c["corpus_id"][:0], "score": pd.Series(dtype=float)})
-        top = TopHits(q["query_id"].to_numpy(), _stack(q["vector"]), k)
-        top.add(c["corpus_id"].to_numpy(), _stack(c["vector"]))
-        return top.result()
-
-    pair = ["q_block", "c_block"]
-    return left.groupBy(*pair).cogroup(right.groupBy(*pair)).applyInPandas(score, schema)
-
-
 def retrieved_context(hits: DataFrame, text: str, separator: str = "\n") -> DataFrame:
     """The retrieved texts of every query in rank order, joined: ``query_id, context``."""
     ordered = F.array_sort(F.collect_list(F.struct("rank", F.col(text).alias("text"))))  # k per query

@@ -1,4 +1,4 @@
-"""Multi-class training and top-N class scoring with Spark ML."""
+"""Multi-class training and top-N class scoring."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from brindle.operators.boosting import BoostedTrees, fit_boosted_trees
 from brindle.operators.ranking import topn_classes
 
 
@@ -19,26 +20,28 @@ def train_classifier(
     label: str,
     test: float = 0.3,
     seed: int = 42,
-    kind: str = "forest",
+    kind: str = "boosted",
     key: str | None = None,
     **settings,
-) -> tuple[PipelineModel, DataFrame]:
+) -> tuple[PipelineModel | BoostedTrees, DataFrame]:
     """``(model, test rows)`` of a multi-class fit on a split by a hash of ``key`` (default: of the
     features), so that it depends on the rows alone and not on their partitions.
 
-    ``kind`` is ``forest`` (tree ensemble) or ``logistic`` (multinomial); both give a probability
-    per class, which boosted trees in Spark do not for more than two classes.
+    ``kind`` is ``boosted`` (:func:`brindle.operators.boosting.fit_boosted_trees`), ``forest`` or
+    ``logistic`` (multinomial, both of Spark ML); each gives a probability per class.
     """
     own = [F.col(key).cast("string")] if key else [F.col(c).cast("string") for c in features]
     part = F.pmod(F.crc32(F.concat_ws(",", F.lit(str(seed)), *own).cast("binary")), F.lit(1000))
     columns = [*([key] if key else []), *features, label]
     train, held_out = (df.where(side).select(*columns) for side in (part >= round(1000 * test), part < round(1000 * test)))
+    if kind == "boosted":
+        return fit_boosted_trees(train, features, label, **settings), held_out
     if kind == "forest":
         fit = RandomForestClassifier(seed=seed, labelCol="__label", featuresCol="__features", **settings)
     elif kind == "logistic":
         fit = LogisticRegression(family="multinomial", labelCol="__label", featuresCol="__features", **settings)
     else:
-        raise ValueError(f"kind must be 'forest' or 'logistic', not {kind!r}")
+        raise ValueError(f"kind must be 'boosted', 'forest' or 'logistic', not {kind!r}")
     stages = [
         StringIndexer(inputCol=label, outputCol="__label", stringOrderType="alphabetAsc"),
         VectorAssembler(inputCols=list(features), outputCol="__features"),
@@ -47,8 +50,10 @@ def train_classifier(
     return Pipeline(stages=stages).fit(train), held_out
 
 
-def score_topn(df: DataFrame, model: PipelineModel, n: int = 3) -> DataFrame:
-    """All columns plus the n most probable classes, without a Python stage."""
+def score_topn(df: DataFrame, model: PipelineModel | BoostedTrees, n: int = 3) -> DataFrame:
+    """All columns plus the n most probable classes; for models of Spark ML without a Python stage."""
+    if isinstance(model, BoostedTrees):
+        return topn_classes(model.add_probabilities(df, "__p"), "__p", model.labels, n).drop("__p")
     indexer, *rest = model.stages
     scored = df
     for stage in rest:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from brindle.operators import chunking, graph as gr, lineage as ln, retrieval
+from brindle.operators.ranking import top_ranked
 from brindle.plans.base import Catalog, table
 from brindle.session import settle
 
@@ -63,7 +64,7 @@ _VARIABLES = _values(
     [
         ("area", "w", "int", False), ("area", "label", "char", True), ("area", "h", "int", False), ("area", "p", "int", True),
         ("area", "d", "int", False), ("area", "i", "int", False),
-        ("total", "rate", "double", False), ("total", "h", "double", False),
+        ("total", "rate", "double", False), ("total", "h", "double", False), ("total", "rest", "double", False),
     ],
     "f, name, type, is_pointer",
 )
@@ -91,7 +92,8 @@ def _(spark, sf_dir):
 _EDGES = _values(
     [
         ("area", "w", "h"), ("area", "i", "h"), ("area", "h", "d"), ("area", "Constant: {n}", "d"), ("area", "Constant: 0", "i"),
-        ("total", "rate", "h"), ("total", "Constant: 7", "h"),
+        ("total", "rate", "h"), ("total", "Constant: 7", "h"), ("total", "rest", "h"), ("total", "rate", "rest"), ("total", "h", "rest"),
+        ("total", "Constant: 7", "rest"),
     ],
     "f, src, dst",
 )
@@ -124,8 +126,43 @@ def _(spark, sf_dir):
     return ln.variable_catalog(_merged(spark, sf_dir)[0])
 
 
+
+
+def _power(view: str, members: str, among: str, name: str = "central") -> str:
+    """CTEs for the node centrality of the graphs told apart by the columns ``view``: power iteration,
+    and degrees where it does not converge."""
+    by = f"PARTITION BY {view}"
+    return f"""
+{name}_links AS (SELECT {view}, src, dst, false AS self FROM {among} UNION ALL SELECT {view}, node, node, true FROM {members}),
+{name}_rounds AS (
+    SELECT 0 AS k, {view}, node, 1.0::DOUBLE / count(*) OVER ({by}) AS x, false AS done FROM {members}
+    UNION ALL
+    SELECT k, {view}, node, y / len, sum(abs(y / len - old)) OVER ({by}) < n * 1e-6 FROM (
+        SELECT *, sqrt(sum(y * y) OVER ({by})) AS len, count(*) OVER ({by}) AS n FROM (
+            SELECT k + 1 AS k, {view}, l.dst AS node, sum(x) AS y, max(CASE WHEN self THEN x END) AS old
+            FROM {name}_rounds r JOIN {name}_links l USING ({view}) WHERE l.src = r.node AND NOT done AND k < 100 GROUP BY ALL))),
+{name}_last AS (SELECT *, count(*) OVER ({by}) AS n FROM (SELECT * FROM {name}_rounds QUALIFY row_number() OVER (PARTITION BY {view}, node ORDER BY k DESC) = 1)),
+{name}_degrees AS (SELECT {view}, node, count(*) AS degree FROM (SELECT {view}, src AS node FROM {among} UNION ALL SELECT {view}, dst FROM {among}) GROUP BY ALL),
+{name} AS (SELECT {view}, node, done AS converged, printf('%.9e', x)::DOUBLE AS power,
+               CASE WHEN done THEN printf('%.9e', x)::DOUBLE WHEN n = 1 THEN 1.0 ELSE coalesce(degree, 0)::DOUBLE / (n - 1) END AS centrality
+           FROM {name}_last LEFT JOIN {name}_degrees USING ({view}, node))"""
+
+
+def _neighbour_power(graph: str, edges: str) -> str:
+    """CTEs for the centrality of each node's neighbours among themselves: ``near_central``."""
+    same = f"a.{graph} = b.{graph} AND a.{graph} = c.{graph}"
+    return f"""
+near_edges AS (SELECT DISTINCT a.{graph}, a.dst AS center, 'upstream' AS direction, a.src, b.src AS dst FROM {edges} a, {edges} b, {edges} c
+               WHERE {same} AND a.dst = b.dst AND c.src = a.src AND c.dst = b.src
+               UNION ALL SELECT DISTINCT a.{graph}, a.src, 'downstream', a.dst, b.dst FROM {edges} a, {edges} b, {edges} c
+               WHERE {same} AND a.src = b.src AND c.src = a.dst AND c.dst = b.dst),
+near_nodes AS (SELECT {graph}, dst AS center, 'upstream' AS direction, src AS node FROM {edges}
+               UNION ALL SELECT {graph}, src, 'downstream', dst FROM {edges}),
+{_power(f"{graph}, center, direction", "near_nodes", "near_edges", "near_central")}"""
+
+
 _NEIGHBOURS = f"""
-WITH edges AS ({_MERGED_EDGES}), nodes AS ({_NODES}),
+WITH RECURSIVE edges AS ({_MERGED_EDGES}), nodes AS ({_NODES}),
 ends AS (SELECT file, dst AS name, 'upstream' AS direction, src AS neighbour FROM edges
          UNION ALL SELECT file, src, 'downstream', dst FROM edges),
 degrees AS (SELECT file, node, count(*) AS degree FROM (SELECT file, src AS node FROM edges UNION ALL SELECT file, dst FROM edges) GROUP BY ALL),
@@ -133,9 +170,11 @@ counts AS (SELECT file, count(*) AS n FROM nodes GROUP BY file),
 central AS (SELECT n.file, n.name AS node, coalesce(degree, 0)::DOUBLE / (c.n - 1) AS centrality
             FROM nodes n JOIN counts c ON c.file = n.file LEFT JOIN degrees d ON d.file = n.file AND d.node = n.name),
 near AS (SELECT e.file, e.name, direction, neighbour, type, function, is_pointer
-         FROM ends e JOIN nodes n ON n.file = e.file AND n.name = e.neighbour),
-top AS (SELECT near.*, row_number() OVER (PARTITION BY near.file, near.name, direction ORDER BY centrality DESC, neighbour)::INTEGER AS rank
-        FROM near JOIN central c ON c.file = near.file AND c.node = near.neighbour)
+         FROM ends e JOIN nodes n ON n.file = e.file AND n.name = e.neighbour)
+"""
+_TOP = f"""{_NEIGHBOURS}, {_neighbour_power("file", "edges")},
+top AS (SELECT near.*, row_number() OVER (PARTITION BY near.file, near.name, near.direction ORDER BY centrality DESC, neighbour)::INTEGER AS rank
+        FROM near JOIN near_central c ON c.file = near.file AND c.center = near.name AND c.direction = near.direction AND c.node = near.neighbour)
 """
 
 
@@ -153,10 +192,9 @@ def _(spark, sf_dir):
     return _central(*_merged(spark, sf_dir)).withColumn("centrality", F.round("centrality", 6))
 
 
-@catalog.add("top_neighbours", f"{_NEIGHBOURS} SELECT file, name, direction, neighbour, rank FROM top WHERE rank <= 2")
+@catalog.add("top_neighbours", f"{_TOP} SELECT file, name, direction, neighbour, rank FROM top WHERE rank <= 10")
 def _(spark, sf_dir):
-    nodes, links = _merged(spark, sf_dir)
-    top = ln.top_neighbours(ln.neighbours(nodes, links), _central(nodes, links), 2)
+    top = ln.top_neighbours(*_merged(spark, sf_dir))
     return top.select("file", "name", "direction", "neighbour", "rank")
 
 
@@ -167,21 +205,25 @@ def _lines(direction: str) -> str:
     )
 
 
-_CONTEXTS = f"""{_NEIGHBOURS},
+_CONTEXTS = f"""{_TOP},
 contexts AS (
         SELECT file, name, 'Context about the code being discussed:' || chr(10) || '- File: ' || file || chr(10) || '- Variable: ' || name
                || chr(10) || '- Type: ' || type || chr(10) || '- Scope: ' || function || chr(10) || '- Is Pointer: '
                || CASE WHEN is_pointer THEN 'True' ELSE 'False' END || chr(10) || chr(10) || 'Upstream Dependencies:' || chr(10)
                || {_lines('upstream')} || chr(10) || chr(10) || 'Downstream Dependencies:' || chr(10) || {_lines('downstream')}
-               || chr(10) || chr(10) || '---' || chr(10) || 'User Question:' || chr(10) AS context
+               || chr(10) || chr(10) || '---' || chr(10) || 'User Question:' || chr(10) || 'Where is ' || name || ' set?' AS context
         FROM nodes v WHERE kind = 'variable')
 """
 
 
 @catalog.add("symbol_context", f"{_CONTEXTS} SELECT file, name, context FROM contexts")
 def _(spark, sf_dir):
+    return _asked(spark, sf_dir)
+
+
+def _asked(spark, sf_dir):
     nodes, links = _merged(spark, sf_dir)
-    return ln.symbol_context(nodes, links, _central(nodes, links))
+    return ln.symbol_context(nodes, links, question=F.concat(F.lit("Where is "), "name", F.lit(" set?")))
 
 
 @catalog.add(
@@ -205,9 +247,7 @@ def _(spark, sf_dir):
     SELECT file, name, md5(context || segments) AS context_md5 FROM contexts JOIN segments ON query_id = file || '::' || name""",
 )
 def _(spark, sf_dir):
-    nodes, links = _merged(spark, sf_dir)
-    contexts = ln.symbol_context(nodes, links, _central(nodes, links))
-    contexts = settle(contexts.withColumn("symbol", F.concat_ws("::", "file", "name")), "contexts")
+    contexts = settle(_asked(spark, sf_dir).withColumn("symbol", F.concat_ws("::", "file", "name")), "contexts")
     queries = retrieval.embed(contexts.select("symbol", "context"), "context")
     chunks = settle(retrieval.embed(chunking.chunk_code(_files(spark, sf_dir)), "content"), "code-index")
     hits = retrieval.retrieve_topk(queries, chunks, 5, "symbol", "id", metadata=["file_path", "content"])
@@ -260,10 +300,8 @@ def _(spark, sf_dir):
 _VIEW = f"""
 {_REACHED},
 among AS (SELECT DISTINCT seed, src, dst FROM reached r JOIN edges e ON e.dst = r.node),
-degrees AS (SELECT seed, node, count(*) AS degree FROM (SELECT seed, src AS node FROM among UNION ALL SELECT seed, dst FROM among) GROUP BY ALL),
-counts AS (SELECT seed, count(*) AS n FROM reached GROUP BY seed),
-ranked AS (SELECT r.seed, r.node, n > 25 AS truncated, row_number() OVER (PARTITION BY r.seed ORDER BY coalesce(degree, 0)::DOUBLE / greatest(n - 1, 1) DESC, r.node) AS rn
-           FROM reached r JOIN counts USING (seed) LEFT JOIN degrees d ON d.seed = r.seed AND d.node = r.node),
+{_power("seed", "reached", "among")},
+ranked AS (SELECT seed, node, count(*) OVER (PARTITION BY seed) > 25 AS truncated, row_number() OVER (PARTITION BY seed ORDER BY centrality DESC, node) AS rn FROM central),
 shown AS (SELECT * FROM ranked WHERE rn <= 25)
 """
 
@@ -273,7 +311,7 @@ shown AS (SELECT * FROM ranked WHERE rn <= 25)
     f"{_VIEW} SELECT seed, node, CASE WHEN seed = node THEN 'target' ELSE 'variable' END AS style, truncated FROM shown",
 )
 def _(spark, sf_dir):
-    return gr.focused_view(_chain(spark, sf_dir), _seeds(spark, sf_dir), method="degree")[0]
+    return gr.focused_view(_chain(spark, sf_dir), _seeds(spark, sf_dir))[0]
 
 
 @catalog.add(
@@ -282,7 +320,52 @@ def _(spark, sf_dir):
                 JOIN shown t ON t.seed = a.seed AND t.node = a.dst""",
 )
 def _(spark, sf_dir):
-    return gr.focused_view(_chain(spark, sf_dir), _seeds(spark, sf_dir), method="degree")[1]
+    return gr.focused_view(_chain(spark, sf_dir), _seeds(spark, sf_dir))[1]
+
+
+# Which nations buy more than usual from a nation, by year: 25 nodes a graph, with cycles, loops and triangles.
+_TRADE = """
+WITH RECURSIVE sold AS (SELECT year(o_orderdate)::INTEGER AS year, s.n_name AS src, c.n_name AS dst, sum(l_quantity) AS q
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
+              JOIN nation s ON s_nationkey = s.n_nationkey JOIN nation c ON c_nationkey = c.n_nationkey GROUP BY ALL),
+edges AS (SELECT year, src, dst FROM sold QUALIFY q > avg(q) OVER (PARTITION BY year, src)),
+members AS (SELECT year, src AS node FROM edges UNION SELECT year, dst FROM edges)
+"""
+
+
+def _trade(spark, sf_dir):
+    t = lambda name: table(spark, sf_dir, name)
+    nation = lambda key, name: t("nation").select(F.col("n_nationkey").alias(key), F.col("n_name").alias(name))
+    sellers = t("supplier").join(nation("s_nationkey", "src"), "s_nationkey").select(F.col("s_suppkey").alias("l_suppkey"), "src")
+    buyers = t("customer").join(nation("c_nationkey", "dst"), "c_nationkey").select(F.col("c_custkey").alias("o_custkey"), "dst")
+    orders = t("orders").join(buyers, "o_custkey").select(F.col("o_orderkey").alias("l_orderkey"), F.year("o_orderdate").alias("year"), "dst")
+    sold = t("lineitem").join(orders, "l_orderkey").join(sellers, "l_suppkey").groupBy("year", "src", "dst").agg(F.sum("l_quantity").alias("q"))
+    usual = F.avg("q").over(Window.partitionBy("year", "src"))
+    return settle(sold.withColumn("usual", usual).where("q > usual").select("year", "src", "dst"), "trade")
+
+
+@catalog.add("trade_eigenvector_centrality", f"{_TRADE}, {_power('year', 'members', 'edges')} SELECT year, node, round(power, 6) AS centrality, converged FROM central")
+def _(spark, sf_dir):
+    return gr.eigenvector_centrality(_trade(spark, sf_dir), ["year"]).withColumn("centrality", F.round("centrality", 6))
+
+
+@catalog.add("trade_node_centrality", f"{_TRADE}, {_power('year', 'members', 'edges')} SELECT year, node, round(centrality, 6) AS centrality FROM central")
+def _(spark, sf_dir):
+    return gr.node_centrality(_trade(spark, sf_dir), ["year"]).withColumn("centrality", F.round("centrality", 6))
+
+
+@catalog.add(
+    "trade_neighbours",
+    f"""{_TRADE}, {_neighbour_power("year", "edges")}
+        SELECT year, center AS node, direction, node AS neighbour, round(centrality, 6) AS centrality,
+               row_number() OVER (PARTITION BY year, center, direction ORDER BY near_central.centrality DESC, near_central.node)::INTEGER AS rank
+        FROM near_central QUALIFY rank <= 10""",
+)
+def _(spark, sf_dir):
+    """The ten most central of each nation's sellers and buyers, among these."""
+    central = gr.neighbour_centrality(_trade(spark, sf_dir), ["year"])
+    top = top_ranked(central, ["year", "node", "direction"], [F.desc("centrality"), F.col("neighbour")], 10)
+    return top.withColumn("centrality", F.round("centrality", 6)).select("year", "node", "direction", "neighbour", "centrality", "rank")
 
 
 @catalog.add(

@@ -122,6 +122,48 @@ def _(spark, sf_dir):
     return hits.withColumn("score", F.round("score", 6))
 
 
+def _by_metric(score: str, distance: str) -> str:
+    return f"""
+    SELECT query_id, corpus_id, round(score, 6) AS score, round({distance}, 6) AS distance, rank FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, corpus_id)::INTEGER AS rank FROM (
+        SELECT q.vec_id AS query_id, c.vec_id AS corpus_id, round({score}, 12) AS score
+        FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings) q, (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings) c)) WHERE rank <= 4
+    """
+
+
+@catalog.add("retrieve_topk_l2", _by_metric("-list_sum([(q.e[i] - c.e[i]) * (q.e[i] - c.e[i]) FOR i IN range(1, len(q.e) + 1)])", "-score"))
+def _(spark, sf_dir):
+    vectors = _vectors(spark, sf_dir)
+    hits = retrieval.retrieve_topk(vectors, vectors, 4, "vec_id", "vec_id", metric="l2", broadcast_floats=0, block_rows=500)
+    return hits.withColumn("score", F.round("score", 6)).select("query_id", "corpus_id", "score", "distance", "rank")
+
+
+@catalog.add("retrieve_topk_inner_product", _by_metric("list_inner_product(q.e, c.e)", "1 - score"))
+def _(spark, sf_dir):
+    vectors = _vectors(spark, sf_dir)
+    hits = retrieval.retrieve_topk(vectors, vectors, 4, "vec_id", "vec_id", metric="ip")
+    return hits.withColumn("score", F.round("score", 6)).select("query_id", "corpus_id", "score", "distance", "rank")
+
+
+# The index of four planes in each of six tables, own bucket and those across each plane.
+@catalog.add(
+    "retrieve_topk_approximate",
+    """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+            planes AS (SELECT t, b, [CASE WHEN md5(t || ':' || b || ':' || d)[1] < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END FOR d IN range(64)] AS s
+                       FROM range(6) x(t), range(4) y(b)),
+            sides AS (SELECT vec_id, t, sum(CASE WHEN list_inner_product(e, s) >= 0 THEN (1 << b) ELSE 0 END)::BIGINT AS code FROM v, planes GROUP BY ALL),
+            probes AS (SELECT vec_id, t, code FROM sides UNION ALL SELECT vec_id, t, xor(code, (1 << b)::BIGINT) FROM sides, range(4) y(b)),
+            near AS (SELECT DISTINCT p.vec_id AS query_id, s.vec_id AS corpus_id FROM probes p JOIN sides s USING (t, code)),
+            hits AS (SELECT query_id, corpus_id, round(list_cosine_similarity(q.e, c.e), 12) AS score FROM near JOIN v q ON q.vec_id = query_id JOIN v c ON c.vec_id = corpus_id)
+       SELECT query_id, corpus_id, round(score, 6) AS score, rank FROM (
+         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, corpus_id)::INTEGER AS rank FROM hits) WHERE rank <= 4""",
+)
+def _(spark, sf_dir):
+    vectors = _vectors(spark, sf_dir)
+    hits = retrieval.retrieve_topk(vectors, vectors, 4, "vec_id", "vec_id", approximate={"tables": 6, "bits": 4, "probes": 5})
+    return hits.withColumn("score", F.round("score", 6)).select("query_id", "corpus_id", "score", "rank")
+
+
 _CHUNKS = "SELECT vec_id AS chunk_id, 'passage ' || vec_id || ' of ' || label AS chunk_text FROM embeddings"
 
 

@@ -65,3 +65,19 @@ def _(spark, sf_dir):
     text = F.when(F.col("lang") == "fr", F.concat("text", F.lit("!"))).otherwise(F.col("text"))
     chunks = docs.filter("lang <> 'es'").select(F.md5(text).alias("chunk_id"))
     return src.incremental_sync(chunks, index, embed=lambda new: new.withColumn("origin", F.lit("embedded")))
+
+
+@catalog.add(
+    "replace_by_file",
+    """SELECT 'doc/' || doc_id AS file_path, CASE WHEN doc_id % 20 = 3 THEN md5(text || '!') ELSE md5(text) END AS chunk_id, doc_id % 20 = 3 AS changed
+       FROM documents WHERE doc_id % 20 <> 7""",
+)
+def _(spark, sf_dir):
+    """Some files of many change, others vanish; the rest of the index stays as it is."""
+    docs = table(spark, sf_dir, "documents").withColumn("file_path", F.concat(F.lit("doc/"), "doc_id"))
+    rows = docs.select("file_path", F.md5("text").alias("chunk_id"), F.lit(False).alias("changed"))
+    index = src.FileIndex(spark, shared_path(spark, "file-index"), rows.schema)
+    index.create(rows)
+    changed = docs.where("doc_id % 20 = 3").select("file_path", F.md5(F.concat("text", F.lit("!"))).alias("chunk_id"), F.lit(True).alias("changed"))
+    index.replace(changed, docs.where("doc_id % 20 = 7").select("file_path"))
+    return index.read()

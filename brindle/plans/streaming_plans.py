@@ -20,14 +20,20 @@ def _arriving(df, label, files=4):
     return st.read_parquet_stream(df.sparkSession, path, df.schema, files_per_batch=1)
 
 
+def _logged(spark, payloads, label):
+    """Both logs of a payload table that arrives in several files."""
+    logs = st.PayloadLogs(spark, shared_path(spark, f"{label}-logs"), payloads.schema)
+    st.finish(st.run_batches(_arriving(payloads, label), shared_path(spark, f"{label}-state"), logs.apply))
+    return logs
+
+
 @catalog.add(
     "stream_request_log",
     f"""SELECT conv_id || '-' || turn AS request_id, 'c' || conv_id AS conversation_id, text AS last_input, upper(role) AS answer
         FROM conversations WHERE {pp._OK} AND role <> 'system'""",
 )
 def _(spark, sf_dir):
-    log, _ = st.stream_request_log(_arriving(pp.chat_payloads(spark, sf_dir), "payloads"))
-    rows = st.run_to_table(log, "request-log")
+    rows = _logged(spark, pp.chat_payloads(spark, sf_dir), "payloads").read("request_log")
     return rows.select(
         "request.request_id", "request.conversation_id", "request.last_input", F.col("output.choices")[0]["message"]["content"].alias("answer")
     )
@@ -35,8 +41,40 @@ def _(spark, sf_dir):
 
 @catalog.add("stream_assessment_log", f"{pp._LEAVES_SQL} FROM ({pp._FEEDBACK})")
 def _(spark, sf_dir):
-    _, log = st.stream_request_log(_arriving(pp.feedback_payloads(spark, sf_dir), "feedback"))
-    return pp._assessment_leaves(st.run_to_table(log, "assessment-log"))
+    return pp._assessment_leaves(_logged(spark, pp.feedback_payloads(spark, sf_dir), "feedback").read("assessment_log"))
+
+
+# Events arrive in four batches by time; every tenth comes with the last one, most of them late.
+_ARRIVAL = """CASE WHEN event_id % 10 = 0 THEN 3
+                   ELSE least(3, ((epoch_us(ts) - min(epoch_us(ts)) OVER ()) * 4) // (max(epoch_us(ts)) OVER () - min(epoch_us(ts)) OVER () + 1)) END"""
+
+
+@catalog.add(
+    "stream_dedup_hourly_complete",
+    f"""WITH arrived AS (SELECT *, date_trunc('hour', ts)::TIMESTAMP AS hour, {_ARRIVAL} AS batch FROM events),
+             seen AS (SELECT batch, max(epoch_us(ts)) - 3600000000 AS clock FROM arrived GROUP BY batch),
+             judged AS (SELECT a.*, coalesce(epoch_us(hour) + 3600000000 <= (SELECT max(clock) FROM seen s WHERE s.batch < a.batch), false) AS late FROM arrived a),
+             best AS (SELECT * FROM judged WHERE NOT late
+                      QUALIFY row_number() OVER (PARTITION BY user_id, event_type, hour ORDER BY ts DESC, event_id) = 1)
+        SELECT hour, event_id, ts, user_id, event_type, value,
+               CASE WHEN epoch_us(hour) + 3600000000 <= (SELECT max(clock) FROM seen) THEN 'closed' ELSE 'open' END AS state FROM best
+        UNION ALL SELECT hour, event_id, ts, user_id, event_type, value, 'late' FROM judged WHERE late""",
+)
+def _(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(micros), F.max(micros)).first()
+    share = F.least(F.lit(3), F.expr(f"(unix_micros(cast(ts AS timestamp)) - {low or 0}L) * 4 div {(high or 0) - (low or 0) + 1}L"))
+    arrival = F.when(F.col("event_id") % 10 == 0, 3).otherwise(share)
+    latest = st.HourlyLatest(spark, shared_path(spark, "hourly"), events.schema, ["user_id", "event_type"], "ts", "event_id")
+    folder, state = shared_path(spark, "arrived"), shared_path(spark, "hourly-state")
+    for batch in range(4):
+        events.where(arrival == batch).coalesce(1).write.mode("append").parquet(folder)
+        st.finish(st.run_batches(st.read_parquet_stream(spark, folder, events.schema), state, latest.apply))
+    parts = (("closed", latest.closed()), ("open", latest.flush()), ("late", latest.late()))
+    rows = [df.select("hour", *events.columns, F.lit(name).alias("state")) for name, df in parts]
+    whole = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    return whole.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in ("ts", "hour") else c for c in whole.columns])
 
 
 @catalog.add(

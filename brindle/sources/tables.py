@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from brindle.session import settle
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
@@ -77,3 +79,56 @@ def incremental_sync(chunks: DataFrame, index: DataFrame, key: str = "chunk_id",
     kept = index.join(current.select(key), key, "left_semi")
     added = current.join(index.select(key), key, "left_anti")
     return kept.unionByName(embed(added) if embed else added)
+
+
+class FileIndex:
+    """Index rows of many files, laid into ``buckets`` folders by a hash of the file.
+
+    Replacing files rewrites their buckets only, each in one step; the files of other buckets are not
+    even read. ``schema`` are the columns of the rows, the file's among them.
+    """
+
+    BUCKET = "file_bucket"
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, file_col: str = "file_path", buckets: int = 256):
+        self.spark, self.path, self.schema, self.file_col, self.buckets = spark, path, schema, file_col, buckets
+
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        return rows.select(*self.schema.names, F.pmod(F.xxhash64(self.file_col), F.lit(self.buckets)).cast("int").alias(self.BUCKET))
+
+    def _write(self, rows: DataFrame) -> None:
+        # Dealt out by bucket, so that a folder gets few files; a bucket of many rows gets several.
+        writer = rows.repartition(self.BUCKET, F.pmod(F.xxhash64(*self.schema.names), F.lit(4))).write.mode("overwrite").partitionBy(self.BUCKET)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
+
+    def create(self, rows: DataFrame) -> None:
+        self._write(self._placed(rows))
+
+    def stored(self) -> DataFrame:
+        whole = StructType([*self.schema.fields, StructField(self.BUCKET, IntegerType())])
+        return self.spark.read.schema(whole).parquet(self.path)
+
+    def read(self) -> DataFrame:
+        # Buckets that have become empty hold one row without a file.
+        return self.stored().where(F.col(self.file_col).isNotNull()).drop(self.BUCKET)
+
+    def replace(self, rows: DataFrame, files: DataFrame) -> None:
+        """Put ``rows`` in place of all rows of ``files`` (one column, the file's name).
+
+        Files of ``rows`` are replaced too if they are not listed. A file that is listed but has no
+        rows is removed. Running it again changes nothing.
+        """
+        new = settle(self._placed(rows), "new-rows")
+        gone = settle(files.select(F.col(files.columns[0]).alias(self.file_col)).unionByName(new.select(self.file_col)).distinct(), "files")
+        bucket = F.pmod(F.xxhash64(self.file_col), F.lit(self.buckets)).cast("int")
+        touched = [r[0] for r in gone.select(bucket.alias("b")).distinct().collect()]  # at most ``buckets``
+        if not touched:
+            return
+        kept = self.stored().where(F.col(self.BUCKET).isin(touched)).join(gone, self.file_col, "left_anti")
+        # Read whole before its folders are overwritten. Only folders with rows are replaced, so a
+        # bucket that becomes empty gets one row without a file.
+        whole = settle(kept.select(*self.schema.names, self.BUCKET).unionByName(new), "buckets")
+        held = whole.select(self.BUCKET).distinct()
+        empty = self.spark.createDataFrame([(b,) for b in touched], f"{self.BUCKET} int").join(held, self.BUCKET, "left_anti")
+        blank = empty.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields], self.BUCKET)
+        self._write(whole.unionByName(blank))

@@ -133,10 +133,69 @@ def test_harder_code(spark):
     got = {(r.function, r.name, r.type, r.is_pointer) for r in variables.collect()}
     assert got == {
         ("name", "label", "char", True), ("name", "n", "int", False), ("name", "i", "int", False),
-        ("name", "item", "node", False), ("name", "a", "double", False), ("other", "open", "int", False),
+        ("name", "item", "node", False), ("name", "a", "double", False), ("name", "b", "double", False), ("other", "open", "int", False),
     }
     pairs = {(r.function, r.src, r.dst) for r in edges.collect()}
-    assert pairs == {("name", "i", "label"), ("name", "n", "label"), ("name", "Constant: 0", "i"), ("other", "Constant: 1", "open")}
+    assert pairs == {
+        ("name", "i", "label"), ("name", "n", "label"), ("name", "Constant: 0", "i"), ("other", "Constant: 1", "open"),
+        ("name", "a", "b"), ("name", "b", "a"), ("name", "Constant: 2", "b"), ("name", "Constant: 5", "b"),
+    }
+
+
+def test_every_declarator_of_a_list(spark):
+    code = "int f(int z) { int u, v; v = z; u = v; for (int i = 0, n = g(x, y); i < n; i++) {} char *s, t[3] = {1, 2}, **q; }"
+    _, variables, edges = lineage(spark, code)
+    got = {(r.name, r.type, r.is_pointer) for r in variables.collect()}
+    assert got == {("z", "int", False), ("u", "int", False), ("v", "int", False), ("i", "int", False), ("n", "int", False), ("s", "char", True), ("t", "char", False), ("q", "char", True)}
+    assert {("z", "v"), ("v", "u"), ("Constant: 0", "i")} <= {(r.src, r.dst) for r in edges.collect()}
+
+
+def induced(pairs):
+    """Per node and direction its neighbours and their edges."""
+    out = {}
+    for v in {n for e in pairs for n in e}:
+        for direction, near in (("upstream", {a for a, b in pairs if b == v}), ("downstream", {b for a, b in pairs if a == v})):
+            if near:
+                out[v, direction] = near, {(a, b) for a, b in pairs if a in near and b in near}
+    return out
+
+
+@pytest.mark.parametrize("loops", [False, True])
+def test_neighbour_edges_and_centrality(spark, loops):
+    rng = random.Random(9 + loops)
+    graphs = {}
+    for g in range(12):
+        pairs = {(f"n{rng.randrange(8)}", f"n{rng.randrange(8)}") for _ in range(rng.randrange(5, 40))} | {("hub", f"n{k}") for k in range(8)}
+        graphs[g] = {(a, b) for a, b in pairs if loops or a != b}
+    edges = spark.createDataFrame([(g, a, b) for g, pairs in graphs.items() for a, b in pairs], "file int, src string, dst string")
+    got = {}
+    for r in gr.neighbour_edges(edges, ["file"]).collect():
+        assert (r.src, r.dst) not in got.setdefault((r.file, r.center, r.direction), set())
+        got[r.file, r.center, r.direction].add((r.src, r.dst))
+    want = {(g, v, d): among for g, pairs in graphs.items() for (v, d), (_, among) in induced(pairs).items() if among}
+    assert got == want
+    central = {(r.file, r.node, r.direction, r.neighbour): r.centrality for r in gr.neighbour_centrality(edges, ["file"]).collect()}
+    count = 0
+    for g, pairs in graphs.items():
+        for (v, d), (near, among) in induced(pairs).items():
+            values, done = power(among, sorted(near))
+            if not done:
+                values = {n: 1.0 if len(near) == 1 else sum((a == n) + (b == n) for a, b in among) / (len(near) - 1) for n in near}
+            for n in near:
+                assert central[g, v, d, n] == pytest.approx(values[n], rel=1e-8), (g, v, d, n)
+                count += 1
+    assert count == len(central)
+
+
+def test_large_graphs_give_the_same_as_small_ones(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(g, f"n{rng.randrange(6)}", f"n{rng.randrange(6)}") for g in range(3) for _ in range(14)]
+    edges = spark.createDataFrame(rows, "file int, src string, dst string")
+    small = sorted(map(tuple, gr.eigenvector_centrality(edges, ["file"], max_iter=6).collect()))
+    monkeypatch.setattr(gr, "SMALL_GRAPH", 0)
+    large = sorted(map(tuple, gr.eigenvector_centrality(edges, ["file"], max_iter=6).collect()))
+    assert [r[:2] + r[3:] for r in small] == [r[:2] + r[3:] for r in large]
+    assert [r[2] for r in small] == pytest.approx([r[2] for r in large])
 
 
 def test_last_function_of_a_name_wins(spark):

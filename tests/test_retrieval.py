@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brindle.functions.vectors import TopHits, hashing_encoder
-from brindle.operators import retrieval as rt, trainset as ts
+from brindle.operators import nearest, retrieval as rt, trainset as ts
 from brindle.operators.generation import echo_generator
 
 
@@ -40,12 +40,72 @@ def found(hits):
     return out
 
 
-@pytest.mark.parametrize("settings", [{}, {"broadcast_floats": 0, "block_rows": 60}, {"broadcast_floats": 0, "block_rows": 7}])
-@pytest.mark.parametrize("k", [1, 4, 200, 900])
+@pytest.mark.parametrize(("settings", "k"), [({}, 1), ({}, 4), ({}, 200), ({}, 900), ({"broadcast_floats": 0, "block_rows": 60}, 4), ({"broadcast_floats": 0, "block_rows": 60}, 200), ({"broadcast_floats": 0, "block_rows": 200}, 900)])
 def test_equals_brute_force(tables, vectors, settings, k):
     assert found(rt.retrieve_topk(*tables, k=k, **settings)) == brute_force(*vectors, k)
 
 
+def by_metric(queries, corpus, k, metric):
+    out = {}
+    for qid, q in queries:
+        q = np.array(q)
+        values = [-float(((q - np.array(v)) ** 2).sum()) if metric == "l2" else float(q @ np.array(v)) for _, v in corpus]
+        scored = sorted((-round(s, 12), cid) for s, (cid, _) in zip(values, corpus, strict=True))
+        out[qid] = [cid for _, cid in scored[:k]]
+    return out
+
+
+@pytest.mark.parametrize("settings", [{}, {"broadcast_floats": 0, "block_rows": 40}])
+@pytest.mark.parametrize("metric", ["l2", "ip"])
+def test_other_metrics(tables, vectors, settings, metric):
+    assert found(rt.retrieve_topk(*tables, k=5, metric=metric, **settings)) == by_metric(*vectors, 5, metric)
+
+
+def clustered(spark, seed, n, centers=12, dim=16):
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(size=(centers, dim)) * 3
+    rows = [(k, (middle[rng.integers(centers)] + rng.normal(size=dim) * 0.2).astype(np.float32).tolist()) for k in range(n)]
+    return rows, spark.createDataFrame(rows, "id int, vector array<float>").repartition(4)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "ip", "l2"])
+def test_block_pairs_that_cannot_win_are_not_joined(spark, metric):
+    rows, df = clustered(spark, 4, 600)
+    asked, stored = df.select(F.col("id").alias("query_id"), "vector"), df.select(F.col("id").alias("corpus_id"), "vector")
+    hits, pairs = nearest.pruned_topk(asked, stored, 3, metric, 40)
+    blocks = pairs.select("q_block").distinct().count()
+    assert blocks >= 12 and pairs.count() == pairs.distinct().count() < blocks * blocks / 2
+    want = brute_force(rows, rows, 3) if metric == "cosine" else by_metric(rows, rows, 3, metric)
+    assert found(nearest.best_k(hits, 3)) == want
+
+
+def test_recall_of_the_index(spark):
+    rows, df = clustered(spark, 6, 1500)
+    asked, stored = df.select(F.col("id").alias("query_id"), "vector"), df.select(F.col("id").alias("corpus_id"), "vector")
+    exact = nearest.best_k(nearest.pruned_topk(asked, stored, 4, "cosine", 500)[0], 4)
+    for block_rows in (50_000, 300):
+        close = nearest.best_k(nearest.approximate_topk(asked, stored, 4, "cosine", block_rows=block_rows), 4)
+        assert close.count() == 6000 and nearest.recall(close, exact) >= 0.9
+
+
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.1"])
+def test_recall_of_the_index_on_a_table(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    exact = rt.retrieve_topk(vectors, vectors, 4, "vec_id", "vec_id")
+    close = rt.retrieve_topk(vectors, vectors, 4, "vec_id", "vec_id", approximate={})
+    assert nearest.recall(close, exact) >= 0.9
+
+
+def test_empty_sides_and_unknown_metrics(spark):
+    none = spark.createDataFrame([], "query_id int, chunk_id int, embedding array<float>")
+    some = spark.createDataFrame([(1, 1, [1.0, 0.0])], none.schema)
+    for queries, corpus in ((none, some), (some, none), (none, none)):
+        for settings in ({}, {"broadcast_floats": 0}, {"approximate": {}}):
+            assert rt.retrieve_topk(queries, corpus, **settings).count() == 0
+    with pytest.raises(ValueError):
+        rt.retrieve_topk(some, some, metric="other")
+
+
 def test_blocks_in_any_order(vectors):
     queries, corpus = vectors
     ids = np.array([q for q, _ in queries])

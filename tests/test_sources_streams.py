@@ -1,8 +1,9 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from brindle.operators import scoring
+from brindle.operators import boosting, scoring
 from brindle.session import settle, shared_folder
 from brindle.sources import synthetic, tables as src
 from brindle.streaming import streams as st
@@ -25,7 +26,7 @@ def test_feature_table(spark):
     assert [t <= high for t, (_, high) in zip(top, synthetic.SENSORS.values())] == [True] * 3
 
 
-@pytest.mark.parametrize("kind, settings", [("forest", {"numTrees": 5}), ("logistic", {"maxIter": 5})])
+@pytest.mark.parametrize("kind, settings", [("boosted", {"rounds": 2}), ("forest", {"numTrees": 5}), ("logistic", {"maxIter": 5})])
 def test_classifier_scores_every_row(spark, kind, settings):
     df = synthetic.feature_table(spark, 1000)
     model, test = scoring.train_classifier(df, list(synthetic.SENSORS), "result", kind=kind, **settings)
@@ -34,7 +35,61 @@ def test_classifier_scores_every_row(spark, kind, settings):
     assert scored.columns[4:] == [f"predicted_{what}_{i}" for i in (1, 2, 3) for what in ("class", "probability")]
     assert scored.count() == 1000
     assert scored.filter("predicted_probability_1 < predicted_probability_2 OR predicted_class_1 = predicted_class_2").isEmpty()
-    assert "Python" not in scored._jdf.queryExecution().executedPlan().toString()
+    assert kind == "boosted" or "Python" not in scored._jdf.queryExecution().executedPlan().toString()
+
+
+def _exact_boosting(x, y, labels, model, rounds, depth, rate, penalty, least):
+    """Plain boosting on the coded features, node by node."""
+    codes = model.codes([x[:, k] for k in range(x.shape[1])]).astype(int)
+    margins = np.tile(model.prior, (len(x), 1))
+    for _ in range(rounds):
+        p = boosting.softmax(margins)
+        for k, name in enumerate(labels):
+            g, h = (y == name) - p[:, k], p[:, k] * (1 - p[:, k])
+
+            def grow(rows, level):
+                worth = lambda r: g[r].sum() ** 2 / (h[r].sum() + penalty)
+                best = (0, None)
+                if level < depth:
+                    for f in range(codes.shape[1]):
+                        for cut in range(32):
+                            left, right = rows[codes[rows, f] <= cut], rows[codes[rows, f] > cut]
+                            if h[left].sum() >= least and h[right].sum() >= least:
+                                gain = round(worth(left) + worth(right) - worth(rows), 9)
+                                if gain > best[0]:
+                                    best = (gain, (left, right))
+                if best[1] is None:
+                    margins[rows, k] += rate * g[rows].sum() / (h[rows].sum() + penalty)
+                else:
+                    for side in best[1]:
+                        grow(side, level + 1)
+
+            grow(np.arange(len(x)), 0)
+    return boosting.softmax(margins)
+
+
+def test_boosted_trees_equal_plain_boosting(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(240, 3))
+    x[::17, 1] = np.nan
+    y = np.array(["a", "b", "c"])[np.where(x[:, 0] > 0.3, 0, np.where(x[:, 2] > 0, 1, 2))]
+    df = spark.createDataFrame([(*map(float, r), c) for r, c in zip(x, y)], "u double, v double, w double, label string").repartition(5)
+    model = boosting.fit_boosted_trees(df, ["u", "v", "w"], "label", rounds=3, depth=2)
+    want = _exact_boosting(x, y, ["a", "b", "c"], model, 3, 2, 0.3, 1.0, 1e-3)
+    got = {tuple(np.nan_to_num(r[:3], nan=9.0)): r.p for r in model.add_probabilities(df, "p").collect()}
+    assert np.allclose([got[tuple(np.nan_to_num(r, nan=9.0))] for r in x], want)
+
+
+def test_boosted_trees_are_no_worse_than_a_forest(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    names = [f"s{k}" for k in range(64)]
+    df = vectors.select("vec_id", *[F.col("embedding")[k].alias(n) for k, n in enumerate(names)], F.concat(F.lit("c"), "label").alias("label"))
+    shares = {}
+    for kind, settings in (("boosted", {"rounds": 5}), ("forest", {"numTrees": 20, "seed": 42})):
+        model, test = scoring.train_classifier(df, names, "label", key="vec_id", kind=kind, **settings)
+        top = scoring.score_topn(test, model, 1)
+        shares[kind] = top.agg(F.avg((F.col("label") == F.col("predicted_class_1")).cast("int"))).first()[0]
+    assert shares["boosted"] >= shares["forest"] - 0.03, shares
 
 
 def test_csv_with_line_ends_and_quotes(spark, tmp_path):
@@ -132,3 +187,78 @@ def test_index_sync_can_be_replayed(spark, tmp_path):
     assert read() == [("b", "first"), ("c", "replayed")]
     index.sync(rows(("a", False)), 2, mark("third"), "gone")
     assert read() == [("a", "third"), ("b", "first"), ("c", "replayed")]
+
+
+def test_hourly_latest_accounts_for_every_row(spark, tmp_path):
+    schema = spark.createDataFrame([], EVENTS).schema
+    latest = st.HourlyLatest(spark, str(tmp_path / "hourly"), schema, ["user"], "ts", "id")
+    batches = [
+        [(1, "u", "2024-01-01 10:10:00", 1.0), (2, "u", "2024-01-01 10:50:00", 2.0), (3, "v", "2024-01-01 10:20:00", 3.0)],
+        [(4, "u", "2024-01-01 13:00:00", 4.0), (9, "u", "2024-01-01 10:50:00", 9.0)],
+        [(5, "u", "2024-01-01 10:55:00", 5.0), (6, "u", "2024-01-01 15:30:00", 6.0), (7, "v", None, 7.0)],
+        [],
+    ]
+    frames = [spark.createDataFrame(b, EVENTS.replace("timestamp", "string")).withColumn("ts", F.col("ts").cast("timestamp")) for b in batches]
+    ids = lambda df: sorted(r.id for r in df.collect())
+    for n, df in enumerate(frames):
+        latest.apply(df, n)
+    for _ in range(2):
+        assert (ids(latest.closed()), ids(latest.late()), ids(latest.flush())) == ([2, 3, 4], [5], [6])
+        latest.apply(frames[3], 3)  # a replay adds nothing
+    latest.apply(frames[2], 2)
+    assert (ids(latest.closed()), ids(latest.late())) == ([2, 3, 4], [5])
+
+
+def test_both_logs_from_one_pass(spark, tmp_path):
+    from brindle.plans import payload_plans as pp
+
+    path = "/root/testdata/sf0.001"
+    payloads = pp.chat_payloads(spark, path).unionByName(pp.feedback_payloads(spark, path), allowMissingColumns=True)
+    folder = str(tmp_path / "in")
+    payloads.repartition(3).write.parquet(folder)
+    logs = st.PayloadLogs(spark, str(tmp_path / "logs"), payloads.schema)
+    query = st.run_batches(st.read_parquet_stream(spark, folder, payloads.schema, files_per_batch=2), str(tmp_path / "state"), logs.apply)
+    st.finish(query)
+    assert sum(p["numInputRows"] for p in query.recentProgress) == payloads.count()  # each row is read once
+    want = [df.count() for df in st.stream_request_log(spark.read.schema(payloads.schema).parquet(folder))]
+    assert [logs.read(name).count() for name in logs.TABLES] == want and min(want) > 0
+    first = spark.read.schema(payloads.schema).parquet(folder).limit(5)
+    logs.apply(first, 99)
+    once = [logs.read(name).count() for name in logs.TABLES]
+    logs.apply(first, 99)
+    assert [logs.read(name).count() for name in logs.TABLES] == once
+
+
+def test_index_reads_only_the_buckets_of_a_batch(spark, tmp_path):
+    index = st.StreamedIndex(spark, str(tmp_path / "index"), StructType().add("chunk_id", "string").add("v", "string"), buckets=16, compact_every=3)
+    mark = lambda name: lambda new: new.withColumn("v", F.lit(name))
+    rows = lambda keys, gone=False: spark.createDataFrame([(k, gone) for k in keys], "chunk_id string, gone boolean")
+    keys = [f"k{n}" for n in range(120)]
+    for batch in range(4):
+        index.sync(rows(keys[30 * batch : 30 * batch + 30]), batch, mark(f"b{batch}"), "gone")
+    index.sync(rows(keys[:10], True), 4, mark("never"), "gone")
+    assert {r.chunk_id: r.v for r in index.read().collect()} == {k: f"b{n // 30}" for n, k in enumerate(keys) if n >= 10}
+    few = index.touched(rows(["k50"]), 5)
+    names = {part for f in few.inputFiles() for part in f.split("/") if part.startswith("bucket=")}
+    every = index._changes(5).inputFiles()
+    assert len(names) == 1 and 0 < len(few.inputFiles()) < len(every) / 4
+    assert all("/base/batch=2" in f or "batch=3" in f or "batch=4" in f for f in every)  # earlier batches lie in the base
+    index.sync(rows(keys[:10], True), 4, mark("never"), "gone")
+    assert index.read().count() == 110
+
+
+def test_files_are_replaced_and_others_stay(spark, tmp_path):
+    schema = StructType().add("file_path", "string").add("id", "int")
+    rows = spark.createDataFrame([(f"f{n}", n * 10 + k) for n in range(40) for k in range(3)], schema)
+    index = src.FileIndex(spark, str(tmp_path / "index"), schema, buckets=8)
+    index.create(rows)
+    before = {f: list((tmp_path / "index").glob(f"{f}/*.parquet")) for f in (f"file_bucket={b}" for b in range(8))}
+    files = spark.createDataFrame([("f3",), ("f5",)], "f string")
+    for _ in range(2):
+        index.replace(spark.createDataFrame([("f3", 1), ("f3", 2), ("new", 3)], schema), files)
+        want = sorted([(f"f{n}", n * 10 + k) for n in range(40) if n not in (3, 5) for k in range(3)] + [("f3", 1), ("f3", 2), ("new", 3)])
+        assert sorted(map(tuple, index.read().collect())) == want
+    same = [b for b, names in before.items() if list((tmp_path / "index").glob(f"{b}/*.parquet")) == names]
+    assert len(same) >= 5  # untouched buckets keep their very files
+    index.replace(spark.createDataFrame([], schema), spark.createDataFrame([(f"f{n}",) for n in range(40)] + [("new",)], "f string"))
+    assert index.read().isEmpty()
