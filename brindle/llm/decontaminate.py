@@ -14,7 +14,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F
 
-from brindle.llm.arrowtext import batch, total_bytes
+from brindle.llm.arrowtext import total_bytes
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _LOWER = {b: b + 32 for b in range(65, 91)}
@@ -104,46 +104,48 @@ def find_contamination(
     empty result or no hits. Columns that are not in ``keep`` are dropped.
     """
     own = [F.col(c).alias(f"keep{n}") for n, c in enumerate((id_col, *keep))]
-    rows = docs.select(*own, F.col(text_col).cast("string").alias("text"))
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     tests = items.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(item_text_col).cast("string").alias("text"))
     shards = max(1, -(-total_bytes(tests, "text") // shard_bytes))
-    ranges = "array<struct<start:long,end:long>>"
+    rows = docs.select(*own, F.col(text_col).cast("string").alias("text"), F.lit(None).cast(f"struct<item_ids: array<string>, hits: {_RANGES_SQL}>").alias("found"))
     for shard in range(shards):
         part = tests.where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == shard))
-        last = shard == shards - 1
-        schema = f"{kinds}, n_words long, n_hit long, item_ids array<string>, spans {ranges}" if last else f"{kinds}, text string, item_ids array<string>, hits {ranges}"
-        rows = rows.mapInArrow(_scanner(part.collect(), window, last), schema)
-    found = (F.col("n_hit") > 0) & (F.lit(share) * F.col("n_hit") >= F.col("n_words"))
-    return rows.select(*[F.col(f"keep{n}").alias(c) for n, c in enumerate((id_col, *keep))], "n_words", "n_hit", "item_ids", "spans", found.alias("contaminated"))
+        scan = _scanner(part.collect(), window, shard == shards - 1)
+        rows = rows.withColumn("found", scan("text", "found"))
+    n_hit, n_words = F.col("found.n_hit"), F.col("found.n_words")
+    contaminated = (n_hit > 0) & (F.lit(share) * n_hit >= n_words)
+    names = [F.col(f"keep{n}").alias(c) for n, c in enumerate((id_col, *keep))]
+    return rows.select(*names, "found.n_words", "found.n_hit", "found.item_ids", "found.spans", contaminated.alias("contaminated"))
 
 
+_RANGES_SQL = "array<struct<start: bigint, end: bigint>>"
 _RANGES = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def _scanner(items: list[Row], window: int, last: bool):
-    """One automaton's scan. It adds its hits to those of the scans before; the last one counts and
-    maps the hits to the text."""
+    """One automaton's scan, of the text and the hits of the scans before. The last one counts and
+    maps the hits to the text. Texts go to Python alone; the other columns wait in the JVM."""
     shipped = sorted((r["item"], r["text"].encode()) for r in items)
+    kind = f"struct<n_words: bigint, n_hit: bigint, item_ids: array<string>, spans: {_RANGES_SQL}>" if last else f"struct<item_ids: array<string>, hits: {_RANGES_SQL}>"
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         index = ItemIndex(shipped, window)
-        for part in batches:
-            earlier = [part.column(c).to_pylist() if c in part.schema.names else [None] * part.num_rows for c in ("item_ids", "hits")]
+        for texts, before in batches:
             names, hits, n_words, n_hit = [], [], [], []
-            for text, items_before, hits_before in zip(part.column("text").cast(pa.binary()).to_pylist(), *earlier, strict=True):
+            for text, earlier in zip(texts.cast(pa.binary()), before.to_pylist(), strict=True):
+                text, earlier = text.as_py(), earlier or {"item_ids": [], "hits": []}
                 words = words_of(text) if text else []
                 ranges, found = index.scan(words)
-                if hits_before:
-                    ranges = _merged(ranges + [(h["start"], h["end"]) for h in hits_before])
-                names.append(sorted({*(items_before or []), *found}))
+                if earlier["hits"]:
+                    ranges = _merged(ranges + [(h["start"], h["end"]) for h in earlier["hits"]])
+                names.append(sorted({*earlier["item_ids"], *found}))
                 n_words.append(len(words))
                 n_hit.append(sum(end - start for start, end in ranges))
                 if last and ranges:
                     at = [m.span() for m in WORD.finditer(text.decode().translate(_LOWER))]
                     ranges = [(at[start][0], at[end - 1][1]) for start, end in ranges]
                 hits.append([{"start": start, "end": end} for start, end in ranges])
-            kept = {c: part.column(c) for c in part.schema.names if c.startswith("keep")} | ({"n_words": pa.array(n_words, pa.int64()), "n_hit": pa.array(n_hit, pa.int64())} if last else {"text": part.column("text")})
-            yield batch(kept | {"item_ids": pa.array(names, pa.list_(pa.string())), "spans" if last else "hits": pa.array(hits, _RANGES)})
+            columns = {"n_words": pa.array(n_words, pa.int64()), "n_hit": pa.array(n_hit, pa.int64())} if last else {}
+            columns |= {"item_ids": pa.array(names, pa.list_(pa.string())), "spans" if last else "hits": pa.array(hits, _RANGES)}
+            yield pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
 
-    return scan
+    return F.arrow_udf(scan, kind).asNondeterministic()

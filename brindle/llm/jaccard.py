@@ -162,7 +162,7 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", row_key: bool = False) -> DataFrame:
     """``(id, n_shingles, n_links, component_id)`` of every row.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` of the whole text with A-Z lower-cased. The set of a document
@@ -175,7 +175,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     own component. Rows of one id are linked as others are. A null id is never a component's id
     unless all of its ids are null; then it is null. Ids are integers. An empty table gives an empty
     result. Other columns are dropped. Equality of sets is that of 128-bit names, equality of
-    shingles that of 64-bit hashes.
+    shingles that of 64-bit hashes. With ``row_key`` there are also ``hash``, that of the text as
+    ``repeats.keyed`` makes it, and ``component``, which names also components without ids; it is null
+    for empty sets.
     """
     rows = keyed(docs, id_col, text_col)
     buckets = max(1, -(-total_bytes(docs, text_col) // BUCKET_BYTES))
@@ -212,7 +214,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     least = known.where(F.col("row.id") != F.lit(-(2**63))).groupBy("component").agg(F.min("row.id").alias("component_id"))
     # The least id of a class may be that of another row than its representative where ids are null.
     least = least.unionByName(_least_of_null(sets, known)).groupBy("component").agg(F.min("component_id").alias("component_id"))
-    named = known.join(least, "component", "left").select("class", "component_id").join(degree, "class", "left")
+    named = known.join(least, "component", "left").select("class", "component", "component_id").join(degree, "class", "left")
     empty = F.col("n") == 0
     out = sets.join(named, "class", "left")
     own = F.when(F.col("id") != F.lit(-(2**63)), F.col("id"))
@@ -221,6 +223,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
         F.col("n").alias("n_shingles"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
         F.when(empty, own).otherwise(F.col("component_id")).alias("component_id"),
+        *(["hash", "component"] if row_key else []),
     )
 
 

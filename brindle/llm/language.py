@@ -89,14 +89,19 @@ def _bags(rows: DataFrame) -> DataFrame:
 def labelled_sample(docs: DataFrame, label_col: str, per_label: int, max_rows: int, id_col: str, text_col: str) -> DataFrame:
     """At most ``per_label`` rows of each label and ``max_rows`` in all, chosen by a hash of the id.
 
-    Rows are chosen from the narrow columns; only their texts are then read.
+    Ids are chosen from the narrow columns; only their texts are then read, and counted once more,
+    since an id may have many rows: these are told apart by a hash of the text.
     """
     narrowed = docs.select(F.col(id_col).alias("doc"), F.col(label_col).cast("string").alias("label")).where("label is not null and doc is not null")
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc", F.lit(17)), "doc"))
-    chosen = narrowed.withColumn("rank", rank).where(F.col("rank") <= per_label).orderBy("rank", "label").limit(max_rows)
-    ids = chosen.select("doc").distinct()
+
+    def few(rows: DataFrame, *order) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc", F.lit(17)), "doc", *order))
+        return rows.withColumn("rank", rank).where(F.col("rank") <= per_label).orderBy("rank", "label").limit(max_rows)
+
+    ids = few(narrowed).select("doc").distinct()
     texts = docs.select(F.col(id_col).alias("doc"), F.col(label_col).cast("string").alias("label"), F.col(text_col).cast("string").alias("text"))
-    return texts.where("label is not null").join(F.broadcast(ids), "doc", "left_semi")  # at most max_rows ids
+    # At most max_rows ids.
+    return few(texts.where("label is not null").join(F.broadcast(ids), "doc", "left_semi"), F.xxhash64("text")).drop("rank")
 
 
 def train(bags: pa.Table, dim: int = 16, least_steps: int = 1500, epochs: int = 6, rate: float = 0.5, precision: float = 0.99, seed: int = 7) -> LanguageModel:
@@ -180,28 +185,36 @@ def identify_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc
     A model without labels gives ``und`` for all. Null or repeated ids give one row each; an empty
     table gives an empty result.
     """
-    rows = docs.select(*[F.col(c).alias(f"keep{k}") for k, c in enumerate((id_col, *keep))], F.col(text_col).cast("string").alias("text"))
-    kinds = [f.dataType.simpleString() for f in rows.schema.fields[:-1]]
-    schema = ", ".join([*(f"keep{k} {kind}" for k, kind in enumerate(kinds)), "lang_pred string, score double, accepted boolean"])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # The text goes to Python alone and does not come back; the other columns wait in the JVM.
+    @F.arrow_udf("struct<lang_pred: string, score: double, accepted: boolean>")
+    def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
-        for part in (some for whole in batches for some in bounded(whole)):
-            cut = pieces(filled(part.column("text")))
-            buckets, offsets = subwords(cut.distinct)
-            size = np.diff(offsets).astype(np.float64)
-            n = sums(size[cut.codes], cut.offsets)
-            known = (n > 0) & bool(model.labels)
-            if model.labels:
-                own = np.stack([sums(model.scores[buckets, k], offsets)[cut.codes] for k in range(len(model.labels))], axis=1)
-                p = model.probabilities(sums(own, cut.offsets) / np.maximum(n, 1)[:, None] + model.bias)
-                best = np.array(model.labels, dtype=object)[p.argmax(axis=1)]
-                score = np.where(known, p.max(axis=1), 0.0)
-            else:
-                best, score = np.full(len(n), UNKNOWN, dtype=object), np.zeros(len(n))
-            own = {f"keep{k}": part.column(f"keep{k}") for k in range(len(kinds))}
-            yield batch(own | {"lang_pred": pa.array(np.where(known, best, UNKNOWN), pa.string()), "score": np.round(score, 9), "accepted": known & (score >= model.threshold)})
-
-    out = rows.mapInArrow(predict, schema)
-    return out.select(*[F.col(f"keep{k}").alias(c) for k, c in enumerate((id_col, *keep))], "lang_pred", "score", "accepted")
+        for whole in texts:
+            found = [_predicted(model, part.column("text")) for part in bounded(batch({"text": whole}), 4 << 20)]
+            yield pa.concat_arrays(found) if found else pa.array([], _PREDICTION)
+
+    names = [F.col(c).alias(f"keep{k}") for k, c in enumerate((id_col, *keep))]
+    out = docs.select(*names, predict.asNondeterministic()(F.col(text_col).cast("string")).alias("found"))
+    return out.select(*[F.col(f"keep{k}").alias(c) for k, c in enumerate((id_col, *keep))], "found.lang_pred", "found.score", "found.accepted")
+
+
+_PREDICTION = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("accepted", pa.bool_())])
+
+
+def _predicted(model: LanguageModel, texts: pa.Array) -> pa.Array:
+    cut = pieces(filled(texts))
+    buckets, offsets = subwords(cut.distinct)
+    size = np.diff(offsets).astype(np.float64)
+    n = sums(size[cut.codes], cut.offsets)
+    known = (n > 0) & bool(model.labels)
+    if model.labels:
+        own = np.stack([sums(model.scores[buckets, k], offsets)[cut.codes] for k in range(len(model.labels))], axis=1)
+        p = model.probabilities(sums(own, cut.offsets) / np.maximum(n, 1)[:, None] + model.bias)
+        best = np.array(model.labels, dtype=object)[p.argmax(axis=1)]
+        score = np.where(known, p.max(axis=1), 0.0)
+    else:
+        best, score = np.full(len(n), UNKNOWN, dtype=object), np.zeros(len(n))
+    columns = [pa.array(np.where(known, best, UNKNOWN), pa.string()), pa.array(np.round(score, 9)), pa.array(known & (score >= model.threshold))]
+    return pa.StructArray.from_arrays(columns, fields=list(_PREDICTION))

@@ -26,6 +26,8 @@ from brindle.session import settle
 FILTER_BITS = 20  # of a bit array that tells most terms of no item
 GROUP_TERMS = 1 << 16  # terms of the items that one index serves
 BLOCK_ITEMS = 256
+SENT_TERMS = 1 << 18  # terms of items that are sent to all tasks, 16 bytes each
+CELLS = 128
 SHARD_ENTRIES = 1 << 19
 BLOCK_DOCS = 256
 SHORT = 16  # documents of a list without blocks
@@ -265,16 +267,18 @@ def index_documents(postings: DataFrame, documents: int, terms: int, block_docs:
     return settle(dealt.groupBy("shard").applyInArrow(build, "shard long, image binary"), "index")
 
 
-def _search(index: DataFrame, blocks: DataFrame, items: int, k: int) -> DataFrame:
-    """``(ask, item, id, score)``: every block of items against every shard; shards that follow each
-    other in a task share the k-th scores."""
-    shards, asks = index.count(), max(1, -(-items // BLOCK_ITEMS))
-    # Shards are dealt out to as many cells as there are shards, in groups where there are many blocks.
-    span = 1 if shards * asks <= 1024 else 8
-    down = -(-shards // span)
-    x = F.floor(F.col("shard") / span).cast("long")
-    tall = index.select(x.alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(asks - 1).cast("long"))).alias("block"), "image")
-    wide = blocks.select("block", "asked", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(down - 1).cast("long"))).alias("x"))
+def _search(index: DataFrame, blocks: DataFrame, items: int, terms: int, k: int) -> DataFrame:
+    """``(ask, id, score)``: every block of items against every shard; shards that follow each other in
+    a task share the k-th scores. Items of few terms are sent to all tasks, others are copied to a
+    fixed number of cells and meet the shards there."""
+    asks = max(1, -(-items // BLOCK_ITEMS))
+    tall = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(asks - 1).cast("long"))))
+    if terms <= SENT_TERMS:
+        met = tall.join(F.broadcast(blocks), "block")
+    else:
+        cell = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(CELLS - 1).cast("long"))).alias("x")
+        wide = blocks.select("block", "asked", cell)
+        met = tall.withColumn("x", F.pmod("shard", F.lit(CELLS))).join(wide.hint("merge"), ["x", "block"])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, asked, best = None, [], []
@@ -298,8 +302,7 @@ def _search(index: DataFrame, blocks: DataFrame, items: int, k: int) -> DataFram
         if block is not None:
             yield result()
 
-    met = tall.join(wide, ["x", "block"]).select("block", "asked", "image")
-    return met.sortWithinPartitions("block").mapInArrow(answer, "ask long, id long, score long")
+    return met.select("block", "asked", "image").sortWithinPartitions("block").mapInArrow(answer, "ask long, id long, score long")
 
 
 def lexical_topk(
@@ -344,11 +347,11 @@ def lexical_topk(
             kept = entries.select("row", "id", "n", F.col("e.terms").alias("term"), F.col("e.tfs").alias("tf")).join(few, "term")
             indexed = settle(kept.groupBy("row", "id", "n").agg(F.array_sort(F.collect_list(F.struct("term", "tf"))).alias("e")).select("id", "n", F.col("e.term").alias("terms"), F.col("e.tf").alias("tfs")), "postings")
         index = index_documents(indexed, corpus["documents"], max(corpus["terms"], 1), block_docs)
-        number = own.count()
+        number, terms = own.agg(F.count("*"), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
         blocks = max(1, -(-number // BLOCK_ITEMS))
         block = F.pmod(F.xxhash64("ask", F.lit(1)), F.lit(blocks))
         asks = settle(own.groupBy(block.alias("block")).agg(F.array_sort(F.collect_list(F.struct("ask", "terms"))).alias("asked")), "asks")
-        part = settle(_search(index, asks, number, k), "found")
+        part = settle(_search(index, asks, number, terms, k), "found")
         found = part if found is None else found.unionByName(part)
     rank = F.row_number().over(Window.partitionBy("ask").orderBy(F.desc("score"), "id"))
     best = found.withColumn("rank", rank).where(F.col("rank") <= k)

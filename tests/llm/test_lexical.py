@@ -50,8 +50,10 @@ def some(seed, n, words=400, length=40):
     return [" ".join(rng.choices(vocabulary, weights, k=rng.randint(1, length))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("block_docs", [4, 256])
-def test_equals_brute_force(spark, monkeypatch, block_docs):
+@pytest.mark.parametrize(("block_docs", "sent"), [(4, 0), (256, 1 << 18)])
+def test_equals_brute_force(spark, monkeypatch, block_docs, sent):
+    monkeypatch.setattr(lexical, "SENT_TERMS", sent)
+    monkeypatch.setattr(lexical, "CELLS", 3)
     docs = [(k, t, "x", 1) for k, t in enumerate(some(1, 400))]
     items = [(k, t, "x") for k, t in enumerate(some(2, 30, length=12))]
     monkeypatch.setattr(lexical, "SHARD_ENTRIES", 1500)

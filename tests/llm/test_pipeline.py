@@ -76,7 +76,29 @@ def test_empty_and_null_rows_pass(spark):
     assert rows == []
 
 
-@pytest.mark.parametrize("name", ["pipeline", *(f"op{n}_" for n in range(1, 11))])
+def test_one_row_of_each_group_stays_and_no_text_is_lost(spark):
+    text = {c: " ".join(f"{c}{k}" for k in range(20)) for c in "ab"}
+    rows = [(1, "a"), (2, "a"), (2, "b"), (None, "a"), (3, "b"), (3, "b"), (None, "b"), (9, "a")]
+    docs = spark.createDataFrame([(k, text[c], n) for n, (k, c) in enumerate(rows)] + [(5, None, 90), (5, None, 91), (6, "", 92), (None, "", 93)], "doc_id long, text string, n long")
+    got = pipeline.one_of_each_group(spark, docs, "").collect()
+    assert sorted((r.doc_id, r.text[0]) for r in got if r.text) == [(1, "a"), (2, "b")]
+    assert sorted(((r.doc_id, r.text) for r in got if not r.text), key=str) == sorted([(5, None), (6, ""), (None, "")], key=str)
+
+
+def test_columns_of_any_name_pass(spark):
+    path = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{path}/documents.parquet").limit(40)
+    names = ["lang_pred", "score", "accepted", "n_lines", "n_removed", "kept", "was_text", "n_words", "n_hit", "item_ids", "spans", "contaminated", "row", "hash", "component", "component_id", "n_links", "others", "keep0", "id", "n", "found"]
+    wide = docs.select("*", *[docs.doc_id.cast("string").alias(c) for c in names])
+    for name, stage in pipeline.STAGES:
+        out = stage(spark, wide, path)
+        rows = out.collect()
+        if name != pipeline.STAGES[-1][0]:
+            assert out.columns == wide.columns, name
+            assert rows and all(r[c] == str(r.doc_id) for r in rows for c in names), name
+
+
+@pytest.mark.parametrize("name", ["pipeline", *(f"op{n}_" for n in range(1, 14))])
 def test_queries_are_registered(name):
     import __spark_entry__ as entry
 
