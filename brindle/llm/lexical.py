@@ -153,7 +153,7 @@ class Shard:
 
     def _ends(self) -> np.ndarray:
         """Where each block ends: at the next one of its list, or with the list."""
-        ends = np.append(self.cuts[1:], 0)
+        ends = np.append(self.cuts[1:], 0)[: len(self.cuts)]
         last = self.firsts[1:][np.diff(self.firsts) > 0] - 1
         ends[last] = self.starts[1:][np.diff(self.firsts) > 0]
         return ends

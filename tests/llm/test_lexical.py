@@ -103,10 +103,16 @@ def test_blocks_below_the_bound_are_left_out():
     assert visited < held / 2
 
 
+def test_small_tables_have_no_blocks(spark):
+    docs = [(k, f"word{k} and", "x", 1) for k in range(5)]
+    items = [(1, "word3 and", "x")]
+    assert found(spark, docs, items) == brute(docs, items)
+
+
 def test_summaries_are_upper_bounds():
     rng = np.random.default_rng(2)
     indptr = np.arange(0, 3001, 10)
-    flat = np.concatenate([np.sort(rng.choice(700, 10, replace=False)) for _ in range(300)]).astype(np.int64)
+    flat = np.concatenate([np.sort(rng.choice(60, 10, replace=False)) for _ in range(300)]).astype(np.int64)
     values = rng.integers(1, 1_000_000, len(flat))
     shard = Shard.build(np.arange(300), indptr, flat, values, 8)
     ends = shard._ends()
