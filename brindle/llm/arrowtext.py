@@ -6,6 +6,7 @@ documents with one gather, so its Python cost follows the vocabulary of a batch,
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -90,6 +91,15 @@ def bounded(part: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatc
         yield part.slice(a, b - a)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: a Python worker lives on from stage to stage, and what an
+    earlier one has freed would else stay with it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def batch(columns: dict[str, pa.Array | np.ndarray | list]) -> pa.RecordBatch:
     """A record batch from named columns, in their order."""
     arrays = [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c) for c in columns.values()]

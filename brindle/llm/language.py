@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from brindle.llm.arrowtext import batch, bounded, filled, narrow, pieces, sums
+from brindle.llm.arrowtext import batch, bounded, filled, give_back, narrow, pieces, sums
 
 BUCKETS = 1 << 14  # the upper 14 bits of a 32-bit hash
 GRAMS = (2, 3, 4)
@@ -72,7 +72,8 @@ def _bags(rows: DataFrame) -> DataFrame:
     """Each text as distinct buckets with counts: at most ``BUCKETS`` entries, whatever its length."""
 
     def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        give_back()
+        for part in (some for whole in batches for some in bounded(whole, 4 << 20)):
             ids, counts = [], []
             for text in filled(part.column("text")).to_pylist():
                 cut = pieces(pa.array([text], pa.large_string()))
@@ -81,27 +82,33 @@ def _bags(rows: DataFrame) -> DataFrame:
                 total = np.bincount(buckets, weights=weight, minlength=BUCKETS)
                 ids.append(np.flatnonzero(total).astype(np.int32))
                 counts.append(total[ids[-1]].astype(np.float32))
-            yield batch({"label": part.column("label"), "ids": pa.array(ids, pa.list_(pa.int32())), "counts": pa.array(counts, pa.list_(pa.float32()))})
+            own = {c: part.column(c) for c in ("label", "order", "hash")}
+            yield batch(own | {"ids": pa.array(ids, pa.list_(pa.int32())), "counts": pa.array(counts, pa.list_(pa.float32()))})
+        give_back()
 
-    return rows.select("label", "text").mapInArrow(bag, "label string, ids array<int>, counts array<float>")
+    return rows.select("label", "order", "hash", "text").mapInArrow(bag, "label string, order long, hash long, ids array<int>, counts array<float>")
 
 
-def labelled_sample(docs: DataFrame, label_col: str, per_label: int, max_rows: int, id_col: str, text_col: str) -> DataFrame:
-    """At most ``per_label`` rows of each label and ``max_rows`` in all, chosen by a hash of the id.
+def _fewest(rows: DataFrame, per_label: int, max_rows: int, *order: str) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(*order))
+    return rows.withColumn("rank", rank).where(F.col("rank") <= per_label).orderBy("rank", "label").limit(max_rows).drop("rank")
 
-    Ids are chosen from the narrow columns; only their texts are then read, and counted once more,
-    since an id may have many rows: these are told apart by a hash of the text.
-    """
-    narrowed = docs.select(F.col(id_col).alias("doc"), F.col(label_col).cast("string").alias("label")).where("label is not null and doc is not null")
 
-    def few(rows: DataFrame, *order) -> DataFrame:
-        rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc", F.lit(17)), "doc", *order))
-        return rows.withColumn("rank", rank).where(F.col("rank") <= per_label).orderBy("rank", "label").limit(max_rows)
+def labelled_sample(docs: DataFrame, label_col: str, per_label: int, max_rows: int, id_col: str, text_col: str) -> DataFrame:
+    """Bags of at most ``per_label`` rows of each label and ``max_rows`` in all, chosen by hashes of id
+    and text.
 
-    ids = few(narrowed).select("doc").distinct()
-    texts = docs.select(F.col(id_col).alias("doc"), F.col(label_col).cast("string").alias("label"), F.col(text_col).cast("string").alias("text"))
+    Ids are chosen from the narrow columns; only their texts are then read, and made into bags in
+    the tasks. An id may have many rows: bags are counted once more.
+    """
+    order = F.xxhash64(F.col(id_col), F.lit(17)).alias("order")
+    narrowed = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc"), F.col(label_col).cast("string").alias("label"), order).where("label is not null")
+    ids = _fewest(narrowed, per_label, max_rows, "order", "doc").select("doc").distinct()
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).alias("doc"), F.col(label_col).cast("string").alias("label"), order, F.xxhash64(text).alias("hash"), text.alias("text"))
     # At most max_rows ids.
-    return few(texts.where("label is not null").join(F.broadcast(ids), "doc", "left_semi"), F.xxhash64("text")).drop("rank")
+    found = texts.where("label is not null").join(F.broadcast(ids), "doc", "left_semi")
+    return _fewest(_bags(found), per_label, max_rows, "order", "hash")
 
 
 def train(bags: pa.Table, dim: int = 16, least_steps: int = 1500, epochs: int = 6, rate: float = 0.5, precision: float = 0.99, seed: int = 7) -> LanguageModel:
@@ -174,7 +181,7 @@ def fit_languages(
     sparse bags. Rows of null label or id are not learned from. Without labelled rows the model
     knows no language."""
     sample = labelled_sample(docs, label_col, per_label, max_rows, id_col, text_col)
-    return train(_bags(sample).toArrow(), **options)
+    return train(sample.select("label", "ids", "counts").toArrow(), **options)
 
 
 def identify_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -191,9 +198,11 @@ def identify_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc
     @F.arrow_udf("struct<lang_pred: string, score: double, accepted: boolean>")
     def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
+        give_back()
         for whole in texts:
             found = [_predicted(model, part.column("text")) for part in bounded(batch({"text": whole}), 4 << 20)]
             yield pa.concat_arrays(found) if found else pa.array([], _PREDICTION)
+            give_back()
 
     names = [F.col(c).alias(f"keep{k}") for k, c in enumerate((id_col, *keep))]
     out = docs.select(*names, predict.asNondeterministic()(F.col(text_col).cast("string")).alias("found"))

@@ -47,3 +47,34 @@ def test_subwords_lie_in_words():
     # Words alone and together have the same grams.
     apart, _ = subwords(["ab", "cd"])
     assert sorted(buckets[: offsets[1]].tolist()) == sorted(apart.tolist())
+
+
+def test_the_sample_is_bounded_where_an_id_repeats(spark):
+    from brindle.llm.language import labelled_sample
+
+    rows = [(1, f"text number {k}", "en") for k in range(2000)] + [(k, "autre texte", "fr") for k in range(2, 90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = labelled_sample(docs, "lang", 30, 50, "doc_id", "text")
+    assert sample.count() == 50
+    assert {r.label for r in sample.collect()} == {"en", "fr"}
+
+
+def test_predictions_equal_a_plain_evaluation(spark):
+    """Every text by itself: mean of its subword scores, softmax, threshold."""
+    import numpy as np
+
+    from brindle.llm.arrowtext import pieces
+    from brindle.llm.language import fit_languages, identify_languages, subwords
+    import pyarrow as pa
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = fit_languages(docs)
+    for r in identify_languages(docs, model, keep=("text",)).collect():
+        logits, n = np.array(model.bias, float), 0
+        cut = pieces(pa.array([r.text or ""], pa.large_string()))
+        buckets, offsets = subwords(cut.distinct)
+        own = [b for c in cut.codes for b in buckets[offsets[c] : offsets[c + 1]]]
+        n = len(own)
+        p = model.probabilities((model.scores[own].sum(axis=0) / max(n, 1) + logits)[None, :])[0]
+        want = ("und", 0.0, False) if not n else (model.labels[int(p.argmax())], p.max(), p.max() >= model.threshold)
+        assert (r.lang_pred, r.accepted) == (want[0], want[2]) and abs(r.score - want[1]) < 1e-6
