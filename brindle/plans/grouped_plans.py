@@ -96,7 +96,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     lines = _lineitem(spark, sf_dir, "l_quantity")
     average = g.global_average(lines, "l_quantity")
-    return lines.limit(1).select(F.round(average, 6).alias("average"))
+    return spark.range(1).select(F.round(average, 6).alias("average"))  # one row, of an empty table too
 
 
 _SQRT_SQL = f"SELECT {_ROW_SQL}, round(sqrt(l_extendedprice), 6) AS sqrt_reading FROM lineitem"

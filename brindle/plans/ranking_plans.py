@@ -68,7 +68,7 @@ def _(spark, sf_dir):
     return r.eval_holdout(docs, "text", "doc_id").select("doc_id")
 
 
-_CLASSES = [f"class{i + 1}" for i in range(10)]
+_CLASSES = [f"class{i}" for i in range(1, 65)]  # one per entry of the vectors
 
 
 @catalog.add(
@@ -76,7 +76,7 @@ _CLASSES = [f"class{i + 1}" for i in range(10)]
     """WITH ranked AS (
          SELECT vec_id, i, embedding[i]::DOUBLE AS p,
                 row_number() OVER (PARTITION BY vec_id ORDER BY embedding[i] DESC, i) AS rn
-         FROM embeddings, (SELECT unnest(range(1, 11)) AS i))
+         FROM embeddings, (SELECT unnest(range(1, 65)) AS i))
        SELECT vec_id,
               max(CASE WHEN rn = 1 THEN 'class' || i END) AS predicted_class_1,
               round(max(CASE WHEN rn = 1 THEN p END), 6) AS predicted_probability_1,
@@ -87,7 +87,7 @@ _CLASSES = [f"class{i + 1}" for i in range(10)]
        FROM ranked GROUP BY vec_id""",
 )
 def _(spark, sf_dir):
-    scores = table(spark, sf_dir, "embeddings").select("vec_id", F.slice("embedding", 1, 10).alias("scores"))
+    scores = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("scores"))
     top = r.topn_classes(scores, "scores", _CLASSES, 3).drop("scores")
     return top.select(*[F.round(c, 6).alias(c) if "probability" in c else c for c in top.columns])
 
