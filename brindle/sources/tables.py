@@ -2,22 +2,89 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from brindle.session import settle
 
 
+_CSV = {"quote": '"', "escape": '"'}
+
+
 def read_csv_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """Header CSV with quoted fields that may span lines."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-    return (reader.schema(schema) if schema is not None else reader).csv(path)
+    """Header CSV with quoted fields that may span lines; a file is read by as many tasks as it has
+    splits. Without a schema all columns are strings, named by the header.
+
+    First the quotes of every split are counted: the parity of their sum before a split tells whether
+    it begins inside a field. Then each split is cut at true record ends, and a record that lies in
+    several splits is put together from its parts. Files are UTF-8 and quotes inside fields doubled.
+    """
+    if schema is None:
+        schema = spark.read.options(header=True, multiLine=True, **_CSV).csv(path).schema
+    elif isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")]
+    lines = spark.read.option("lineSep", "\n").text(path).select(*place, F.col("value").alias("line"))
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    splits = lines.groupBy("file", "start").agg(F.sum(quotes).alias("quotes"))  # one row per split
+    before = F.coalesce(F.sum("quotes").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = settle(splits.select("file", "start", (before % 2 == 1).alias("inside")), "splits")
+    # The order of lines must stay, so the table of splits, one row for each, is sent to all tasks.
+    placed = lines.join(F.broadcast(splits), ["file", "start"])
+    parts = settle(placed.select("file", "start", "inside", "line").mapInArrow(_records, "file string, start long, part string, record string"), "records")
+    whole = parts.where("part = 'whole'")
+    # A record that is open at the end of a split goes on with what comes first in the splits after it.
+    opened = F.last(F.when(F.col("part") == "tail", F.col("start")), ignorenulls=True)
+    back = Window.partitionBy("file").orderBy("start", F.col("part") == "tail")
+    first = opened.over(back.rowsBetween(Window.unboundedPreceding, 0))
+    cut = parts.where("part <> 'whole'").withColumn("first", first).groupBy("file", "first").agg(F.array_sort(F.collect_list(F.struct("start", F.col("part") == "tail", "record"))).alias("parts"))
+    joined = cut.select("file", F.col("first").alias("start"), F.array_join(F.transform("parts", lambda p: p["record"]), "\n").alias("record"))
+    records = whole.select("record").unionByName(joined.select("record"))
+    row = F.from_csv(F.regexp_replace("record", "\r$", ""), _ddl(schema), {**_CSV, "multiLine": "true"})
+    return records.where("record <> ''").select(row.alias("row")).select("row.*")
+
+
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of each split, in its order of lines: ``whole`` ones; what belongs to a record of an
+    earlier split (``lead``); and the start of one that is not complete (``tail``). The header of a file,
+    its first record, does not come out."""
+    now, held, part, skip = None, [], "whole", False
+
+    def row(kind: str) -> tuple:
+        return (*now, kind, "\n".join(held))
+
+    for batch in batches:
+        out: list[tuple] = []
+        columns = [batch.column(c).to_pylist() for c in ("file", "start", "inside", "line")]
+        for file, start, inside, line in zip(*columns, strict=True):
+            if (file, start) != now:
+                if held:
+                    out.append(row("lead" if part == "lead" else "tail"))
+                now, held, part, skip = (file, start), [], "lead" if inside else "whole", start == 0
+                odd = inside
+            held.append(line)
+            odd ^= line.count('"') % 2 == 1
+            if not odd:
+                if skip:
+                    skip = False
+                else:
+                    out.append(row(part))
+                held, part = [], "whole"
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.string(), pa.int64(), pa.string(), pa.string()))], ["file", "start", "part", "record"])
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(row("lead" if part == "lead" else "tail"), (pa.string(), pa.int64(), pa.string(), pa.string()), strict=True)], ["file", "start", "part", "record"])
 
 
 def write_csv_table(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).option("quote", '"').option("escape", '"').mode("overwrite").csv(path)
+    # White space at the ends of a field is part of it.
+    df.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **_CSV).mode("overwrite").csv(path)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

@@ -99,6 +99,30 @@ def test_csv_with_line_ends_and_quotes(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == rows
 
 
+def test_csv_is_read_in_splits(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    bits = ["a", "b c", '"', ",", "\n", "x" * 40, "\n\n", "é"]
+    rows = [(k, "".join(rng.choice(bits, rng.integers(0, 30))) or None, float(k)) for k in range(300)]
+    rows.append((300, "long\n" * 3000, 0.5))  # one record over many splits
+    schema = "k int, text string, v double"
+    df = spark.createDataFrame(rows, schema)
+    src.write_csv_table(df.coalesce(2), str(tmp_path / "csv"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        back = src.read_csv_table(spark, str(tmp_path / "csv"), schema)
+        splits = spark.read.text(str(tmp_path / "csv")).rdd.getNumPartitions()
+        got = sorted(map(tuple, back.collect()))
+        names = src.read_csv_table(spark, str(tmp_path / "csv")).columns
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    one_task = spark.read.options(header=True, multiLine=True, quote='"', escape='"').schema(schema).csv(str(tmp_path / "csv"))
+    assert splits > 10 and got == sorted(map(tuple, one_task.collect())) == rows
+    assert names == ["k", "text", "v"]
+
+
 def test_code_corpus(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "a.c").write_text("int a;\nint ü;\n", encoding="utf-8")
