@@ -19,6 +19,8 @@ from brindle.session import settle
 
 # Rounds of the ancestor search after which the visited pairs are rewritten into one table.
 COMPACT_EVERY = 8
+# Rounds after which a search that goes on is done over compressed chains.
+DEEP_AFTER = 4
 # Nodes and edges of a graph that is iterated in one task, and of the graphs that share a task.
 SMALL_GRAPH = 1 << 17
 GRAPHS_OF_A_TASK = 1 << 20
@@ -36,12 +38,14 @@ def edge_nodes(edges: DataFrame, graph: Sequence[str]) -> DataFrame:
 
 
 def ancestors(
-    edges: DataFrame, seeds: DataFrame, graph: Sequence[str] = (), nodes: DataFrame | None = None, unique: bool = False
+    edges: DataFrame, seeds: DataFrame, graph: Sequence[str] = (), nodes: DataFrame | None = None, unique: bool = False, deep: bool = True
 ) -> DataFrame:
     """``graph..., seed, node``: every node from which the seed can be reached, and the seed itself.
 
     ``seeds`` holds ``graph..., seed``; unknown seeds give no rows. Safe on cycles: a pair enters
-    the frontier once. ``unique`` edges are read once per round: they should be settled.
+    the frontier once. ``unique`` edges are read once per round: they should be settled. Deep graphs
+    (``deep``) are searched over compressed chains, whose ends are found by doubling: the rounds
+    follow the logarithm of a chain's length, not the length.
     """
     links = edges if unique else settle(_links(edges, graph, False), "edges")
     known = (nodes if nodes is not None else edge_nodes(links, graph)).select(*graph, F.col("node").alias("seed"))
@@ -58,10 +62,65 @@ def ancestors(
         if frontier.isEmpty():
             return seen
         visited.append(frontier)
+        if deep and len(visited) > DEEP_AFTER:
+            return _deep_ancestors(links, settle(start, "seeds"), graph)
         if len(visited) > COMPACT_EVERY:
             visited = [settle(reduce(DataFrame.unionByName, visited), "visited")]
 
 
+def chains(links: DataFrame, graph: Sequence[str] = ()) -> DataFrame:
+    """``graph..., node, head, place``: the chain of each node, named by its first one, and its place there.
+
+    A link lies in a chain if it is the only one that leaves its source and the only one that reaches
+    its end. Heads are found by doubling. A cycle of such links has no first node: it is named by its
+    least one, and ``place`` is null.
+    """
+    key = [*graph]
+    count = lambda c: links.groupBy(*key, F.col(c).alias("node")).agg(F.count(F.lit(1)).alias(f"n_{c}"))
+    into = links.join(count("dst").where("n_dst = 1").select(*key, F.col("node").alias("dst")), [*key, "dst"], "left_semi")
+    inner = into.join(count("src").where("n_src = 1").select(*key, F.col("node").alias("src")), [*key, "src"], "left_semi").where("src <> dst")
+    before = inner.select(*key, F.col("dst").alias("node"), F.col("src").alias("head"))
+    state = edge_nodes(links, key).join(before, [*key, "node"], "left").select(
+        *key, "node", F.coalesce("head", "node").alias("head"), F.when(F.col("head").isNull(), 0).otherwise(1).cast("long").alias("place"), F.coalesce(F.least("head", "node"), "node").alias("low")
+    )
+    state, left = settle(state, "jump"), None
+    while True:
+        ahead = state.select(*key, F.col("node").alias("head"), F.col("head").alias("next"), F.col("place").alias("more"), F.col("low").alias("lower"))
+        jumped = state.join(ahead, [*key, "head"]).select(
+            *key, "node", F.col("next").alias("head"), (F.col("place") + F.col("more")).alias("place"), F.least("low", "lower").alias("low"), (F.col("more") > 0).alias("open"), (F.col("lower") < F.col("low")).alias("fell")
+        )
+        state = settle(jumped, "jump")
+        # In a chain fewer nodes are open after every round; what stays open lies in cycles, where the
+        # least node is known once nothing falls any more.
+        now = state.agg(F.count_if("open"), F.count_if(F.col("open") & F.col("fell"))).first()
+        if not now[0] or (now[0] == left and not now[1]):
+            break
+        left = now[0]
+    cycle = F.col("open")
+    return state.select(*key, "node", F.when(cycle, F.col("low")).otherwise(F.col("head")).alias("head"), F.when(~cycle, F.col("place")).alias("place"))
+
+
+def _deep_ancestors(links: DataFrame, start: DataFrame, graph: Sequence[str]) -> DataFrame:
+    key = [*graph]
+    member = settle(chains(links, key), "chains")
+    head = lambda c: member.select(*key, F.col("node").alias(c), F.col("head").alias(f"{c}_chain"), F.col("place").alias(f"{c}_place"))
+    ends = links.join(head("src"), [*key, "src"]).join(head("dst"), [*key, "dst"])
+    # Links between chains, and from the end of one to its own head.
+    over = settle(ends.where((F.col("src_chain") != F.col("dst_chain")) | (F.col("dst_place") == 0)).select(*key, F.col("src_chain").alias("src"), F.col("dst_chain").alias("dst")).distinct(), "chain-links")
+    asked = settle(start.select(*key, "seed").join(head("seed"), [*key, "seed"], "left").withColumn("seed_chain", F.coalesce("seed_chain", "seed")), "seed-chains")
+    wanted = asked.select(*key, F.col("seed_chain").alias("seed"))
+    every = over.select(*key, F.explode(F.array("src", "dst")).alias("node")).unionByName(wanted.select(*key, F.col("seed").alias("node"))).distinct()
+    reached = settle(ancestors(over, wanted, key, nodes=every, unique=True, deep=False), "chains-reached")
+    # A chain that leads on to one of its ancestors, or to its own head, is reached whole.
+    back = reached.withColumnsRenamed({"seed": "src", "node": "dst"}).join(over, [*key, "src", "dst"], "left_semi").select(*key, F.col("src").alias("seed_chain"), F.lit(True).alias("whole")).distinct()
+    own = asked.join(back, [*key, "seed_chain"], "left").join(member.select(*key, F.col("head").alias("seed_chain"), "node", "place"), [*key, "seed_chain"])
+    own = own.where(F.col("whole") | F.col("place").isNull() | (F.col("place") <= F.col("seed_place"))).select(*key, "seed", "node")
+    others = reached.where("seed <> node").select(*key, F.col("seed").alias("seed_chain"), F.col("node").alias("head")).join(asked.select(*key, "seed", "seed_chain"), [*key, "seed_chain"])
+    others = others.join(member.select(*key, "head", "node"), [*key, "head"]).select(*key, "seed", "node")
+    alone = asked.where(F.col("seed_place").isNull()).join(member.select(*key, F.col("node").alias("seed")), [*key, "seed"], "left_anti").select(*key, "seed", F.col("seed").alias("node"))
+    return own.unionByName(others).unionByName(alone)
+
+
 def ancestor_subgraph(edges: DataFrame, reached: DataFrame, graph: Sequence[str] = (), unique: bool = False) -> DataFrame:
     """``graph..., seed, src, dst``: the edges among a seed's ancestors.
 

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from brindle.operators import graph as gr, lineage as ln
 
@@ -38,6 +39,36 @@ def test_long_chain_compacts(spark, monkeypatch):
     assert gr.ancestors(edges, seeds).count() == 13
 
 
+def test_deep_graphs_take_few_rounds(spark, monkeypatch):
+    n = 10_000
+    pairs = [("g", f"n{k:05d}", f"n{k + 1:05d}") for k in range(n - 1)] + [("c", f"n{k:03d}", f"n{(k + 1) % 300:03d}") for k in range(300)]
+    edges = spark.createDataFrame(pairs, "file string, src string, dst string")
+    seeds = spark.createDataFrame([("g", f"n{n - 1:05d}"), ("g", "n00700"), ("c", "n005")], "file string, seed string")
+    rounds, settle = [], gr.settle
+    monkeypatch.setattr(gr, "settle", lambda df, label: rounds.append(label) or settle(df, label))
+    found = gr.ancestors(edges, seeds, ["file"]).groupBy("file", "seed").agg(F.count("*").alias("n"), F.countDistinct("node").alias("d"))
+    assert {(r.file, r.seed): (r.n, r.d) for r in found.collect()} == {("g", f"n{n - 1:05d}"): (n, n), ("g", "n00700"): (701, 701), ("c", "n005"): (300, 300)}
+    assert sum(label in ("frontier", "jump") for label in rounds) < 25
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_compressed_chains_equal_plain_search(spark, monkeypatch, seed):
+    monkeypatch.setattr(gr, "DEEP_AFTER", 1)
+    rng = random.Random(seed)
+    graphs = {}
+    for g in range(25):
+        n = rng.randrange(3, 14)
+        pairs = {(f"n{k}", f"n{k + 1}") for k in range(n)}
+        pairs |= {(f"n{rng.randrange(n)}", f"n{rng.randrange(n)}") for _ in range(rng.randrange(0, 3))} | {("z0", "z1"), ("z1", "z2"), ("z2", "z0")}
+        graphs[f"g{g}"] = pairs
+    edges = spark.createDataFrame([(g, a, b) for g, pairs in graphs.items() for a, b in pairs], "file string, src string, dst string")
+    asked = [(g, n) for g, pairs in graphs.items() for n in {n for e in pairs for n in e}]
+    got = {}
+    for r in gr.ancestors(edges, spark.createDataFrame(asked, "file string, seed string"), ["file"]).collect():
+        got.setdefault((r.file, r.seed), []).append(r.node)
+    assert {k: sorted(v) for k, v in got.items()} == {(g, s): sorted(reach(graphs[g], s)) for g, s in asked}
+
+
 def power(pairs, nodes, rounds=100, tol=1e-6):
     index = {n: i for i, n in enumerate(nodes)}
     matrix = np.eye(len(nodes))
