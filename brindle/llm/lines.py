@@ -91,10 +91,12 @@ def dedup_lines(docs: DataFrame, percent: int = 90, id_col: str = "doc_id", text
     lines = lines.select(*_ADDRESS, F.xxhash64("tokens").alias("key"), n.alias("n"), _parity("tokens").alias("p"), F.slice("tokens", 1, prefix).alias("prefix"))
     lines = settle(lines, "lines")
     address = F.struct(*_ADDRESS)
-    # Equal sets: the first line stays for now, the others go. Most sets occur once and need no row.
-    equal = lines.groupBy("key", "n", F.get("prefix", F.lit(0)).alias("t0")).agg(F.min(address).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
-    marked = lines.withColumn("t0", F.get("prefix", F.lit(0))).join(equal, ["key", "n", "t0"], "left").withColumn("is_first", F.col("first").isNull() | (F.col("first") == address))
-    marked = settle(marked.select(*_ADDRESS, "n", "p", "is_first", "prefix"), "lines")
+    # Equal sets: the first line stays for now, the others go. Most sets occur once and need no row, so
+    # the rows of the others may be few enough to travel instead of the lines.
+    whole_set = [F.col("key"), F.col("n"), F.get("prefix", F.lit(0)).alias("t0")]
+    equal = lines.groupBy(*whole_set).agg(F.min(address).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
+    equal = settle(equal, "equal")
+    marked = lines.select("*", whole_set[-1]).join(equal, ["key", "n", "t0"], "left").withColumn("is_first", F.col("first").isNull() | (F.col("first") == address))
     copies = marked.where("not is_first").select(*_ADDRESS)
     # One row per line and prefix token; lines of a frequent token lie in several parts.
     parts = F.greatest(F.lit(1), F.shiftright(F.expr(f"shiftleft(1L, cast(shiftright(t, {HASH_BITS}) / 2 as int))"), PART_SHIFT)).cast("long")
