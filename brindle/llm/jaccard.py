@@ -197,12 +197,16 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     first = settle(led.where("class != lead").select(F.col("lead").alias("a"), F.col("class").alias("b")).distinct(), "pairs")
     links = settle(_verified(first, classes, rows, words, percent), "links")
     labels = settle(components(links), "labels")
-    # Signatures whose classes are not yet one component hold the pairs still to be checked.
-    placed = led.join(labels.withColumnRenamed("node", "class"), "class", "left").select("sig", "class", "lead", F.coalesce("component", "class").alias("component"))
-    mixed = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("sig")
-    open_ = placed.join(mixed, "sig").select("lead", "class").distinct()
+    # Signatures whose classes are not yet one component hold the pairs still to be checked. Pairs tell
+    # which ones these are, so that signatures meet no labels.
+    for end in ("a", "b"):
+        own = labels.select(F.col("node").alias(end), F.col("component").alias(f"{end}_component"))
+        first = first.join(own, end, "left").withColumn(f"{end}_component", F.coalesce(f"{end}_component", end))
+    apart = settle(first.where("a_component != b_component").select(F.col("a").alias("lead"), F.col("b").alias("class")), "apart")
+    mixed = settle(led.join(apart, ["lead", "class"], "left_semi").select("sig").distinct(), "mixed")
+    open_ = led.join(mixed, "sig", "left_semi").select("lead", "class").distinct()
     across = _across(open_, labels, classes, percent)
-    across = across.join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    across = across.join(apart.select(F.least("lead", "class").alias("a"), F.greatest("lead", "class").alias("b")), ["a", "b"], "left_anti")
     more = settle(_verified(across, classes, rows, words, percent), "links")
     if not more.isEmpty():
         links = links.unionByName(more)
