@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from brindle.llm import jaccard
@@ -61,6 +62,25 @@ def test_matches_brute_force(spark, words, percent, seed):
     assert got == brute(docs, words, percent)
 
 
+def test_slices_of_a_batch_are_read_as_they_are():
+    texts = ["A b c d", "", "one Two three four five", "\x00", "É f", "g", "h I j"]
+    for kind in (pa.string(), pa.large_string()):
+        for first in range(len(texts) + 1):
+            hashes, offsets = jaccard.shingle_sets(pa.array(texts, kind).slice(first), 3)
+            for k, text in enumerate(texts[first:]):
+                own, _ = jaccard.shingle_sets(pa.array([text]), 3)
+                assert hashes[offsets[k] : offsets[k + 1]].tolist() == own.tolist()
+
+
+def test_batches_of_several_slices(spark):
+    # More text than a slice holds, in one batch: copies and near copies lie in different slices.
+    body = [f"w{k}" * 200 for k in range(120)]
+    docs = [(k, " ".join([f"Head{k % 40}", *body[k % 40 : k % 40 + 60]])) for k in range(120)] + [(500, "a B c"), (501, "A b C"), (502, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df, 3, 90).collect()}
+    assert got == brute(docs, 3, 90)
+
+
 def brute_links(rows, words, percent):
     sets = [shingles(t, words) for _, t in rows]
     near = lambda x, y: bool(x and y) and 100 * len(x & y) >= percent * len(x | y)
