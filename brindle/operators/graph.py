@@ -11,7 +11,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from brindle.operators.joins import attach
 from brindle.operators.ranking import top_ranked
@@ -24,6 +24,11 @@ DEEP_AFTER = 4
 # Nodes and edges of a graph that is iterated in one task, and of the graphs that share a task.
 SMALL_GRAPH = 1 << 17
 GRAPHS_OF_A_TASK = 1 << 20
+# Edges of a graph whose nodes' neighbourhoods are looked at in one task, of those that share a task,
+# and pairs of edges that are held at once.
+SMALL_NEIGHBOURHOODS = 1 << 10
+NEIGHBOURHOODS_OF_A_TASK = 1 << 18
+PAIRS_AT_ONCE = 1 << 20
 
 
 def _links(edges: DataFrame, graph: Sequence[str], unique: bool) -> DataFrame:
@@ -63,7 +68,7 @@ def ancestors(
             return seen
         visited.append(frontier)
         if deep and len(visited) > DEEP_AFTER:
-            return _deep_ancestors(links, settle(start, "seeds"), graph)
+            return settle(_deep_ancestors(links, settle(start, "seeds"), graph), "ancestors")
         if len(visited) > COMPACT_EVERY:
             visited = [settle(reduce(DataFrame.unionByName, visited), "visited")]
 
@@ -156,28 +161,42 @@ def power_iteration(graph_of: np.ndarray, src: np.ndarray, dst: np.ndarray, max_
     size = np.bincount(graph_of) if len(graph_of) else np.zeros(0, np.int64)
     x = 1.0 / size[graph_of]
     converged = np.zeros(len(size), bool)
-    open_nodes = np.arange(len(x))
+    # Of the graphs that are still iterated: places of their nodes, their graphs and values.
+    place, own, now = np.arange(len(x)), graph_of, x.copy()
     for _ in range(max_iter):
-        if not len(open_nodes):
+        if not len(place):
             break
-        y = x + np.bincount(dst, weights=x[src], minlength=len(x))
-        own = graph_of[open_nodes]
-        length = np.sqrt(np.bincount(own, weights=y[open_nodes] ** 2, minlength=len(size)))
-        fresh = y[open_nodes] / np.where(length > 0, length, 1.0)[own]
-        moved = np.bincount(own, weights=np.abs(fresh - x[open_nodes]), minlength=len(size))
-        x[open_nodes] = fresh
+        y = now + np.bincount(dst, weights=now[src], minlength=len(now))
+        length = np.sqrt(np.bincount(own, weights=y**2, minlength=len(size)))
+        fresh = y / np.where(length > 0, length, 1.0)[own]
+        moved = np.bincount(own, weights=np.abs(fresh - now), minlength=len(size))
+        now = fresh
         done = np.zeros(len(size), bool)
         done[own] = moved[own] < size[own] * tol
         if done.any():
             converged |= done
-            open_nodes = open_nodes[~done[own]]
-            edges = ~converged[graph_of[src]]
-            src, dst = src[edges], dst[edges]
+            x[place] = now
+            still = ~done[own]
+            edges = still[src]
+            number = np.cumsum(still) - 1
+            src, dst = number[src[edges]], number[dst[edges]]
+            place, own, now = place[still], own[still], now[still]
+    x[place] = now
     return x, converged[graph_of]
 
 
+def degree_shares(graph_of: np.ndarray, src: np.ndarray, dst: np.ndarray) -> np.ndarray:
+    """Degree centrality of all nodes of many graphs at once, numbered as in :func:`power_iteration`."""
+    if not len(graph_of):
+        return np.zeros(0)
+    degree = np.bincount(src, minlength=len(graph_of)) + np.bincount(dst, minlength=len(graph_of))
+    others = np.bincount(graph_of)[graph_of] - 1
+    return np.where(others > 0, degree / np.maximum(others, 1), 1.0)
+
+
 def _small_graphs(links: DataFrame, members: DataFrame, key: Sequence[str], max_iter: int, tol: float) -> DataFrame:
-    """Eigenvector centrality of graphs of bounded size, many of them in a task."""
+    """``x``, ``converged`` and ``by_degree`` (:func:`degree_centrality`) of graphs of bounded size, many of
+    them in a task."""
     rows = members.count() + links.count()
     bucket = F.pmod(F.xxhash64(*key), F.lit(max(1, -(-rows // GRAPHS_OF_A_TASK)))).alias("__bucket")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in members.schema.fields if f.name in (*key, "node"))
@@ -190,10 +209,11 @@ def _small_graphs(links: DataFrame, members: DataFrame, key: Sequence[str], max_
         n, m = len(nodes), len(edges)
         own = nodes.groupby([*key], sort=False, dropna=False).ngroup().to_numpy()
         x, converged = power_iteration(own, number[n : n + m], number[n + m :], max_iter, tol)
-        return nodes[[c for c in nodes.columns if c in (*key, "node")]].assign(x=x, converged=converged)
+        by_degree = degree_shares(own, number[n : n + m], number[n + m :])
+        return nodes[[c for c in nodes.columns if c in (*key, "node")]].assign(x=x, converged=converged, by_degree=by_degree)
 
     dealt = members.select(*key, "node", bucket).groupBy("__bucket").cogroup(links.select(*key, "src", "dst", bucket).groupBy("__bucket"))
-    return dealt.applyInPandas(iterate, f"{kinds}, x double, converged boolean")
+    return dealt.applyInPandas(iterate, f"{kinds}, x double, converged boolean, by_degree double")
 
 
 def eigenvector_centrality(
@@ -212,22 +232,41 @@ def eigenvector_centrality(
     Graphs of up to ``SMALL_GRAPH`` nodes and edges are iterated in the tasks, many at once, in one
     job; larger ones in rounds of joins. Both compute the same sums.
     """
+    result = _centralities(edges, graph, nodes, max_iter, tol)
+    return result.select(*graph, "node", _ten_digits("x").alias("centrality"), "converged")
+
+
+def _ten_digits(x: str) -> Column:
+    """What the order of a sum changes does not come out, and equal nodes have equal values."""
+    return F.format_string("%.9e", x).cast("double")
+
+
+def _centralities(edges: DataFrame, graph: Sequence[str], nodes: DataFrame | None, max_iter: int, tol: float = 1e-6, closed: bool = False) -> DataFrame:
+    """``graph..., node, x, converged, by_degree``: both centralities of every node. With ``closed`` the edges
+    are unique, ``nodes`` holds every end of them once, and both are settled."""
     key = [*graph] or ["__all"]
     whole = (lambda df: df) if graph else (lambda df: df.withColumn("__all", F.lit(0)))
-    links = settle(whole(edges).select(*key, "src", "dst").distinct(), "edges")
-    members = edge_nodes(links, key)
-    if nodes is not None:
-        members = members.unionByName(whole(nodes).select(*key, "node")).distinct()
-    members = settle(members, "graph-nodes")
+    links = whole(edges).select(*key, "src", "dst")
+    if closed:
+        members = whole(nodes).select(*key, "node")
+    else:
+        links = settle(links.distinct(), "edges")
+        members = edge_nodes(links, key)
+        if nodes is not None:
+            members = members.unionByName(whole(nodes).select(*key, "node")).distinct()
+        members = settle(members, "graph-nodes")
     held = members.select(*key, F.lit(1).alias("n"), F.lit(0).alias("m")).unionByName(links.select(*key, F.lit(0).alias("n"), F.lit(1).alias("m")))
-    counts = settle(held.groupBy(*key).agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "node-counts")
-    large = counts.where(F.col("n") + F.col("m") > SMALL_GRAPH)
+    counts = held.groupBy(*key).agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    large = settle(counts.where(F.col("n") + F.col("m") > SMALL_GRAPH), "large-graphs")
     result = _small_graphs(attach(links, large, key, "left_anti"), attach(members, large, key, "left_anti"), key, max_iter, tol)
     result = settle(result, "centrality")
     if not large.isEmpty():
-        result = result.unionByName(_large_graphs(attach(links, large, key, "left_semi"), attach(members, large, key, "left_semi"), large.drop("m"), key, max_iter, tol))
-    # Ten digits: what the order of a sum changes does not come out, and equal nodes have equal values.
-    return result.select(*graph, "node", F.format_string("%.9e", "x").cast("double").alias("centrality"), "converged")
+        links, members = attach(links, large, key, "left_semi"), attach(members, large, key, "left_semi")
+        power = _large_graphs(links, members, large.drop("m"), key, max_iter, tol)
+        degree = degree_centrality(links, key, members, unique=True).withColumnsRenamed({"node": "__side_node", "centrality": "by_degree", **{c: f"__side_{c}" for c in key}})
+        same = reduce(lambda a, b: a & b, [power[c].eqNullSafe(degree[f"__side_{c}"]) for c in (*key, "node")])
+        result = result.unionByName(power.join(degree, same).select(*key, "node", "x", "converged", "by_degree"))
+    return result
 
 
 def _large_graphs(links: DataFrame, members: DataFrame, counts: DataFrame, key: Sequence[str], max_iter: int, tol: float) -> DataFrame:
@@ -265,17 +304,19 @@ def node_centrality(
     method: str = "eigenvector",
     max_iter: int = 100,
     unique: bool = False,
+    closed: bool = False,
 ) -> DataFrame:
-    """Eigenvector centrality, replaced by degree centrality for graphs that do not converge."""
-    degree = degree_centrality(edges, graph, nodes, unique)
+    """Eigenvector centrality, replaced by degree centrality for graphs that do not converge.
+
+    ``closed`` says that the edges are unique, that ``nodes`` holds every end of them once, and that
+    both are settled: then neither is written again.
+    """
     if method == "degree":
-        return degree
+        return degree_centrality(edges, graph, nodes, unique)
     if method != "eigenvector":
         raise ValueError(f"method must be 'eigenvector' or 'degree', not {method!r}")
-    power = eigenvector_centrality(edges, graph, nodes, max_iter)
-    both = power.join(degree.withColumnRenamed("centrality", "by_degree"), [*graph, "node"])
-    value = F.when(F.col("converged"), F.col("centrality")).otherwise(F.col("by_degree"))
-    return both.select(*graph, "node", value.alias("centrality"))
+    both = _centralities(edges, graph, nodes, max_iter, closed=closed)
+    return both.select(*graph, "node", F.when(F.col("converged"), _ten_digits("x")).otherwise(F.col("by_degree")).alias("centrality"))
 
 
 def neighbour_edges(edges: DataFrame, graph: Sequence[str] = (), unique: bool = False) -> DataFrame:
@@ -331,13 +372,81 @@ def neighbour_centrality(edges: DataFrame, graph: Sequence[str] = (), max_iter:
     eigenvector centrality, degree centrality where it does not converge, 1 for a single one.
     """
     links = settle(_links(edges, graph, False), "edges")
+    if not graph:
+        return _wide_neighbourhoods(links, graph, max_iter)
+    large = settle(links.groupBy(*graph).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > SMALL_NEIGHBOURHOODS), "large-graphs")
+    near = _small_neighbourhoods(attach(links, large, graph, "left_anti"), graph, links.count(), max_iter)
+    value = F.when(F.col("converged"), _ten_digits("x")).otherwise(F.col("by_degree"))
+    near = settle(near.select(*graph, "node", "direction", "neighbour", value.alias("centrality")), "centrality")
+    if large.isEmpty():
+        return near
+    wide = _wide_neighbourhoods(settle(attach(links, large, graph, "left_semi"), "edges"), graph, max_iter)
+    return near.unionByName(wide.select(near.columns))
+
+
+def _small_neighbourhoods(links: DataFrame, graph: Sequence[str], rows: int, max_iter: int, tol: float = 1e-6) -> DataFrame:
+    """The neighbourhoods of all nodes of graphs of few edges, many graphs in a task: the edges of a
+    graph are sent once, and what its nodes' neighbours have among themselves is found there."""
+    key = [*graph]
+    bucket = F.pmod(F.xxhash64(*key), F.lit(max(1, -(-rows // NEIGHBOURHOODS_OF_A_TASK)))).alias("__bucket")
+    kinds = ", ".join(f"`{c}` {links.schema[c].dataType.simpleString()}" for c in key)
+    name = links.schema["src"].dataType.simpleString()
+
+    def near(edges: pd.DataFrame) -> pd.DataFrame:
+        own = edges.groupby(key, sort=False, dropna=False).ngroup().to_numpy()
+        size = np.bincount(own)
+        portion = ((np.cumsum(size * size // 4) - size * size // 4) // PAIRS_AT_ONCE)[own]
+        parts = [_views(edges[portion == p].reset_index(drop=True), own[portion == p], key, max_iter, tol) for p in np.unique(portion)]
+        return pd.concat(parts, ignore_index=True)
+
+    dealt = links.select(*key, "src", "dst", bucket).groupBy("__bucket")
+    return dealt.applyInPandas(near, f"{kinds}, node {name}, direction string, neighbour {name}, x double, converged boolean, by_degree double")
+
+
+def _views(edges: pd.DataFrame, own: np.ndarray, key: Sequence[str], max_iter: int, tol: float) -> pd.DataFrame:
+    """Each node's neighbours, before and after it, with their centralities among themselves. ``own`` is
+    the number of each edge's graph."""
+    m = len(edges)
+    ends = pd.concat([edges["src"], edges["dst"]], ignore_index=True)
+    codes = pd.factorize(ends, use_na_sentinel=False)[0]
+    node = np.unique(np.concatenate([own, own]) * (int(codes.max()) + 1) + codes, return_inverse=True)[1]
+    src, dst, n = node[:m], node[m:], int(node.max()) + 1
+    # Every way x -> y, y -> c, x -> c: x -> y is an edge among those before c, y -> c among those after x.
+    order = np.argsort(src, kind="stable")
+    first = np.searchsorted(src[order], np.arange(n + 1))
+    follow = np.diff(first)[dst]
+    edge = np.repeat(np.arange(m), follow)
+    x, y = src[edge], dst[edge]
+    c = dst[order[first[y] + np.arange(len(edge)) - np.repeat(np.cumsum(follow) - follow, follow)]]
+    known = np.sort(src * n + dst)
+    at = np.minimum(np.searchsorted(known, x * n + c), m - 1)
+    closed = known[at] == x * n + c
+    x, y, c = x[closed], y[closed], c[closed]
+    # Views: twice the number of the centre, and one more for those after it.
+    view, member = np.concatenate([2 * dst, 2 * src + 1]), np.concatenate([src, dst])
+    names = view * n + member
+    order = np.argsort(names, kind="stable")
+    place = lambda v, who: np.searchsorted(names[order], v * n + who)
+    a, b = (np.concatenate([place(2 * c, p), place(2 * x + 1, q)]) for p, q in ((x, y), (y, c)))
+    graph_of = np.unique(view[order], return_inverse=True)[1]
+    values, converged = power_iteration(graph_of, a, b, max_iter, tol)
+    edge, up = order % m, order < m
+    source, target = edges["src"].to_numpy()[edge], edges["dst"].to_numpy()[edge]
+    return edges[[*key]].iloc[edge].reset_index(drop=True).assign(
+        node=np.where(up, target, source), direction=np.where(up, "upstream", "downstream"), neighbour=np.where(up, source, target),
+        x=values, converged=converged, by_degree=degree_shares(graph_of, a, b),
+    )
+
+
+def _wide_neighbourhoods(links: DataFrame, graph: Sequence[str], max_iter: int) -> DataFrame:
+    """The same for graphs of any size, in joins."""
     view = [*graph, "center", "direction"]
     members = links.select(*graph, F.col("dst").alias("center"), F.lit("upstream").alias("direction"), F.col("src").alias("node")).unionByName(
         links.select(*graph, F.col("src").alias("center"), F.lit("downstream").alias("direction"), F.col("dst").alias("node"))
     )
     members = settle(members, "neighbours")
     among = settle(neighbour_edges(links, graph, unique=True), "neighbour-edges")
-    scored = node_centrality(among, view, members, "eigenvector", max_iter, unique=True)
+    scored = node_centrality(among, view, members, "eigenvector", max_iter, unique=True, closed=True)
     return scored.withColumnRenamed("node", "neighbour").withColumnRenamed("center", "node")
 
 
@@ -370,7 +479,8 @@ def focused_view(
     sizes = settle(reached.groupBy(*view).agg((F.count(F.lit(1)) > n).alias("truncated")), "view-sizes")
     shown = reached
     if not show_all:
-        scored = node_centrality(among, view, reached, method, max_iter, unique=True)
+        # A predecessor of an ancestor is one: the reached nodes hold all ends.
+        scored = node_centrality(among, view, reached, method, max_iter, unique=True, closed=True)
         shown = settle(top_central(scored, view, n).select(*view, "node"), "shown")
         among = among.join(shown.withColumnRenamed("node", "src"), [*view, "src"], "left_semi").join(
             shown.withColumnRenamed("node", "dst"), [*view, "dst"], "left_semi"

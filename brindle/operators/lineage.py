@@ -136,7 +136,9 @@ def top_neighbours(nodes: DataFrame, edges: DataFrame, n: int = 10, max_iter: in
     or successors (downstream) induce among themselves; ties go by name.
     """
     central = gr.neighbour_centrality(edges, ["file"], max_iter).withColumnRenamed("node", "name")
-    scored = neighbours(nodes, edges).join(central, ["file", "name", "direction", "neighbour"], "left")
+    # It has a row for each neighbour, which only the attributes are missing from.
+    attributes = nodes.select("file", F.col("name").alias("neighbour"), "type", "function", "is_pointer")
+    scored = central.join(attributes, ["file", "neighbour"])
     order = [F.desc(F.coalesce("centrality", F.lit(0.0))), F.col("neighbour")]
     return top_ranked(scored, ["file", "name", "direction"], order, n)
 

@@ -218,6 +218,25 @@ def test_neighbour_edges_and_centrality(spark, loops):
     assert count == len(central)
 
 
+def test_small_graphs_need_no_joins(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = {(g, f"n{rng.randrange(9)}", f"n{rng.randrange(9)}") for g in range(8) for _ in range(20)}
+    edges = spark.createDataFrame(sorted(rows), "file int, src string, dst string")
+    views = ["file", "node", "direction", "neighbour", "centrality"]
+    seeds = edges.select("file", F.col("dst").alias("seed")).distinct()
+    view = lambda: [sorted(map(tuple, df.collect()), key=str) for df in gr.focused_view(edges, seeds, ["file"], n=4)]
+    monkeypatch.setattr(gr, "SMALL_NEIGHBOURHOODS", 0)
+    wide, shown = sorted(map(tuple, gr.neighbour_centrality(edges, ["file"]).select(views).collect())), view()
+    monkeypatch.undo()
+    # Neither triangles nor degrees are joined for them.
+    for name in ("neighbour_edges", "degree_centrality"):
+        monkeypatch.setattr(gr, name, None)
+    for at_once in (gr.PAIRS_AT_ONCE, 1):
+        monkeypatch.setattr(gr, "PAIRS_AT_ONCE", at_once)
+        assert sorted(map(tuple, gr.neighbour_centrality(edges, ["file"]).select(views).collect())) == wide
+    assert view() == shown
+
+
 def test_large_graphs_give_the_same_as_small_ones(spark, monkeypatch):
     rng = random.Random(2)
     rows = [(g, f"n{rng.randrange(6)}", f"n{rng.randrange(6)}") for g in range(3) for _ in range(14)]
