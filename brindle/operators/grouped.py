@@ -20,6 +20,8 @@ PandasFn = Callable[[pd.DataFrame], pd.DataFrame]
 
 # Rows of one group that a Python worker may hold at once.
 MAX_GROUP_ROWS = 2_000_000
+# Rows that one portion of exploded lists holds.
+RELISTED_AT_ONCE = 1 << 17
 
 
 def with_params(factory: Callable[..., Callable], **params) -> Callable:
@@ -308,11 +310,20 @@ def relist_pandas(df: DataFrame, list_col: str) -> DataFrame:
 
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf.explode(list_col, ignore_index=True)
+            yield from relisted(pdf, list_col)
 
     return df.mapInPandas(explode, T.StructType(fields))
 
 
+def relisted(pdf: pd.DataFrame, list_col: str, most: int | None = None) -> Iterator[pd.DataFrame]:
+    """The exploded rows of a batch, in portions of whole lists with some ``most`` entries: a batch has a
+    bounded number of lists, but their entries together have no bound."""
+    sizes = np.array([1 if x is None else max(len(x), 1) for x in pdf[list_col]], np.int64)
+    portion = (np.cumsum(sizes) - sizes) // (most or RELISTED_AT_ONCE)
+    for first, last in zip(edges := [0, *np.flatnonzero(np.diff(portion)) + 1, len(pdf)], edges[1:], strict=False):
+        yield pdf.iloc[first:last].explode(list_col, ignore_index=True)
+
+
 def group_size_stats(df: DataFrame, keys: Sequence[str], approximate: bool = False) -> DataFrame:
     """Rows, distinct keys and rows per key: the numbers behind the choice of a shuffle key."""
     key = F.struct(*keys)

@@ -115,6 +115,14 @@ def test_relist_keeps_empty_lists(spark):
     assert [tuple(r) for r in g.relist_pandas(df, "trip_id").orderBy("device_id", "trip_id").collect()] == want
 
 
+def test_long_lists_are_relisted_in_portions():
+    rows = pd.DataFrame({"k": range(6), "v": [[1, 2, 3], [], None, [4], [5] * 9, [6, 7]]})
+    parts = list(g.relisted(rows, "v", 4))
+    assert max(map(len, parts)) < len(pd.concat(parts)) and len(parts) > 2
+    pd.testing.assert_frame_equal(pd.concat(parts, ignore_index=True), rows.explode("v", ignore_index=True))
+    assert sum(map(len, g.relisted(rows[:0], "v"))) == 0
+
+
 def test_group_sizes_name_the_shuffle_key(spark):
     readings = sensor_readings(spark, 10_000, 10, 20)
     coarse = g.group_size_stats(readings, ["device_id"]).first()
