@@ -15,6 +15,9 @@ from brindle.session import settle
 
 PIVOTS = 256  # similar rows are laid into blocks around as many rows of the corpus at most
 BLOCKS_OF_A_TASK = 1024  # summaries that meet in a task, on either side
+MAX_TASKS = 10_000
+ADDED_ROWS = 10_000  # corpus rows that a task compares at once
+TILE_ROWS = 50_000  # rows of neighbouring blocks that travel and meet together, on either side
 SLACK = 1e-6
 BUCKET_ROWS = 256
 
@@ -33,7 +36,9 @@ def scorer(k: int, metric: str, ids: tuple[str, str] = ("query_id", "corpus_id")
         top = TopHits(q[ids[0]].to_numpy(), stack(q["vector"]), k, metric)
         if "floor" in q:
             top.floor = np.maximum(top.floor, q["floor"].fillna(-np.inf).to_numpy())
-        top.add(c[ids[1]].to_numpy(), stack(c["vector"]))
+        for start in range(0, len(c), ADDED_ROWS):
+            some = c.iloc[start : start + ADDED_ROWS]
+            top.add(some[ids[1]].to_numpy(), stack(some["vector"]))
         return top.result()
 
     return score
@@ -58,11 +63,23 @@ def _pivots(stored: DataFrame, metric: str, block_rows: int) -> np.ndarray:
     number, whatever its size."""
     number = max(1, min(PIVOTS, 2 * stored.count() // block_rows))
     rows = stored.select("vector", F.xxhash64("corpus_id").alias("h"), "corpus_id").orderBy("h", "corpus_id").limit(number).collect()
-    return comparable(np.array([r["vector"] for r in rows], float), metric) if rows else np.zeros((0, 0))
+    return _chained(comparable(np.array([r["vector"] for r in rows], float), metric)) if rows else np.zeros((0, 0))
+
+
+def _chained(points: np.ndarray) -> np.ndarray:
+    """The points in an order in which each is followed by the nearest of those left."""
+    order, left = [0], set(range(1, len(points)))
+    while left:
+        some = sorted(left)
+        order.append(some[int(((points[some] - points[order[-1]]) ** 2).sum(axis=1).argmin())])
+        left.remove(order[-1])
+    return points[order]
 
 
 def _blocked(rows: DataFrame, id_col: str, pivots: np.ndarray, metric: str, block_rows: int) -> DataFrame:
-    """The rows with their block: that of the nearest pivot, cut into even parts where it is large."""
+    """The rows with their block: that of the nearest pivot, cut into even parts where it is large. And
+    with their tile: blocks that follow each other, of ``TILE_ROWS`` rows or a block at most, or of
+    fewer where the cores would not have a pair of tiles each."""
     shared = rows.sparkSession.sparkContext.broadcast(pivots)
 
     @F.pandas_udf("int")
@@ -71,9 +88,14 @@ def _blocked(rows: DataFrame, id_col: str, pivots: np.ndarray, metric: str, bloc
         return pd.Series((2 * points @ centers.T - (centers**2).sum(axis=1)).argmax(axis=1), index=vectors.index)
 
     placed = settle(rows.withColumn("pivot", nearest.asNondeterministic()("vector")), "placed")
-    counts = settle(placed.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("parts")), "pivot-counts")  # at most PIVOTS rows
-    part = F.pmod(F.xxhash64(id_col), F.col("parts"))
-    return settle(placed.join(counts, "pivot").withColumn("block", F.concat_ws("-", "pivot", part)).drop("pivot", "parts"), "blocked")
+    counts = settle(placed.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / block_rows).alias("parts")), "pivot-counts")  # at most PIVOTS rows
+    before = F.coalesce(F.sum("n").over(Window.orderBy("pivot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    tile_rows = min(TILE_ROWS, max(1, int(total / (2 * rows.sparkSession.sparkContext.defaultParallelism) ** 0.5)))
+    starts = settle(counts.select("pivot", "n", "parts", before.alias("before")), "pivot-starts")
+    laid = placed.join(starts, "pivot").withColumn("part", F.pmod(F.xxhash64(id_col), F.col("parts")))
+    tile = F.floor((F.col("before") + F.col("part") * F.col("n") / F.col("parts")) / tile_rows)
+    return settle(laid.withColumn("block", F.concat_ws("-", "pivot", "part")).withColumn("tile", tile).drop("pivot", "n", "parts", "before", "part"), "blocked")
 
 
 def _summaries(blocked: DataFrame, name: str, metric: str) -> DataFrame:
@@ -117,7 +139,8 @@ def pruned_topk(asked: DataFrame, stored: DataFrame, k: int, metric: str, block_
     Either side is laid into blocks of similar rows with a centre and a radius. Every query block
     first meets the one corpus block that promises most. A block of queries and one of the corpus
     whose bound is below the k-th score that all its queries have by then are never joined. Blocks
-    hold ``block_rows`` at most, by hash of the unique ids, so no task gathers more.
+    hold ``block_rows`` at most, by hash of the unique ids, and travel in tiles of ``TILE_ROWS`` rows
+    or one block, so no task gathers more.
     """
     pivots = _pivots(stored, metric, block_rows)
     kind = asked.schema["query_id"].dataType.simpleString(), stored.schema["corpus_id"].dataType.simpleString()
@@ -129,21 +152,68 @@ def pruned_topk(asked: DataFrame, stored: DataFrame, k: int, metric: str, block_
     corpus = _blocked(stored, "corpus_id", pivots, metric, block_rows)
     left, right = _summaries(queries, "q_block", metric), _summaries(corpus, "c_block", metric)
 
-    def compared(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-        q = rows.withColumnRenamed("block", "q_block").join(pairs, "q_block")
-        c = corpus.withColumnRenamed("block", "c_block").join(pairs, "c_block").select("q_block", "c_block", "corpus_id", "vector")
-        by = ["q_block", "c_block"]
-        return settle(q.groupBy(*by).cogroup(c.groupBy(*by)).applyInPandas(scorer(k, metric), schema), "hits")
+    q_places, c_places = (blocked.select(F.col("block").alias(f"{side}_block"), F.col("tile").alias(f"{side}_tile")).distinct() for side, blocked in (("q", queries), ("c", corpus)))
+    corpus = corpus.withColumnRenamed("block", "c_block").withColumnRenamed("tile", "c_tile")
 
+    # Every query block meets one block of the corpus.
     first = _meeting(left, right, metric, "best")
-    hits = compared(queries, first)
+    by = ["q_block", "c_block"]
+    q = queries.withColumnRenamed("block", "q_block").join(first, "q_block")
+    c = corpus.join(first, "c_block").select(*by, "corpus_id", "vector")
+    hits = settle(q.groupBy(*by).cogroup(c.groupBy(*by)).applyInPandas(scorer(k, metric), schema), "hits")
     floors = hits.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("floor"))
     queries = settle(queries.join(floors, "query_id", "left"), "floored")
     # A query without k hits has no floor, and then neither has its block.
     lowest = queries.groupBy(F.col("block").alias("q_block")).agg(F.min(F.coalesce("floor", F.lit(float("-inf")))).alias("floor"))
     pairs = _meeting(left.join(lowest, "q_block"), right, metric, "open")
     rest = settle(pairs.join(first, ["q_block", "c_block"], "left_anti"), "block-pairs")
-    return hits.unionByName(compared(queries, rest)), first.unionByName(rest)
+
+    # The others meet by tiles: a block travels once to each tile of the other side in which it has a
+    # partner, not once for each partner.
+    by = ["q_tile", "c_tile"]
+    tiled = settle(rest.join(q_places, "q_block").join(c_places, "c_block"), "tile-pairs")
+    tasks = max(1, min(MAX_TASKS, 3 * tiled.select(*by).distinct().count()))
+    met = first.withColumnRenamed("c_block", "met")
+    goes = lambda block: tiled.select(block, *[F.col(c).alias(c) for c in by]).distinct()
+    q = queries.withColumnRenamed("block", "q_block").drop("tile").join(goes("q_block"), "q_block").join(met, "q_block").repartition(tasks, *by)
+    c = corpus.drop("c_tile").join(goes("c_block"), "c_block").repartition(tasks, *by)
+    later = settle(q.groupBy(*by).cogroup(c.groupBy(*by)).applyInPandas(_tile_scorer(k, metric), schema), "hits")
+    return hits.unionByName(later), first.unionByName(rest)
+
+
+def _tile_scorer(k: int, metric: str) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """The k best hits of some blocks of queries among some blocks of the corpus. A pair of blocks is
+    compared if its bound reaches the lowest ``floor`` of its queries, and if the query block has not
+    ``met`` the other before."""
+
+    def summaries(rows: pd.DataFrame, points: np.ndarray, column: str) -> tuple[list[str], list[np.ndarray], np.ndarray, np.ndarray]:
+        places = rows.groupby(column, sort=True).indices
+        own = list(places.values())
+        centers = np.stack([points[at].mean(axis=0) for at in own])
+        return list(places), own, centers, np.array([np.linalg.norm(points[at] - c, axis=1).max() for at, c in zip(own, centers, strict=True)])
+
+    def score(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        found = [pd.DataFrame({"query_id": q["query_id"][:0], "corpus_id": c["corpus_id"][:0], "score": pd.Series(dtype=float)})]
+        if q.empty or c.empty:
+            return found[0]
+        q_ids, c_ids, floor, met = q["query_id"].to_numpy(), c["corpus_id"].to_numpy(), q["floor"].fillna(-np.inf).to_numpy(), q["met"].to_numpy()
+        asks, rows = stack(q["vector"]), stack(c["vector"])
+        _, q_own, q_centers, q_radii = summaries(q, comparable(asks, metric), "q_block")
+        c_names, c_own, c_centers, c_radii = summaries(c, comparable(rows, metric), "c_block")
+        lowest = np.array([floor[at].min() for at in q_own])
+        reach = bounds(q_centers, q_radii, c_centers, c_radii, metric) >= lowest[:, None]
+        for at, open_ones in zip(q_own, reach, strict=True):
+            some = [c_own[j] for j in np.flatnonzero(open_ones) if c_names[j] != met[at[0]]]
+            if some:
+                top = TopHits(q_ids[at], asks[at], k, metric)
+                top.floor = np.maximum(top.floor, floor[at])
+                some = np.concatenate(some)
+                for start in range(0, len(some), ADDED_ROWS):
+                    top.add(c_ids[some[start : start + ADDED_ROWS]], rows[some[start : start + ADDED_ROWS]])
+                found.append(top.result())
+        return pd.concat([f for f in found if len(f)] or found[:1], ignore_index=True)
+
+    return score
 
 
 def plane_signs(table: int, bit: int, dim: int) -> np.ndarray:

@@ -206,3 +206,18 @@ def test_eval_set_asks_again_and_reports_errors(spark):
     assert set(got) == {"d1", "d2"} and all(r.request == "what?" for r in got.values())
     bad = failed.collect()
     assert len(bad) == 1 and "refused" in bad[0].error
+
+
+def test_blocks_travel_once_per_tile(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.normal(size=32).astype(np.float32).tolist()) for k in range(400)]  # no bound helps
+    df = spark.createDataFrame(rows, "id int, vector array<float>").repartition(4)
+    kept = {}
+    settle = nearest.settle
+    monkeypatch.setattr(nearest, "settle", lambda rows, label: kept.setdefault(label, settle(rows, label)) if label == "tile-pairs" else settle(rows, label))
+    asked, stored = df.select(F.col("id").alias("query_id"), "vector"), df.select(F.col("id").alias("corpus_id"), "vector")
+    hits, pairs = nearest.pruned_topk(asked, stored, 3, "cosine", 10)
+    assert found(nearest.best_k(hits, 3)) == brute_force(rows, rows, 3)
+    assert hits.groupBy("query_id", "corpus_id").count().where("count > 1").count() == 0
+    sent = sum(kept["tile-pairs"].select(block, "q_tile", "c_tile").distinct().count() for block in ("q_block", "c_block"))
+    assert sent < 2 * pairs.count() / 4
