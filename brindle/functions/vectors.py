@@ -78,7 +78,7 @@ class TopHits:
         self.rough = self._lifted(self.exact, True)
         self.length = np.linalg.norm(self.rough.astype(float), axis=1)
         self.floor = np.full(len(query_ids), -np.inf)
-        self.best = pd.DataFrame({"q": pd.Series(dtype=np.int64), "corpus_id": [], "score": pd.Series(dtype=float)})
+        self.best = pd.DataFrame({"q": pd.Series(dtype=np.int64), "corpus_id": pd.Series(dtype=object), "score": pd.Series(dtype=float)})
 
     def _lifted(self, points: np.ndarray, asks: bool) -> np.ndarray:
         """Single-precision vectors whose inner products are the scores."""

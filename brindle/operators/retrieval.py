@@ -6,7 +6,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from brindle.functions.vectors import METRICS, Encoder, TopHits, hashing_encoder
 from brindle.operators.nearest import approximate_topk, best_k, pruned_topk, stack
@@ -31,6 +31,12 @@ def embed(df: DataFrame, text: str, encoder: Encoder | None = None, out: str = "
     return df.withColumn(out, vectors.asNondeterministic()(text))
 
 
+def vector_key(vector: str) -> Column:
+    """A name of the vector by 128 bits of it: rows with one name have the same hits, so that a search
+    needs each of them once."""
+    return F.concat_ws("-", *[F.xxhash64(F.lit(seed), F.col(vector)) for seed in (1, 2)])
+
+
 def retrieve_topk(
     queries: DataFrame,
     corpus: DataFrame,

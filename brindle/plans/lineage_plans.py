@@ -247,11 +247,16 @@ def _asked(spark, sf_dir):
     SELECT file, name, md5(context || segments) AS context_md5 FROM contexts JOIN segments ON query_id = file || '::' || name""",
 )
 def _(spark, sf_dir):
-    contexts = settle(_asked(spark, sf_dir).withColumn("symbol", F.concat_ws("::", "file", "name")), "contexts")
-    queries = retrieval.embed(contexts.select("symbol", "context"), "context")
-    chunks = settle(retrieval.embed(chunking.chunk_code(_files(spark, sf_dir)), "content"), "code-index")
-    hits = retrieval.retrieve_topk(queries, chunks, 5, "symbol", "id", metadata=["file_path", "content"])
-    return ln.with_code_segments(contexts, hits, "symbol").select("file", "name", F.md5("context").alias("context_md5"))
+    return _with_code(_asked(spark, sf_dir), _files(spark, sf_dir))
+
+
+def _with_code(contexts, files):
+    """Contexts of equal vectors have equal hits: each vector is asked once, and its segments made once."""
+    contexts = settle(retrieval.embed(contexts, "context").withColumn("asked", retrieval.vector_key("embedding")), "contexts")
+    queries = contexts.select("asked", "embedding").distinct()
+    chunks = settle(retrieval.embed(chunking.chunk_code(files), "content"), "code-index")
+    hits = retrieval.retrieve_topk(queries, chunks, 5, "asked", "id", metadata=["file_path", "content"])
+    return ln.with_code_segments(contexts.drop("embedding"), hits, "asked").select("file", "name", F.md5("context").alias("context_md5"))
 
 
 # orders -> customer -> nation -> region.

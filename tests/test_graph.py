@@ -260,3 +260,16 @@ def test_merged_scopes_and_neighbours(spark):
     assert kinds == {"a": ("int", "f"), "b": ("long", "g"), "c": ("long", "g")}
     near = {(r.name, r.direction, r.neighbour) for r in ln.neighbours(nodes, links).collect()}
     assert near == {("b", "upstream", "a"), ("a", "downstream", "b"), ("c", "upstream", "b"), ("b", "downstream", "c")}
+
+
+def test_equal_contexts_are_searched_once(spark, monkeypatch):
+    from brindle.plans import lineage_plans
+    from brindle.operators import retrieval
+
+    asked = []
+    search = retrieval.retrieve_topk
+    monkeypatch.setattr(retrieval, "retrieve_topk", lambda queries, *rest, **more: asked.append(queries.count()) or search(queries, *rest, **more))
+    contexts = spark.createDataFrame([(f"f{k}", "v", "int a" if k % 2 else "int b c") for k in range(10)], "file string, name string, context string")
+    files = spark.createDataFrame([("x.c", "int a"), ("y.c", "int b c")], "path string, content string")
+    got = {r.file: r.context_md5 for r in lineage_plans._with_code(contexts, files).collect()}
+    assert asked == [2] and len(got) == 10 and len(set(got.values())) == 2
