@@ -10,6 +10,7 @@ is least squares, not maximum likelihood; ``fit_fn`` plugs in another fitter.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 from itertools import product
 from math import comb
 
@@ -24,6 +25,7 @@ from brindle.session import settle
 Order = tuple[int, int, int]
 FitFn = Callable[[np.ndarray, Order], np.ndarray]
 POINT = ["p", "d", "q"]
+SERIES = "__series"  # the keys of a row's series in one column
 
 
 def indexed_series(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "t") -> DataFrame:
@@ -42,26 +44,29 @@ def indexed_series(df: DataFrame, keys: Sequence[str], order: Sequence[str], out
     return numbered.drop("__range", "__offset")
 
 
-def _window_lags(keys: Sequence[str], order: Sequence[str]):
+def _window_lags(order: Sequence[str]):
     """Lags by a window per series."""
 
-    def lags(df: DataFrame, extra: Sequence[str], col: str, n: int, prefix: str) -> DataFrame:
-        window = Window.partitionBy(*keys, *extra).orderBy(*order)
-        return df.select("*", *[F.lag(col, i).over(window).alias(f"{prefix}{i}") for i in range(1, n + 1)])
+    def lags(df: DataFrame, wanted: dict[str, int]) -> DataFrame:
+        window = Window.partitionBy(SERIES).orderBy(*order)
+        return df.select("*", *[F.lag(col, i).over(window).alias(f"{col}_{i}") for col, n in wanted.items() for i in range(1, n + 1)])
 
     return lags
 
 
-def _index_lags(keys: Sequence[str], index: str):
-    """Lags by position: every value is sent to the n rows after it. No task holds a series."""
+def _index_lags(index: str):
+    """Lags by position: every row's values are sent to the rows after it. No task holds a series."""
 
-    def lags(df: DataFrame, extra: Sequence[str], col: str, n: int, prefix: str) -> DataFrame:
-        if n == 0:
+    def lags(df: DataFrame, wanted: dict[str, int]) -> DataFrame:
+        most = max(wanted.values(), default=0)
+        if most == 0:
             return df
-        place = [*keys, *extra, index]
-        sent = df.select(*keys, *extra, F.col(index), F.col(col).alias("__v"), F.explode(F.sequence(F.lit(1), F.lit(n))).alias("__i"))
+        place = [SERIES, index]
+        sent = df.select(*place, *wanted, F.explode(F.sequence(F.lit(1), F.lit(most))).alias("__i"))
         sent = sent.withColumn(index, F.col(index) + F.col("__i"))
-        values = sent.groupBy(*place).agg(*[F.max(F.when(F.col("__i") == i, F.col("__v"))).alias(f"{prefix}{i}") for i in range(1, n + 1)])
+        values = sent.groupBy(*place).agg(
+            *[F.max(F.when(F.col("__i") == i, F.col(col))).alias(f"{col}_{i}") for col, n in wanted.items() for i in range(1, n + 1)]
+        )
         return attach(df, values, place)
 
     return lags
@@ -86,77 +91,72 @@ def _dot(coefficients: str, features: Sequence[Column]) -> Column:
     return total
 
 
-def _regress(df: DataFrame, by: Sequence[str], features: Sequence[Column], target: Column, out: str) -> DataFrame:
-    """Add the least-squares fit of ``target`` on ``features`` per group, from complete rows.
+def _regress(df: DataFrame, fits: dict[str, tuple[Sequence[Column], Column]]) -> DataFrame:
+    """Add the least-squares fit of each target on its features per series, from complete rows.
 
-    The products are summed map-side; the shuffle carries one row per group and task.
+    The products of all fits are summed map-side in one pass; the shuffle carries one row per series
+    and task. Coefficients meet the rows where the lags have put them already.
     """
-    if not features:
-        return df.withColumn(out, F.lit(0.0))
-    complete = target.isNotNull()
-    for feature in features:
-        complete = complete & feature.isNotNull()
-    k = len(features)
-    sums = {f"g{i}_{j}": F.sum(features[i] * features[j]) for i in range(k) for j in range(i, k)}
-    sums |= {f"m{i}": F.sum(features[i] * target) for i in range(k)}
-    moments = df.filter(complete).groupBy(*by).agg(*[c.alias(n) for n, c in sums.items()])
-    gram = F.array(*[F.col(f"g{min(i, j)}_{max(i, j)}") for i in range(k) for j in range(k)])
-    solved = moments.select(*by, _solve(gram, F.array(*[F.col(f"m{i}") for i in range(k)])).alias("__beta"))
-    fitted = attach(df, settle(solved, "coefficients"), by)
-    return fitted.withColumn(out, F.when(complete, _dot("__beta", features))).drop("__beta")
+    plain = {out: F.lit(0.0) for out, (features, _) in fits.items() if not features}
+    fits = {out: fit for out, fit in fits.items() if fit[0]}
+    if not fits:
+        return df.withColumns(plain)
+    complete, sums, solved = {}, [], []
+    for n, (out, (features, target)) in enumerate(fits.items()):
+        complete[out] = reduce(lambda a, b: a & b, [c.isNotNull() for c in (target, *features)])
+        k = len(features)
+        used = lambda product: F.sum(F.when(complete[out], product))  # noqa: B023, E731
+        sums += [used(features[i] * features[j]).alias(f"g{n}_{i}_{j}") for i in range(k) for j in range(i, k)]
+        sums += [used(features[i] * target).alias(f"m{n}_{i}") for i in range(k)]
+        gram = F.array(*[F.col(f"g{n}_{min(i, j)}_{max(i, j)}") for i in range(k) for j in range(k)])
+        some = F.col(f"m{n}_0").isNotNull()  # else no row is complete
+        solved.append(_solve(F.when(some, gram), F.when(some, F.array(*[F.col(f"m{n}_{i}") for i in range(k)]))).alias(f"__beta{n}"))
+    coefficients = settle(df.groupBy(SERIES).agg(*sums).select(SERIES, *solved), "coefficients")
+    fitted = df.join(coefficients, SERIES, "left")
+    found = {out: F.when(complete[out], _dot(f"__beta{n}", features)) for n, (out, (features, _)) in enumerate(fits.items())}
+    return fitted.withColumns(found | plain).drop(*[f"__beta{n}" for n in range(len(fits))])
 
 
 def _fit(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, points: Sequence[Order], max_series_rows: int
 ) -> DataFrame:
-    """Rows times grid points with ``p, d, q`` and ``predicted``."""
-    most_p, most_d, most_q = (max(point[i] for point in points) for i in range(3))
-    long_ar = {point: max(point[0], point[2]) + 1 if point[2] else 0 for point in points}
-    depth = max(most_p, *long_ar.values()) + most_d
+    """The rows with a column ``__predicted{k}`` for each grid point. Points stand beside each other: a
+    row is never multiplied, and all windows and joins share the partitions of the first."""
+    long_ar = [max(p, q) + 1 if q else 0 for p, _, q in points]
+    depth = max(max(p, m) + d for (p, d, _), m in zip(points, long_ar, strict=True))
 
     series_rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    # A struct is never null and equals one of the same nulls, so it is joined by plain equality.
     if series_rows <= max_series_rows:
-        lags = _window_lags(keys, order)
+        df = df.withColumn(SERIES, F.struct(*keys))
+        lags = _window_lags(order)
     else:
-        df = settle(indexed_series(df, keys, order, "__t"), "indexed")
-        lags = _index_lags(keys, "__t")
+        df = settle(indexed_series(df, keys, order, "__t").withColumn(SERIES, F.struct(*keys)), "indexed")
+        lags = _index_lags("__t")
+    rows = lags(df.withColumn("__y", F.col(value).cast("double")), {"__y": depth})
 
-    base = lags(df.withColumn("__y0", F.col(value).cast("double")), [], "__y0", depth, "__y")
-    grid = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(POINT, point)], F.lit(long_ar[point]).alias("__m")) for point in points])
-    rows = base.withColumn("__point", F.explode(grid)).select("*", "__point.*").drop("__point")
-
-    def differenced(lag: int) -> Column:
+    def differenced(d: int, lag: int) -> Column:
         """The d-th difference ``lag`` rows back."""
-        by_d = F.lit(None).cast("double")
-        for d in sorted({point[1] for point in points}):
-            terms = F.lit(0.0)
-            for j in range(d + 1):
-                terms = terms + F.lit(float((-1) ** j * comb(d, j))) * F.col(f"__y{lag + j}")
-            by_d = F.when(F.col("d") == d, terms).otherwise(by_d)
-        return by_d
-
-    def used(condition: Column, feature: Column) -> Column:
-        """Grid points that do not use a feature see a constant zero."""
-        return F.when(condition, feature).otherwise(0.0)
-
-    most_m = max(long_ar.values())
-    needed = max(most_p, most_m)
-    rows = rows.select("*", *[differenced(i).alias(f"__w{i}") for i in range(needed + 1)])
-    mean = [F.when(F.col("d") == 0, F.lit(1.0)).otherwise(0.0)] if any(p[1] == 0 for p in points) else []
-    by = [*keys, *POINT]
-    residual_lags: list[Column] = []
-    if most_q:
-        long_features = mean + [used(F.col("__m") >= i, F.col(f"__w{i}")) for i in range(1, most_m + 1)]
-        rows = _regress(rows, by, long_features, F.col("__w0"), "__long")
-        rows = rows.withColumn("__e", F.when(F.col("q") > 0, F.col("__w0") - F.col("__long")))
-        rows = lags(rows, POINT, "__e", most_q, "__e")
-        residual_lags = [used(F.col("q") >= i, F.col(f"__e{i}")) for i in range(1, most_q + 1)]
-    features = mean + [used(F.col("p") >= i, F.col(f"__w{i}")) for i in range(1, most_p + 1)] + residual_lags
-    rows = _regress(rows, by, features, F.col("__w0"), "__fit")
+        terms = F.lit(0.0)
+        for j in range(d + 1):
+            terms = terms + F.lit(float((-1) ** j * comb(d, j))) * F.col(f"__y_{lag + j}" if lag + j else "__y")
+        return terms
+
+    def autoregression(k: int, n: int) -> list[Column]:
+        d = points[k][1]
+        return ([F.lit(1.0)] if d == 0 else []) + [differenced(d, i) for i in range(1, n + 1)]
+
+    target = [differenced(d, 0) for _, d, _ in points]
+    moving = [k for k, (_, _, q) in enumerate(points) if q]
+    if moving:
+        rows = _regress(rows, {f"__long{k}": (autoregression(k, long_ar[k]), target[k]) for k in moving})
+        rows = rows.withColumns({f"__e{k}": target[k] - F.col(f"__long{k}") for k in moving}).drop(*[f"__long{k}" for k in moving])
+        rows = lags(rows, {f"__e{k}": points[k][2] for k in moving})
+    errors = [[F.col(f"__e{k}_{i}") for i in range(1, q + 1)] for k, (_, _, q) in enumerate(points)]
+    rows = _regress(rows, {f"__fit{k}": (autoregression(k, p) + errors[k], target[k]) for k, (p, _, _) in enumerate(points)})
     # Undo the differencing: value = difference - the older terms of the difference. The rest is a
     # lagged expression, so the current value enters with weight one and cancels.
-    predicted = F.col("__fit") + (F.col("__y0") - F.col("__w0"))
-    return rows.withColumn("predicted", predicted)
+    return rows.withColumns({f"__predicted{k}": F.col(f"__fit{k}") + (F.col("__y") - target[k]) for k in range(len(points))})
 
 
 def forecast_by_series(
@@ -183,7 +183,7 @@ def forecast_by_series(
 
         return grouped_map(df, keys, fit, schema, max_series_rows)
     fitted = _fit(df, keys, order, value, [tuple(point)], max_series_rows)
-    return fitted.select(*df.columns, F.col("predicted").alias(out))
+    return fitted.select(*df.columns, F.col("__predicted0").alias(out))
 
 
 # The default search space: p is fixed, d and q run over their ranges.
@@ -205,10 +205,11 @@ def grid_search(
     """
     points = [tuple(point) for point in product(*[space[n] for n in POINT])]
     fitted = _fit(df.select(*keys, *order, value), keys, order, value, points, max_series_rows)
-    error = F.col("predicted") - F.col(value)
+    errors = [F.struct(*[F.lit(v).alias(n) for n, v in zip(POINT, point)], (F.col(f"__predicted{k}") - F.col(value)).alias("error")) for k, point in enumerate(points)]
     groups = [*keys] if per_series else []
+    error = F.col("error")
     scores = settle(
-        fitted.groupBy(*groups, *POINT).agg(F.sqrt(F.avg(error * error)).alias("rmse")), "grid-scores"
+        fitted.select(*groups, F.explode(F.array(*errors)).alias("__point")).select(*groups, "__point.*").groupBy(*groups, *POINT).agg(F.sqrt(F.avg(error * error)).alias("rmse")), "grid-scores"
     )
     smallest = F.min_by(F.struct(*POINT, "rmse"), F.struct(F.round("rmse", 9), *POINT)).alias("best")
     best = scores.filter("rmse IS NOT NULL").groupBy(*groups).agg(smallest).select(*groups, "best.*")

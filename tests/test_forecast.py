@@ -77,3 +77,24 @@ def test_own_fitter_and_its_limit(series):
 def test_index_is_dense_and_ordered(series):
     rows = sorted((r.t_all, r.s, r.t) for r in fc.indexed_series(series, ["s"], ["t"], "t_all").collect())
     assert [r[0] for r in rows] == list(range(443)) and [r[1:] for r in rows] == sorted(r[1:] for r in rows)
+
+
+def test_rows_are_not_multiplied_by_the_grid(spark, series):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fitted = fc._fit(series, ["s"], ["t"], "v", [(1, d, q) for d in (2, 3) for q in (2, 3, 4)], 10**6)
+        assert fitted.count() == series.count()
+        # The rows are dealt out once; the others are the coefficients of both rounds.
+        assert fitted._jdf.queryExecution().sparkPlan().toString().count("SortMergeJoin") == 2
+        assert fitted._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_series_without_a_key_is_fitted(spark):
+    rows = [(None, t, float(t * t % 7)) for t in range(30)] + [("a", t, float(t * t % 5)) for t in range(30)]
+    df = spark.createDataFrame(rows, "s string, t int, v double")
+    got = fc.forecast_by_series(df, ["s"], ["t"], "v", (1, 1, 1))
+    x = np.array([r.predicted if r.predicted is not None else np.nan for r in got.filter("s is null").orderBy("t").collect()])
+    np.testing.assert_allclose(x, two_rounds([r[2] for r in rows[:30]], 1, 1, 1), rtol=1e-5, atol=1e-5)
