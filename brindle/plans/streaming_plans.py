@@ -13,17 +13,22 @@ from brindle.streaming import streams as st
 catalog = Catalog()
 
 
-def _arriving(df, label, files=4):
-    """The table as a folder of several files, read as a stream of one file per batch."""
+def _parts(spark, sf_dir, name):
+    """How many files a batch has: one for each split of the table."""
+    return max(1, table(spark, sf_dir, name).rdd.getNumPartitions())
+
+
+def _arriving(df, label, parts, batches=4):
+    """The table as a folder of files, read as a stream of ``parts`` files per batch."""
     path = shared_path(df.sparkSession, label)
-    df.repartition(files).write.parquet(path)
-    return st.read_parquet_stream(df.sparkSession, path, df.schema, files_per_batch=1)
+    df.repartition(batches * parts).write.parquet(path)
+    return st.read_parquet_stream(df.sparkSession, path, df.schema, files_per_batch=parts)
 
 
-def _logged(spark, payloads, label):
-    """Both logs of a payload table that arrives in several files."""
+def _logged(spark, payloads, label, parts):
+    """Both logs of a payload table that arrives in several batches."""
     logs = st.PayloadLogs(spark, shared_path(spark, f"{label}-logs"), payloads.schema)
-    st.finish(st.run_batches(_arriving(payloads, label), shared_path(spark, f"{label}-state"), logs.apply))
+    st.finish(st.run_batches(_arriving(payloads, label, parts), shared_path(spark, f"{label}-state"), logs.apply))
     return logs
 
 
@@ -33,7 +38,7 @@ def _logged(spark, payloads, label):
         FROM conversations WHERE {pp._OK} AND role <> 'system'""",
 )
 def _(spark, sf_dir):
-    rows = _logged(spark, pp.chat_payloads(spark, sf_dir), "payloads").read("request_log")
+    rows = _logged(spark, pp.chat_payloads(spark, sf_dir), "payloads", _parts(spark, sf_dir, "conversations")).read("request_log")
     return rows.select(
         "request.request_id", "request.conversation_id", "request.last_input", F.col("output.choices")[0]["message"]["content"].alias("answer")
     )
@@ -41,7 +46,7 @@ def _(spark, sf_dir):
 
 @catalog.add("stream_assessment_log", f"{pp._LEAVES_SQL} FROM ({pp._FEEDBACK})")
 def _(spark, sf_dir):
-    return pp._assessment_leaves(_logged(spark, pp.feedback_payloads(spark, sf_dir), "feedback").read("assessment_log"))
+    return pp._assessment_leaves(_logged(spark, pp.feedback_payloads(spark, sf_dir), "feedback", _parts(spark, sf_dir, "conversations")).read("assessment_log"))
 
 
 # Events arrive in four batches by time; every tenth comes with the last one, most of them late.
@@ -69,7 +74,7 @@ def _(spark, sf_dir):
     latest = st.HourlyLatest(spark, shared_path(spark, "hourly"), events.schema, ["user_id", "event_type"], "ts", "event_id")
     folder, state = shared_path(spark, "arrived"), shared_path(spark, "hourly-state")
     for batch in range(4):
-        events.where(arrival == batch).coalesce(1).write.mode("append").parquet(folder)
+        events.where(arrival == batch).write.mode("append").parquet(folder)
         st.finish(st.run_batches(st.read_parquet_stream(spark, folder, events.schema), state, latest.apply))
     parts = (("closed", latest.closed()), ("open", latest.flush()), ("late", latest.late()))
     rows = [df.select("hour", *events.columns, F.lit(name).alias("state")) for name, df in parts]
@@ -105,9 +110,9 @@ def _(spark, sf_dir):
     removed = docs.filter("lang = 'es'").select("chunk_id", "text", F.lit(True).alias("gone"))
     index = st.StreamedIndex(spark, shared_path(spark, "index"), StructType().add("chunk_id", "string").add("vector", "string"))
     state = shared_path(spark, "index-state")
-    folder = shared_path(spark, "chunks")
+    folder, parts = shared_path(spark, "chunks"), _parts(spark, sf_dir, "documents")
     for change in (arrived, removed):
-        change.repartition(2).write.mode("append").parquet(folder)
-        stream = st.read_parquet_stream(spark, folder, change.schema, files_per_batch=1)
+        change.repartition(2 * parts).write.mode("append").parquet(folder)
+        stream = st.read_parquet_stream(spark, folder, change.schema, files_per_batch=parts)
         st.finish(st.stream_index_sync(stream, index, state, lambda new: new.withColumn("vector", F.md5(F.concat("text", F.lit("v")))), "gone"))
     return index.read()

@@ -294,3 +294,20 @@ def test_files_are_replaced_and_others_stay(spark, tmp_path):
     assert len(same) >= 5  # untouched buckets keep their very files
     index.replace(spark.createDataFrame([], schema), spark.createDataFrame([(f"f{n}",) for n in range(40)] + [("new",)], "f string"))
     assert index.read().isEmpty()
+
+
+def test_a_batch_has_a_file_for_each_split(spark, tmp_path, monkeypatch):
+    from brindle.plans import streaming_plans as sp
+
+    docs = spark.range(400).selectExpr("id as doc_id", "concat('text ', id) as text", "if(id % 4 = 0, 'es', 'en') as lang")
+    docs.repartition(5).write.option("maxRecordsPerFile", 20).parquet(str(tmp_path / "documents.parquet"))
+    parts = sp._parts(spark, str(tmp_path), "documents")
+    monkeypatch.setattr(sp, "shared_path", lambda spark, label: str(tmp_path / label))
+    stream = sp._arriving(docs, "many", 7)
+    seen = []
+    from brindle.session import shared_path
+    from brindle.streaming import streams as st
+
+    st.finish(st.run_batches(stream, shared_path(spark, "many-state"), lambda rows, batch: seen.append(rows.count())))
+    assert parts > 1 and len(seen) == 4 and sum(seen) == 400
+    assert len(list((tmp_path / "many").glob("part-*"))) == 28
