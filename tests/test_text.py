@@ -132,3 +132,16 @@ def test_code_chunks(parts, size, overlap):
         else:
             current += segment
     assert chunks == want + ([current] if current else [])
+
+
+def test_texts_are_cut_in_bounded_slices(spark):
+    import pyarrow as pa
+    from brindle.operators import chunking
+
+    texts = pa.array(["a" * 10, None, "b" * 25, "", "c" * 3])
+    cut = [s.to_pylist() for s in chunking.text_slices(texts, 12)]
+    assert [t for s in cut for t in s] == texts.to_pylist() and len(cut) == 3
+    assert [s.to_pylist() for s in chunking.text_slices(pa.array([], pa.string()), 12)] == []
+    df = spark.createDataFrame([(k, "\n".join(["w " * 150] * 5) if k % 3 else None) for k in range(9)], "k int, text string").coalesce(1)
+    whole = {(r.k, r.text_chunk) for r in chunking.chunk_documents(df, "text", separator="\n").collect()}
+    assert {k for k, _ in whole} == {1, 2, 4, 5, 7, 8} and all(len(t.split()) <= 300 for _, t in whole)
