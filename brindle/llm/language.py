@@ -19,6 +19,7 @@ from brindle.llm.arrowtext import batch, bounded, filled, give_back, narrow, pie
 
 BUCKETS = 1 << 14  # the upper 14 bits of a 32-bit hash
 GRAMS = (2, 3, 4)
+SLICE_BYTES = 1 << 20  # of texts whose n-grams a task holds at once
 UNKNOWN = "und"
 _BLANK, _EMPTY = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
 
@@ -73,7 +74,7 @@ def _bags(rows: DataFrame) -> DataFrame:
 
     def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
-        for part in (some for whole in batches for some in bounded(whole, 4 << 20)):
+        for part in (some for whole in batches for some in bounded(whole, SLICE_BYTES)):
             ids, counts = [], []
             for text in filled(part.column("text")).to_pylist():
                 cut = pieces(pa.array([text], pa.large_string()))
@@ -200,7 +201,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc
         model = shared.value
         give_back()
         for whole in texts:
-            found = [_predicted(model, part.column("text")) for part in bounded(batch({"text": whole}), 4 << 20)]
+            found = [_predicted(model, part.column("text")) for part in bounded(batch({"text": whole}), SLICE_BYTES)]
             yield pa.concat_arrays(found) if found else pa.array([], _PREDICTION)
             give_back()
 

@@ -78,3 +78,19 @@ def test_predictions_equal_a_plain_evaluation(spark):
         p = model.probabilities((model.scores[own].sum(axis=0) / max(n, 1) + logits)[None, :])[0]
         want = ("und", 0.0, False) if not n else (model.labels[int(p.argmax())], p.max(), p.max() >= model.threshold)
         assert (r.lang_pred, r.accepted) == (want[0], want[2]) and abs(r.score - want[1]) < 1e-6
+
+
+def test_small_slices_give_the_predictions_of_the_whole():
+    import numpy as np
+    import pyarrow as pa
+    from brindle.llm import language
+    from brindle.llm.arrowtext import batch, bounded
+
+    random = np.random.default_rng(3)
+    model = language.LanguageModel(["a", "b"], random.normal(size=(language.BUCKETS, 2)), np.zeros(2), 1.0, 0.5)
+    texts = pa.array([" ".join(random.choice(["one", "zwei", "tres", "quatre", "7"], 2000).tolist()) for _ in range(400)] + [None, ""])
+    slices = [part.column("text") for part in bounded(batch({"text": texts}), language.SLICE_BYTES)]
+    assert len(slices) > 2 and max(s.nbytes for s in slices) < 2 << 20
+    whole, cut = language._predicted(model, texts).to_pylist(), [r for s in slices for r in language._predicted(model, s).to_pylist()]
+    assert [r["lang_pred"] for r in whole] == [r["lang_pred"] for r in cut]
+    np.testing.assert_allclose([r["score"] for r in whole], [r["score"] for r in cut], atol=1e-8)
