@@ -311,3 +311,11 @@ def test_a_batch_has_a_file_for_each_split(spark, tmp_path, monkeypatch):
     st.finish(st.run_batches(stream, shared_path(spark, "many-state"), lambda rows, batch: seen.append(rows.count())))
     assert parts > 1 and len(seen) == 4 and sum(seen) == 400
     assert len(list((tmp_path / "many").glob("part-*"))) == 28
+
+
+def test_settled_tables_are_small(spark):
+    import glob
+    from brindle.session import settle
+
+    files = glob.glob(settle(spark.range(100), "small").inputFiles()[0].removeprefix("file:"))
+    assert files and all(".zstd." in f for f in files)
