@@ -15,7 +15,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from brindle.llm.repeats import keyed, unkeyed
+from brindle.llm.repeats import among, keyed, likely, unkeyed
 from brindle.session import settle
 
 BUCKETS = 1 << 16  # of the word counts that tokens are ordered by; fixed, whatever the corpus
@@ -23,7 +23,6 @@ HASH_BITS = 55
 # A token with 2**PART_SHIFT occurrences or more has its lines dealt out to several parts.
 PART_SHIFT = 16
 LAGS = 3
-SLOTS = 1 << 22  # bits of the array of wanted documents; fixed, whatever the corpus
 _ADDRESS = ("id", "hash", "pos")
 
 
@@ -103,23 +102,33 @@ def dedup_lines(docs: DataFrame, percent: int = 90, id_col: str = "doc_id", text
     spread = marked.where("is_first").select("id", "hash", "pos", "n", "p", F.posexplode("prefix").alias("i", "t"))
     spread = spread.withColumn("part", F.pmod("hash", parts).cast("int"))
     held = spread.select("t", "part", F.struct("id", "hash", "pos", "n", "p", "i").alias("x")).repartition("t", "part")
-    leads = held.groupBy("t", "part").agg(F.min("x").alias("y"), F.count("*").alias("c")).where((F.col("c") > 1) | (parts > 1))
-    met = settle(held.join(leads, ["t", "part"]).select("t", "part", "x", "y"), "met")
-    # Earliest lines of the parts of one token meet in a second star.
-    heads = met.select("t", "part", F.col("y").alias("x")).distinct()
-    tops = heads.groupBy("t").agg(F.min("x").alias("y"), F.count("*").alias("c")).where("c > 1")
-    # Where the earliest line is none of the common ones, one of the lines just before may be.
+    # Each line meets the earliest of its part and, as that may be none of the common ones, those just before.
     by_line = Window.partitionBy("t", "part").orderBy("x")
-    before = met.select("x", F.array(*[F.lag("x", k).over(by_line) for k in range(1, LAGS + 1)]).alias("ys")).select("x", F.explode("ys").alias("y"))
-    star = met.select("x", "y").unionByName(heads.join(tops, "t").select("x", "y")).unionByName(before)
-    close = settle(star.where(_may_match(F.col("x"), F.col("y"), percent) & (_address_of("y") < _address_of("x"))).select(_at("x"), _at("y")).distinct(), "close")
+    all_lines = by_line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = {"y": F.first("x").over(by_line)} | {f"y{k}": F.lag("x", k).over(by_line) for k in range(1, LAGS + 1)}
+    ranked = held.withColumns({"rank": F.row_number().over(by_line), "c": F.count("*").over(all_lines)} | before)
+    # Rows equal in id and text have equal lines.
+    ranked = ranked.where(((F.col("c") > 1) | (parts > 1)) & (F.col("y1").isNull() | (F.col("y1") != F.col("x"))))
+    earlier_match = lambda y: _may_match(F.col("x"), F.col(y), percent) & (_address_of(y) < _address_of("x"))
+    ys = F.array_compact(F.array(*[F.when(earlier_match(y), _address_of(y)) for y in before]))
+    met = settle(ranked.select("t", "part", "x", "rank", "c", ys.alias("ys")), "met")
+    # Earliest lines of the parts of one token meet in a second star.
+    heads = met.where((F.col("rank") == 1) & (parts > 1)).select("t", "part", "x")
+    tops = heads.groupBy("t").agg(F.min("x").alias("y"))
+    star = met.where(F.size("ys") > 0).select(_at("x"), F.explode("ys").alias("y"))
+    star = star.unionByName(heads.join(tops, "t").where(earlier_match("y")).select(_at("x"), _at("y")))
+    close = settle(star.distinct(), "close")
     near = settle(_verified(close, rows, rarity, percent), "near")
-    # What is left meets all earlier lines of its tokens, part by part.
-    left = met.select("t", "part", "x").distinct()
-    open_ = left.select("t", "part", "x", _at("x").alias("at")).join(near.select(F.col("x").alias("at")), "at", "left_anti").select("t", "part", "x")
+    # What is left meets all earlier lines of its tokens, part by part; the first few of a token's only
+    # part have met theirs. Few lines may be among those with a match, so few are dealt out to see.
+    few = LAGS + 2
+    left = met.where((F.col("rank") > few) | (parts > 1)).select("t", "part", "x")
+    matched = among(near.select("x.*"), *_ADDRESS, of="x")
+    doubtful = left.where(matched).select("t", "part", "x", _at("x").alias("at")).join(near.select(F.col("x").alias("at")), "at", "left_anti")
+    open_ = left.where(~matched).unionByName(doubtful.select("t", "part", "x"))
     everywhere = open_.withColumn("part", F.explode(F.sequence(F.lit(0), parts.cast("int") - 1)))
-    earlier = met.select("t", "part", F.col("x").alias("y"))
-    rest = everywhere.join(earlier, ["t", "part"]).where((_address_of("y") < _address_of("x")) & _may_match(F.col("x"), F.col("y"), percent)).select(_at("x"), _at("y")).distinct()
+    earlier = met.where((F.col("c") > few) | (parts > 1)).select("t", "part", F.col("x").alias("y"))
+    rest = everywhere.join(earlier, ["t", "part"]).where(earlier_match("y")).select(_at("x"), _at("y")).distinct()
     rest = settle(rest.join(close, ["x", "y"], "left_anti"), "rest")
     removed = near.select("x.*").unionByName(_verified(rest, rows, rarity, percent).select("x.*")).unionByName(copies)
     gone = removed.groupBy("id", "hash").agg(F.collect_set("pos").alias("gone"))
@@ -163,25 +172,9 @@ def _parity(tokens: str) -> Column:
 def _verified(pairs: DataFrame, rows: DataFrame, rarity: Column, percent: int) -> DataFrame:
     """The pairs of lines whose token sets reach the threshold."""
     wanted = pairs.select("x.*").unionByName(pairs.select("y.*")).groupBy("id", "hash").agg(F.collect_set("pos").alias("wanted"))
-    lines = _likely(rows, wanted).join(wanted, ["id", "hash"]).select("id", "hash", F.explode("wanted").alias("pos"), F.split("text", "\n").alias("all"))
+    lines = likely(rows, wanted).join(wanted, ["id", "hash"]).select("id", "hash", F.explode("wanted").alias("pos"), F.split("text", "\n").alias("all"))
     sets = lines.select(F.struct(*_ADDRESS).alias("at"), F.get("all", F.col("pos")).alias("line")).withColumn("rarity", rarity)
     sets = sets.select("at", ordered_tokens(F.col("line"), F.col("rarity")).alias("set")).distinct()
     both = pairs.join(sets.select(F.col("at").alias("x"), F.col("set").alias("a")), "x").join(sets.select(F.col("at").alias("y"), F.col("set").alias("b")), "y")
     shared = F.size(F.array_intersect("a", "b"))
     return both.where(100 * shared >= percent * (F.size("a") + F.size("b") - shared)).select("x", "y").distinct()
-
-
-def _likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """All rows of wanted documents and few others, so that the join with them shuffles few texts.
-
-    A bit array of fixed size has the bits of the wanted documents' hashes; with very many of them
-    it is full and keeps every row.
-    """
-    slot = F.pmod(F.xxhash64("id", "hash"), F.lit(SLOTS))
-    word, bit = F.shiftright(slot, 6).cast("int"), slot.bitwiseAND(F.lit(63)).cast("int")
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
-    filled = wanted.groupBy(word.alias("word")).agg(F.bit_or(one).alias("bits"))
-    every = rows.sparkSession.range(SLOTS // 64).select(F.col("id").cast("int").alias("word")).join(filled, "word", "left")
-    every = every.agg(F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))).alias("a"))
-    bits = settle(every.select(F.transform("a", lambda x: x["bits"]).alias("bits")), "bits").scalar()
-    return rows.where(F.get(bits, word).bitwiseAND(one) != 0)

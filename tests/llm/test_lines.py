@@ -82,3 +82,19 @@ def test_all_blanks_end_counted_words(spark):
     rows = lines.keyed(spark.createDataFrame([(1, text)], "doc_id long, text string"), "doc_id", "text")
     bucket = F.pmod(F.xxhash64(F.lit("hot")), F.lit(lines.BUCKETS)).cast("int")
     assert lines.word_counts(rows).select(F.get("rarity", bucket)).first()[0] == 12  # 2 * log2(64)
+
+
+def test_met_lines_are_dealt_out_once(spark, monkeypatch):
+    settled = {}
+
+    def kept(df, label, settle=lines.settle):
+        settled.setdefault(label, df._jdf.queryExecution().optimizedPlan().toString())
+        return settle(df, label)
+
+    monkeypatch.setattr(lines, "settle", kept)
+    docs = corpus(11)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: (r.n_lines, r.n_removed, r.kept) for r in dedup_lines(df).collect()} == brute(sorted(docs), 90)
+    # Neighbours are found where the lines meet; what is left is neither deduplicated nor looked up whole.
+    assert "Window" in settled["met"] and "Window" not in settled["close"]
+    assert settled["rest"].count("Aggregate") == 1
