@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from brindle.llm.arrowtext import batch, bounded, filled, total_bytes
 from brindle.llm.components import components
-from brindle.llm.repeats import from_blobs, keyed, mix, rolled, to_blob, unkeyed
+from brindle.llm.repeats import from_blobs, keyed, likely, mix, rolled, to_blob, unkeyed
 from brindle.llm.substring import word_hashes
 from brindle.session import settle
 
@@ -336,7 +336,7 @@ def _degrees(labels: DataFrame, classes: DataFrame, sizes: DataFrame, rows: Data
             data = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer((offsets * 8).astype(np.int32)), pa.py_buffer(hashes.tobytes())])
             yield batch({c: part.column(c) for c in ("class", "component", "blocks", "rows")} | {"data": data})
 
-    texts = rows.join(wanted, ["id", "hash"]).select("class", "component", "blocks", "rows", "text")
+    texts = likely(rows, wanted).join(wanted, ["id", "hash"]).select("class", "component", "blocks", "rows", "text")
     # Rows equal in id and text come several times.
     sets = settle(texts.mapInArrow(shingled, "class binary, component binary, blocks int, rows long, data binary").dropDuplicates(["class"]), "sets")
     task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(tasks)).cast("string")).otherwise(F.hex("component"))
@@ -463,7 +463,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int,
     """The pairs of classes whose sets reach the threshold.
 
     Sizes and sketches rule out most wrong pairs. The rest are dealt out by their first class, in
-    portions of bounded size, with that class's text once per portion.
+    portions of bounded size, with that class's text once per portion; few other texts are shuffled.
     """
     side = lambda c: classes.select(F.col("class").alias(c), F.struct("n", "sketch").alias(f"s_{c}"))
     near = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -475,7 +475,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int,
     dealt = near.join(portions, "a").select("a", F.pmod(F.xxhash64("b"), F.col("portions")).alias("portion"), "b")
     wanted = dealt.unionByName(dealt.select("a", "portion", F.col("a").alias("b")).distinct())
     placed = wanted.join(classes.select(F.col("class").alias("b"), F.col("row.id").alias("id"), F.col("row.hash").alias("hash")), "b")
-    gathered = placed.join(rows, ["id", "hash"]).select("a", "portion", "b", (F.col("a") == F.col("b")).alias("lead"), "text")
+    placed = settle(placed, "placed")
+    gathered = placed.join(likely(rows, placed), ["id", "hash"]).select("a", "portion", "b", (F.col("a") == F.col("b")).alias("lead"), "text")
     ordered = gathered.repartition("a", "portion").sortWithinPartitions("a", "portion", F.desc("lead"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -131,6 +131,24 @@ def test_similar_sets_share_a_signature(percent):
             assert set(sigs[owner == 0].tolist()) & set(sigs[owner == 1].tolist()), (size, lost, len(b))
 
 
+def test_texts_of_unlinked_documents_are_not_shuffled(spark, monkeypatch):
+    read = []
+
+    def counted(rows, wanted, likely=jaccard.likely):
+        found = likely(rows, wanted)
+        assert wanted.join(found, ["id", "hash"], "left_anti").isEmpty()
+        read.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard, "likely", counted)
+    docs = [(k, " ".join(f"w{k}x{j}" for j in range(40))) for k in range(300)]
+    docs += [(1000 + k, docs[k][1] + " tail") for k in range(5)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_components(df.repartition(3), 3, 90).collect()}
+    assert got == {k: k % 1000 for k, _ in docs}
+    assert len(read) >= 2 and 10 <= max(read) < 20
+
+
 def test_null_and_repeated_ids_and_empty_table(spark):
     text = " ".join(f"w{k}" for k in range(40))
     df = spark.createDataFrame([(7, text), (7, text), (None, text), (9, text + " tail"), (None, "alone here now"), (3, None)], "doc_id long, text string")
