@@ -98,3 +98,21 @@ def test_met_lines_are_dealt_out_once(spark, monkeypatch):
     # Neighbours are found where the lines meet; what is left is neither deduplicated nor looked up whole.
     assert "Window" in settled["met"] and "Window" not in settled["close"]
     assert settled["rest"].count("Aggregate") == 1
+
+
+@pytest.mark.parametrize("seed", [5, 13])
+def test_lines_meet_by_ranges(spark, monkeypatch, seed):
+    settled = {}
+
+    def kept(df, label, settle=lines.settle):
+        settled.setdefault(label, df._jdf.queryExecution().optimizedPlan().toString())
+        return settle(df, label)
+
+    monkeypatch.setattr(lines, "settle", kept)
+    monkeypatch.setattr(lines, "PART_SHIFT", 1)
+    monkeypatch.setattr(lines, "LONG_LINE", 20)
+    docs = corpus(seed)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: (r.n_lines, r.n_removed, r.kept) for r in dedup_lines(df).collect()} == brute(sorted(docs), 90)
+    # The words of the corpus are not counted, and those of a line made once (two kinds of blanks), not in a filter too.
+    assert "rarity" not in settled and settled["lines"].count("split(lower(") == 2
