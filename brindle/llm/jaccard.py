@@ -24,11 +24,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from brindle.llm.arrowtext import batch, bounded, filled, total_bytes
 from brindle.llm.components import components
-from brindle.llm.repeats import from_blobs, keyed, likely, mix, rolled, to_blob, unkeyed
+from brindle.llm.repeats import keyed, likely, mix, rolled, unkeyed
 from brindle.llm.substring import word_hashes
 from brindle.session import settle
 
 BUCKET_BYTES = 8 << 20  # text bytes behind one bucket of signatures
+SENT_TOGETHER = 1 << 20  # signatures that a task gathers before it deals them out
+MARK = 6  # leading bytes of a class's name, which tell the classes of one signature apart
 SKETCH = 128
 BLOCK = 512
 PAIRS_OF_A_TASK = 256
@@ -188,10 +190,11 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     classes = signed.where("sig is null and n > 0").groupBy(F.col("member").alias("class")).agg(F.min(F.struct("id", "hash")).alias("row"), F.min("n").alias("n"), F.min_by("sketch", F.struct("id", "hash")).alias("sketch"))
     classes = settle(classes, "classes")
     shared = signed.where("sig is not null").select("sig", "leader", "member")
-    ends = shared.select("sig", F.col("leader").alias("class")).unionByName(shared.select("sig", F.col("member").alias("class"))).distinct()
-    # The class of most shared signatures is nearest to the others: it leads where it occurs.
-    weight = ends.groupBy("class").agg(F.count("*").alias("weight"))
-    ends = settle(ends.join(weight, "class"), "ends")
+    ends = shared.select("sig", F.col("leader").alias("mark")).unionByName(shared.select("sig", F.col("member").alias("mark"))).distinct()
+    # The class of most shared signatures is nearest to the others: it leads where it occurs. Should two
+    # classes have one mark, each takes part for both.
+    weight = ends.groupBy("mark").agg(F.count("*").alias("weight")).join(classes.select("class", F.substring("class", 1, MARK).alias("mark")), "mark")
+    ends = settle(ends.join(weight, "mark").select("sig", "class", "weight"), "ends")
     leads = ends.groupBy("sig").agg(F.max(F.struct("weight", "class")).alias("lead")).select("sig", F.col("lead.class").alias("lead"))
     led = settle(ends.join(leads, "sig").select("sig", "class", "lead"), "led")
     first = settle(led.where("class != lead").select(F.col("lead").alias("a"), F.col("class").alias("b")).distinct(), "pairs")
@@ -377,11 +380,17 @@ def _rows(rows: int, /, **columns) -> pa.RecordBatch:
 
 
 def _signed(rows: DataFrame, scheme: PartEnum, words: int, buckets: int) -> DataFrame:
-    """One row per document with its class, and the classes that share signatures, each with the
-    least of them. Within a batch only the least class of a signature travels on, so a signature
-    that many documents share is one record per batch."""
+    """One row per document with its class, and the marks of classes that share signatures, each with
+    the least of them. Of a signature that many documents share, a task sends the least class only,
+    once for each portion of its documents.
+
+    A signature travels as 11 bytes beside the number of its bucket, however many buckets there are: 40
+    bits of it and the mark of its class. Different signatures that agree in these only make a pair more
+    to verify.
+    """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, number = [], 0
         for part in (some for whole in batches for some in bounded(whole, 4 << 20)):
             hashes, offsets = shingle_sets(part.column("text"), words)
             first, second = set_names(hashes, offsets)
@@ -392,26 +401,15 @@ def _signed(rows: DataFrame, scheme: PartEnum, words: int, buckets: int) -> Data
             yield _rows(len(first), bucket=pa.array(np.full(len(first), -1), pa.int32()), id=ids, hash=part.column("hash"), member=names(first, second), n=pa.array(np.diff(offsets)), sketch=sketch)
             chosen = np.unique(np.stack([first, second], axis=1), axis=0, return_index=True)[1]
             sigs, owner = scheme.signatures(*_subset(hashes, offsets, chosen))
-            owner = chosen[owner]
-            lists, single = _by_signature(sigs, first[owner], second[owner])
-            yield from lists
-            sigs, high, low = single
-            bucket = (sigs % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            blobs = [(k, to_blob({"sig": sigs[order[a:b]], "high": high[order[a:b]], "low": low[order[a:b]]})) for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)) if b > a]
-            if blobs:
-                yield _rows(len(blobs), bucket=pa.array([k for k, _ in blobs], pa.int32()), data=pa.array([b for _, b in blobs], pa.binary()))
+            held.append((_placed(sigs, buckets), (first >> np.uint64(64 - 8 * MARK))[chosen[owner]]))
+            number += len(sigs)
+            if number >= SENT_TOGETHER:
+                yield from _dealt(held)
+                held, number = [], 0
+        yield from _dealt(held)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = -1, []
-
-        def settled() -> Iterator[pa.RecordBatch]:
-            if held:
-                table = from_blobs(held)
-                lists, _ = _by_signature(*(table[c].to_numpy() for c in ("sig", "high", "low")))
-                yield from lists
-
         for part in batches:
             bucket = np.asarray(part.column("bucket"))
             ready = np.flatnonzero(bucket < 0)
@@ -419,10 +417,10 @@ def _signed(rows: DataFrame, scheme: PartEnum, words: int, buckets: int) -> Data
                 yield part.take(pa.array(ready))
             for k in np.flatnonzero(bucket >= 0):
                 if bucket[k] != current:
-                    yield from settled()
+                    yield from _by_signature(held)[0]
                     current, held = bucket[k], []
-                held.append(part.column("data")[k].as_py())
-        yield from settled()
+                held.append(_unpacked(current, part.column("data")[k].as_py()))
+        yield from _by_signature(held)[0]
 
     by = F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(F.pmod(F.xxhash64("id", "hash", "sig", "member"), F.lit(2**30)).cast("int"))
     sent = rows.select("id", "hash", "text").mapInArrow(sign, _SCHEMA)
@@ -436,27 +434,53 @@ def _subset(hashes: np.ndarray, offsets: np.ndarray, chosen: np.ndarray) -> tupl
     return hashes[np.repeat(offsets[chosen] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)], np.concatenate([[0], ends])
 
 
-def _by_signature(sigs: np.ndarray, high: np.ndarray, low: np.ndarray) -> tuple[Iterator[pa.RecordBatch], tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Pairs (least class, other class) of each signature, and one record per signature with its
-    least class."""
-    order = np.argsort(sigs, kind="stable")
-    sigs, high, low = sigs[order], high[order], low[order]
-    same = np.append(False, sigs[1:] == sigs[:-1])
-    many = np.flatnonzero(same | np.append(same[1:], False)) if len(sigs) else np.zeros(0, np.int64)
-    alone = np.ones(len(sigs), bool)
-    alone[many] = False
-    order = np.lexsort((low[many], high[many], sigs[many]))
-    s, h, w = sigs[many][order], high[many][order], low[many][order]
-    head = np.append(True, s[1:] != s[:-1]) if len(s) else np.zeros(0, bool)
-    lead = np.flatnonzero(head)[np.cumsum(head) - 1] if len(s) else np.zeros(0, np.int64)
-    fresh = (h != np.append(0, h[:-1])) | (w != np.append(0, w[:-1])) if len(s) else head
-    at = np.flatnonzero(~head & fresh & ((h != h[lead]) | (w != w[lead])))
-
-    def lists() -> Iterator[pa.RecordBatch]:
-        if len(at):
-            yield _rows(len(at), bucket=pa.array(np.full(len(at), -1), pa.int32()), sig=pa.array(s[at].view(np.int64)), leader=names(h[lead[at]], w[lead[at]]), member=names(h[at], w[at]))
+def _placed(sigs: np.ndarray, buckets: int) -> np.ndarray:
+    """Signatures as the number of their bucket, followed by 40 other bits of them."""
+    return (sigs & np.uint64(0xFFFFFF)) % np.uint64(buckets) << np.uint64(40) | sigs >> np.uint64(24)
 
-    return lists(), (np.concatenate([sigs[alone], s[head]]), np.concatenate([high[alone], h[head]]), np.concatenate([low[alone], w[head]]))
+
+def _dealt(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Rows of the classes that share a signature here, and one of each bucket with all its signatures."""
+    found, sigs, marks = _by_signature(held)
+    yield from found
+    if not len(sigs):
+        return
+    bucket = (sigs >> np.uint64(40)).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    # Each column by itself, as few bytes as it takes.
+    columns = [(sigs >> np.uint64(32)).astype(np.uint8), sigs.astype(np.uint32), (marks >> np.uint64(16)).astype(np.uint32), marks.astype(np.uint16)]
+    data = [b"".join(c[a:b].tobytes() for c in columns) for a, b in zip(cuts, [*cuts[1:], len(sigs)], strict=True)]
+    yield _rows(len(data), bucket=pa.array(bucket[cuts], pa.int32()), data=pa.array(data, pa.binary()))
+
+
+def _unpacked(bucket: int, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(data) // 11
+    column = lambda kind, at: np.frombuffer(data, kind, n, at * n).astype(np.uint64)
+    sigs = np.uint64(bucket) << np.uint64(40) | column(np.uint8, 0) << np.uint64(32) | column(np.uint32, 1)
+    return sigs, column(np.uint32, 5) << np.uint64(16) | column(np.uint16, 9)
+
+
+def _by_signature(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[pa.RecordBatch], np.ndarray, np.ndarray]:
+    """Rows (least class, other class) of each signature, and each signature in order with the mark of
+    its least class."""
+    sigs, marks = (np.concatenate([np.zeros(0, np.uint64), *side]) for side in (zip(*held, strict=True) if held else ((), ())))
+    order = np.argsort(sigs, kind="stable")
+    sigs, marks = sigs[order], marks[order]
+    same = np.append(False, sigs[1:] == sigs[:-1])[: len(sigs)]
+    many = np.flatnonzero(same | np.append(same[1:], False)[: len(sigs)])
+    marks[many] = marks[many][np.lexsort((marks[many], sigs[many]))]
+    lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(sigs))))
+    at = many[same[many] & (marks[many] != marks[many - 1])]
+    found = []
+    if len(at):
+        found = [_rows(len(at), bucket=pa.array(np.full(len(at), -1), pa.int32()), sig=pa.array(sigs[at].view(np.int64)), leader=_as_marks(marks[lead[at]]), member=_as_marks(marks[at]))]
+    return found, sigs[~same], marks[~same]
+
+
+def _as_marks(marks: np.ndarray) -> pa.Array:
+    """Marks as binary values, the leading bytes of names."""
+    data = np.ascontiguousarray((marks << np.uint64(64 - 8 * MARK)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :MARK])
+    return pa.Array.from_buffers(pa.binary(), len(marks), [None, pa.py_buffer(np.arange(len(marks) + 1, dtype=np.int32) * MARK), pa.py_buffer(data.tobytes())])
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:

@@ -2,6 +2,9 @@
 
 import random
 import re
+from pathlib import Path
+from time import sleep
+from unittest.mock import MagicMock
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +13,7 @@ import pytest
 from brindle.llm import jaccard
 from brindle.llm.components import components
 from brindle.llm.jaccard import PartEnum, jaccard_components
+from brindle.session import REMOVE_SHUFFLES, settle
 
 
 def shingles(text, words):
@@ -81,6 +85,54 @@ def test_batches_of_several_slices(spark):
     assert got == brute(docs, 3, 90)
 
 
+def test_many_buckets_and_portions(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BUCKET_BYTES", 500)
+    monkeypatch.setattr(jaccard, "SENT_TOGETHER", 300)
+    docs = near_copies(7)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df.repartition(3), 3, 80).collect()}
+    assert got == brute(docs, 3, 80)
+
+
+def test_signatures_take_no_more_bytes_in_more_buckets(spark):
+    docs = [" ".join(f"w{k}x{j}" for j in range(300)) for k in range(400)]
+    part = pa.record_batch({"id": pa.array(range(400), pa.int64()), "hash": pa.array(range(400), pa.int64()), "text": docs})
+    sent = {}
+    for buckets in (1, 3000):
+        rows = MagicMock()
+        jaccard._signed(rows, PartEnum(80), 5, buckets)
+        sign = rows.select().mapInArrow.call_args.args[0]
+        sent[buckets] = sum(len(x) for found in sign(iter([part])) for x in found.column("data").to_pylist() if x)
+    assert 0 < sent[3000] < 1.1 * sent[1]
+
+
+def test_marks_of_signatures_are_kept():
+    rng = np.random.default_rng(3)
+    sigs, marks = rng.integers(0, 2**64, 500, dtype=np.uint64), rng.integers(0, 2**48, 500, dtype=np.uint64)
+    sigs[100:200], marks[150:200] = sigs[:100], marks[50:100]  # 50 signatures of two classes, 50 of one class twice
+    keys = jaccard._placed(sigs, 70)
+    found, *own = jaccard._by_signature([(keys[:180], marks[:180]), (keys[180:], marks[180:])])
+    pairs = {(s, *sorted([a, b])) for row in found for s, a, b in zip(*(row.column(c).to_pylist() for c in ("sig", "leader", "member")), strict=True)}
+    as_mark = lambda m: int(m).to_bytes(6, "big")
+    assert pairs == {(int(keys[k].view(np.int64)), *sorted([as_mark(marks[k]), as_mark(marks[100 + k])])) for k in range(50)}
+    sent = [jaccard._unpacked(b, x) for row in jaccard._dealt([(keys, marks)]) for b, x in zip(row.column("bucket").to_pylist(), row.column("data").to_pylist(), strict=True) if b >= 0]
+    for side, whole in zip(zip(*sent, strict=True), own, strict=True):
+        assert np.concatenate(side).tolist() == whole.tolist()
+
+
+def test_settled_tables_leave_no_shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in folders for f in Path(d).rglob("shuffle_*.data")}
+    before = files()
+    kept = settle(spark.range(5000).repartition(3, "id").groupBy("id").count(), "kept")
+    for _ in range(50):
+        if files() <= before:
+            break
+        sleep(0.1)
+    assert files() <= before and kept.count() == 5000
+    assert spark.conf.get(REMOVE_SHUFFLES, "false") == "false"
+
+
 def brute_links(rows, words, percent):
     sets = [shingles(t, words) for _, t in rows]
     near = lambda x, y: bool(x and y) and 100 * len(x & y) >= percent * len(x | y)
