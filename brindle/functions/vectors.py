@@ -61,6 +61,15 @@ def distinct_enough(ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.nd
     return ids[kept], vectors[kept]
 
 
+def few_places(marks: np.ndarray) -> np.ndarray:
+    """Where in the flat order of an array of booleans the true ones stand, eight being passed over at a
+    time where all are false."""
+    flat = np.ascontiguousarray(marks).ravel()
+    even = len(flat) // 8 * 8
+    at = (np.flatnonzero(flat[:even].view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+    return np.concatenate([at[flat[at]], even + np.flatnonzero(flat[even:])])
+
+
 class TopHits:
     """The k best corpus rows per query so far, ties to the smaller id.
 
@@ -91,9 +100,12 @@ class TopHits:
         ids, vectors = distinct_enough(ids, vectors, self.k)
         corpus = comparable(vectors, self.metric)
         rough = self._lifted(corpus, False).T
+        reach = float(np.linalg.norm(rough.astype(float), axis=0).max(initial=0))
         step = max(1, self.CELLS // len(ids))
-        found = [self._near(at, min(at + step, len(self.query_ids)), ids, corpus, rough) for at in range(0, len(self.query_ids), step)]
-        merged = pd.concat([self.best, *found], ignore_index=True) if len(self.best) else pd.concat(found, ignore_index=True)
+        near = [self._near(at, min(at + step, len(self.query_ids)), corpus, rough, reach) for at in range(0, len(self.query_ids), step)]
+        q, c, score = (np.concatenate(x) for x in zip(*near, strict=True))
+        found = pd.DataFrame({"q": q, "corpus_id": ids[c], "score": np.round(score, SCORE_DIGITS)})
+        merged = pd.concat([self.best, found], ignore_index=True) if len(self.best) else found
         ranked = merged.sort_values(["q", "score", "corpus_id"], ascending=[True, False, True], kind="stable")
         self.best = ranked[ranked.groupby("q").cumcount() < self.k]
         full = self.best.groupby("q")["score"].agg(["min", "size"])
@@ -101,20 +113,22 @@ class TopHits:
         at = full.index.to_numpy()
         self.floor[at] = np.maximum(self.floor[at], full["min"].to_numpy())
 
-    def _near(self, start: int, stop: int, ids: np.ndarray, corpus: np.ndarray, rough: np.ndarray) -> pd.DataFrame:
+    def _near(self, start: int, stop: int, corpus: np.ndarray, rough: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of queries and corpus rows that may be hits, and their exact scores."""
         scores = self.rough[start:stop] @ rough
         floor = self.floor[start:stop]
-        if self.k < len(ids) and np.isneginf(floor).any():
+        if self.k < scores.shape[1] and np.isneginf(floor).any():
             floor = np.maximum(floor, -np.partition(-scores, self.k - 1, axis=1)[:, self.k - 1])
-        reach = float(np.linalg.norm(rough.astype(float), axis=0).max(initial=0))
         margin = self.MARGIN * np.maximum(self.length[start:stop] * reach, 1)
-        q, c = np.nonzero(scores >= (floor - margin)[:, None])
+        # Every cell is compared in its own precision.
+        least = np.nextafter((floor - margin).astype(np.float32), np.float32(-np.inf))
+        q, c = np.divmod(few_places(scores >= least[:, None]), scores.shape[1])
         q += start
         if self.metric == "l2":
             score = -((self.exact[q] - corpus[c]) ** 2).sum(axis=1)
         else:
             score = np.einsum("ij,ij->i", self.exact[q], corpus[c])
-        return pd.DataFrame({"q": q, "corpus_id": ids[c], "score": np.round(score, SCORE_DIGITS)})
+        return q, c, score
 
     def result(self) -> pd.DataFrame:
         return pd.DataFrame(

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brindle.functions.vectors import TopHits, hashing_encoder
+from brindle.functions.vectors import TopHits, few_places, hashing_encoder
 from brindle.operators import nearest, retrieval as rt, trainset as ts
 from brindle.operators.generation import echo_generator
 
@@ -121,6 +121,31 @@ def test_blocks_in_any_order(vectors):
         assert {q: g["corpus_id"].tolist() for q, g in got.groupby("query_id")} == brute_force(queries, corpus, 4)
 
 
+def test_places_of_few_marks():
+    rng = np.random.default_rng(2)
+    for columns in (0, 1, 7, 8, 9, 63, 1000):
+        for share in (0, 0.01, 0.5, 1):
+            marks = rng.random((3, columns)) < share
+            assert few_places(marks).tolist() == np.flatnonzero(marks).tolist()
+            assert few_places(marks[:, ::2]).tolist() == np.flatnonzero(marks[:, ::2]).tolist()
+
+
+@pytest.mark.parametrize("metric", ["cosine", "ip", "l2"])
+def test_scores_at_the_floor_are_kept(metric):
+    rng = np.random.default_rng(4)
+    rows, asks = rng.integers(-2, 3, (301, 6)).astype(float), rng.integers(-2, 3, (40, 6)).astype(float)
+    rows, asks = rows[np.abs(rows).sum(axis=1) > 0], asks[np.abs(asks).sum(axis=1) > 0]
+    whole = TopHits(np.arange(len(asks)), asks, 5, metric)
+    whole.add(np.arange(len(rows)), rows)
+    want = whole.result()
+    # Many rows tie; the k-th score of the whole is known before, and rows come in blocks.
+    parts = TopHits(np.arange(len(asks)), asks, 5, metric)
+    parts.floor = want.groupby("query_id")["score"].min().to_numpy()
+    for at in range(0, len(rows), 37):
+        parts.add(np.arange(at, min(at + 37, len(rows))), rows[at : at + 37])
+    assert parts.result().to_numpy().tolist() == want.to_numpy().tolist()
+
+
 def test_no_queries_and_missing_vectors(spark, tables):
     queries, corpus = tables
     assert rt.retrieve_topk(queries.limit(0), corpus).count() == 0
